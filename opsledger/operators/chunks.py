@@ -10,7 +10,7 @@ from opsledger.functions.text import SPACE, first_line, strip
 
 def markdown_title(text: Column, fallback: Column) -> Column:
     """The `# ` heading on the first line of the stripped text, else `fallback`."""
-    heading = F.regexp_extract(first_line(strip(text)), f"^#{SPACE}+(.+)$", 1)
+    heading = F.regexp_extract(first_line(F.regexp_replace(text, f"^{SPACE}+", "")), f"^#{SPACE}+(.+)$", 1)
     return F.when(heading != "", strip(heading)).otherwise(fallback)
 
 
@@ -23,11 +23,13 @@ def chunk_sections(
     an "Overview". Ids are `id::n`, where n counts skipped pieces too.
     """
     fallback = F.col(id_col).cast("string") if fallback_title is None else fallback_title
-    pieces = docs.select(
+    # The title is settled before the split, so it is found once per document and not per section.
+    titled = docs.select(
         F.col(id_col).cast("string").alias("_id"),
         markdown_title(F.col(text_col), fallback).alias("doc_title"),
-        F.posexplode(F.split(F.col(text_col), "\n(?=## )")).alias("_n", "_piece"),
-    ).withColumn("text", strip(F.col("_piece")))
+        F.transform(F.split(F.col(text_col), "\n(?=## )"), strip).alias("_pieces"),
+    )
+    pieces = titled.select("_id", "doc_title", F.posexplode("_pieces").alias("_n", "text"))
     text = F.col("text")
     title_only = text.startswith("# ") & ~text.contains("\n")
     heading = F.regexp_extract(first_line(text), f"^##{SPACE}+(.+)$", 1)

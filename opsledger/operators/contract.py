@@ -194,6 +194,15 @@ def _cross_rule(r: RequiredWhen) -> Column:
     return F.when(status.isin(*r.values) & (F.coalesce(F.col(f"_text_{r.field}"), F.lit("")) == ""), reason)
 
 
+def _settled(df: DataFrame, columns: list[Column]) -> DataFrame:
+    """Add columns that are computed once per row.
+
+    As plain projections, a later filter on the reasons would be pushed below them with every
+    expression copied into it, JSON parsing included. A generator is where that stops.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*columns))))
+
+
 def validate_events(raw: DataFrame, contract: Contract = FLIGHT_CONTRACT, value_col: str = "value") -> DataFrame:
     """Add `event` (struct of the typed fields) and `rejection_reason` (array, empty when accepted).
 
@@ -207,11 +216,9 @@ def validate_events(raw: DataFrame, contract: Contract = FLIGHT_CONTRACT, value_
         F.schema_of_variant("_json").alias("_shape"),
         *(F.variant_get("_json", f"$.{n}", "variant").alias(f"_v_{n}") for n in names),
     )
-    flat = picked.select(
-        "*",
-        *(F.schema_of_variant(f"_v_{n}").alias(f"_type_{n}") for n in names),
-        *(F.expr(f"try_variant_get(_v_{n}, '$', 'string')").alias(f"_text_{n}") for n in names),
-    )
+    facts = [F.schema_of_variant(f"_v_{n}").alias(f"_type_{n}") for n in names]
+    facts += [F.expr(f"try_variant_get(_v_{n}, '$', 'string')").alias(f"_text_{n}") for n in names]
+    flat = _settled(picked, facts)
     field_reasons = F.array_compact(F.array(*(_rule(f) for f in contract.fields)))
     judged = flat.select("*", field_reasons.alias("_field_reasons"))
     cross = [_cross_rule(r) for r in contract.cross]
@@ -222,10 +229,10 @@ def validate_events(raw: DataFrame, contract: Contract = FLIGHT_CONTRACT, value_
         .when(F.size("_field_reasons") > 0, F.col("_field_reasons"))
         .otherwise(cross_reasons)
     )
-    return judged.select(
+    return _settled(judged, [reasons.alias("rejection_reason")]).select(
         *raw.columns,
         F.struct(*(_typed(f).alias(f.name) for f in contract.fields)).alias("event"),
-        reasons.alias("rejection_reason"),
+        "rejection_reason",
     )
 
 

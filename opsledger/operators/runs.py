@@ -10,6 +10,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opsledger.functions.times import micros
+
 RUN_SCHEMA = "run_id string, job string, namespace string, state string, event_time timestamp"
 START, COMPLETE, FAIL = "START", "COMPLETE", "FAIL"
 
@@ -54,5 +56,5 @@ def latest_run_state(
         F.max(F.when(F.col(state).isin(COMPLETE, FAIL), when)).alias("ended_at"),
         F.count("*").alias("events"),
     )
-    seconds = F.col("ended_at").cast("timestamp").cast("double") - F.col("started_at").cast("timestamp").cast("double")
-    return folded.withColumn("duration_s", seconds)
+    elapsed = micros(F.col("ended_at")) - micros(F.col("started_at"))
+    return folded.withColumn("duration_s", elapsed / 1_000_000)

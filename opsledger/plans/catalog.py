@@ -268,7 +268,7 @@ def run_latest_state(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise("OTHER").alias("state"),
         F.col("ts").alias("event_time"),
     )
-    return runs.latest_run_state(events, order=F.col("event_id")).withColumn("duration_s", F.round("duration_s", 3))
+    return runs.latest_run_state(events, order=F.col("event_id"))
 
 
 # Event-time windows

@@ -9,7 +9,7 @@ _K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 
 
 def _words(text: str) -> str:
-    return f"list_filter(string_split_regex(lower({text}), '{_SPACE}+'), x -> x <> '')"
+    return f"list_filter(string_split_regex(lower({text}), '{_SPACE}+'), lambda x: x <> '')"
 
 
 def _strip(text: str) -> str:
@@ -230,7 +230,7 @@ WITH run_events AS (
   QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY ts DESC, event_id DESC) = 1
 )
 SELECT run_id, last_state, started_at, ended_at, events,
-       round((epoch_us(ended_at) - epoch_us(started_at)) / 1000000.0, 3) AS duration_s
+       (epoch_us(ended_at) - epoch_us(started_at))::DOUBLE / 1000000 AS duration_s
 FROM folded JOIN last USING (run_id)
 """
 
@@ -353,12 +353,12 @@ ORACLE["rrf_fusion"] = f"""
 WITH {_bm25("documents", "doc_id", 10)},
 hashed_queries AS (SELECT * FROM {_hashed("questions", "query_id", "query")}),
 hashed_docs AS (SELECT * FROM {_hashed("documents", "doc_id", "text")}),
-similar AS (
+near AS (
   SELECT query_id, doc_id, round(sum(q.weight::DOUBLE * d.weight::DOUBLE), 9) AS score
   FROM hashed_queries q JOIN hashed_docs d USING (slot) GROUP BY 1, 2
 ),
 dense AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) - 1 AS rank FROM similar QUALIFY rank < 10
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) - 1 AS rank FROM near QUALIFY rank < 10
 ),
 fused AS (
   SELECT coalesce(d.query_id, s.query_id) AS query_id, coalesce(d.doc_id, s.doc_id) AS doc_id,
@@ -375,14 +375,14 @@ FROM fused
 def _reranked(source: str, item: str) -> str:
     wanted = f"list_distinct({_words('query')})"
     return f"""
-overlaps AS (
+shared AS (
   SELECT c.query_id, c.{item}, c.rank AS candidate_rank, d.* EXCLUDE ({item}),
          coalesce(len(list_intersect({wanted}, {_words("d.text")}))::DOUBLE / nullif(len({wanted}), 0), 0) AS rerank_score
   FROM sparse c JOIN {source} d ON d.{item} = c.{item} JOIN questions q ON q.query_id = c.query_id
 ),
 reranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rerank_score DESC, candidate_rank) - 1 AS rank
-  FROM overlaps QUALIFY rank < 3
+  FROM shared QUALIFY rank < 3
 )"""
 
 
@@ -406,11 +406,11 @@ FROM contexts JOIN questions USING (query_id)
 """
 
 _SIMILAR = f"""
-WITH {_CENTROIDS}, similar AS (
+WITH {_CENTROIDS}, near AS (
   SELECT query_id, vec_id, round(sum(c.x * f.x) / (sqrt(sum(c.x * c.x)) * sqrt(sum(f.x * f.x))), 9) AS similarity
   FROM centroids c JOIN flat f USING (i) GROUP BY 1, 2
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) - 1 AS rank FROM similar QUALIFY rank < 10
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) - 1 AS rank FROM near QUALIFY rank < 10
 ), report AS (
   SELECT query_id, round(avg(CASE WHEN similarity > 0.3 THEN 1.0::DOUBLE ELSE 0 END), 3) AS context_precision,
          round(avg(similarity), 3) AS avg_similarity, count(*) AS chunks_in_context,
