@@ -5,23 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Every character that counts as white space, and every line boundary.
-SPACE = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-LINE = r"^[^\n\r\x0B\f\x1C-\x1E\x{85}\x{2028}\x{2029}]*"
+# What counts as white space (as a pattern, and as the characters themselves), and
+# what ends a line.
+SPACE = r"[\s\x1C-\x1F]"
+SPACES = (
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+LINE_END = r"\n\r\x0B\f\x1C-\x1E\x{85}\x{2028}\x{2029}"
 
 
 def strip(text: Column) -> Column:
     """Remove white space at both ends (all Unicode white space, not just blanks)."""
-    return F.regexp_replace(F.regexp_replace(text, f"^{SPACE}+", ""), f"{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
-def first_line(text: Column) -> Column:
-    return F.regexp_extract(text, LINE, 0)
+def heading(text: Column, marks: str) -> Column:
+    """The text of a markdown heading with these marks, if the first line is one; else NULL."""
+    found = F.regexp_extract(text, f"(?U)^{marks}[{SPACE}&&[^{LINE_END}]]++([^{LINE_END}]++)", 1)
+    return F.nullif(strip(found), F.lit(""))
 
 
 def tokenize(text: Column) -> Column:
     """Lower-case words separated by white space."""
-    return F.filter(F.split(F.lower(text), f"{SPACE}+"), lambda word: word != "")
+    return F.filter(F.split(F.lower(text), f"(?U){SPACE}+"), lambda word: word != "")
 
 
 def extract_first(text: Column, pattern: str) -> Column:

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 # The ISO 8601 shapes the contract accepts, and the point above which a bare number
 # counts milliseconds instead of seconds.
-ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
-ISO_DATETIME = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?([Zz]|[+-]\d{2}:?\d{2})?$"
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}([Tt ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?([Zz]|[+-]\d{2}:?\d{2})?)?$"
 EPOCH_NUMBER = r"^[+-]?\d+(\.\d+)?$"
 EPOCH_MILLIS_ABOVE = 20_000_000_000
 
@@ -19,26 +18,31 @@ def epoch_timestamp(number: Column) -> Column:
     return F.timestamp_micros((seconds * 1_000_000).cast("bigint"))
 
 
-def _iso_text(text: Column) -> Column:
-    return F.when(text.rlike(ISO_DATE) | text.rlike(ISO_DATETIME), F.replace(F.upper(text), F.lit(","), F.lit(".")))
+def _parsed(text: Column, kind: str) -> Column:
+    iso = F.when(text.rlike(ISO_TIME), F.replace(F.upper(text), F.lit(","), F.lit(".")).try_cast(kind))
+    number = F.when(text.rlike(EPOCH_NUMBER), text.try_cast("decimal(30,6)"))
+    return F.coalesce(iso, epoch_timestamp(number).cast(kind))
 
 
 def iso_timestamp(text: Column) -> Column:
     """ISO text (with `Z`, an offset, or neither) or a bare number; NULL for anything else."""
-    number = F.when(text.rlike(EPOCH_NUMBER), text.try_cast("decimal(30,6)"))
-    return F.coalesce(_iso_text(text).try_cast("timestamp"), epoch_timestamp(number))
+    return _parsed(text, "timestamp")
 
 
 def wall_clock(text: Column) -> Column:
     """Like `iso_timestamp`, but the local clock reading, with any offset ignored."""
-    number = F.when(text.rlike(EPOCH_NUMBER), text.try_cast("decimal(30,6)"))
-    return F.coalesce(_iso_text(text).try_cast("timestamp_ntz"), epoch_timestamp(number).cast("timestamp_ntz"))
+    return _parsed(text, "timestamp_ntz")
+
+
+def whole_day(clock: Column) -> Column:
+    """The date of a clock reading at midnight; NULL at any other time of day."""
+    day = clock.cast("date")
+    return F.when(clock == day, day)
 
 
 def iso_date(text: Column) -> Column:
     """An ISO date; a date-time counts only at midnight of its own clock."""
-    clock = wall_clock(text)
-    return F.when(clock == F.date_trunc("day", clock), clock.cast("date"))
+    return whole_day(wall_clock(text))
 
 
 def day_drift(ts: Column, day: Column) -> Column:

@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsledger.functions.text import SPACE, first_line, strip
+from opsledger.functions.text import SPACES, heading, strip
 
 
 def markdown_title(text: Column, fallback: Column) -> Column:
     """The `# ` heading on the first line of the stripped text, else `fallback`."""
-    heading = F.regexp_extract(first_line(F.regexp_replace(text, f"^{SPACE}+", "")), f"^#{SPACE}+(.+)$", 1)
-    return F.when(heading != "", strip(heading)).otherwise(fallback)
+    return F.coalesce(heading(F.ltrim(text, F.lit(SPACES)), "#"), fallback)
 
 
 def chunk_sections(
@@ -32,10 +31,9 @@ def chunk_sections(
     pieces = titled.select("_id", "doc_title", F.posexplode("_pieces").alias("_n", "text"))
     text = F.col("text")
     title_only = text.startswith("# ") & ~text.contains("\n")
-    heading = F.regexp_extract(first_line(text), f"^##{SPACE}+(.+)$", 1)
     return pieces.where((text != "") & ~title_only).select(
         F.concat_ws("::", "_id", "_n").alias("chunk_id"),
         "doc_title",
-        F.when(heading != "", strip(heading)).otherwise("Overview").alias("section_title"),
+        F.coalesce(heading(text, "##"), F.lit("Overview")).alias("section_title"),
         "text",
     )

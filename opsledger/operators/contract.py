@@ -1,8 +1,8 @@
-"""The ingest contract: one reason struct per broken rule, computed as column expressions.
+"""The ingest contract: one reason per broken rule, computed as column expressions.
 
-Raw JSON text is parsed once into a VARIANT. Every field rule yields a nullable
-`struct<field, msg, type>`; the reasons of a record are the non-null ones. All field rules report
-together, and rules that look at several fields run only when every field passed.
+Raw JSON text is parsed once, into one VARIANT per field. Every rule is one SQL expression yielding an array of
+no or one `struct<field, msg, type>`; the reasons of a record are their concatenation. All field
+rules report together, and rules that look at several fields run only when every field passed.
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsledger.flights import DELAYED, EVENT_SCHEMA, GATE_STATUSES, STATUSES
-from opsledger.functions.times import epoch_timestamp, iso_date, iso_timestamp, wall_clock
+from opsledger.functions.times import epoch_timestamp, iso_timestamp, wall_clock, whole_day
 
-REASON = "struct<field:string,msg:string,type:string>"
+NO_REASON = "CAST(array() AS array<struct<field:string,msg:string,type:string>>)"
 # Whole numbers as text may carry a sign, blanks, digit groups and a zero fraction.
 INT_TEXT = r"^\s*[+-]?\d+(_\d+)*(\.0*)?\s*$"
 # Messages users match on.
@@ -89,109 +89,97 @@ FLIGHT_CONTRACT = Contract(
 )
 
 
-def _reason(field: str, what: tuple[str, str]) -> Column:
-    return F.struct(F.lit(field).alias("field"), F.lit(what[0]).alias("msg"), F.lit(what[1]).alias("type"))
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _plural(n: int) -> str:
-    return f"{n} character" if n == 1 else f"{n} characters"
-
-
-def _type(f: Field) -> Column:
-    return F.col(f"_type_{f.name}")
+def _reason(field: str, what: tuple[str, str]) -> str:
+    msg, kind = what
+    return f"array(named_struct('field', {_quoted(field)}, 'msg', {_quoted(msg)}, 'type', {_quoted(kind)}))"
 
 
-def _text(f: Field) -> Column:
-    return F.col(f"_text_{f.name}")
-
-
-def _is_number(f: Field) -> Column:
-    return _type(f).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT|SMALLINT|TINYINT)")
+def _plural(n: int) -> str:
+    return f"{n} character" if n == 1 else f"{n} characters"
 
 
-def _number(f: Field) -> Column:
-    return F.when(_is_number(f), _text(f).try_cast("double").cast("decimal(30,6)"))
+def _is_number(f: Field) -> str:
+    return f"(_type_{f.name} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR startswith(_type_{f.name}, 'DECIMAL'))"
 
 
-def _int_value(f: Field) -> Column:
-    """Numbers, whole numbers as text, and booleans as a decimal."""
-    digits = F.when(_text(f).rlike(INT_TEXT), F.regexp_replace(F.trim(_text(f)), "_", "").try_cast("decimal(38,9)"))
-    return (
-        F.when(_type(f) == "STRING", digits)
-        .when(_type(f) == "BOOLEAN", _text(f).cast("boolean").cast("int").cast("decimal(38,9)"))
-        .when(_is_number(f), F.expr(f"try_variant_get(_v_{f.name}, '$', 'decimal(38,9)')"))
-    )
+def _value(f: Field) -> Column:
+    """The field read as its kind, NULL where it cannot be. Dates stay clock readings until judged."""
+    kind, text = F.col(f"_type_{f.name}"), F.col(f"_text_{f.name}")
+    number = F.expr(f"CASE WHEN {_is_number(f)} THEN try_variant_get(_v_{f.name}, '$', 'decimal(38,9)') END")
+    if f.kind == "int":
+        digits = F.regexp_replace(F.trim(text), "_", "").try_cast("decimal(38,9)")
+        flag = text.try_cast("boolean").cast("int").cast("decimal(38,9)")
+        return F.when(kind == "STRING", F.when(text.rlike(INT_TEXT), digits)).when(kind == "BOOLEAN", flag).otherwise(number)
+    read, target = (wall_clock, "timestamp_ntz") if f.kind == "date" else (iso_timestamp, "timestamp")
+    return F.when(kind == "STRING", read(text)).otherwise(epoch_timestamp(number.cast("decimal(30,6)")).cast(target))
 
 
 def _typed(f: Field) -> Column:
     """The accepted value; only meaningful where the field's rule found nothing."""
     if f.kind == "date":
-        numeric = epoch_timestamp(_number(f)).cast("date")
-        return F.coalesce(F.when(_type(f) == "STRING", iso_date(_text(f))), numeric)
+        return whole_day(F.col(f"_value_{f.name}"))
     if f.kind == "timestamp":
-        return F.coalesce(F.when(_type(f) == "STRING", iso_timestamp(_text(f))), epoch_timestamp(_number(f)))
+        return F.col(f"_value_{f.name}")
     if f.kind == "int":
-        return _int_value(f).try_cast("int")
-    text = F.when(_type(f) == "STRING", _text(f))
+        return F.col(f"_value_{f.name}").try_cast("int")
+    text = F.when(F.col(f"_type_{f.name}") == "STRING", F.col(f"_text_{f.name}"))
     return F.upper(text) if f.upper else text
 
 
-def _rule(f: Field) -> Column:
-    """The reason the field is refused, NULL when it is fine."""
-    kind, text, why = _type(f), _text(f), lambda what: _reason(f.name, what)
-    chain = F.when(kind.isNull(), why(MISSING) if f.required else F.lit(None).cast(REASON))
+def _rule(f: Field) -> str:
+    """SQL for the field's reasons: an empty array when it is fine."""
+    kind, text, value, number = f"_type_{f.name}", f"_text_{f.name}", f"_value_{f.name}", _is_number(f)
+    cases = [(f"{kind} IS NULL", MISSING if f.required else None)]
     if not f.required:
-        chain = chain.when(kind == "VOID", F.lit(None).cast(REASON))
+        cases.append((f"{kind} = 'VOID'", None))
     if f.kind == "string":
-        chain = chain.when(kind != "STRING", why(NOT_STRING))
+        cases.append((f"{kind} <> 'STRING'", NOT_STRING))
         if f.min_length is not None:
             short = f"String should have at least {_plural(f.min_length)}"
-            chain = chain.when(F.length(text) < f.min_length, why((short, "string_too_short")))
+            cases.append((f"length({text}) < {f.min_length}", (short, "string_too_short")))
         if f.max_length is not None:
             long = f"String should have at most {_plural(f.max_length)}"
-            chain = chain.when(F.length(text) > f.max_length, why((long, "string_too_long")))
+            cases.append((f"length({text}) > {f.max_length}", (long, "string_too_long")))
     elif f.kind == "enum":
-        quoted = [f"'{v}'" for v in f.values]
-        msg = f"Input should be {', '.join(quoted[:-1])} or {quoted[-1]}"
-        chain = chain.when((kind != "STRING") | ~text.isin(*f.values), why((msg, "enum")))
+        named = [f"'{v}'" for v in f.values]
+        allowed = ", ".join(_quoted(v) for v in f.values)
+        msg = f"Input should be {', '.join(named[:-1])} or {named[-1]}"
+        cases.append((f"{kind} <> 'STRING' OR {text} NOT IN ({allowed})", (msg, "enum")))
     elif f.kind == "date":
-        whole_day = epoch_timestamp(_number(f))
-        chain = (
-            chain.when((kind != "STRING") & ~_is_number(f), why(NOT_DATE))
-            .when((kind == "STRING") & wall_clock(text).isNull(), why(BAD_DATE))
-            .when((kind == "STRING") & iso_date(text).isNull(), why(INEXACT_DATE))
-            .when(_is_number(f) & (whole_day != F.date_trunc("day", whole_day)), why(INEXACT_DATE))
-        )
+        cases += [
+            (f"{kind} <> 'STRING' AND NOT {number}", NOT_DATE),
+            (f"{value} IS NULL", BAD_DATE),
+            (f"{value} <> CAST({value} AS DATE)", INEXACT_DATE),
+        ]
     elif f.kind == "timestamp":
-        chain = chain.when((kind != "STRING") & ~_is_number(f), why(NOT_DATETIME)).when(
-            (kind == "STRING") & iso_timestamp(text).isNull(), why(BAD_DATETIME)
-        )
+        cases += [(f"{kind} <> 'STRING' AND NOT {number}", NOT_DATETIME), (f"{value} IS NULL", BAD_DATETIME)]
     elif f.kind == "int":
-        value = _int_value(f)
-        chain = (
-            chain.when((kind == "STRING") & value.isNull(), why(BAD_INT_TEXT))
-            .when((kind != "STRING") & (kind != "BOOLEAN") & ~_is_number(f), why(NOT_INT))
-            .when(value != F.floor(value), why(FRACTION))
-            .when(value.isNull() | value.try_cast("int").isNull(), why(INT_SIZE))
-        )
+        cases += [
+            (f"{kind} = 'STRING' AND {value} IS NULL", BAD_INT_TEXT),
+            (f"{kind} NOT IN ('STRING', 'BOOLEAN') AND NOT {number}", NOT_INT),
+            (f"{value} <> floor({value})", FRACTION),
+            (f"try_cast({value} AS INT) IS NULL", INT_SIZE),
+        ]
         if f.minimum is not None:
             low = f"Input should be greater than or equal to {f.minimum}"
-            chain = chain.when(value < f.minimum, why((low, "greater_than_equal")))
+            cases.append((f"{value} < {f.minimum}", (low, "greater_than_equal")))
     else:
         raise ValueError(f"unknown field kind {f.kind!r}")
-    return chain
+    branches = " ".join(f"WHEN {when} THEN {_reason(f.name, why) if why else NO_REASON}" for when, why in cases)
+    return f"CASE {branches} ELSE {NO_REASON} END"
 
 
-def _cross_rule(r: RequiredWhen) -> Column:
+def _cross_rule(r: RequiredWhen) -> str:
     """Rules over several fields name no field: they belong to the record."""
-    status = F.col(f"_text_{r.status}")
-    before, after = r.msg.split("{}")
-    reason = F.struct(
-        F.lit("").alias("field"),
-        F.concat(F.lit(before), status, F.lit(after)).alias("msg"),
-        F.lit("value_error").alias("type"),
-    )
-    return F.when(status.isin(*r.values) & (F.coalesce(F.col(f"_text_{r.field}"), F.lit("")) == ""), reason)
+    values = ", ".join(_quoted(v) for v in r.values)
+    msg = f"replace({_quoted(r.msg)}, '{{}}', _text_{r.status})"
+    reason = f"array(named_struct('field', '', 'msg', {msg}, 'type', 'value_error'))"
+    empty = f"coalesce(_text_{r.field}, '') = ''"
+    return f"CASE WHEN _text_{r.status} IN ({values}) AND {empty} THEN {reason} ELSE {NO_REASON} END"
 
 
 def _settled(df: DataFrame, columns: list[Column]) -> DataFrame:
@@ -210,24 +198,23 @@ def validate_events(raw: DataFrame, contract: Contract = FLIGHT_CONTRACT, value_
     object, is refused like any other bad record. No shuffle: each row is judged on its own.
     """
     names = [f.name for f in contract.fields]
-    parsed = raw.withColumn("_json", F.try_parse_json(F.col(value_col)))
-    picked = parsed.select(
-        *raw.columns,
-        F.schema_of_variant("_json").alias("_shape"),
-        *(F.variant_get("_json", f"$.{n}", "variant").alias(f"_v_{n}") for n in names),
-    )
+    wanted = ", ".join([*(f"`{n}` variant" for n in names), "_corrupt string"])
+    parsed = raw.withColumn("_json", F.from_json(value_col, wanted, {"columnNameOfCorruptRecord": "_corrupt"}))
+    # Only text that does not read as one object, a rare case, is parsed again to tell what it is.
+    clean = F.col("_json._corrupt").isNull() & F.endswith(F.rtrim(value_col), F.lit("}"))
+    shape = F.when(clean, "OBJECT").otherwise(F.schema_of_variant(F.try_parse_json(F.col(value_col))))
+    picked = parsed.select(*raw.columns, shape.alias("_shape"), *(F.col("_json")[n].alias(f"_v_{n}") for n in names))
     facts = [F.schema_of_variant(f"_v_{n}").alias(f"_type_{n}") for n in names]
     facts += [F.expr(f"try_variant_get(_v_{n}, '$', 'string')").alias(f"_text_{n}") for n in names]
-    flat = _settled(picked, facts)
-    field_reasons = F.array_compact(F.array(*(_rule(f) for f in contract.fields)))
-    judged = flat.select("*", field_reasons.alias("_field_reasons"))
-    cross = [_cross_rule(r) for r in contract.cross]
-    cross_reasons = F.array_compact(F.array(*cross)) if cross else F.col("_field_reasons")
-    reasons = (
-        F.when(F.col("_shape").isNull(), F.array(_reason("", BAD_JSON)))
-        .when(~F.col("_shape").startswith("OBJECT"), F.array(_reason("", NOT_OBJECT)))
-        .when(F.size("_field_reasons") > 0, F.col("_field_reasons"))
-        .otherwise(cross_reasons)
+    values = [_value(f).alias(f"_value_{f.name}") for f in contract.fields if f.kind in ("date", "timestamp", "int")]
+    flat = _settled(_settled(picked, facts), values)
+    field_reasons = f"concat({', '.join(_rule(f) for f in contract.fields)})"
+    cross_reasons = f"concat({', '.join([_cross_rule(r) for r in contract.cross] or [NO_REASON])})"
+    judged = flat.select("*", F.expr(field_reasons).alias("_field_reasons"))
+    reasons = F.expr(
+        f"CASE WHEN _shape IS NULL THEN {_reason('', BAD_JSON)} "
+        f"WHEN NOT startswith(_shape, 'OBJECT') THEN {_reason('', NOT_OBJECT)} "
+        f"WHEN size(_field_reasons) > 0 THEN _field_reasons ELSE {cross_reasons} END"
     )
     return _settled(judged, [reasons.alias("rejection_reason")]).select(
         *raw.columns,

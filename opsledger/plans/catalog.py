@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from opsledger.functions.text import word_overlap
 from opsledger.functions.times import micros
 from opsledger.operators import answer, bm25, chunks, contract, fusion, knn, layout, quality, runs, state, summary, windows
+from opsledger.sources.tables import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -231,7 +232,7 @@ def flight_json(spark: SparkSession, folder: str) -> DataFrame:
     head = F.when(k == 80, "{").otherwise(F.concat(F.lit('{"flight_id":"SV'), "user_id", F.lit('",')))
     body = F.concat_ws(",", *(F.concat(F.lit(f'"{name}":'), value) for name, value in fields.items()))
     value = F.when(k == 99, "not json").when(k == 98, "[1]").otherwise(F.concat(head, body, F.lit("}")))
-    return table(spark, folder, "events").select("event_id", value.alias("value"))
+    return spread(table(spark, folder, "events"), "event_id").select("event_id", value.alias("value"))
 
 
 @query
@@ -327,7 +328,7 @@ def sectioned(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as markdown: a title line, and every further line of the text as a section."""
     text = F.concat(F.lit("# "), "lang", F.lit(" document "), F.col("doc_id").cast("string"), F.lit("\n## "),
                     F.replace("text", F.lit("\n"), F.lit("\n## ")))
-    return table(spark, folder, "documents").select("doc_id", text.alias("text"))
+    return spread(table(spark, folder, "documents"), "doc_id").select("doc_id", text.alias("text"))
 
 
 @query
@@ -340,7 +341,7 @@ def questions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", "text")
+    return spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
 
 
 def _scored(df: DataFrame) -> DataFrame:
