@@ -22,8 +22,10 @@ def strip(text: Column) -> Column:
 
 def heading(text: Column, marks: str) -> Column:
     """The text of a markdown heading with these marks, if the first line is one; else NULL."""
-    found = F.regexp_extract(text, f"(?U)^{marks}[{SPACE}&&[^{LINE_END}]]++([^{LINE_END}]++)", 1)
-    return F.nullif(strip(found), F.lit(""))
+    found = F.regexp_extract(text, f"(?U)^{marks}[{SPACE}&&[^{LINE_END}]]++(.+)", 1)
+    # The dot stops at most line ends; what it runs over are these few.
+    line = F.split(found, r"[\x0B\f\x1C-\x1E]", 2)[0]
+    return F.nullif(strip(line), F.lit(""))
 
 
 def tokenize(text: Column) -> Column:

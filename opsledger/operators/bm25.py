@@ -22,6 +22,8 @@ from opsledger.operators.topk import ITEM_BLOCK, MAX_QUERIES, topk_scan
 from opsledger.session import materialize
 
 DECIMALS = 9
+# More distinct words than this per query, on average, and the vocabulary is joined, not broadcast.
+WORDS_PER_QUERY = 100
 
 
 @dataclass(frozen=True)
@@ -48,18 +50,19 @@ def postings(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def document_frequency(index: DataFrame) -> DataFrame:
-    """(term, df): in how many texts a word occurs."""
-    return index.groupBy("term").agg(F.count("*").alias("df"))
+    """(term, df, occurrences): in how many texts a word occurs, and how often in all."""
+    return index.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("occurrences"))
 
 
 def _idf(documents: int, df: Column) -> Column:
     return F.log(documents - df + 0.5) - F.log(df + 0.5)
 
 
-def corpus_stats(index: DataFrame, frequency: DataFrame, documents: int) -> Corpus:
-    """One-row summaries of the index; `documents` counts texts without words too."""
-    words = index.agg(F.coalesce(F.sum("tf"), F.lit(0))).first()[0]
-    mean_idf = frequency.agg(F.coalesce(F.avg(_idf(documents, F.col("df"))), F.lit(0.0))).first()[0]
+def corpus_stats(frequency: DataFrame, documents: int) -> Corpus:
+    """A one-row summary of the vocabulary; `documents` counts texts without words too."""
+    words, mean_idf = frequency.agg(
+        F.coalesce(F.sum("occurrences"), F.lit(0)), F.coalesce(F.avg(_idf(documents, F.col("df"))), F.lit(0.0))
+    ).first()
     return Corpus(documents, words / documents if documents else 0.0, mean_idf)
 
 
@@ -128,24 +131,22 @@ def bm25_search(
     `ids` lists every text. Texts sharing no word with a query score 0 and may fill the list, in id
     order; equal scores rank by id. Words repeated in a query count each time.
     """
-    frequency = document_frequency(index)
-    corpus = corpus_stats(index, frequency, ids.count())
-    counted = (
+    frequency = materialize(document_frequency(index))
+    corpus = corpus_stats(frequency, ids.count())
+    words = (
         queries.select(query_id, F.explode_outer(tokenize(F.col(query_text))).alias("term"))
         .groupBy(query_id, "term")
         .agg(F.count("*").alias("_n"))
     )
-    words = materialize(counted)
     vocabulary = words.where(F.col("term").isNotNull()).select("term").distinct()
-    few = words.count() <= max_queries * 100
-    if few:
+    if words.count() <= max_queries * WORDS_PER_QUERY:
         # Checked above: the vocabulary of a bounded number of query words.
         matched = index.join(F.broadcast(vocabulary), "term")
-        known = frequency.join(F.broadcast(vocabulary), "term")
+        known = frequency.select("term", "df").join(F.broadcast(vocabulary), "term")
         weighed = words.join(F.broadcast(known), "term", "left")
     else:
         matched = lookup_join(index, vocabulary, "term", F.col(item_id), "inner")
-        weighed = lookup_join(words, frequency, "term", F.col(query_id), "left")
+        weighed = lookup_join(words, frequency.select("term", "df"), "term", F.col(query_id), "left")
     weight = (F.col("_n") * term_weight(corpus, F.col("df"), eps)).alias("weight")
     prepared = weighed.groupBy(query_id).agg(
         F.collect_list(F.when(F.col("term").isNotNull(), F.struct("term", weight))).alias("words")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from opsledger.functions.text import word_overlap
 from opsledger.functions.times import micros
 from opsledger.operators import answer, bm25, chunks, contract, fusion, knn, layout, quality, runs, state, summary, windows
+from opsledger.session import materialize
 from opsledger.sources.tables import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -351,7 +352,7 @@ def _scored(df: DataFrame) -> DataFrame:
 @query
 def bm25_terms(spark: SparkSession, folder: str) -> DataFrame:
     index = bm25.postings(_documents(spark, folder), "doc_id", "text")
-    return index.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("occurrences"))
+    return bm25.document_frequency(index)
 
 
 @query
@@ -408,7 +409,7 @@ def rerank_topn(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def rag_context(spark: SparkSession, folder: str) -> DataFrame:
     asked = questions(spark, folder)
-    sections = chunk_sections(spark, folder)
+    sections = materialize(chunk_sections(spark, folder))
     candidates = bm25.bm25_topk(asked, sections, 8, item_id="chunk_id")
     found = answer.fetch_chunks(candidates, sections).join(asked, "query_id")
     best = fusion.rerank(found, word_overlap(F.col("query"), F.col("text")), 3)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +48,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder so several consumers read it instead of recomputing it."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write `df` as a table in the checkpoint folder and read it back.
+
+    Several consumers then read it, each only the columns it needs, instead of recomputing it, and
+    losing an executor costs no more than a re-read.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/opsledger-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
