@@ -108,10 +108,10 @@ def no_duplicate_rows(cols: Sequence[str]) -> Check:
 
 def _success(check: Check, unexpected: Column, considered: Column) -> Column:
     if check.below is not None:
-        return F.coalesce(unexpected / considered < check.below, F.lit(False))
+        return F.coalesce(F.try_divide(unexpected, considered) < check.below, F.lit(False))
     if check.mostly >= 1.0:
         return unexpected == 0
-    return F.when(considered == 0, True).otherwise((considered - unexpected) / considered >= check.mostly)
+    return F.coalesce(F.try_divide(considered - unexpected, considered) >= check.mostly, F.lit(True))
 
 
 def _results(folded: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
@@ -208,7 +208,7 @@ def profile_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
             F.lit(c).alias("column_name"),
             F.col("_rows").alias("row_count"),
             F.col(f"_null{i}").alias("null_count"),
-            F.round(100.0 * F.col(f"_null{i}") / F.col("_rows"), 1).alias("null_pct"),
+            F.round(F.try_divide(100.0 * F.col(f"_null{i}"), F.col("_rows")), 1).alias("null_pct"),
             (F.col(f"_min{i}") if orderable[c] else none).alias("min_value"),
             (F.col(f"_max{i}") if orderable[c] else none).alias("max_value"),
         )

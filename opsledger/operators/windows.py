@@ -56,7 +56,7 @@ def hopping_mean(df: DataFrame, keys: Sequence[str], ts: str, value: Column, wid
     return (
         panes.withColumn("window_start", F.explode(starts))
         .groupBy(*keys, "window_start")
-        .agg((F.sum("_sum") / F.sum("_n")).alias("mean_value"), F.sum("_n").alias("events"))
+        .agg(F.try_divide(F.sum("_sum"), F.sum("_n")).alias("mean_value"), F.sum("_n").alias("events"))
     )
 
 
