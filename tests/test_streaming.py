@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -54,6 +55,7 @@ def batches(spark, folder, groups):
             for arrival, key, ts, value in rows:
                 row = {"arrival": arrival, "airline_code": key, "event_ts": ts.isoformat(), "delay_minutes": value, "status": "DELAYED"}
                 f.write(json.dumps(row) + "\n")
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
 
 
 def test_spark_watermark_drops_whole_windows(spark, tmp_path):
@@ -66,7 +68,7 @@ def test_spark_watermark_drops_whole_windows(spark, tmp_path):
     counts = tumbling_counts(rows, "event_ts")
     query = drain(append_sink(counts, str(tmp_path / "out"), str(tmp_path / "ck")), 240)
     found = {r["window_start"]: r["events"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    assert dropped_by_watermark(query) >= 1
+    assert dropped_by_watermark(query) == 2
     assert found[at(0)] == 1 and found[at(10)] == 1 and at(16) not in found and found[at(18)] == 1
 
 
