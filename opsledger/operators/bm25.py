@@ -42,11 +42,10 @@ def postings(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     shuffling the word rows would, and the count per text and word then needs no shuffle.
     """
     words = df.select(id_col, text_col).repartition(id_col).select(id_col, tokenize(F.col(text_col)).alias("_words"))
-    return (
-        words.select(id_col, F.size("_words").alias("length"), F.explode("_words").alias("term"))
-        .groupBy(id_col, "length", "term")
-        .agg(F.count("*").cast("int").alias("tf"))
-    )
+    # Outer, so that no "has words" filter is inferred: it would split every text a second time.
+    exploded = words.select(id_col, F.size("_words").alias("_length"), F.explode_outer("_words").alias("term"))
+    counted = exploded.groupBy(id_col, "term").agg(F.max("_length").alias("length"), F.count("*").cast("int").alias("tf"))
+    return counted.where(F.col("term").isNotNull()).select(id_col, "length", "term", "tf")
 
 
 def document_frequency(index: DataFrame) -> DataFrame:

@@ -28,7 +28,8 @@ def chunk_sections(
         markdown_title(F.col(text_col), fallback).alias("doc_title"),
         F.transform(F.split(F.col(text_col), "\n(?=## )"), strip).alias("_pieces"),
     )
-    pieces = titled.select("_id", "doc_title", F.posexplode("_pieces").alias("_n", "text"))
+    # Outer, so that no filter on the pieces is inferred that would split every text a second time.
+    pieces = titled.select("_id", "doc_title", F.posexplode_outer("_pieces").alias("_n", "text"))
     text = F.col("text")
     title_only = text.startswith("# ") & ~text.contains("\n")
     return pieces.where((text != "") & ~title_only).select(

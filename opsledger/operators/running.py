@@ -35,7 +35,7 @@ def running(
     out. The block number stays in the result as `_block` for callers that join on it.
     """
     keys = list(keys)
-    rows = df.withColumn("_block", F.floor(F.col(order) / block))
+    rows = df.withColumn("_block", F.expr(f"`{order}` div {block}"))
     for name, (_, value) in totals.items():
         rows = rows.withColumn(f"_{name}", value)
 
@@ -48,7 +48,7 @@ def running(
         prefixes = [_COMBINE[fn][0](f"_{name}").over(earlier).alias(f"{name}{suffix}") for name, (fn, _) in totals.items()]
         return source.select("*", *prefixes)
 
-    blocks = folded(rows, [*keys, "_block"], "_").withColumn("_group", F.floor(F.col("_block") / BLOCKS_PER_GROUP))
+    blocks = folded(rows, [*keys, "_block"], "_").withColumn("_group", F.expr(f"_block div {BLOCKS_PER_GROUP}"))
     groups = before(folded(blocks, [*keys, "_group"], "_"), keys, "_group", "_before_group").select(
         *keys, "_group", *(f"{name}_before_group" for name in totals)
     )

@@ -15,20 +15,26 @@ def _comparable(field: T.StructField) -> bool:
     return not isinstance(field.dataType, (T.MapType, T.VariantType))
 
 
-def _newest(df: DataFrame, order: Sequence[str]) -> Column:
-    """The whole row under the largest `order`; rows equal in it are told apart by their other columns."""
-    rest = [f.name for f in df.schema.fields if f.name not in order and _comparable(f)]
-    return F.max_by(F.struct(*df.columns), F.struct(*order, *rest))
-
-
-def latest_per_key(df: DataFrame, key: str, ts: str, ties: Sequence[str] = ()) -> DataFrame:
-    """One row per key: the newest by `ts`, then `ties`, then the remaining columns.
+def _newest_per_key(df: DataFrame, key: str, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Per key the row with the largest `order`; rows equal in it are told apart by their other columns.
 
     An aggregate, not a window: every task sends at most one row per key, so a key with a third of
-    the history costs no more than any other.
+    the rows costs no more than any other. The row itself is the thing compared, which carries it
+    once; only columns that have no order are carried beside it.
     """
-    newest = df.groupBy(key).agg(_newest(df, [ts, *ties]).alias("_row"))
-    return newest.select(*(F.col("_row")[c].alias(c) for c in df.columns))
+    rest = [f.name for f in df.schema.fields if f.name not in (*order, key)]
+    ordered = [f.name for f in df.schema.fields if f.name in rest and _comparable(f)]
+    compared = F.struct(*order, *ordered)
+    if ordered == rest:
+        newest = df.groupBy(key).agg(F.max(compared).alias("_row"))
+    else:
+        newest = df.groupBy(key).agg(F.max_by(F.struct(*order, *rest), compared).alias("_row"))
+    return newest.select(*(F.col(c) if c == key else F.col("_row")[c].alias(c) for c in columns))
+
+
+def latest_per_key(df: DataFrame, key: str, ts: str, ties: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the newest by `ts`, then `ties`, then the remaining columns."""
+    return _newest_per_key(df, key, [ts, *ties], df.columns)
 
 
 def merge_latest(target: DataFrame | None, source: DataFrame, key: str, ts: str, ties: Sequence[str] = ()) -> DataFrame:
@@ -43,8 +49,7 @@ def merge_latest(target: DataFrame | None, source: DataFrame, key: str, ts: str,
     both = held.unionByName(source.withColumn("_held", F.lit(False)))
     # A held row without a time cannot be beaten: "newer than unknown" is never true.
     both = both.withColumn("_fixed", F.col("_held") & F.col(ts).isNull())
-    merged = both.groupBy(key).agg(_newest(both, ["_fixed", ts, "_held", *ties]).alias("_row"))
-    return merged.select(*(F.col("_row")[c].alias(c) for c in source.columns))
+    return _newest_per_key(both, key, ["_fixed", ts, "_held", *ties], source.columns)
 
 
 def state_as_of(df: DataFrame, key: str, ts: str, batch: str, cut: Column, ties: Sequence[str] = ()) -> DataFrame:

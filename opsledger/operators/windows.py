@@ -104,7 +104,7 @@ def sliding_mean(
         block=time_block,
     )
     at_edge = passed.where(F.col("_slot") % 2 != 0).select(
-        key, F.floor(F.col("_slot") / 2).alias("_edge"), "_gone_sum", "_gone_n"
+        key, F.expr("(_slot - 1) div 2").alias("_edge"), "_gone_sum", "_gone_n"
     )
     # One edge can serve a long run of rows; meet it once per block of rows before meeting the rows.
     per_block = arrived.select(key, "_block", "_edge").distinct().join(at_edge, [key, "_edge"], "left")

@@ -25,6 +25,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def _as_text(df: DataFrame, *columns: str) -> DataFrame:
+    """Dates and nullable integers as text, so that results compare alike in any engine."""
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -50,14 +55,14 @@ def _orders_by_day(spark: SparkSession, folder: str) -> DataFrame:
 def daily_summary(spark: SparkSession, folder: str) -> DataFrame:
     groups = ["airline_code", "scheduled_date"]
     result = summary.daily_summary(_orders_by_day(spark, folder), groups, "status", "delay_minutes", "F", "P")
-    return result.withColumn("avg_delay_minutes", F.round("avg_delay_minutes", 4))
+    return _as_text(result.withColumn("avg_delay_minutes", F.round("avg_delay_minutes", 4)), "scheduled_date")
 
 
 @query
 def delay_by_cause(spark: SparkSession, folder: str) -> DataFrame:
     orders = _orders_by_day(spark, folder)
     result = summary.delay_by_cause(orders, F.col("scheduled_date"), "airline_code", "status", "delay_minutes", "F")
-    return result.withColumn("avg_delay_minutes", F.round("avg_delay_minutes", 4))
+    return _as_text(result.withColumn("avg_delay_minutes", F.round("avg_delay_minutes", 4)), "day")
 
 
 # State tables
@@ -79,7 +84,8 @@ def latest_merge(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def state_as_of(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").withColumn("batch", F.to_date("ts"))
-    return state.state_as_of(events, "user_id", "ts", "batch", F.lit("2024-01-15").cast("date"), ["event_id"])
+    past = state.state_as_of(events, "user_id", "ts", "batch", F.lit("2024-01-15").cast("date"), ["event_id"])
+    return _as_text(past, "batch")
 
 
 def _history(spark: SparkSession, folder: str) -> DataFrame:
@@ -91,7 +97,7 @@ def _history(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def merge_audit(spark: SparkSession, folder: str) -> DataFrame:
-    return state.merge_audit(_history(spark, folder), "user_id", "event_ts", "batch")
+    return _as_text(state.merge_audit(_history(spark, folder), "user_id", "event_ts", "batch"), "batch")
 
 
 @query
@@ -240,7 +246,8 @@ def flight_json(spark: SparkSession, folder: str) -> DataFrame:
 def contract_accept(spark: SparkSession, folder: str) -> DataFrame:
     judged = contract.validate_events(flight_json(spark, folder))
     accepted = contract.split_accepted(judged, keep=["event_id"])[0]
-    return accepted.withColumn("event_us", micros(F.col("event_ts"))).drop("event_ts")
+    timed = accepted.withColumn("event_us", micros(F.col("event_ts"))).drop("event_ts")
+    return _as_text(timed, "scheduled_date", "delay_minutes")
 
 
 @query
@@ -383,7 +390,7 @@ def knn_approx(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def embed_hashing(spark: SparkSession, folder: str) -> DataFrame:
     embedded = knn.embed(_documents(spark, folder), "text", knn.hashing_embedder(DIM))
-    slots = embedded.select("doc_id", F.posexplode("embedding").alias("slot", "w"))
+    slots = embedded.select("doc_id", F.posexplode_outer("embedding").alias("slot", "w"))
     return slots.where("w > 0").select("doc_id", "slot", F.round(F.col("w").cast("double"), 6).alias("weight"))
 
 

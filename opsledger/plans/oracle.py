@@ -19,7 +19,7 @@ def _strip(text: str) -> str:
 # Summaries
 
 ORACLE["daily_summary"] = """
-SELECT o_orderpriority AS airline_code, CAST(o_orderdate AS DATE) AS scheduled_date,
+SELECT o_orderpriority AS airline_code, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS scheduled_date,
        count(*) AS total_flights,
        CAST(count(*) FILTER (o_orderstatus = 'F') AS BIGINT) AS delayed_count,
        CAST(count(*) FILTER (o_orderstatus = 'P') AS BIGINT) AS cancelled_count,
@@ -29,7 +29,7 @@ FROM orders GROUP BY 1, 2
 """
 
 ORACLE["delay_by_cause"] = """
-SELECT CAST(o_orderdate AS DATE) AS day, o_orderpriority AS cause, count(*) AS delayed_count,
+SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, o_orderpriority AS cause, count(*) AS delayed_count,
        round(avg(o_totalprice), 4) AS avg_delay_minutes
 FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2
 """
@@ -55,7 +55,7 @@ SELECT t.* FROM target t LEFT JOIN source s USING (user_id) WHERE s.user_id IS N
 """
 
 ORACLE["state_as_of"] = """
-SELECT *, CAST(ts AS DATE) AS batch FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-15'
+SELECT *, CAST(CAST(ts AS DATE) AS VARCHAR) AS batch FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-15'
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
 """
 
@@ -78,7 +78,7 @@ WITH history AS (
   FROM counts
 )
 """
-ORACLE["merge_audit"] = f"{_AUDIT} SELECT * FROM audit"
+ORACLE["merge_audit"] = f"{_AUDIT} SELECT * REPLACE (CAST(batch AS VARCHAR) AS batch) FROM audit"
 ORACLE["version_range"] = f"{_AUDIT} SELECT min(version) AS earliest_version, max(version) AS latest_version FROM audit"
 
 ORACLE["expired_versions"] = """
@@ -200,9 +200,9 @@ WITH raw AS (
 """
 ORACLE["contract_accept"] = f"""{_REASONS}
 SELECT event_id, 'SV' || user_id AS flight_id, 'SV' AS airline_code, CAST(user_id AS VARCHAR) AS flight_number,
-       CAST(ts AS DATE) AS scheduled_date, 'RUH' AS origin, 'JED' AS destination, status,
+       CAST(CAST(ts AS DATE) AS VARCHAR) AS scheduled_date, 'RUH' AS origin, 'JED' AS destination, status,
        CASE WHEN k >= 15 THEN 'A12' END AS gate,
-       CAST(CASE WHEN k = 52 THEN 30 WHEN k = 53 THEN 1 WHEN k = 55 THEN NULL ELSE floor(value) END AS INTEGER) AS delay_minutes,
+       CAST(CASE WHEN k = 52 THEN 30 WHEN k = 53 THEN 1 WHEN k = 55 THEN NULL ELSE floor(value) END AS INTEGER)::VARCHAR AS delay_minutes,
        CASE WHEN k >= 25 THEN 'ATC' END AS delay_reason_code, 'ops' AS source_feed,
        CASE WHEN k = 71 THEN epoch_us(date_trunc('second', ts)) ELSE epoch_us(ts) END AS event_us
 FROM judged WHERE reasons IS NULL

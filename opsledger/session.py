@@ -35,7 +35,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only a local session, where one machine holds everything, gets a folder of its own.
     """
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)

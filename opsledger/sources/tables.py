@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,15 +56,21 @@ def read_documents(spark: SparkSession, pattern: str) -> DataFrame:
     return files.withColumn("slug", F.regexp_replace("file_name", r"(?<=.)\.[^.]*$", ""))
 
 
-def append(df: DataFrame, path: str, table: T.StructType | None = None, fmt: str = "parquet", allow_new: bool = False) -> None:
+def _write(df: DataFrame, path: str, mode: str, fmt: str) -> int:
+    """Write and return the number of rows, counted on the way instead of by a second pass."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode(mode).save(path)
+    return seen.get["rows"]
+
+
+def append(df: DataFrame, path: str, table: T.StructType | None = None, fmt: str = "parquet", allow_new: bool = False) -> int:
     """Append rows; with `table`, refuse rows that do not fit its schema before anything is written."""
-    checked = df if table is None else check_append(df, table, allow_new)
-    checked.write.format(fmt).mode("append").save(path)
+    return _write(df if table is None else check_append(df, table, allow_new), path, "append", fmt)
 
 
-def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     """Replace a table, schema included. `df` must not be read from `path` itself."""
-    df.write.format(fmt).mode("overwrite").save(path)
+    return _write(df, path, "overwrite", fmt)
 
 
 def route_batch(df: DataFrame, passed: bool, production: str, quarantine: str, fmt: str = "parquet") -> str:

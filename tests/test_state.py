@@ -40,6 +40,12 @@ def test_latest_breaks_ties_the_same_way_whatever_the_order(spark):
     assert first.collect() == again.collect() and first.first()["batch"] == 2
 
 
+def test_latest_carries_columns_without_an_order(spark):
+    data = [("a", t(1), {"x": 1}), ("a", t(2), {"x": 2}), ("b", t(0), None)]
+    df = spark.createDataFrame(data, "k string, ts timestamp, m map<string,int>")
+    assert [r["m"] for r in latest_per_key(df, "k", "ts").orderBy("k").collect()] == [{"x": 2}, None]
+
+
 def test_past_states_and_audit(spark):
     data = [("a", t(1), "1", 0), ("b", t(1), "1", 0), ("a", t(3), "2", 1), ("b", t(0), "0", 1), ("c", t(1), "1", 1), ("a", t(2), "x", 2)]
     df = spark.createDataFrame(data, SCHEMA)
@@ -106,7 +112,7 @@ def bronze(spark, **change):
 def test_append_refuses_what_does_not_fit(spark, tmp_path):
     path = str(tmp_path / "bronze")
     assert not table_exists(spark, path) and read_or_empty(spark, path, BRONZE_SCHEMA).count() == 0
-    append(bronze(spark), path, BRONZE_SCHEMA)
+    assert append(bronze(spark), path, BRONZE_SCHEMA) == 1
     wrong = bronze(spark, delay_minutes=F.lit("thirty")).drop("flight_id")
     with pytest.raises(layout.SchemaRefused, match="'flight_id' is missing.*'delay_minutes' is string"):
         append(wrong, path, BRONZE_SCHEMA)
