@@ -6,13 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opsledger.functions.times import interval, interval_micros, micros
 from opsledger.operators.running import BLOCK, running
 from opsledger.session import materialize
 
-# Two microseconds-based slots per instant, about half a second of them per block.
-TIME_BLOCK = 1 << 20
+# Block sizes within one key: arrival numbers, and half-microsecond slots (about 33 seconds of them).
+# They bound what one task sorts for a hot key, and keep the blocks of ordinary keys few.
+KEY_BLOCK = 1 << 22
+TIME_BLOCK = 1 << 26
 
 
 def flag_late(
@@ -68,7 +71,7 @@ def sliding_mean(
     value: str,
     width: str,
     scale: int = 6,
-    block: int = BLOCK,
+    block: int = KEY_BLOCK,
     time_block: int = TIME_BLOCK,
 ) -> DataFrame:
     """Mean of `value` over the last `width` of each key, evaluated at every row in arrival order.
@@ -80,10 +83,13 @@ def sliding_mean(
 
         frame total = total in arrival order - total in event-time order up to the edge
 
-    and no row is ever paired with another. Values are summed as decimals so the difference is exact.
+    and no row is ever paired with another. Values are summed as integers or decimals, never as
+    floats, so the difference is exact.
     """
-    exact = F.col(value).cast(f"decimal(18,{scale})")
-    rows = df.withColumn("_v", exact).withColumn("_t", micros(F.col(ts)))
+    whole = isinstance(df.schema[value].dataType, T.IntegralType)
+    exact = F.col(value).cast("bigint") if whole else F.col(value).cast(f"decimal(18,{scale})")
+    # Written first: the running totals read their input twice, and late flags are costly to redo.
+    rows = materialize(df.withColumn("_v", exact).withColumn("_t", micros(F.col(ts))))
     arrived = running(
         rows,
         order,
