@@ -42,14 +42,14 @@ class Check:
     group_by: tuple[Column, ...] = ()
 
 
-def _nulls(bad: Column, value: Column, nulls: str) -> Column:
+def _nulls(bad: Column, nulls: str) -> Column:
     """Nulls are skipped, or fail with `nulls="fail"`."""
     return F.coalesce(bad, F.lit(False)) if nulls == "skip" else F.coalesce(bad, F.lit(True))
 
 
 def _value_check(name: str, dimension: str, col: str, good: Column, nulls: str, mostly: float) -> Check:
     considered = F.col(col).isNotNull() if nulls == "skip" else None
-    return Check(name, dimension, _nulls(~good, F.col(col), nulls), considered, mostly)
+    return Check(name, dimension, _nulls(~good, nulls), considered, mostly)
 
 
 def not_null(col: str, mostly: float = 1.0) -> Check:
