@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from opsledger.llm import near_dup
+from opsledger.llm import cross_polytope, near_dup, packing, piece_tokens, quality_rules
 from opsledger.llm.tables import read
 
 
@@ -14,7 +15,32 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(read(spark, folder, "documents"))
 
 
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.verdicts(read(spark, folder, "documents")).withColumn("host_rate", F.round("host_rate", 6))
+
+
+def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_tokens.encode_decode(read(spark, folder, "documents")).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return cross_polytope.near_vectors(read(spark, folder, "embeddings"))
+
+
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_quality_rules": op2_quality_rules,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
+    "op10_packing": op10_packing,
 }
 ORACLE: dict[str, str] = {}
