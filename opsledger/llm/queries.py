@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsledger.llm import cross_polytope, near_dup, packing, piece_tokens, quality_rules
-from opsledger.llm.tables import read
+from opsledger.llm import (
+    cross_polytope,
+    edit_counts,
+    language_id,
+    near_dup,
+    packing,
+    piece_tokens,
+    quality_rules,
+    zstd_quality,
+)
+from opsledger.llm.tables import fold, read
 
 
 def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -19,6 +28,35 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.verdicts(read(spark, folder, "documents")).withColumn("host_rate", F.round("host_rate", 6))
 
 
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    model = language_id.learn(docs.filter(fold() != 0))
+    return language_id.predict(docs.select("doc_id", (fold() == 0).alias("held_out"), "text"), model).drop("text")
+
+
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    labels = read(spark, folder, "labels").select("doc_id", "quality").filter("quality is not null").filter(fold() != 0)
+    model = zstd_quality.learn(zstd_quality.labelled(docs, labels))
+    return zstd_quality.predict(docs.select("doc_id", (fold() == 0).alias("held_out"), "text"), model).drop("text")
+
+
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Three edits in each document: its first character goes, words come in at half, its end is replaced."""
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    n = F.coalesce(F.length("text"), F.lit(0))
+
+    def edit(start, length, text):
+        return F.struct(start.cast("long").alias("start"), length.cast("long").alias("length"), F.lit(text).alias("text"))
+
+    edits = F.array(
+        edit(F.lit(0), F.lit(1), ""),
+        edit(F.floor(n / 2), F.lit(0), " and it's some 12 new words\n"),
+        edit(F.greatest(n + 15, F.lit(0)), F.lit(12), " the end."),
+    )
+    return edit_counts.count(docs.withColumn("edits", edits))
+
+
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return piece_tokens.encode_decode(read(spark, folder, "documents")).select(
         "doc_id",
@@ -39,6 +77,9 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_quality_rules": op2_quality_rules,
+    "op4_language_id": op4_language_id,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_token_counts": op6_token_counts,
     "op7_sentencepiece": op7_sentencepiece,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_packing": op10_packing,
