@@ -15,6 +15,7 @@ from opsledger.llm import (
     packing,
     piece_tokens,
     quality_rules,
+    suffix_tree,
     zstd_quality,
 )
 from opsledger.llm.tables import fold, read
@@ -28,6 +29,11 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.verdicts(read(spark, folder, "documents")).withColumn("host_rate", F.round("host_rate", 6))
 
 
+def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return suffix_tree.learn_and_score(docs.select("doc_id", (fold() == 1).alias("held_out"), "text"))
+
+
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     model = language_id.learn(docs.filter(fold() != 0))
@@ -77,6 +83,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_quality_rules": op2_quality_rules,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_language_id": op4_language_id,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_token_counts": op6_token_counts,
