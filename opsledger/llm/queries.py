@@ -13,6 +13,7 @@ from opsledger.llm import (
     language_id,
     near_dup,
     packing,
+    pii,
     piece_tokens,
     quality_rules,
     suffix_tree,
@@ -72,6 +73,12 @@ def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(read(spark, folder, "documents"))
+    counts = [pii.counted("base", k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
+    return found.select("doc_id", *counts, F.sha2(pii.written("base"), 256).alias("base_sha256"), pii.written("spans").alias("spans"))
+
+
 def op9_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cross_polytope.near_vectors(read(spark, folder, "embeddings"))
 
@@ -88,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_classifier": op5_quality_classifier,
     "op6_token_counts": op6_token_counts,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_pii": op8_pii,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_packing": op10_packing,
 }
