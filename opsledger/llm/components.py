@@ -16,7 +16,8 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     if not large:
         both = both.filter("v < u")
-    least = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("m"))
+    # A table of its own, so that the rows of a node with very many links can be split in the join.
+    least = materialize(both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("m")))
     moved = both.join(least, "u")
     if large:
         made = moved.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -41,11 +41,11 @@ BLOCK = 256
 class Rule:
     """Shingle size, threshold as a ratio of whole numbers, and the shape of the tables."""
 
-    size: int = 2
+    size: int = 5
     share: int = 80
     of: int = 100
     rows: int = 3
-    tables: int = 10
+    tables: int = 12
 
     @property
     def hashes(self) -> int:
@@ -266,7 +266,8 @@ def link_classes(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataF
     """(members, links): each document's shingle count and class, and links that tie the classes together."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = materialize(docs.filter("doc_id is not null").mapInArrow(_sign(rule), _SIGNATURE))
-    same = signed.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"))
+    # What is joined back to many rows of one key is a table of its own: then Spark can split those rows.
+    same = materialize(signed.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep")))
     members = materialize(
         signed.join(same, ["set_a", "set_b"], "left")
         .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col("doc_id")).alias("rep"),
@@ -274,7 +275,7 @@ def link_classes(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataF
     )
     reps = members.filter("rep = doc_id and n_shingles > 0 and minima is not null").dropDuplicates(["doc_id"])
     keys = reps.select("doc_id", "minima").mapInArrow(_table_keys(rule), _KEYS)
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = materialize(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
     buckets = materialize(keys.join(shared, "key"))
     met = buckets.groupBy("doc_id").agg(F.sum("n").alias("met"))
     hubs = materialize(

@@ -148,7 +148,9 @@ def host_rates(measured: DataFrame) -> DataFrame:
 
 def judge(measured: DataFrame, host_rate: float = 0.5) -> DataFrame:
     """`measured` with its host's rate and verdict joined back, and each document's own."""
-    hosts = host_rates(measured).select(F.col("source").alias("host"), F.col("host_rate"), (F.col("host_rate") > host_rate).alias("host_failed"))
+    # A table of its own, so that the documents of a host with very many can be split in the join.
+    rates = materialize(host_rates(measured))
+    hosts = rates.select(F.col("source").alias("host"), F.col("host_rate"), (F.col("host_rate") > host_rate).alias("host_failed"))
     lenient, strict = F.lit(False), F.lit(False)
     for rule in RULES:
         lenient, strict = lenient | rule.fails(False), strict | rule.fails(True)

@@ -23,7 +23,7 @@ from opsledger.llm.tables import fold, read
 
 
 def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_dup.near_duplicates(read(spark, folder, "documents"))
+    return near_dup.near_duplicates(read(spark, folder, "documents"), near_dup.Rule(size=2))
 
 
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
