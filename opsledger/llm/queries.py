@@ -44,8 +44,7 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
-    labels = read(spark, folder, "labels").select("doc_id", "quality").filter("quality is not null").filter(fold() != 0)
-    model = zstd_quality.learn(zstd_quality.labelled(docs, labels))
+    model = zstd_quality.learn(docs, read(spark, folder, "labels").filter(fold() != 0))
     return zstd_quality.predict(docs.select("doc_id", (fold() == 0).alias("held_out"), "text"), model).drop("text")
 
 

@@ -85,26 +85,25 @@ def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, quality) of the labelled documents. A repeated label counts once, a contradicted one as 0."""
-    one = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    return docs.select("doc_id", "text").join(one, "doc_id").select("text", "quality")
-
-
-def learn(rows: DataFrame, rule: Rule = Rule()) -> Model:
-    """A model from (text, quality) rows."""
-    usable = rows.filter("text is not null and quality in (0, 1)").filter(F.octet_length("text") <= rule.most_bytes)
-    # Every row gets a place by a hash of its text; the lowest places of each label are drawn.
-    place = F.struct(F.xxhash64("text", F.lit(rule.seed)).alias("place"), "text")
-    counts = {r["quality"]: r["n"] for r in usable.groupBy("quality").agg(F.count("*").alias("n")).collect()}
+def learn(docs: DataFrame, labels: DataFrame, rule: Rule = Rule()) -> Model:
+    """A model from documents (doc_id, text) and labels (doc_id, quality).
+
+    A repeated label counts once, a contradicted one as 0. The rows are drawn from the labels alone, by a hash of
+    their ids; only those texts, at most twice `most_rows`, are fetched.
+    """
+    one = labels.filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    counts = {r["quality"]: r["n"] for r in one.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
-    if min(counts.get(0, 0), counts.get(1, 0)) < 8:
-        odds = float(np.log((counts.get(1, 0) + 0.5) / (counts.get(0, 0) + 0.5)))
-        return Model(b"", b"", rule.level, (0.0,) * 3, (1.0,) * 3, (0.0,) * 9 + (odds,))
-    rows = []
-    for label in (0, 1):
-        drawn = usable.filter(F.col("quality") == label).select(place.alias("p")).orderBy("p.place").limit(rule.most_rows)
-        rows += [(label, r["p"]["text"].encode()) for r in drawn.collect()]
+    odds = float(np.log((counts.get(1, 0) + 0.5) / (counts.get(0, 0) + 0.5)))
+    constant = Model(b"", b"", rule.level, (0.0,) * 3, (1.0,) * 3, (0.0,) * 9 + (odds,))
+    place = F.xxhash64("doc_id", F.lit(rule.seed))
+    draws = [one.filter(F.col("quality") == label).orderBy(place, "doc_id").limit(rule.most_rows) for label in (0, 1)]
+    texts = docs.filter("text is not null").filter(F.octet_length("text") <= rule.most_bytes).select("doc_id", "text")
+    # At most twice `most_rows` ids are broadcast.
+    drawn = texts.join(F.broadcast(draws[0].unionByName(draws[1])), "doc_id").select("quality", "text")
+    rows = [(r["quality"], r["text"].encode()) for r in drawn.limit(2 * rule.most_rows).collect()]
+    if min(sum(label == k for label, _ in rows) for k in (0, 1)) < 8:
+        return constant
     rows = sorted(set(rows))
     y, texts = np.array([r[0] for r in rows]), [r[1] for r in rows]
     fresh = np.zeros(len(rows), dtype=bool)

@@ -165,7 +165,7 @@ def test_no_or_one_language(spark):
 def test_quality_of_held_out_documents(spark):
     docs = spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{LARGER}/labels.parquet")
-    model = zstd_quality.learn(zstd_quality.labelled(docs, labels.filter(fold() != 0)))
+    model = zstd_quality.learn(docs, labels.filter(fold() != 0))
     held = zstd_quality.predict(docs.join(labels.filter(fold() == 0), "doc_id"), model).select("score", "quality", "predicted").toPandas()
     good, bad = held[held.quality == 1].score, held[held.quality == 0].score
     assert (good.to_numpy()[:, None] > bad.to_numpy()[None, :]).mean() > 0.95  # area under the curve
@@ -177,7 +177,8 @@ def test_quality_of_held_out_documents(spark):
 
 
 def test_quality_without_both_labels(spark):
-    rows = spark.createDataFrame([("good text", 1)] * 20 + [(None, 0), ("x", None)], "text string, quality int")
-    model = zstd_quality.learn(rows)
+    rows = [(k, "good text", 1) for k in range(20)] + [(20, None, None), (21, "x", None), (0, "good text", 1)]
+    rows = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = zstd_quality.learn(rows.select("doc_id", "text"), rows.select("doc_id", "quality"))
     made = zstd_quality.predict(spark.createDataFrame([(1, "any")], "doc_id long, text string"), model).first()
     assert made.predicted == 1 and made.score == pytest.approx(20.5 / 21)
