@@ -52,9 +52,3 @@ def word_overlap(query: Column, text: Column) -> Column:
     words = F.array_distinct(tokenize(query))
     found = F.size(F.array_intersect(words, tokenize(text)))
     return F.when(F.size(words) > 0, found / F.size(words)).otherwise(F.lit(0.0))
-
-
-def dot(a: Column, b: Column) -> Column:
-    """Inner product of two numeric arrays in double precision."""
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# JSON writing cuts times to milliseconds unless told otherwise.
+EXACT_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 # The ISO 8601 shapes the contract accepts, and the point above which a bare number
 # counts milliseconds instead of seconds.
 ISO_TIME = r"^\d{4}-\d{2}-\d{2}([Tt ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?([Zz]|[+-]\d{2}:?\d{2})?)?$"

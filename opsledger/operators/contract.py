@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsledger.flights import DELAYED, EVENT_SCHEMA, GATE_STATUSES, STATUSES
-from opsledger.functions.times import epoch_timestamp, iso_timestamp, wall_clock, whole_day
+from opsledger.functions.times import EXACT_TIMES, epoch_timestamp, iso_timestamp, wall_clock, whole_day
 
 NO_REASON = "CAST(array() AS array<struct<field:string,msg:string,type:string>>)"
 # Whole numbers as text may carry a sign, blanks, digit groups and a zero fraction.
@@ -198,12 +198,15 @@ def validate_events(raw: DataFrame, contract: Contract = FLIGHT_CONTRACT, value_
     object, is refused like any other bad record. No shuffle: each row is judged on its own.
     """
     names = [f.name for f in contract.fields]
-    wanted = ", ".join([*(f"`{n}` variant" for n in names), "_corrupt string"])
-    parsed = raw.withColumn("_json", F.from_json(value_col, wanted, {"columnNameOfCorruptRecord": "_corrupt"}))
-    # Only text that does not read as one object, a rare case, is parsed again to tell what it is.
-    clean = F.col("_json._corrupt").isNull() & F.endswith(F.rtrim(value_col), F.lit("}"))
-    shape = F.when(clean, "OBJECT").otherwise(F.schema_of_variant(F.try_parse_json(F.col(value_col))))
-    picked = parsed.select(*raw.columns, shape.alias("_shape"), *(F.col("_json")[n].alias(f"_v_{n}") for n in names))
+    # The text is read as the first of two elements, the second being a mark it cannot know: whatever
+    # follows the first value, a second object or a bracket that ends the list early, shows in the list.
+    mark = F.md5(F.coalesce(F.col(value_col), F.lit("")))
+    listed = F.from_json(F.concat(F.lit("["), value_col, F.lit(',"'), mark, F.lit('"]')), "array<variant>", {"allowSingleQuotes": "false"})
+    split = raw.select("*", listed.alias("_list"), mark.alias("_mark"))
+    whole = (F.size("_list") == 2) & (F.try_variant_get(F.get("_list", F.lit(1)), "$", "string") == F.col("_mark"))
+    parsed = _settled(split, [F.when(whole, F.get("_list", F.lit(0))).alias("_json")])
+    fields = [F.expr(f"try_variant_get(_json, '$.{n}', 'variant')").alias(f"_v_{n}") for n in names]
+    picked = _settled(parsed.drop("_list", "_mark"), [F.schema_of_variant("_json").alias("_shape"), *fields])
     facts = [F.schema_of_variant(f"_v_{n}").alias(f"_type_{n}") for n in names]
     facts += [F.expr(f"try_variant_get(_v_{n}, '$', 'string')").alias(f"_text_{n}") for n in names]
     values = [_value(f).alias(f"_value_{f.name}") for f in contract.fields if f.kind in ("date", "timestamp", "int")]
@@ -251,5 +254,5 @@ def contract_counts(judged: DataFrame) -> DataFrame:
 
 
 def encode(accepted: DataFrame) -> DataFrame:
-    """Accepted rows as JSON text, nulls written out."""
-    return accepted.select(F.to_json(F.struct(*accepted.columns), {"ignoreNullFields": "false"}).alias("value"))
+    """Accepted rows as JSON text, nulls written out and times with all their digits."""
+    return accepted.select(F.to_json(F.struct(*accepted.columns), {"ignoreNullFields": "false", **EXACT_TIMES}).alias("value"))

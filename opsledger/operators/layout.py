@@ -71,5 +71,6 @@ def file_metrics(df: DataFrame, key: str) -> DataFrame:
 
 
 def layout_change(before: DataFrame, after: DataFrame) -> tuple[int, int]:
-    """(files removed, files added) between two layouts of a table."""
-    return len(before.inputFiles()), len(after.inputFiles())
+    """(files removed, files added) between two layouts of a table; the names are counted in Spark."""
+    count = lambda df: df.select(F.col("_metadata.file_path").alias("f")).agg(F.count_distinct("f")).first()[0]
+    return count(before), count(after)

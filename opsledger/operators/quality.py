@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsledger.functions.times import day_drift
+from opsledger.functions.times import EXACT_TIMES, day_drift
 
 RESULT_COLUMNS = ["check", "dimension", "success", "unexpected_count", "row_count"]
 
@@ -102,7 +102,7 @@ def no_duplicate_rows(cols: Sequence[str]) -> Check:
     Wide rows are compared by a 256-bit digest of their content, so the shuffle carries 32 bytes a
     group whatever the text length.
     """
-    content = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+    content = F.to_json(F.struct(*cols), {"ignoreNullFields": "false", **EXACT_TIMES})
     return Check("no_duplicate_rows", "uniqueness", F.col("_rows") - 1, group_by=(F.unhex(F.sha2(content, 256)),))
 
 
@@ -167,8 +167,8 @@ def gate(results: DataFrame, name: str = "quality gate") -> tuple[int, int]:
     outcome = results.collect()
     failed = [r for r in outcome if not r["success"]]
     if failed:
-        detail = "; ".join(f"{r['check']} -> {r['unexpected_count']} unexpected value(s)" for r in failed)
-        raise QualityGateError(f"{name} failed: {len(failed)} check(s) not met: {detail}")
+        found = ", ".join(f"{r['check']} ({r['unexpected_count']} of {r['row_count']} rows)" for r in failed)
+        raise QualityGateError(f"{name}: {found}")
     return max((r["row_count"] for r in outcome), default=0), len(outcome)
 
 

@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opsledger.operators.skew import join_on
+
 BLOCK = 1 << 16
 BLOCKS_PER_GROUP = 1 << 16
 _COMBINE = {
@@ -32,10 +34,11 @@ def running(
     """Add one running aggregate per entry of `totals`: `{name: ("max" | "sum", value)}`.
 
     `order` is an integer column, unique within `keys`. With `exclusive` the row itself is left
-    out. The block number stays in the result as `_block` for callers that join on it.
+    out. A NULL key is a key like any other; a NULL `order` stops the job. The block number stays in the result as `_block` for callers that join on it.
     """
     keys = list(keys)
-    rows = df.withColumn("_block", F.expr(f"`{order}` div {block}"))
+    refuse = F.raise_error(F.lit(f"NULL in {order}: a row without a place cannot be put in order")).cast("bigint")
+    rows = df.withColumn("_block", F.coalesce(F.expr(f"`{order}` div {block}"), refuse))
     for name, (_, value) in totals.items():
         rows = rows.withColumn(f"_{name}", value)
 
@@ -52,7 +55,8 @@ def running(
     groups = before(folded(blocks, [*keys, "_group"], "_"), keys, "_group", "_before_group").select(
         *keys, "_group", *(f"{name}_before_group" for name in totals)
     )
-    blocks = before(blocks, [*keys, "_group"], "_block", "_before_block").join(groups, [*keys, "_group"])
+    blocks = before(blocks, [*keys, "_group"], "_block", "_before_block")
+    blocks = join_on(blocks, groups, [*keys, "_group"])
     blocks = blocks.select(
         *keys,
         "_block",
@@ -66,7 +70,7 @@ def running(
         .orderBy(order)
         .rowsBetween(Window.unboundedPreceding, -1 if exclusive else Window.currentRow)
     )
-    joined = rows.join(blocks, [*keys, "_block"])
+    joined = join_on(rows, blocks, [*keys, "_block"])
     result = [
         _COMBINE[fn][1](F.col(f"{name}_before"), _COMBINE[fn][0](f"_{name}").over(within)).alias(name)
         for name, (fn, _) in totals.items()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +26,13 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int =
     )
 
 
+def join_on(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "inner") -> DataFrame:
+    """An equal join in which NULL equals NULL; the columns are those of the left side."""
+    renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in columns})
+    condition = reduce(lambda a, b: a & b, (left[c].eqNullSafe(renamed[f"_right_{c}"]) for c in columns))
+    return left.join(renamed, condition, how).drop(*(f"_right_{c}" for c in columns))
+
+
 def lookup_join(
     rows: DataFrame,
     unique: DataFrame,
@@ -32,11 +42,13 @@ def lookup_join(
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    nulls_match: bool = False,
 ) -> DataFrame:
     """Join many `rows` to a side holding each `key` once, without a hot task.
 
     Rows of hot keys, and rows without a key, are spread over `salts` tasks by a hash of `spread`
-    (a per-row identifier). Only the few hot keys of `unique` are repeated to meet them.
+    (a per-row identifier). Only the few hot keys of `unique` are repeated to meet them. With `nulls_match` rows without
+    a key meet the entry without one.
     """
     hot = F.broadcast(hot_keys(rows, key, share, min_rows))
     salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
@@ -45,6 +57,8 @@ def lookup_join(
     )
     met = unique.join(hot, key, "left").withColumn(
         "_salt",
-        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
+        F.explode(F.when(F.col("_hot") | (F.lit(nulls_match) & F.col(key).isNull()), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
     )
+    if nulls_match:
+        return join_on(spread_rows.drop("_hot"), met.drop("_hot"), [key, "_salt"], how).drop("_salt")
     return spread_rows.drop("_hot").join(met.drop("_hot"), [key, "_salt"], how).drop("_salt")

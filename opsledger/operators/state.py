@@ -58,7 +58,7 @@ def state_as_of(df: DataFrame, key: str, ts: str, batch: str, cut: Column, ties:
 
 
 def merge_audit(df: DataFrame, key: str, ts: str, batch: str) -> DataFrame:
-    """What each batch did to the state: keys inserted, updated, or left alone because stale.
+    """What each batch did to the state: keys (not rows) inserted, updated, or left alone because stale.
 
     The history is folded to one row per key and batch before any window sees it. `version`
     numbers the batches from zero and `state_rows` is the size of the state after each.
@@ -74,6 +74,7 @@ def merge_audit(df: DataFrame, key: str, ts: str, batch: str) -> DataFrame:
         F.count_if(~F.col("_first") & newer).alias("updated"),
         F.count_if(~F.col("_first") & ~newer).alias("stale"),
     )
+    # One row per load from here on, so that numbering them in one place is a small matter.
     in_order = Window.partitionBy(F.lit(0)).orderBy(batch)
     return counts.select(
         (F.row_number().over(in_order) - 1).cast("bigint").alias("version"),
@@ -97,11 +98,12 @@ def expired_versions(
     """Rows that a newer row of their key replaced before `horizon`; a clean-up may remove them.
 
     A row is expired exactly when it is not the newest among its key's rows before the horizon, so
-    one aggregate per key decides it and no key's history is sorted in one task.
+    one aggregate per key decides it and no key's history is sorted in one task. Rows without a key are
+    versions of one record without a key.
     """
     old = df.where(F.col(ts) < horizon)
     keep = old.groupBy(key).agg(F.max(F.struct(ts, row_id)).alias("_keep"))
-    joined = lookup_join(old, keep, key, F.col(row_id), "inner", min_rows=min_rows)
+    joined = lookup_join(old, keep, key, F.col(row_id), "inner", min_rows=min_rows, nulls_match=True)
     return joined.where(F.struct(ts, row_id) < F.col("_keep")).drop("_keep")
 
 

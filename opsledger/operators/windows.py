@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from opsledger.functions.times import interval, interval_micros, micros
 from opsledger.operators.running import BLOCK, running
+from opsledger.operators.skew import join_on
 from opsledger.session import materialize
 
 # Block sizes within one key: arrival numbers, and half-microsecond slots (about 33 seconds of them).
@@ -70,7 +71,6 @@ def sliding_mean(
     order: str,
     value: str,
     width: str,
-    scale: int = 6,
     block: int = KEY_BLOCK,
     time_block: int = TIME_BLOCK,
 ) -> DataFrame:
@@ -83,41 +83,54 @@ def sliding_mean(
 
         frame total = total in arrival order - total in event-time order up to the edge
 
-    and no row is ever paired with another. Values are summed as integers or decimals, never as
-    floats, so the difference is exact.
+    and no row is ever paired with another. Values are summed as decimals, never as floats, so taking a
+    difference loses nothing: 30 digits behind the point are kept, and a value of 1e32 or more stops the
+    job. A NULL value counts for nothing; rows without a key form one key.
     """
-    whole = isinstance(df.schema[value].dataType, T.IntegralType)
-    exact = F.col(value).cast("bigint") if whole else F.col(value).cast(f"decimal(18,{scale})")
+    v = F.col(value)
+    if isinstance(df.schema[value].dataType, T.IntegralType):
+        coarse, fine = v.cast("decimal(38,0)"), F.lit(None).cast("decimal(38,30)")
+    else:
+        # Two exact parts: millionths of any size, and what is left of them down to 30 digits.
+        coarse = v.cast("decimal(38,6)")
+        fine = (v - coarse.cast("double")).cast("decimal(38,30)")
     # Written first: the running totals read their input twice, and late flags are costly to redo.
-    rows = materialize(df.withColumn("_v", exact).withColumn("_t", micros(F.col(ts))))
+    rows = materialize(df.withColumns({"_v": coarse, "_f": fine, "_t": micros(F.col(ts))}))
     arrived = running(
         rows,
         order,
-        {"_seen_sum": ("sum", F.col("_v")), "_seen_n": ("sum", F.lit(1)), "_high": ("max", F.col("_t"))},
+        {
+            "_seen_sum": ("sum", F.col("_v")),
+            "_seen_fine": ("sum", F.col("_f")),
+            "_seen_n": ("sum", F.col("_v").isNotNull().cast("bigint")),
+            "_high": ("max", F.col("_t")),
+        },
         keys=[key],
         block=block,
     )
     arrived = materialize(arrived.withColumn("_edge", F.col("_high") - interval_micros(width)))
 
     # Event-time totals, asked for once per distinct edge: an instant sorts before an edge at the same time.
-    instants = arrived.groupBy(key, (F.col("_t") * 2).alias("_slot")).agg(F.sum("_v").alias("_v"), F.count("*").alias("_n"))
+    instants = arrived.groupBy(key, (F.col("_t") * 2).alias("_slot")).agg(
+        F.sum("_v").alias("_v"), F.sum("_f").alias("_f"), F.count("_v").alias("_n")
+    )
     edges = arrived.select(key, (F.col("_edge") * 2 + 1).alias("_slot")).distinct()
     passed = running(
         instants.unionByName(edges, allowMissingColumns=True),
         "_slot",
-        {"_gone_sum": ("sum", F.col("_v")), "_gone_n": ("sum", F.col("_n"))},
+        {"_gone_sum": ("sum", F.col("_v")), "_gone_fine": ("sum", F.col("_f")), "_gone_n": ("sum", F.col("_n"))},
         keys=[key],
         block=time_block,
     )
     at_edge = passed.where(F.col("_slot") % 2 != 0).select(
-        key, F.expr("(_slot - 1) div 2").alias("_edge"), "_gone_sum", "_gone_n"
+        key, F.expr("(_slot - 1) div 2").alias("_edge"), "_gone_sum", "_gone_fine", "_gone_n"
     )
     # One edge can serve a long run of rows; meet it once per block of rows before meeting the rows.
-    per_block = arrived.select(key, "_block", "_edge").distinct().join(at_edge, [key, "_edge"], "left")
-    total = F.col("_seen_sum") - F.coalesce("_gone_sum", F.lit(0))
-    count = F.col("_seen_n") - F.coalesce("_gone_n", F.lit(0))
-    return arrived.join(per_block, [key, "_block", "_edge"], "left").select(
-        *df.columns, (total.cast("double") / count).alias("rolling_mean"), count.alias("rolling_count")
+    per_block = join_on(arrived.select(key, "_block", "_edge").distinct(), at_edge, [key, "_edge"], "left")
+    left = lambda name: F.coalesce(F.col(f"_seen_{name}"), F.lit(0)) - F.coalesce(F.col(f"_gone_{name}"), F.lit(0))
+    total, count = left("sum").cast("double") + left("fine").cast("double"), left("n")
+    return join_on(arrived, per_block, [key, "_block", "_edge"], "left").select(
+        *df.columns, F.try_divide(total, count).alias("rolling_mean"), count.alias("rolling_count")
     )
 
 

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
+import contextlib
+import io
+import pathlib
+import re
 import uuid
+import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,13 +31,32 @@ def get_spark(app: str = "opsledger", master: str | None = None, **extra: str) -
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Give every Python worker this package, wherever the driver was started; once per session."""
+    sc = spark.sparkContext
+    if getattr(sc, "_opsledger_shipped", False):
+        return
+    buffer = io.BytesIO()
+    root = pathlib.Path(__file__).resolve().parent
+    with zipfile.ZipFile(buffer, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    # Python workers read it from the session's own file server, not from a folder they would have to share.
+    name = pathlib.Path(sc._temp_dir) / "opsledger.zip"
+    name.write_bytes(buffer.getvalue())
+    sc.addPyFile(str(name))
+    sc._opsledger_shipped = True
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named in `spark.checkpoint.dir`.
 
-    Only a local session, where one machine holds everything, gets a folder of its own.
+    A session that runs in one process, where no other machine could miss it, gets one under its warehouse.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -40,19 +64,37 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="opsledger-")
+    made = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
     sc.setCheckpointDir(made)
     return made
 
 
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that `materialize` writes in the block are deleted at its end, when all results are written."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write `df` as a table in the checkpoint folder and read it back.
 
     Several consumers then read it, each only the columns it needs, instead of recomputing it, and
-    losing an executor costs no more than a re-read.
+    losing an executor costs no more than a re-read. Inside `scratch` it goes with the block; else it
+    stays until the folder is cleaned, because what reads it may run later.
     """
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/opsledger-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

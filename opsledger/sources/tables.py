@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opsledger.operators.layout import check_append
 
-# A table under this many bytes per core is too small to be split well by its reader.
-SMALL_BYTES_PER_CORE = 16 << 20
+# What Spark says of a place without a table. Anything else (permissions, broken files) is an error.
+ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND"}
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
@@ -22,8 +24,16 @@ def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     try:
         spark.read.format(fmt).load(path).schema  # noqa: B018
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in ABSENT:
+            return False
+        raise
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything lies at `path`, on whatever storage it names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
@@ -31,23 +41,22 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     return read_table(spark, path, fmt) if table_exists(spark, path, fmt) else spark.createDataFrame([], schema)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give every core a share of a small table that its reader would hand to one task.
-
-    The estimated size decides: tables of more than `SMALL_BYTES_PER_CORE` per core are split by
-    their reader and returned as they are, so nothing large is ever moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, *keys) if size < cores * SMALL_BYTES_PER_CORE else df
-
-
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, limit: int | None = None) -> DataFrame:
     """A CSV file with a header, optionally only its first rows. The schema is given, not guessed."""
     df = spark.read.schema(schema).csv(path, header=True)
     return df if limit is None else df.limit(limit)
 
 
+def first_rows(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:
+    """The first n rows in a stated order, for a seed or a report; never "any n rows"."""
+    return df.orderBy(*order).limit(n)
+
+
+def seed(df: DataFrame, order: Sequence[str | Column], n: int, path: str, fmt: str = "parquet") -> int:
+    """Replace the table at `path` by the first n rows of `df`."""
+    return overwrite(first_rows(df, order, n), path, fmt)
+
+
 def read_documents(spark: SparkSession, pattern: str) -> DataFrame:
     """One row per text file: (file_name, slug, text). The slug is the name without its extension."""
     files = spark.read.text(pattern, wholetext=True).select(
@@ -83,12 +92,3 @@ def route_batch(df: DataFrame, passed: bool, production: str, quarantine: str, f
 def write_vectors(embedded: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Rebuild the dense side of a retrieval index: ids, vectors, texts and titles."""
     overwrite(embedded.select("chunk_id", "embedding", "text", "doc_title", "section_title"), path, fmt)
-
-
-def write_postings(index: DataFrame, path: str, files: int = 200, fmt: str = "parquet") -> None:
-    """Rebuild the sparse side, ordered by word so a search reads only the files its words are in.
-
-    The id takes part in the ranges: a word of very many texts then spans several files.
-    """
-    by = ["term", next(c for c in index.columns if c not in ("length", "term", "tf"))]
-    overwrite(index.repartitionByRange(files, *by).sortWithinPartitions(*by), path, fmt)

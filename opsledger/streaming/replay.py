@@ -16,8 +16,9 @@ from opsledger import flights
 from opsledger.functions.times import interval
 from opsledger.operators.skew import lookup_join
 from opsledger.operators.windows import flag_late, severe, sliding_mean, tumbling_count
+from opsledger.session import scratch
 from opsledger.sources.streams import each_batch, write_batch
-from opsledger.sources.tables import read_table, table_exists
+from opsledger.sources.tables import read_table
 
 
 @dataclass(frozen=True)
@@ -47,9 +48,13 @@ def replay(stream: DataFrame, root: str, checkpoint: str, cfg: Replay = Replay()
     columns = [cfg.key, cfg.ts, cfg.order, cfg.value]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        with scratch(spark):
+            one_batch(batch, batch_id)
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
         mark, carried = f"{root}/state_watermark/batch_id={batch_id - 1}", f"{root}/state_frames/batch_id={batch_id - 1}"
         start: Column | None = F.lit(cfg.start).cast(batch.schema[cfg.ts].dataType) if cfg.start else None
-        if table_exists(spark, mark):
+        if batch_id > 0:  # a missing predecessor is an error, not an empty state
             known = read_table(spark, mark).first()["watermark"]
             start = F.lit(known) if known is not None else start
         write_batch(flag_late(batch, cfg.ts, cfg.order, cfg.lateness, start), f"{root}/flagged", batch_id)
@@ -65,12 +70,12 @@ def replay(stream: DataFrame, root: str, checkpoint: str, cfg: Replay = Replay()
         now = F.current_timestamp().alias("detected_at")
         write_batch(severe(delayed, cfg.value, cfg.limit).select("*", now), f"{root}/anomalies", batch_id)
         framed = delayed.select(*columns, F.lit(True).alias("_new"))
-        if table_exists(spark, carried):
+        if batch_id > 0:
             framed = framed.unionByName(read_table(spark, carried).withColumn("_new", F.lit(False)))
         rolled = sliding_mean(framed, cfg.key, cfg.ts, cfg.order, cfg.value, cfg.sliding)
         write_batch(rolled.where("_new").drop("_new"), f"{root}/rolling", batch_id)
         edge = framed.groupBy(cfg.key).agg(F.max(cfg.ts).alias("_high"))
-        kept = lookup_join(framed, edge, cfg.key, F.col(cfg.order), "inner").where(F.col(cfg.ts) > F.col("_high") - interval(cfg.sliding))
+        kept = lookup_join(framed, edge, cfg.key, F.col(cfg.order), "inner", nulls_match=True).where(F.col(cfg.ts) > F.col("_high") - interval(cfg.sliding))
         write_batch(kept.select(*columns), f"{root}/state_frames", batch_id)
 
     return each_batch(stream, checkpoint, handle)

@@ -6,11 +6,12 @@ these differ from the per-event replay in `opsledger.streaming.replay`; on order
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import contextlib
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQueryListener
 
 from opsledger import flights
 from opsledger.operators import windows
@@ -44,8 +45,39 @@ def severe_delays(stream: DataFrame, limit: int = flights.SEVERE_DELAY) -> DataF
     )
 
 
-def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Rows the query has dropped as too late."""
-    return sum(
-        int(operator.numRowsDroppedByWatermark) for progress in query.recentProgress for operator in progress.stateOperators
-    )
+class DropCounter(StreamingQueryListener):
+    """Rows dropped as too late, added up over every progress report of the queries it hears of.
+
+    Register it with `spark.streams.addListener` before a query starts. A query's own list of recent
+    reports is cut, and so cannot be summed.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        late = sum(int(operator.numRowsDroppedByWatermark) for operator in progress.stateOperators)
+        self.dropped[str(progress.id)] = self.dropped.get(str(progress.id), 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+@contextlib.contextmanager
+def counting_drops(spark: SparkSession) -> Iterator[DropCounter]:
+    """A counter that hears of every query in the block; its figures are complete once the block is left."""
+    counter = DropCounter()
+    spark.streams.addListener(counter)
+    try:
+        yield counter
+    finally:
+        # Reports arrive on their own thread: all that were sent are waited for.
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        spark.streams.removeListener(counter)

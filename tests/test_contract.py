@@ -58,6 +58,14 @@ CASES = [
     ("cut off", '{"flight_id": "x", "gate"', [("", "json_invalid", "")]),
     ("empty text", "", [("", "json_invalid", "")]),
     ("array", "[1]", [("", "model_type", "")]),
+    ("two objects", "{}{}", [("", "json_invalid", "")]),
+    ("text behind", json.dumps(BASE) + " junk}", [("", "json_invalid", "")]),
+    ("brace behind", json.dumps(BASE) + " }", [("", "json_invalid", "")]),
+    ("object behind a comma", json.dumps(BASE) + ',{"a":1}', [("", "json_invalid", "")]),
+    ("bracket that closes the list", json.dumps(BASE) + '],[{"a":1}', [("", "json_invalid", "")]),
+    ("list that mimics the mark", json.dumps(BASE) + ',"x"],[1', [("", "json_invalid", "")]),
+    ("single quotes", json.dumps(BASE).replace('"', "'"), [("", "json_invalid", "")]),
+    ("blanks around", "  " + json.dumps(BASE) + "\n", []),
     ("number", "3", [("", "model_type", "")]),
 ]
 
@@ -111,3 +119,8 @@ def test_one_ingestion_time_and_round_trip(judged):
     assert to_bronze(accepted).select("ingested_at").distinct().count() == 1
     again = validate_events(encode(accepted))
     assert contract_counts(again).first()["rejected"] == 0
+
+
+def test_encoding_keeps_microseconds(spark):
+    row = spark.sql("SELECT timestamp'2026-01-02 03:04:05.123456' AS a, timestamp_ntz'2026-01-02 03:04:05.000001' AS b, null AS c")
+    assert json.loads(encode(row).first()["value"]) == {"a": "2026-01-02T03:04:05.123456Z", "b": "2026-01-02T03:04:05.000001", "c": None}

@@ -29,14 +29,14 @@ def test_bronze_gate_passes_and_counts(spark):
 @pytest.mark.parametrize(
     "fault,check",
     [
-        ({"delay_minutes": -500}, "between\\(delay_minutes\\) -> 1"),
-        ({"origin": "RUH", "destination": "RUH"}, "pair_differs\\(origin,destination\\) -> 1"),
-        ({"status": "LOST"}, "in_set\\(status\\) -> 1"),
-        ({"flight_id": None}, "not_null\\(flight_id\\) -> 1"),
+        ({"delay_minutes": -500}, "between\\(delay_minutes\\) \\(1 of"),
+        ({"origin": "RUH", "destination": "RUH"}, "pair_differs\\(origin,destination\\) \\(1 of"),
+        ({"status": "LOST"}, "in_set\\(status\\) \\(1 of"),
+        ({"flight_id": None}, "not_null\\(flight_id\\) \\(1 of"),
     ],
 )
 def test_bronze_gate_stops(spark, fault, check):
-    with pytest.raises(q.QualityGateError, match=f"1 check\\(s\\) not met: {check}"):
+    with pytest.raises(q.QualityGateError, match=f": {check}"):
         q.gate(q.run_checks(flight(spark, {}, fault), q.bronze_checks(flights.STATUSES)))
 
 

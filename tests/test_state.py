@@ -1,14 +1,17 @@
+import os
+import subprocess
+import sys
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from opsledger.flights import BRONZE_SCHEMA
-from opsledger.operators import layout
+from opsledger.operators import layout, state
 from opsledger.operators.skew import hot_keys, lookup_join
 from opsledger.operators.state import expired_versions, latest_per_key, merge_audit, merge_latest, purge_bad_keys, state_as_of
 from opsledger.operators.summary import daily_summary
-from opsledger.sources.tables import append, read_or_empty, spread, table_exists
+from opsledger.sources.tables import append, first_rows, read_or_empty, seed, table_exists
 
 T0 = datetime(2026, 8, 5)
 SCHEMA = "k string, ts timestamp, v string, batch int"
@@ -145,12 +148,41 @@ def test_clustered_rewrite_has_disjoint_files(spark, tmp_path):
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:])) and sum(s[2] for s in spans) == 5000
 
 
-def test_spread_leaves_large_tables_alone(spark):
-    assert spread(spark.range(10)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    big = spark.range(0, 10**9, 1, 3)
-    assert spread(big) is big
-
-
-def test_seed_is_deterministic(spark):
-    df = spark.range(100).repartition(5)
-    assert [r["id"] for r in df.orderBy("id").limit(5).collect()] == [0, 1, 2, 3, 4]
+def test_a_seed_is_the_first_rows_in_order(spark, tmp_path):
+    df = spark.range(100).repartition(5).withColumn("half", F.expr("id div 2"))
+    path = str(tmp_path / "seed")
+    assert seed(df, [F.desc("half"), "id"], 3, path) == 3 and seed(df, [F.desc("half"), "id"], 5, path) == 5
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [94, 96, 97, 98, 99]
+    assert [r["id"] for r in first_rows(df, [F.desc("half"), "id"], 3).collect()] == [98, 99, 96]
+
+
+def test_rows_without_a_key_are_versions_of_one_record(spark):
+    rows = [(1, None, 1), (2, None, 2), (3, None, 3), (4, "a", 1), (5, "a", 2)]
+    df = spark.createDataFrame(rows, "id int, key string, ts int")
+    for min_rows in (1, 1000):
+        expired = state.expired_versions(df, "key", "ts", F.lit(9), "id", min_rows=min_rows)
+        assert sorted(r["id"] for r in expired.collect()) == [1, 2, 4]
+
+
+def test_a_broken_table_is_not_an_absent_one(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "part-0.parquet").write_text("no parquet")
+    assert not table_exists(spark, str(tmp_path / "none"))
+    with pytest.raises(Exception):
+        table_exists(spark, str(tmp_path / "t"))
+
+
+def test_arrow_operators_run_from_any_folder(tmp_path):
+    """The package travels with the session: no working directory or path has to hold it."""
+    code = """
+import sys; sys.path.insert(0, {root!r})
+from opsledger.session import get_spark
+from opsledger.operators.bm25 import postings
+spark = get_spark("elsewhere", "local[2]", **{{"spark.ui.enabled": "false"}})
+sys.path.remove({root!r})
+print("rows", postings(spark.createDataFrame([(1, "a b a")], "doc_id int, text string"), "doc_id", "text").count())
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code.format(root=root)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "rows 2" in done.stdout, done.stderr[-2000:]

@@ -1,14 +1,16 @@
 import json
 import os
+import shutil
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from opsledger.sources.streams import append_sink, drain, read_messages, read_rows, run_for
+from opsledger.session import checkpoint_dir
+from opsledger.sources.streams import Unfinished, append_sink, drain, read_messages, read_rows, run_for, tail_messages
 from opsledger.streaming.ingest import accepted_stream, ingest, running_counts
 from opsledger.streaming.replay import Replay, replay, tumbling_totals
-from opsledger.streaming.windows import dropped_by_watermark, hopping_means, severe_delays, tumbling_counts
+from opsledger.streaming.windows import counting_drops, hopping_means, severe_delays, tumbling_counts
 from test_contract import BASE
 from test_windows import T0, at, loop, stream
 
@@ -66,9 +68,10 @@ def test_spark_watermark_drops_whole_windows(spark, tmp_path):
     batches(spark, folder, [[(0, "a", at(s), 1) for s in group] for group in seconds])
     rows = read_rows(spark, str(folder), spark.createDataFrame([], ROWS).schema, "json", maxFilesPerTrigger="1", latestFirst="false")
     counts = tumbling_counts(rows, "event_ts")
-    query = drain(append_sink(counts, str(tmp_path / "out"), str(tmp_path / "ck")), 240)
+    with counting_drops(spark) as counter:
+        query = drain(append_sink(counts, str(tmp_path / "out"), str(tmp_path / "ck")), 240)
     found = {r["window_start"]: r["events"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    assert dropped_by_watermark(query) == 2
+    assert counter.dropped[str(query.id)] == 2
     assert found[at(0)] == 1 and found[at(10)] == 1 and at(16) not in found and found[at(18)] == 1
 
 
@@ -106,3 +109,66 @@ def test_run_for_stops(spark):
     started = datetime.now()
     query = run_for(spark.readStream.format("rate").load().writeStream.format("noop"), 3)
     assert not query.isActive and (datetime.now() - started).seconds < 60
+
+
+def test_drops_are_counted_over_more_reports_than_a_query_keeps(spark, tmp_path):
+    """One late row in each of 110 batches."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    batches(spark, folder, [[(0, "a", at(100 + i), 1)] + ([(0, "a", at(1), 1)] if i > 1 else []) for i in range(112)])
+    rows = read_rows(spark, str(folder), spark.createDataFrame([], ROWS).schema, "json", maxFilesPerTrigger="1", latestFirst="false")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        unique = rows.withWatermark("event_ts", "3 seconds").dropDuplicates(["arrival", "event_ts"])
+        with counting_drops(spark) as counter:
+            query = drain(unique.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "ck")), 600)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(query.recentProgress) <= 100 < sum(1 for i in range(112) if i > 1)
+    assert counter.dropped[str(query.id)] == 110
+
+
+def test_an_unfinished_drain_says_so(spark, tmp_path):
+    raw = tmp_path / "raw"
+    put(raw, "1.json", ["x"])
+
+    def slow(batch, batch_id):
+        import time
+
+        time.sleep(20)
+
+    writer = read_messages(spark, str(raw)).writeStream.foreachBatch(slow).option("checkpointLocation", str(tmp_path / "ck"))
+    with pytest.raises(Unfinished):
+        drain(writer, 2)
+
+
+def test_a_lost_state_is_an_error(spark, tmp_path):
+    folder, root = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    rows = stream(4, 20)
+    batches(spark, folder, [rows[:10]])
+    source = lambda: read_rows(spark, str(folder), spark.createDataFrame([], ROWS).schema, "json")
+    drain(replay(source(), root, str(tmp_path / "ck")), 240)
+    shutil.move(f"{root}/state_watermark", f"{root}/elsewhere")
+    batches(spark, folder, [rows[:10], rows[10:]])
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        drain(replay(source(), root, str(tmp_path / "ck")), 240)
+
+
+def test_a_replay_leaves_no_scratch_tables(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    batches(spark, folder, [stream(4, 20)])
+    before = set(os.listdir(checkpoint_dir(spark).removeprefix("file:"))) if os.path.isdir(checkpoint_dir(spark)) else set()
+    drain(replay(read_rows(spark, str(folder), spark.createDataFrame([], ROWS).schema, "json"), str(tmp_path / "out"), str(tmp_path / "ck")), 240)
+    assert {n for n in os.listdir(checkpoint_dir(spark)) if n.startswith("opsledger-")} <= before
+
+
+def test_a_tail_starts_with_what_comes_next(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    put(raw, "1.json", ["old"])
+    follow = lambda: drain(append_sink(tail_messages(spark, str(raw), str(tmp_path / "seen")), out, str(tmp_path / "ck")), 120)
+    follow()
+    put(raw, "2.json", ["new"])
+    follow()
+    assert [r["value"] for r in spark.read.schema("value string").parquet(out).collect()] == ["new"]

@@ -95,3 +95,36 @@ def test_hopping_mean_copies_panes_not_rows(spark):
     plain = rows.groupBy("key", F.window("ts", "5 seconds", "1 second").start.alias("w")).agg(F.avg("value").alias("m"))
     expected = {(r["key"], r["w"]): pytest.approx(r["m"]) for r in plain.collect()}
     assert {(r["key"], r["window_start"]): r["mean_value"] for r in found.collect()} == expected
+
+
+def test_rows_without_a_key_are_a_key_and_without_a_place_an_error(spark):
+    rows = [(i, None if i % 3 == 0 else "a", at(i), i) for i in range(30)]
+    rolled = sliding_mean(frame(spark, rows), "key", "ts", "arrival", "value", "5 seconds", block=8, time_block=1 << 18)
+    found = {r["arrival"]: (r["rolling_mean"], r["rolling_count"]) for r in rolled.collect()}
+    _, means, _ = loop(rows)
+    assert found == {a: (pytest.approx(m), n) for a, (m, n) in means.items()}
+    late = flag_late(frame(spark, [(1, None, at(9), 1), (2, "a", at(1), 1)]), "ts", "arrival", "3 seconds")
+    assert [r["late"] for r in late.orderBy("arrival").collect()] == [False, True]
+    with pytest.raises(Exception, match="NULL in arrival"):
+        flag_late(frame(spark, [(None, "a", at(1), 1), (2, "a", at(1), 1)]), "ts", "arrival", "3 seconds").collect()
+
+
+@pytest.mark.parametrize("value", [1e-7, 1.2345670000000001e-05, 1e13, 123.456789012345, -2.5e20])
+def test_means_keep_the_digits_of_their_values(spark, value):
+    rows = [(i, "a", at(i), value * (1 + i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "arrival bigint, key string, ts timestamp, value double")
+    found = [r["rolling_mean"] for r in sliding_mean(df, "key", "ts", "arrival", "value", "3 seconds").orderBy("arrival").collect()]
+    wanted = [sum(v for _, _, _, v in rows[max(0, i - 2) : i + 1]) / min(3, i + 1) for i in range(12)]
+    assert found == pytest.approx(wanted, rel=1e-13)
+
+
+def test_a_value_too_large_to_add_exactly_stops_the_job(spark):
+    df = spark.createDataFrame([(1, "a", at(1), 1e33)], "arrival bigint, key string, ts timestamp, value double")
+    with pytest.raises(Exception, match="OUT_OF_RANGE|OVERFLOW"):
+        sliding_mean(df, "key", "ts", "arrival", "value", "3 seconds").collect()
+
+
+def test_missing_values_count_for_nothing(spark):
+    df = spark.createDataFrame([(1, "a", at(1), None), (2, "a", at(2), 4.0)], "arrival bigint, key string, ts timestamp, value double")
+    found = sliding_mean(df, "key", "ts", "arrival", "value", "3 seconds").orderBy("arrival").collect()
+    assert [(r["rolling_mean"], r["rolling_count"]) for r in found] == [(None, 0), (4.0, 1)]
