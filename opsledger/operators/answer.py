@@ -12,9 +12,6 @@ from opsledger.functions.text import citation, excerpt, extract_first
 from opsledger.operators.skew import lookup_join
 from opsledger.session import materialize
 
-# How many ranked rows may be sent to every task when fetching chunk texts.
-BROADCAST_ROWS = 200_000
-
 PROMPT_HEAD = "Answer the question in one or two sentences, using only the excerpts below.\n\nExcerpts:\n"
 PROMPT_QUESTION = "\n\nQuestion: "
 PROMPT_TAIL = "\nAnswer:"
@@ -23,13 +20,10 @@ PROMPT_TAIL = "\nAnswer:"
 def fetch_chunks(ranked: DataFrame, chunks: DataFrame, query_id: str = "query_id", item_id: str = "chunk_id") -> DataFrame:
     """Ranked rows with the columns of their chunk.
 
-    A short ranking travels to the chunks, which are then read once and not shuffled. A long one
-    is joined by id, with chunks wanted by very many questions spread over tasks.
+    Joined by id. Chunks wanted by very many questions are spread over tasks; Spark sends a short
+    ranking to the chunks by its own size estimate of the written ranking.
     """
-    ranked = materialize(ranked)
-    if ranked.count() <= BROADCAST_ROWS:
-        return chunks.join(F.broadcast(ranked), item_id)
-    return lookup_join(ranked, chunks, item_id, F.col(query_id), "inner")
+    return lookup_join(materialize(ranked), chunks, item_id, F.col(query_id), "inner")
 
 
 def build_context(

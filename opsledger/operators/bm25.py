@@ -1,29 +1,37 @@
-"""Keyword ranking (Okapi BM25) over a postings table.
+"""Keyword ranking (Okapi BM25) over a stored index.
 
-The corpus is reduced once to postings `(id, length, term, tf)`. A search touches only the
-postings of the words that occur in some query, regroups them by document (a bounded row: at most
-one entry per query word), and scores them in the best-k scan.
+The index is three tables: postings `(id, length, term, tf)` laid out by word, the vocabulary
+`(term, df)`, and one row of corpus statistics. A text's words are counted inside its own row, so
+building shuffles counts and never texts. A search reads the postings of its own words and the statistics row,
+brings the matching postings of a text together, adds up the gains of the queries that share a word with
+it, and keeps the best k per query and task. Texts without a shared word cost nothing: only the k first
+ids can ever fill a list.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsledger.functions.text import tokenize
-from opsledger.operators.skew import lookup_join
-from opsledger.operators.topk import ITEM_BLOCK, MAX_QUERIES, topk_scan
+from opsledger.operators.topk import rank_top
 from opsledger.session import materialize
 
 DECIMALS = 9
-# More distinct words than this per query, on average, and the vocabulary is joined, not broadcast.
-WORDS_PER_QUERY = 100
+# Words of one search that may be sent to every task; a larger set is searched in blocks of queries.
+MAX_WORDS = 200_000
+MAX_WORD_BYTES = 16 << 20
+# Gains added up at a time in one task.
+CELLS = 4_000_000
+# Folders that stored postings are dealt to by word; a search opens those of its words.
+BUCKETS = 64
 
 
 @dataclass(frozen=True)
@@ -35,17 +43,45 @@ class Corpus:
     mean_idf: float
 
 
-def postings(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, length, term, tf): how often each word occurs in each text, and the text's length.
+@dataclass(frozen=True)
+class Index:
+    """Postings, vocabulary, statistics, and every id in corpus order."""
 
-    The texts are shuffled by id before they are split into words: that moves fewer bytes than
-    shuffling the word rows would, and the count per text and word then needs no shuffle.
-    """
-    words = df.select(id_col, text_col).repartition(id_col).select(id_col, tokenize(F.col(text_col)).alias("_words"))
-    # Outer, so that no "has words" filter is inferred: it would split every text a second time.
-    exploded = words.select(id_col, F.size("_words").alias("_length"), F.explode_outer("_words").alias("term"))
-    counted = exploded.groupBy(id_col, "term").agg(F.max("_length").alias("length"), F.count("*").cast("int").alias("tf"))
-    return counted.where(F.col("term").isNotNull()).select(id_col, "length", "term", "tf")
+    postings: DataFrame
+    terms: DataFrame
+    stats: DataFrame
+    ids: DataFrame
+    item_id: str = "doc_id"
+
+
+def _count_words(id_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column("words")
+            size = np.diff(words.offsets.to_numpy())
+            coded = words.flatten().dictionary_encode()
+            n = max(1, len(coded.dictionary))
+            key, tf = np.unique(np.repeat(np.arange(len(words)), size) * n + coded.indices.to_numpy(), return_counts=True)
+            row = key // n
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(id_col).take(pa.array(row)),
+                    pa.array(size[row].astype(np.int32)),
+                    coded.dictionary.take(pa.array(key % n)),
+                    pa.array(tf.astype(np.int32)),
+                ],
+                names=[id_col, "length", "term", "tf"],
+            )
+
+    return run
+
+
+def postings(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, length, term, tf): how often each word occurs in each text, and the text's length. No shuffle."""
+    empty = F.array().cast("array<string>")
+    words = df.select(id_col, F.coalesce(tokenize(F.col(text_col)), empty).alias("words"))
+    kind = df.schema[id_col].dataType.simpleString()
+    return words.mapInArrow(_count_words(id_col), f"`{id_col}` {kind}, length int, term string, tf int")
 
 
 def document_frequency(index: DataFrame) -> DataFrame:
@@ -53,117 +89,194 @@ def document_frequency(index: DataFrame) -> DataFrame:
     return index.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("occurrences"))
 
 
-def _idf(documents: int, df: Column) -> Column:
+def _idf(documents: Column, df: Column) -> Column:
     return F.log(documents - df + 0.5) - F.log(df + 0.5)
 
 
-def corpus_stats(frequency: DataFrame, documents: int) -> Corpus:
-    """A one-row summary of the vocabulary; `documents` counts texts without words too."""
-    words, mean_idf = frequency.agg(
-        F.coalesce(F.sum("occurrences"), F.lit(0)), F.coalesce(F.avg(_idf(documents, F.col("df"))), F.lit(0.0))
-    ).first()
-    return Corpus(documents, words / documents if documents else 0.0, mean_idf)
+def corpus_stats(frequency: DataFrame, ids: DataFrame) -> DataFrame:
+    """One row (documents, mean_length, mean_idf); texts without words count too."""
+    size = ids.agg(F.count("*").alias("documents"))
+    joined = frequency.join(F.broadcast(size))
+    means = joined.agg(F.coalesce(F.sum("occurrences"), F.lit(0)).alias("words"), F.coalesce(F.avg(_idf(F.col("documents"), F.col("df"))), F.lit(0.0)).alias("mean_idf"))
+    return size.join(F.broadcast(means)).select(
+        "documents", F.coalesce(F.try_divide("words", "documents"), F.lit(0.0)).alias("mean_length"), "mean_idf"
+    )
+
+
+def build(docs: DataFrame, id_col: str, text_col: str) -> Index:
+    """An index in tables of the shared folder. `docs` has one row per id."""
+    made = materialize(postings(docs, id_col, text_col))
+    terms = materialize(document_frequency(made))
+    ids = docs.select(id_col)
+    return Index(made, terms, materialize(corpus_stats(terms, ids)), ids, id_col)
+
+
+def _bucket(term: str) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+
+
+def write(index: Index, path: str) -> None:
+    """Store an index under `path`. Postings lie in folders by word bucket, sorted by word in each file.
+
+    The id takes part in the dealing, so a very common word is spread over several files of its folder; their
+    number follows from the size of the data.
+    """
+    laid = index.postings.withColumn("bucket", _bucket("term"))
+    # Rebalancing sizes the files by the data; a bucket larger than a file is split.
+    laid.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", index.item_id).write.partitionBy("bucket").parquet(f"{path}/postings")
+    index.terms.write.parquet(f"{path}/terms")
+    index.stats.write.parquet(f"{path}/stats")
+    index.ids.write.parquet(f"{path}/ids")
+
+
+def read(spark: SparkSession, path: str, item_id: str = "doc_id") -> Index:
+    table = lambda name: spark.read.parquet(f"{path}/{name}")
+    return Index(table("postings"), table("terms"), table("stats"), table("ids"), item_id)
 
 
 def term_weight(corpus: Corpus, df: Column, eps: float) -> Column:
     """Inverse document frequency. Words in more than half of the texts would count against a text;
     they get a small share of the mean instead. Unknown words weigh nothing."""
-    idf = _idf(corpus.documents, df)
+    idf = _idf(F.lit(corpus.documents), df)
     return F.when(df.isNull(), 0.0).when(idf < 0, F.lit(eps * corpus.mean_idf)).otherwise(idf)
 
 
-def _bm25_scorer(queries: pa.Table, k1: float, b: float, mean_length: float):
-    words = queries.column("words").combine_chunks()
-    owner = np.repeat(np.arange(len(words)), np.diff(words.offsets.to_numpy()))
-    flat = words.flatten()
-    vocabulary = pc.unique(flat.field("term"))
-    code = pc.index_in(flat.field("term"), value_set=vocabulary).to_numpy(zero_copy_only=False)
-    order = np.argsort(code, kind="stable")
-    by_word = owner[order]
-    gain = flat.field("weight").to_numpy(zero_copy_only=False)[order]
-    first = np.searchsorted(code[order], np.arange(len(vocabulary) + 1))
-    n_queries = len(words)
-
-    def score(batch: pa.RecordBatch) -> np.ndarray:
-        entries = batch.column("entries")
-        row = np.repeat(np.arange(len(entries)), np.diff(entries.offsets.to_numpy()))
-        entry = entries.flatten()
-        word = pc.fill_null(pc.index_in(entry.field("term"), value_set=vocabulary), -1).to_numpy(zero_copy_only=False)
-        tf = entry.field("tf").to_numpy(zero_copy_only=False).astype(np.float64)
-        length = pc.fill_null(batch.column("length"), 0).to_numpy(zero_copy_only=False)[row]
-        saturation = tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / mean_length))
-        total = np.zeros(len(entries) * n_queries)
-        # Each entry meets the queries that hold its word, a bounded stretch of entries at a time.
-        meets = np.where(word >= 0, first[word + 1] - first[np.maximum(word, 0)], 0)
-        ends = np.cumsum(meets)
-        start = 0
-        while start < len(meets):
-            reached = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, reached + 4_000_000, side="right")))
-            n = meets[start:stop]
-            source = np.repeat(np.arange(start, stop), n)
-            offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            slot = first[word[source]] + offset
-            np.add.at(total, row[source] * n_queries + by_word[slot], gain[slot] * saturation[source])
-            start = stop
-        return np.round(total.reshape(len(entries), n_queries), DECIMALS)
-
-    return score
-
-
-def bm25_search(
+class _Best:
+    """The k best (item, score) per query seen so far; equal scores keep the earlier item."""
+
+    def __init__(self, k: int) -> None:
+        self.k, self.parts, self.size = k, [], 0
+
+    def add(self, query: np.ndarray, item: np.ndarray, score: np.ndarray) -> None:
+        self.parts.append((query, item, score))
+        self.size += len(query)
+        if self.size > CELLS:
+            self.fold()
+
+    def fold(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not self.parts:
+            return np.empty(0, int), np.empty(0, object), np.empty(0)
+        query, item, score = (np.concatenate(c) for c in zip(*self.parts))
+        order = np.lexsort((item, -score, query))
+        query, item, score = query[order], item[order], score[order]
+        kept = np.arange(len(query)) - np.searchsorted(query, query, side="left") < self.k
+        self.parts, self.size = [(query[kept], item[kept], score[kept])], int(kept.sum())
+        return self.parts[0]
+
+
+def _scorer(words: pa.Table, k: int, k1: float, b: float, mean_length: float, item_id: str, query_id: str):
+    """A task over postings sorted by text: sparse sums of gain per (text, query), then the best k."""
+    names = words.column(query_id).combine_chunks().unique()
+    n_queries = len(names)
+    asked = words.filter(pc.is_valid(words.column("term")))
+    terms = asked.column("term").combine_chunks().dictionary_encode()
+    order = np.argsort(terms.indices.to_numpy(), kind="stable")
+    first = np.searchsorted(terms.indices.to_numpy()[order], np.arange(len(terms.dictionary) + 1))
+    query = pc.index_in(asked.column(query_id).combine_chunks(), value_set=names).to_numpy()[order].astype(np.int64)
+    weight = asked.column("weight").to_numpy()[order]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, rest, kind = _Best(k), None, None
+
+        def score(table: pa.Table) -> None:
+            ids = table.column(item_id).to_numpy()
+            new = np.append(True, ids[1:] != ids[:-1])
+            heads, row = np.flatnonzero(new), np.cumsum(new) - 1
+            word = pc.fill_null(pc.index_in(table.column("term"), value_set=terms.dictionary), -1).to_numpy()
+            meets = np.where(word >= 0, first[word + 1] - first[np.maximum(word, 0)], 0)
+            if meets.sum() > CELLS and len(heads) > 1:
+                middle = int(heads[len(heads) // 2])
+                score(table.slice(0, middle))
+                score(table.slice(middle))
+                return
+            tf = table.column("tf").fill_null(0).to_numpy().astype(float)
+            length = table.column("length").fill_null(0).to_numpy()
+            gain = tf * (k1 + 1) / np.maximum(tf + k1 * (1 - b + b * length / mean_length), 1e-300)
+            at = np.repeat(np.arange(len(word)), meets)
+            slot = np.repeat(first[np.maximum(word, 0)] - (np.cumsum(meets) - meets), meets) + np.arange(meets.sum())
+            cells, back = np.unique(row[at] * n_queries + query[slot], return_inverse=True)
+            total = np.round(np.bincount(back, weights=weight[slot] * gain[at], minlength=len(cells)), DECIMALS)
+            best.add(cells % n_queries, ids[heads][cells // n_queries], total)
+            # Rows without a word are the ids that may fill a list: they score 0 for every query not met.
+            listed = np.unique(row[table.column("term").is_null().to_numpy()])
+            if len(listed):
+                zero = np.setdiff1d((listed[:, None] * n_queries + np.arange(n_queries)).ravel(), cells)
+                best.add(zero % n_queries, ids[heads][zero // n_queries], np.zeros(len(zero)))
+
+        for batch in batches:
+            kind = batch.schema.field(item_id).type
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([rest, table]) if rest is not None else table
+            ids = table.column(item_id).to_numpy()
+            # The last text may go on in the next batch.
+            last = int(np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))[-1]) if len(ids) else 0
+            if last:
+                score(table.slice(0, last))
+            rest = table.slice(last)
+        if rest is not None and rest.num_rows:
+            score(rest)
+        q, items, scores = best.fold()
+        if len(q):
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(q)), pa.array(items, kind), pa.array(scores)], names=[query_id, item_id, "score"])
+
+    return run
+
+
+def search(
     queries: DataFrame,
-    ids: DataFrame,
-    index: DataFrame,
+    index: Index,
     k: int,
     query_id: str = "query_id",
     query_text: str = "query",
-    item_id: str = "doc_id",
     k1: float = 1.5,
     b: float = 0.75,
     eps: float = 0.25,
-    max_queries: int = MAX_QUERIES,
-    item_block: int = ITEM_BLOCK,
+    max_words: int = MAX_WORDS,
 ) -> DataFrame:
-    """Best k texts per query over a stored index: (query_id, item_id, score, rank).
+    """Best k texts per query: (query_id, item_id, score, rank).
 
-    `ids` lists every text. Texts sharing no word with a query score 0 and may fill the list, in id
-    order; equal scores rank by id. Words repeated in a query count each time.
+    Texts sharing no word with a query score 0 and may fill the list, in id order; equal scores rank by id. Words
+    repeated in a query count each time. Queries go to the tasks in blocks of at most about `max_words`
+    words, each block scanning its words' postings once.
     """
-    frequency = materialize(document_frequency(index))
-    corpus = corpus_stats(frequency, ids.count())
+    item_id = index.item_id
+    found = index.stats.first()
+    corpus = Corpus(found["documents"], found["mean_length"], found["mean_idf"])
     words = (
         queries.select(query_id, F.explode_outer(tokenize(F.col(query_text))).alias("term"))
         .groupBy(query_id, "term")
         .agg(F.count("*").alias("_n"))
     )
-    vocabulary = words.where(F.col("term").isNotNull()).select("term").distinct()
-    if words.count() <= max_queries * WORDS_PER_QUERY:
-        # Checked above: the vocabulary of a bounded number of query words.
-        matched = index.join(F.broadcast(vocabulary), "term")
-        known = frequency.select("term", "df").join(F.broadcast(vocabulary), "term")
-        weighed = words.join(F.broadcast(known), "term", "left")
-    else:
-        matched = lookup_join(index, vocabulary, "term", F.col(item_id), "inner")
-        weighed = lookup_join(words, frequency.select("term", "df"), "term", F.col(query_id), "left")
-    weight = (F.col("_n") * term_weight(corpus, F.col("df"), eps)).alias("weight")
-    prepared = weighed.groupBy(query_id).agg(
-        F.collect_list(F.when(F.col("term").isNotNull(), F.struct("term", weight))).alias("words")
-    )
-    # Every text takes part, so that zero scores can fill a list: one empty entry per id.
-    listed = matched.select(item_id, "length", "term", "tf").unionByName(ids.select(item_id), allowMissingColumns=True)
-    items = listed.groupBy(item_id).agg(
-        F.max("length").alias("length"),
-        F.collect_list(F.when(F.col("term").isNotNull(), F.struct("term", "tf"))).alias("entries"),
-    )
-    scorer = partial(_bm25_scorer, k1=k1, b=b, mean_length=corpus.mean_length or 1.0)
-    size = F.aggregate("words", F.lit(0), lambda n, w: n + F.length(w["term"]) + 16) + 16
-    return topk_scan(prepared, items, query_id, item_id, k, scorer, size, max_queries, item_block)
+    rows, size = words.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term") + 16), F.lit(0))).first()
+    blocks = max(1, -(-rows // max_words), -(-size // MAX_WORD_BYTES))
+    if blocks > 1:
+        words = materialize(words)
+    # Only the first k ids can fill a list, unless the mean weight is below zero and a shared word can cost.
+    fill = index.ids.select(item_id)
+    fill = fill if corpus.mean_idf < 0 else fill.orderBy(item_id).limit(k)
+    kind = lambda df, c: f"`{c}` {df.schema[c].dataType.simpleString()}"
+    schema = f"{kind(queries, query_id)}, {kind(index.ids, item_id)}, score double"
+    parts = []
+    for block in range(blocks):
+        own = words if blocks == 1 else words.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == block)
+        vocabulary = own.where(F.col("term").isNotNull()).select("term").distinct()
+        known = index.terms.select("term", "df").join(F.broadcast(vocabulary), "term")
+        weight = (F.col("_n") * term_weight(corpus, F.col("df"), eps)).alias("weight")
+        weighed = own.join(F.broadcast(known), "term", "left").select(query_id, "term", weight).toArrow()
+        if not weighed.num_rows:
+            continue
+        matched = index.postings
+        if "bucket" in matched.columns:
+            opened = [r["b"] for r in vocabulary.select(_bucket("term").alias("b")).distinct().collect()]
+            matched = matched.where(F.col("bucket").isin(opened))
+        matched = matched.join(F.broadcast(vocabulary), "term").select(item_id, "length", "term", "tf")
+        items = matched.unionByName(fill, allowMissingColumns=True).repartition(item_id).sortWithinPartitions(item_id)
+        scored = items.mapInArrow(_scorer(weighed, k, k1, b, corpus.mean_length or 1.0, item_id, query_id), schema)
+        parts.append(scored if blocks == 1 else materialize(scored))
+    candidates = reduce(DataFrame.unionByName, parts) if parts else queries.sparkSession.createDataFrame([], schema)
+    return rank_top(candidates, query_id, [F.col("score").desc(), F.col(item_id)], k)
 
 
-def bm25_topk(
-    queries: DataFrame, docs: DataFrame, k: int, item_id: str = "doc_id", text: str = "text", **options
-) -> DataFrame:
-    """`bm25_search` over texts that have no stored index: the postings are built, then searched."""
-    index = materialize(postings(docs, item_id, text))
-    return bm25_search(queries, docs.select(item_id), index, k, item_id=item_id, **options)
+def bm25_topk(queries: DataFrame, docs: DataFrame, k: int, item_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """`search` over texts that have no stored index: it is built first."""
+    return search(queries, build(docs, item_id, text), k, **options)

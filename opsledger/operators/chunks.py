@@ -38,3 +38,15 @@ def chunk_sections(
         F.coalesce(heading(text, "##"), F.lit("Overview")).alias("section_title"),
         "text",
     )
+
+
+def corpus_order(chunk_id: str) -> Column:
+    """The chunk id as text that sorts in corpus order: by document, then by the number of the piece."""
+    number = F.substring_index(chunk_id, "::", -1)
+    return F.concat(F.regexp_replace(chunk_id, "::[0-9]+$", ""), F.lit("\u0001::"), F.lpad(number, 10, "0"))
+
+
+def chunk_of(position: str) -> Column:
+    """The chunk id behind `corpus_order`."""
+    number = F.regexp_replace(F.substring_index(position, "::", -1), "^0+(?=[0-9])", "")
+    return F.concat(F.regexp_replace(position, "\u0001::[0-9]+$", ""), F.lit("::"), number)

@@ -8,12 +8,11 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsledger.operators.topk import ITEM_BLOCK, MAX_QUERIES, topk_scan
+from opsledger.functions.text import tokenize
+from opsledger.operators.topk import MAX_QUERIES, rank_top, topk_scan
 
 # Scores are compared at this many decimals so that equal vectors tie whatever batch they came in.
 DECIMALS = 9
@@ -29,11 +28,10 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.where(length == 0, 1.0, length)
 
 
-def _vector_scorer(vector: str, metric: str, signature: str | None = None):
+def _vector_scorer(vector: str, metric: str):
     def make(queries: pa.Table):
         wanted = _matrix(queries.column(vector))
         wanted = _unit(wanted) if metric == "cosine" else wanted
-        marks = _matrix(queries.column(signature)) if signature else None
 
         def score(batch: pa.RecordBatch) -> np.ndarray:
             have = _matrix(batch.column(vector))
@@ -41,20 +39,29 @@ def _vector_scorer(vector: str, metric: str, signature: str | None = None):
             result = have @ wanted.T
             if metric == "l2":
                 result = 2 * result - (have**2).sum(axis=1)[:, None] - (wanted**2).sum(axis=1)[None, :]
-            result = np.round(result, DECIMALS) + 0.0
-            if marks is not None:
-                theirs = _matrix(batch.column(signature))
-                shared = np.zeros(result.shape, dtype=bool)
-                for table in range(marks.shape[1]):
-                    shared |= theirs[:, table][:, None] == marks[:, table][None, :]
-                result[~shared] = -np.inf
-            return result
+            return np.round(result, DECIMALS) + 0.0
 
         return score
 
     return make
 
 
+def is_sound(vector: str, dim: int) -> Column:
+    """Whether a vector is there, has `dim` components, and all of them are numbers."""
+    whole = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x))
+    return F.coalesce((F.size(vector) == dim) & whole, F.lit(False))
+
+
+def dimension(queries: DataFrame, vector: str) -> int:
+    """The length of the query vectors; items of another length cannot be compared with them."""
+    return queries.agg(F.coalesce(F.max(F.size(vector)), F.lit(0))).first()[0]
+
+
+def unsound(vectors: DataFrame, dim: int, vector: str = "embedding") -> DataFrame:
+    """The rows that no search can use: null, of another length, or holding nulls or NaN."""
+    return vectors.where(~is_sound(vector, dim))
+
+
 def knn_topk(
     queries: DataFrame,
     vectors: DataFrame,
@@ -64,26 +71,92 @@ def knn_topk(
     vector: str = "embedding",
     metric: str = "l2",
     max_queries: int = MAX_QUERIES,
-    item_block: int = ITEM_BLOCK,
 ) -> DataFrame:
     """Exact k nearest items per query: (query_id, item_id, score, rank).
 
-    `metric` is "l2" (score is the negated squared distance), "cosine" or "dot".
+    `metric` is "l2" (score is the negated squared distance), "cosine" or "dot". Unsound vectors on
+    either side take no part; `unsound` lists them.
     """
+    dim = dimension(queries, vector)
     size = F.size(vector) * 8
     return topk_scan(
-        queries.select(query_id, vector),
-        vectors.select(item_id, vector),
+        queries.select(query_id, vector).where(is_sound(vector, dim)),
+        vectors.select(item_id, vector).where(is_sound(vector, dim)),
         query_id,
         item_id,
         k,
         _vector_scorer(vector, metric),
         size,
         max_queries,
-        item_block,
     )
 
 
+def hyperplanes(tables: int, bits: int, dim: int) -> np.ndarray:
+    """(tables * bits, dim) signs that any engine can compute again: 1 where md5('table:bit:i') starts below 8."""
+    return np.array(
+        [
+            [1.0 if hashlib.md5(f"{t}:{b}:{i}".encode()).hexdigest()[0] < "8" else -1.0 for i in range(dim)]
+            for t in range(tables)
+            for b in range(bits)
+        ]
+    )
+
+
+def _bucket_rows(planes: np.ndarray, tables: int, bits: int, id_col: str, vector: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = 1 << np.arange(bits)
+        for batch in batches:
+            side = (np.round(_matrix(batch.column(vector)) @ planes.T, DECIMALS) > 0).reshape(-1, tables, bits)
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(id_col).take(pa.array(np.repeat(np.arange(n), tables))),
+                    pa.array(np.tile(np.arange(tables, dtype=np.int32), n)),
+                    pa.array((side @ weights).ravel().astype(np.int32)),
+                ],
+                names=[id_col, "table", "bucket"],
+            )
+
+    return run
+
+
+def candidate_pairs(
+    queries: DataFrame, vectors: DataFrame, query_id: str, item_id: str, vector: str, tables: int, bits: int, part: int = 100_000
+) -> DataFrame:
+    """Distinct (query_id, item_id) that share a bucket in some table.
+
+    Buckets of more than `part` items are cut into parts that the queries visit one by one. There are
+    tables * 2**bits buckets at most, so their sizes can be sent everywhere.
+    """
+    dim = dimension(queries, vector)
+    planes = hyperplanes(tables, bits, dim)
+
+    def dealt(df: DataFrame, id_col: str) -> DataFrame:
+        kind = df.schema[id_col].dataType.simpleString()
+        sound = df.select(id_col, vector).where(is_sound(vector, dim))
+        return sound.mapInArrow(_bucket_rows(planes, tables, bits, id_col, vector), f"`{id_col}` {kind}, table int, bucket int")
+
+    items, asked = dealt(vectors, item_id), dealt(queries, query_id)
+    parts = F.broadcast(items.groupBy("table", "bucket").agg(F.ceil(F.count("*") / part).cast("int").alias("_parts")))
+    placed = items.join(parts, ["table", "bucket"]).withColumn("_part", F.pmod(F.xxhash64(item_id), F.col("_parts")).cast("int"))
+    visits = asked.join(parts, ["table", "bucket"]).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    return visits.join(placed.drop("_parts"), ["table", "bucket", "_part"]).select(query_id, item_id).distinct()
+
+
+def _score(a: Column, b: Column, metric: str) -> Column:
+    def total(terms: Column) -> Column:
+        return F.aggregate(terms, F.lit(0.0), lambda s, x: s + x)
+
+    product = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
+    if metric == "l2":
+        gaps = F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double")))
+        return F.round(-total(gaps), DECIMALS) + 0.0
+    if metric == "dot":
+        return F.round(total(product), DECIMALS) + 0.0
+    square = lambda v: F.sqrt(total(F.transform(v, lambda x: x.cast("double") * x.cast("double"))))
+    return F.round(F.coalesce(F.try_divide(total(product), square(a) * square(b)), F.lit(0.0)), DECIMALS) + 0.0
+
+
 def knn_approx(
     queries: DataFrame,
     vectors: DataFrame,
@@ -92,29 +165,20 @@ def knn_approx(
     item_id: str = "vec_id",
     vector: str = "embedding",
     metric: str = "l2",
-    bucket: float = 0.5,
-    tables: int = 8,
-    seed: int = 42,
+    tables: int = 12,
+    bits: int = 6,
 ) -> DataFrame:
-    """Like `knn_topk`, but an item is scored only for queries it shares a random-projection bucket with."""
-    model = BucketedRandomProjectionLSH(
-        inputCol="_vector", outputCol="_hashes", bucketLength=bucket, numHashTables=tables, seed=seed
-    ).fit(vectors.select(array_to_vector(F.col(vector)).alias("_vector")))
+    """Like `knn_topk`, but only items that share a bucket of some table with the query are looked at.
 
-    def signed(df: DataFrame, id_col: str) -> DataFrame:
-        hashed = model.transform(df.select(id_col, vector, array_to_vector(F.col(vector)).alias("_vector")))
-        marks = [vector_to_array(F.col("_hashes")[t])[0] for t in range(tables)]
-        return hashed.select(id_col, vector, F.array(*marks).alias("_marks"))
-
-    return topk_scan(
-        signed(queries, query_id),
-        signed(vectors, item_id),
-        query_id,
-        item_id,
-        k,
-        _vector_scorer(vector, metric, "_marks"),
-        F.size(vector) * 8,
-    )
+    A table cuts space by `bits` hyperplanes through the origin. Pairs come from an equal join on the
+    bucket; each pair is scored once, exactly.
+    """
+    pairs = candidate_pairs(queries, vectors, query_id, item_id, vector, tables, bits)
+    left = queries.select(query_id, F.col(vector).alias("_a"))
+    right = vectors.select(item_id, F.col(vector).alias("_b"))
+    met = pairs.join(left, query_id).join(right, item_id)
+    scored = met.select(query_id, item_id, _score(F.col("_a"), F.col("_b"), metric).alias("score"))
+    return rank_top(scored, query_id, [F.col("score").desc(), F.col(item_id)], k)
 
 
 def embed(
@@ -130,18 +194,38 @@ def embed(
     return df.withColumn(out, run(F.col(text_col)))
 
 
-def hashing_embedder(dim: int = 256) -> Callable[[Sequence[str]], np.ndarray]:
-    """A model-free embedding: word counts hashed into `dim` slots, scaled to unit length."""
+def hashed(df: DataFrame, text_col: str, dim: int = 256, out: str = "embedding") -> DataFrame:
+    """Add the model-free embedding: word counts hashed into `dim` slots, scaled to unit length.
+
+    Column expressions only: a row's slots are sorted, its runs counted, and the gaps filled with zeros.
+    """
+    words = F.coalesce(tokenize(F.col(text_col)), F.array().cast("array<string>"))
+    slot = lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % dim).cast("int")
+    n = F.size("_slots")
+    none = F.array().cast("array<int>")
+    starts = F.filter(
+        F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(none),
+        lambda i: (i == 0) | (F.get("_slots", i) != F.get("_slots", i - 1)),
+    )
+    runs = F.transform(
+        "_starts",
+        lambda h, j: F.struct(F.get("_slots", h).alias("slot"), (F.coalesce(F.get("_starts", j + 1), n) - h).cast("double").alias("n")),
+    )
+    norm = F.sqrt(F.aggregate("_runs", F.lit(0.0), lambda s, r: s + r["n"] * r["n"]))
+    zero, empty = F.lit(0).cast("float"), F.array().cast("array<float>")
+    dense = F.aggregate(
+        "_runs",
+        empty,
+        lambda v, r: F.concat(v, F.array_repeat(zero, r["slot"] - F.size(v)), F.array((r["n"] / F.col("_norm")).cast("float"))),
+    )
+    # Generators keep the steps apart: merged into one projection, each would be computed for every use, and
+    # later filters on the vector would be pushed below it with all of this copied into them.
+    settled = _settled(df.drop(out), "_slots", F.array_sort(F.transform(words, slot)))
+    settled = _settled(_settled(settled, "_starts", starts), "_runs", runs)
+    settled = _settled(_settled(settled, "_norm", norm), "_dense", dense)
+    filled = F.concat("_dense", F.array_repeat(zero, F.lit(dim) - F.size("_dense")))
+    return _settled(settled, out, filled).drop("_slots", "_starts", "_runs", "_norm", "_dense")
 
-    def embed_batch(texts: Sequence[str]) -> np.ndarray:
-        slots: dict[str, int] = {}
-        result = np.zeros((len(texts), dim))
-        for row, text in enumerate(texts):
-            for word in text.lower().split():
-                slot = slots.get(word)
-                if slot is None:
-                    slot = slots[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dim
-                result[row, slot] += 1
-        return _unit(result)
 
-    return embed_batch
+def _settled(df: DataFrame, name: str, value: Column) -> DataFrame:
+    return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))

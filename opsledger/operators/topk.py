@@ -2,24 +2,25 @@
 
 Items stream through `mapInArrow`; each task scores a slice of items against all queries at once
 and keeps k per query, so what is shuffled is k rows per query and task. That needs the queries in
-every task, and is done only after their size was checked. A larger query set is cut into blocks:
-query blocks meet item blocks in a co-group, each group bounded by the block sizes.
+every task, so they are counted first and taken in blocks of a bounded size.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from opsledger.session import materialize
+
 MAX_QUERIES = 2_000
 MAX_QUERY_BYTES = 64 << 20
-ITEM_BLOCK = 20_000
 CELLS = 2_000_000
 
 # From the query table to a function giving an (items x queries) matrix; larger is better and
@@ -28,12 +29,6 @@ Scores = Callable[[pa.RecordBatch], np.ndarray]
 MakeScorer = Callable[[pa.Table], Scores]
 
 
-def small_table(df: DataFrame, bytes_of, max_rows: int = MAX_QUERIES, max_bytes: int = MAX_QUERY_BYTES) -> pa.Table | None:
-    """`df` on the driver if it is proven small, else None. `bytes_of` is the size of one row."""
-    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(bytes_of), F.lit(0))).first()
-    return df.toArrow() if rows <= max_rows and size <= max_bytes else None
-
-
 def best_of(scores: np.ndarray, k: int) -> np.ndarray:
     """Mask of the k best rows per column; among equal scores the earlier rows win."""
     if len(scores) > k:
@@ -107,39 +102,39 @@ def topk_scan(
     make: MakeScorer,
     bytes_of,
     max_queries: int = MAX_QUERIES,
-    item_block: int = ITEM_BLOCK,
+    max_bytes: int = MAX_QUERY_BYTES,
 ) -> DataFrame:
-    """(query_id, item_id, score, rank): rank counts from 0; equal scores rank by item id."""
+    """(query_id, item_id, score, rank): rank counts from 0; equal scores rank by item id.
+
+    Queries are taken in blocks whose number follows from their count and size; every block scans the
+    items once. One block at a time is on the driver and in the tasks.
+    """
     field = lambda df, c: f"`{c}` {df.schema[c].dataType.simpleString()}"
     schema = f"{field(queries, query_id)}, {field(items, item_id)}, score double"
     scan = partial(_scan, make=make, qid=query_id, iid=item_id, k=k)
-    small = small_table(queries, bytes_of, max_queries)
-    if small is not None:
-        shared = queries.sparkSession.sparkContext.broadcast(small)
+    context = queries.sparkSession.sparkContext
+    rows, size = queries.agg(F.count("*"), F.coalesce(F.sum(bytes_of), F.lit(0))).first()
+    blocks = max(1, math.ceil(rows / max_queries), math.ceil(size / max_bytes))
+
+    def scanned(block: DataFrame) -> tuple[DataFrame, Broadcast]:
+        shared = context.broadcast(block.toArrow())
 
         def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = scan(shared.value, batches)
             if found is not None:
                 yield from found.to_batches()
 
-        candidates = items.mapInArrow(per_task, schema)
-    else:
-        query_blocks = math.ceil(queries.count() / max_queries)
-        item_blocks = max(1, math.ceil(items.count() / item_block))
-        mine = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-        left = queries.withColumn("_qb", mine(query_id, query_blocks)).withColumn("_ib", every(item_blocks))
-        right = items.withColumn("_ib", mine(item_id, item_blocks)).withColumn("_qb", every(query_blocks))
-        empty = pa.table({query_id: [], item_id: [], "score": []})
-
-        def per_block(q: pa.Table, i: pa.Table) -> pa.Table:
-            found = scan(q.combine_chunks(), i.combine_chunks().to_batches())
-            if found is not None:
-                return found
-            types = [q.schema.field(query_id).type, i.schema.field(item_id).type, pa.float64()]
-            return empty.cast(pa.schema(list(zip(empty.column_names, types))))
+        return items.mapInArrow(per_task, schema), shared
 
-        candidates = left.groupBy("_qb", "_ib").cogroup(right.groupBy("_qb", "_ib")).applyInArrow(per_block, schema)
+    if blocks == 1:
+        candidates = scanned(queries)[0]
+    else:
+        parts = []
+        for block in range(blocks):
+            found, shared = scanned(queries.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == block))
+            parts.append(materialize(found))
+            shared.destroy()
+        candidates = reduce(DataFrame.unionByName, parts)
     return rank_top(candidates, query_id, [F.col("score").desc(), F.col(item_id)], k)
 
 

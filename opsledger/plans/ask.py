@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from opsledger.flights import KEY
 from opsledger.functions.text import word_overlap
 from opsledger.operators.answer import build_context, fetch_chunks, lookup_extracted_key
-from opsledger.operators.bm25 import bm25_search, postings
-from opsledger.operators.chunks import chunk_sections
+from opsledger.operators import bm25
+from opsledger.operators.chunks import chunk_of, chunk_sections, corpus_order
 from opsledger.operators.fusion import rerank, rrf
-from opsledger.operators.knn import embed, hashing_embedder, knn_topk
-from opsledger.sources.tables import read_documents, read_table, write_postings, write_vectors
+from opsledger.operators.knn import embed, hashed, knn_topk
+from opsledger.sources.tables import read_documents, read_table, write_vectors
 
 Embedder = Callable[[Sequence[str]], np.ndarray]
 
@@ -24,20 +24,29 @@ def build_index(spark: SparkSession, pattern: str, root: str, embedder: Embedder
     """Chunk every matching markdown file and write both sides of the index under `root`."""
     docs = read_documents(spark, pattern)
     chunks = chunk_sections(docs, "slug", "text", F.col("file_name"))
-    write_vectors(embed(chunks, "text", embedder or hashing_embedder()), f"{root}/vectors")
-    write_postings(postings(read_table(spark, f"{root}/vectors"), "chunk_id", "text"), f"{root}/postings")
+    index_chunks(chunks, root, embedder)
+
+
+def index_chunks(chunks: DataFrame, root: str, embedder: Embedder | None = None) -> None:
+    """Write the vectors and the word index of chunks (chunk_id, doc_title, section_title, text) under `root`."""
+    spark = chunks.sparkSession
+    embedded = hashed(chunks, "text") if embedder is None else embed(chunks, "text", embedder)
+    write_vectors(embedded, f"{root}/vectors")
+    stored = read_table(spark, f"{root}/vectors").withColumn("position", corpus_order("chunk_id"))
+    bm25.write(bm25.build(stored, "position", "text"), f"{root}/words")
 
 
 def search(
     questions: DataFrame, root: str, top_k: int = 10, rrf_k: int = 60, embedder: Embedder | None = None
 ) -> DataFrame:
     """(query_id, chunk_id, fused_score, rank) of dense and keyword search combined."""
-    vectors = read_table(questions.sparkSession, f"{root}/vectors")
-    index = read_table(questions.sparkSession, f"{root}/postings")
-    embedded = embed(questions, "query", embedder or hashing_embedder())
-    dense = knn_topk(embedded, vectors, top_k, item_id="chunk_id")
-    sparse = bm25_search(questions, vectors.select("chunk_id"), index, top_k, item_id="chunk_id")
-    return rrf([dense, sparse], item_id="chunk_id", k=rrf_k)
+    spark = questions.sparkSession
+    vectors = read_table(spark, f"{root}/vectors").withColumn("position", corpus_order("chunk_id"))
+    embedded = hashed(questions, "query") if embedder is None else embed(questions, "query", embedder)
+    dense = knn_topk(embedded, vectors, top_k, item_id="position")
+    sparse = bm25.search(questions, bm25.read(spark, f"{root}/words", "position"), top_k)
+    fused = rrf([dense, sparse], item_id="position", k=rrf_k)
+    return fused.withColumn("chunk_id", chunk_of("position")).drop("position")
 
 
 def ask(

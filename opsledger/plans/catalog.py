@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opsledger.functions.text import word_overlap
 from opsledger.functions.times import micros
 from opsledger.operators import answer, bm25, chunks, contract, fusion, knn, layout, quality, runs, state, summary, windows
-from opsledger.session import materialize
-from opsledger.sources.tables import spread
+from opsledger.plans.ask import ask, index_chunks
+from opsledger.session import checkpoint_dir, materialize
+from opsledger.sources.streams import append_sink, drain, read_rows
+from opsledger.sources.tables import first_rows, route_batch, seed
+from opsledger.streaming import windows as stream_windows
+from opsledger.streaming.replay import Replay, replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,6 +65,25 @@ def daily_summary(spark: SparkSession, folder: str) -> DataFrame:
     return _as_text(result.withColumn("avg_delay_minutes", F.round("avg_delay_minutes", 4)), "scheduled_date")
 
 
+@query
+def summary_head(spark: SparkSession, folder: str) -> DataFrame:
+    """The first rows of the daily summary in reading order."""
+    return first_rows(daily_summary(spark, folder), ["scheduled_date", "airline_code"], 20)
+
+
+@query
+def seed_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """A seed table of the first five orders, written and read again."""
+    path = f"{_place(spark, 'seed')}"
+    seed(table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), ["o_custkey", "o_orderkey"], 5, path)
+    return spark.read.parquet(path)
+
+
+def _place(spark: SparkSession, name: str) -> str:
+    """A new folder that every executor can reach."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 @query
 def delay_by_cause(spark: SparkSession, folder: str) -> DataFrame:
     orders = _orders_by_day(spark, folder)
@@ -107,8 +133,9 @@ def version_range(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def expired_versions(spark: SparkSession, folder: str) -> DataFrame:
-    events = table(spark, folder, "events").select("event_id", "user_id", "ts")
-    return state.expired_versions(events, "user_id", "ts", F.expr("timestamp_ntz'2024-01-20'"), "event_id")
+    events = table(spark, folder, "events").select("event_id", F.nullif("user_id", F.lit(7)).alias("user_id"), "ts")
+    expired = state.expired_versions(events, "user_id", "ts", F.expr("timestamp_ntz'2024-01-20'"), "event_id")
+    return _as_text(expired, "user_id")
 
 
 @query
@@ -138,9 +165,68 @@ def schema_evolve_union(spark: SparkSession, folder: str) -> DataFrame:
     return layout.evolve_union(suppliers, customers)
 
 
+@query
+def append_refused(spark: SparkSession, folder: str) -> DataFrame:
+    """What an append to the events table says of four loads: fitting, changed type, missing and new column."""
+    events = table(spark, folder, "events").select("event_id", "user_id", "value")
+    target = T.StructType([T.StructField(f.name, f.dataType, f.name != "event_id") for f in events.schema.fields])
+    loads = {
+        "fits": events,
+        "changed": events.withColumn("user_id", F.col("user_id").cast("string")),
+        "missing": events.drop("event_id"),
+        "new": events.withColumn("extra", F.lit(1)),
+    }
+    said = {name: "; ".join(layout.schema_problems(load.schema, target)) for name, load in loads.items()}
+    rows = [load.agg(F.lit(name).alias("load"), F.count("*").alias("row_count"), F.lit(said[name]).alias("problems")) for name, load in loads.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def clustered_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders rewritten in ranges of the customer: rows, key range, and whether the files' ranges are disjoint."""
+    laid = layout.rewrite_clustered(table(spark, folder, "orders"), "o_custkey", _place(spark, "clustered"), 8)
+    files = layout.file_metrics(laid, "o_custkey").select("metrics.*")
+    ranges = F.array_sort(F.collect_list(F.struct("minKey", "maxKey")))
+    n = F.size("r") - 1
+    apart = F.zip_with(F.slice("r", F.lit(1), n), F.slice("r", F.lit(2), n), lambda a, b: a["maxKey"] < b["minKey"])
+    folded = files.agg(F.sum("numRows").alias("row_count"), F.min("minKey").alias("min_key"), F.max("maxKey").alias("max_key"), ranges.alias("r"))
+    return folded.select("row_count", "min_key", "max_key", F.forall(apart, lambda x: x).alias("disjoint"))
+
+
 # Quality
 
 
+@query
+def gate_outcome(spark: SparkSession, folder: str) -> DataFrame:
+    """Both gates' verdicts."""
+    verdicts = [quality.verdict(gate(spark, folder)).withColumn("gate", F.lit(name)) for name, gate in (("bronze", gate_bronze), ("silver", gate_silver))]
+    return verdicts[0].unionByName(verdicts[1])
+
+
+@query
+def routed_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch that passes and one that fails, each written whole where its verdict sends it."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    limits = {"low": 0.0, "high": 5000.0}
+    parts = []
+    for name, low in limits.items():
+        passed = quality.verdict(quality.run_checks(orders, [quality.between("o_totalprice", low=low)])).first()["passed"]
+        places = [_place(spark, place) for place in ("production", "quarantine")]
+        went = route_batch(orders, passed, *places)
+        kind = "production" if went == places[0] else "quarantine"
+        parts.append(spark.read.parquet(went).agg(F.lit(name).alias("batch"), F.lit(kind).alias("place"), F.count("*").alias("row_count")))
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def duplicate_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event twice, half of the copies a microsecond later: only the others are duplicates."""
+    events = table(spark, folder, "events").select("event_id", "ts", _k().alias("k"))
+    later = F.when(F.col("k") < 50, F.col("ts") + F.expr("INTERVAL '0.000001' SECOND")).otherwise(F.col("ts"))
+    twice = events.unionByName(events.withColumn("ts", later))
+    return quality.run_checks(twice, [quality.no_duplicate_rows(["event_id", "ts"])])
+
+
 @query
 def gate_bronze(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
@@ -216,30 +302,36 @@ def flight_json(spark: SparkSession, folder: str) -> DataFrame:
     none = F.lit("null")
     day = F.date_format("ts", "yyyy-MM-dd")
     fields = {
-        "airline_code": F.when(k == 10, '"x"').when(k == 11, '"toolong"').when(k == 12, "7").otherwise('"sv"'),
+        "airline_code": F.when((k == 10) | (k == 61), '"x"').when(k == 11, '"toolong"').when(k == 12, "7").otherwise('"sv"'),
         "flight_number": text(F.col("user_id").cast("string")),
         "scheduled_date": F.when(k == 20, '"2024-13-45"').when(k == 21, "true").otherwise(text(day)),
-        "origin": F.when(k == 22, '""').otherwise('"ruh"'),
+        "origin": F.when((k == 22) | (k == 60), '""').otherwise('"ruh"'),
         "destination": F.lit('"jed"'),
-        "status": F.when(k == 30, '"ON_APPROACH"')
+        "status": F.when((k == 30) | (k == 60), '"ON_APPROACH"')
         .when(F.col("event_type") == "click", '"BOARDING"')
         .when(F.col("event_type") == "signup", '"GATE_CHANGE"')
         .when(F.col("event_type") == "error", '"DELAYED"')
         .when(F.col("event_type") == "purchase", '"DEPARTED"')
         .otherwise('"SCHEDULED"'),
         "gate": F.when(k >= 15, '"A12"').otherwise(none),
-        "delay_minutes": F.when(k == 50, "-15").when(k == 51, "30.5").when(k == 52, '"30"').when(k == 53, "true")
+        "delay_minutes": F.when((k == 50) | (k == 61), "-15").when(k == 51, "30.5").when(k == 52, '"30"').when(k == 53, "true")
         .when(k == 54, '""').when(k == 55, none).otherwise(F.floor("value").cast("string")),
         "delay_reason_code": F.when(k >= 25, '"ATC"').otherwise(none),
-        "event_ts": F.when(k == 70, '"not-a-timestamp"').when(k == 71, F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"))
+        "event_ts": F.when((k == 70) | (k == 61), '"not-a-timestamp"').when(k == 71, F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"))
         .otherwise(text(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))),
         "source_feed": F.lit('"ops"'),
         "extra": F.lit("1"),
     }
     head = F.when(k == 80, "{").otherwise(F.concat(F.lit('{"flight_id":"SV'), "user_id", F.lit('",')))
     body = F.concat_ws(",", *(F.concat(F.lit(f'"{name}":'), value) for name, value in fields.items()))
-    value = F.when(k == 99, "not json").when(k == 98, "[1]").otherwise(F.concat(head, body, F.lit("}")))
-    return spread(table(spark, folder, "events"), "event_id").select("event_id", value.alias("value"))
+    whole = F.concat(head, body, F.lit("}"))
+    value = (
+        F.when(k == 99, "not json").when(k == 98, "[1]")
+        .when(k == 90, F.concat(whole, F.lit(" junk}"))).when(k == 91, F.concat(whole, whole))
+        .when(k == 92, F.concat(whole, F.lit("],[{}"))).when(k == 93, F.replace(whole, F.lit('"'), F.lit("'")))
+        .when(k == 94, F.concat(whole, F.lit(",{}"))).otherwise(whole)
+    )
+    return table(spark, folder, "events").select("event_id", value.alias("value"))
 
 
 @query
@@ -259,6 +351,12 @@ def contract_dlq(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def encode_events(spark: SparkSession, folder: str) -> DataFrame:
+    events = table(spark, folder, "events").select("event_id", F.nullif("event_type", F.lit("view")).alias("event_type"), "ts")
+    return contract.encode(events.withColumn("ts", F.col("ts") + F.expr("INTERVAL '0.000123' SECOND")))
+
+
 @query
 def contract_counts(spark: SparkSession, folder: str) -> DataFrame:
     return contract.contract_counts(contract.validate_events(flight_json(spark, folder)))
@@ -319,9 +417,14 @@ def hopping_mean(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def sliding_mean(spark: SparkSession, folder: str) -> DataFrame:
-    delayed = _flagged(spark, folder).where(~F.col("late") & (F.col("k") >= 20))
-    result = windows.sliding_mean(delayed, "event_type", "event_ts", "event_id", "value", SLIDING)
-    return result.select("event_id", "event_type", F.round("rolling_mean", 6).alias("rolling_mean"), "rolling_count")
+    """One key is NULL, one has tiny values and one has huge ones; means are shown in the key's own unit."""
+    kind = F.col("event_type")
+    unit = F.when(kind == "click", 1e-7).when(kind == "view", 1e11).otherwise(1.0)
+    delayed = _flagged(spark, folder).where(~F.col("late") & (F.col("k") >= 20)).withColumn("value", F.col("value") * unit)
+    keyed = delayed.withColumns({"event_type": F.nullif(kind, F.lit("signup")), "unit": unit})
+    result = windows.sliding_mean(keyed, "event_type", "event_ts", "event_id", "value", SLIDING)
+    mean = F.round(F.col("rolling_mean") / F.col("unit"), 6)
+    return result.select("event_id", "event_type", mean.alias("rolling_mean"), "rolling_count")
 
 
 @query
@@ -329,6 +432,48 @@ def severe_events(spark: SparkSession, folder: str) -> DataFrame:
     return windows.severe(_flagged(spark, folder), "value", SEVERE, "late").select("event_id", "event_type", "value", "event_ts")
 
 
+# Streams, drained into new tables
+
+
+def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The events file as a stream."""
+    schema = table(spark, folder, "events").schema
+    return read_rows(spark, folder, schema, pathGlobFilter="events.parquet")
+
+
+@query
+def stream_tumbling(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly counts of the windows that the watermark has closed."""
+    out = _place(spark, "stream")
+    events = _event_stream(spark, folder).withColumn("ts", F.col("ts").cast("timestamp"))
+    counts = stream_windows.tumbling_counts(events, "ts", "1 hour", LATENESS)
+    drain(append_sink(counts, f"{out}/table", f"{out}/checkpoint"))
+    return spark.read.parquet(f"{out}/table").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@query
+def stream_anomalies(spark: SparkSession, folder: str) -> DataFrame:
+    out = _place(spark, "stream")
+    found = windows.severe(_event_stream(spark, folder), "value", SEVERE).select("event_id", "event_type", "value")
+    drain(append_sink(found, f"{out}/table", f"{out}/checkpoint"))
+    return spark.read.parquet(f"{out}/table")
+
+
+@query
+def stream_late_drops(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that the exact replay drops as late, and those it keeps."""
+    out = _place(spark, "stream")
+    shifted = (F.col("ts") - F.make_dt_interval(mins=_k())).alias("event_ts")
+    rows = _event_stream(spark, folder).select("event_id", "event_type", "value", shifted)
+    cfg = Replay(
+        ts="event_ts", order="event_id", key="event_type", value="value", delayed="value IS NOT NULL", tumbling="1 hour",
+        sliding=SLIDING, lateness=LATENESS, limit=SEVERE, start="2024-01-01 00:00:00",
+    )
+    drain(replay(rows, f"{out}/tables", f"{out}/checkpoint", cfg))
+    flagged = spark.read.parquet(f"{out}/tables/flagged")
+    return flagged.agg(F.count("*").alias("arrived"), F.count_if("late").alias("dropped"))
+
+
 # Retrieval
 
 
@@ -336,7 +481,7 @@ def sectioned(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as markdown: a title line, and every further line of the text as a section."""
     text = F.concat(F.lit("# "), "lang", F.lit(" document "), F.col("doc_id").cast("string"), F.lit("\n## "),
                     F.replace("text", F.lit("\n"), F.lit("\n## ")))
-    return spread(table(spark, folder, "documents"), "doc_id").select("doc_id", text.alias("text"))
+    return table(spark, folder, "documents").select("doc_id", text.alias("text"))
 
 
 @query
@@ -349,7 +494,7 @@ def questions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    return table(spark, folder, "documents").select("doc_id", "text")
 
 
 def _scored(df: DataFrame) -> DataFrame:
@@ -387,9 +532,18 @@ def knn_approx(spark: SparkSession, folder: str) -> DataFrame:
     return _scored(knn.knn_approx(centroids(spark, folder), vectors, 10))
 
 
+@query
+def knn_scored_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """How many pairs the approximate search looks at, of all there are."""
+    asked, vectors = centroids(spark, folder), table(spark, folder, "embeddings")
+    pairs = knn.candidate_pairs(asked, vectors, "query_id", "vec_id", "embedding", 12, 6)
+    sizes = vectors.agg(F.count("*").alias("n")).join(F.broadcast(asked.agg(F.count("*").alias("m"))))
+    return pairs.agg(F.count("*").alias("scored")).join(F.broadcast(sizes)).select("scored", (F.col("n") * F.col("m")).alias("all_pairs"))
+
+
 @query
 def embed_hashing(spark: SparkSession, folder: str) -> DataFrame:
-    embedded = knn.embed(_documents(spark, folder), "text", knn.hashing_embedder(DIM))
+    embedded = knn.hashed(_documents(spark, folder), "text", DIM)
     slots = embedded.select("doc_id", F.posexplode_outer("embedding").alias("slot", "w"))
     return slots.where("w > 0").select("doc_id", "slot", F.round(F.col("w").cast("double"), 6).alias("weight"))
 
@@ -397,10 +551,8 @@ def embed_hashing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def rrf_fusion(spark: SparkSession, folder: str) -> DataFrame:
     asked, docs = questions(spark, folder), _documents(spark, folder)
-    embedder = knn.hashing_embedder(DIM)
-    dense = knn.knn_topk(
-        knn.embed(asked, "query", embedder), knn.embed(docs, "text", embedder), 10, item_id="doc_id", metric="dot"
-    )
+    embedded = knn.hashed(asked, "query", DIM), knn.hashed(docs, "text", DIM)
+    dense = knn.knn_topk(*embedded, 10, item_id="doc_id", metric="dot")
     sparse = bm25.bm25_topk(asked, docs, 10)
     return fusion.rrf([dense, sparse]).withColumn("fused_score", F.round("fused_score", 9))
 
@@ -416,15 +568,31 @@ def rerank_topn(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def rag_context(spark: SparkSession, folder: str) -> DataFrame:
     asked = questions(spark, folder)
-    sections = materialize(chunk_sections(spark, folder))
-    candidates = bm25.bm25_topk(asked, sections, 8, item_id="chunk_id")
-    found = answer.fetch_chunks(candidates, sections).join(asked, "query_id")
+    sections = materialize(chunk_sections(spark, folder).withColumn("position", chunks.corpus_order("chunk_id")))
+    candidates = bm25.bm25_topk(asked, sections, 8, item_id="position")
+    found = answer.fetch_chunks(candidates, sections, item_id="position").join(asked, "query_id")
     best = fusion.rerank(found, word_overlap(F.col("query"), F.col("text")), 3)
     context = answer.build_context(asked, best)
     cited = F.transform("citations", lambda c: F.concat_ws("|", c["citation"], c["excerpt"]))
     return context.select("query_id", "context", "prompt", F.array_join(cited, ";").alias("citations"))
 
 
+@query
+def ask_questions(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole way of a question: stored index, dense and keyword search, fusion, reranking, context, live status."""
+    flight = lambda key: F.concat(F.lit("SV"), F.lpad((F.col(key) + 100).cast("string"), 3, "0"), F.lit("-20240101"))
+    asked = questions(spark, folder).withColumn("query", F.concat("query", F.lit(" and "), flight("query_id")))
+    state = table(spark, folder, "customer").where("c_custkey < 800 and c_custkey % 2 = 0").select(
+        flight("c_custkey").alias("flight_id"), F.col("c_mktsegment").alias("status"), F.lit(None).cast("string").alias("gate"),
+        F.col("c_nationkey").cast("int").alias("delay_minutes"), F.lit(None).cast("string").alias("delay_reason_code"),
+    )
+    root = _place(spark, "index")
+    index_chunks(chunk_sections(spark, folder), root)
+    found = ask(asked, root, state)
+    cited = F.array_join(F.transform("citations", lambda c: c["citation"]), ";")
+    return found.select("query_id", "context", cited.alias("citations"), F.col("live_status.status").alias("status"), F.col("live_status.delay_minutes").cast("string").alias("delay_minutes"))
+
+
 def _ranked_similarity(spark: SparkSession, folder: str) -> DataFrame:
     found = knn.knn_topk(centroids(spark, folder), table(spark, folder, "embeddings"), 10, metric="cosine")
     return found.withColumnRenamed("score", "similarity")

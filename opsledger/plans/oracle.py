@@ -82,8 +82,10 @@ ORACLE["merge_audit"] = f"{_AUDIT} SELECT * REPLACE (CAST(batch AS VARCHAR) AS b
 ORACLE["version_range"] = f"{_AUDIT} SELECT min(version) AS earliest_version, max(version) AS latest_version FROM audit"
 
 ORACLE["expired_versions"] = """
-SELECT event_id, user_id, ts FROM (
-  SELECT event_id, user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS replaced_at FROM events
+SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, ts FROM (
+  SELECT event_id, nullif(user_id, 7) AS user_id, ts,
+         lead(ts) OVER (PARTITION BY nullif(user_id, 7) ORDER BY ts, event_id) AS replaced_at
+  FROM events
 ) WHERE replaced_at < TIMESTAMP '2024-01-20'
 """
 
@@ -177,8 +179,13 @@ WITH raw AS (
   FROM (SELECT *, {_K} AS k FROM events)
 ), judged AS (
   SELECT *, CASE
-    WHEN k = 99 THEN '|json_invalid|Invalid JSON'
+    WHEN k IN (90, 91, 92, 93, 94, 99) THEN '|json_invalid|Invalid JSON'
     WHEN k = 98 THEN '|model_type|Input should be a valid object'
+    WHEN k = 60 THEN 'origin|string_too_short|String should have at least 3 characters;' ||
+      'status|enum|Input should be ''SCHEDULED'', ''BOARDING'', ''GATE_CHANGE'', ''DEPARTED'', ''DELAYED'', ''ARRIVED'' or ''CANCELLED'''
+    WHEN k = 61 THEN 'airline_code|string_too_short|String should have at least 2 characters;' ||
+      'delay_minutes|greater_than_equal|Input should be greater than or equal to 0;' ||
+      'event_ts|datetime_from_date_parsing|Input should be a valid datetime or date'
     WHEN k = 80 THEN 'flight_id|missing|Field required'
     WHEN k = 10 THEN 'airline_code|string_too_short|String should have at least 2 characters'
     WHEN k = 11 THEN 'airline_code|string_too_long|String should have at most 3 characters'
@@ -208,7 +215,7 @@ SELECT event_id, 'SV' || user_id AS flight_id, 'SV' AS airline_code, CAST(user_i
 FROM judged WHERE reasons IS NULL
 """
 ORACLE["contract_dlq"] = f"""{_REASONS}
-SELECT event_id, CAST(1 AS INTEGER) AS problems, reasons FROM judged WHERE reasons IS NOT NULL
+SELECT event_id, CAST(len(string_split(reasons, ';')) AS INTEGER) AS problems, reasons FROM judged WHERE reasons IS NOT NULL
 """
 ORACLE["contract_counts"] = f"""{_REASONS}
 SELECT count(*) AS consumed, count(*) FILTER (reasons IS NULL) AS accepted, count(reasons) AS rejected FROM judged
@@ -256,12 +263,14 @@ SELECT event_type, time_bucket(INTERVAL 15 MINUTE, ts, TIMESTAMP '2024-01-01') -
 FROM events, range(4) AS hops(hop) GROUP BY 1, 2
 """
 ORACLE["sliding_mean"] = f"""{_FLAGGED}, delayed AS (
-  SELECT *, max(event_ts) OVER (PARTITION BY event_type ORDER BY event_id) AS high
+  SELECT event_id, nullif(event_type, 'signup') AS event_type, event_ts,
+         value * CASE event_type WHEN 'click' THEN 1e-7 WHEN 'view' THEN 1e11 ELSE 1 END AS value,
+         CASE event_type WHEN 'click' THEN 1e-7 WHEN 'view' THEN 1e11 ELSE 1 END AS unit
   FROM flagged WHERE NOT late AND k >= 20
-)
-SELECT i.event_id, i.event_type, round(avg(j.value), 6) AS rolling_mean, count(*) AS rolling_count
-FROM delayed i JOIN delayed j
-  ON j.event_type = i.event_type AND j.event_id <= i.event_id AND j.event_ts > i.high - INTERVAL 60 MINUTE
+), reached AS (SELECT *, max(event_ts) OVER (PARTITION BY event_type ORDER BY event_id) AS high FROM delayed)
+SELECT i.event_id, i.event_type, round(avg(j.value) / any_value(i.unit), 6) AS rolling_mean, count(*) AS rolling_count
+FROM reached i JOIN reached j
+  ON j.event_type IS NOT DISTINCT FROM i.event_type AND j.event_id <= i.event_id AND j.event_ts > i.high - INTERVAL 60 MINUTE
 GROUP BY 1, 2
 """
 ORACLE["severe_events"] = f"{_FLAGGED} SELECT event_id, event_type, value, event_ts FROM flagged WHERE value > 120 AND NOT late"
@@ -282,10 +291,12 @@ pieces AS (
   FROM sections
 )
 """
+# By document as text, then by the number of the section.
+_CHUNK_ORDER = "split_part(chunk_id, '::', 1), CAST(split_part(chunk_id, '::', 2) AS INTEGER)"
 ORACLE["chunk_sections"] = f"WITH {_CHUNKS} SELECT * FROM chunks"
 
 
-def _bm25(source: str, item: str, k: int) -> str:
+def _bm25(source: str, item: str, k: int, order: str | None = None) -> str:
     """CTEs ending in `sparse(query_id, item, score, rank)` over `source(item, text)` for the benchmark texts."""
     return f"""
 questions AS (SELECT item_id AS query_id, text AS query FROM benchmark),
@@ -306,7 +317,7 @@ scores AS (
   FROM questions q CROSS JOIN lengths s LEFT JOIN gains g ON g.query_id = q.query_id AND g.{item} = s.{item}
 ),
 sparse AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, {item}) - 1 AS rank FROM scores
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, {order or item}) - 1 AS rank FROM scores
   QUALIFY rank < {k}
 )"""
 
@@ -335,6 +346,31 @@ WITH {_CENTROIDS}, distances AS (
 SELECT query_id, vec_id, round(score, 6) AS score, {_RANKED} FROM ranked
 """
 
+_BUCKETS = f"""
+planes AS (
+  SELECT t, b, i, CASE WHEN substr(md5(t || ':' || b || ':' || (i - 1)), 1, 1) < '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS s
+  FROM range(12) AS x(t), range(6) AS y(b), (SELECT DISTINCT i FROM flat) AS z
+), item_bits AS (SELECT vec_id, t, b, round(sum(s * x), 9) > 0 AS bit FROM flat JOIN planes USING (i) GROUP BY 1, 2, 3
+), item_keys AS (SELECT vec_id, t, sum(CASE WHEN bit THEN 1 << b ELSE 0 END) AS bucket FROM item_bits GROUP BY 1, 2
+), query_bits AS (SELECT query_id, t, b, round(sum(s * x), 9) > 0 AS bit FROM centroids JOIN planes USING (i) GROUP BY 1, 2, 3
+), query_keys AS (SELECT query_id, t, sum(CASE WHEN bit THEN 1 << b ELSE 0 END) AS bucket FROM query_bits GROUP BY 1, 2
+), pairs AS (SELECT DISTINCT query_id, vec_id FROM item_keys JOIN query_keys USING (t, bucket))
+"""
+ORACLE["knn_approx"] = f"""
+WITH {_CENTROIDS}, {_BUCKETS}, distances AS (
+  SELECT query_id, vec_id, round(-sum((c.x - f.x) * (c.x - f.x)), 9) AS score
+  FROM pairs JOIN centroids c USING (query_id) JOIN flat f USING (vec_id, i) GROUP BY 1, 2
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) - 1 AS rank FROM distances QUALIFY rank < 10
+)
+SELECT query_id, vec_id, round(score, 6) AS score, {_RANKED} FROM ranked
+"""
+ORACLE["knn_scored_pairs"] = f"""
+WITH {_CENTROIDS}, {_BUCKETS}
+SELECT (SELECT count(*) FROM pairs) AS scored,
+       (SELECT count(DISTINCT query_id) FROM centroids) * (SELECT count(DISTINCT vec_id) FROM flat) AS all_pairs
+"""
+
 
 def _hashed(source: str, item: str, text: str) -> str:
     return f"""(
@@ -392,7 +428,7 @@ SELECT query_id, doc_id, {_RANKED}, CAST(candidate_rank AS INTEGER) AS candidate
 FROM reranked
 """
 ORACLE["rag_context"] = f"""
-WITH {_CHUNKS}, {_bm25("chunks", "chunk_id", 8)}, {_reranked("chunks", "chunk_id")},
+WITH {_CHUNKS}, {_bm25("chunks", "chunk_id", 8, _CHUNK_ORDER)}, {_reranked("chunks", "chunk_id")},
 contexts AS (
   SELECT query_id, string_agg('[' || (rank + 1) || '] ' || text, chr(10) || chr(10) ORDER BY rank) AS context,
          string_agg(doc_title || ' > ' || section_title || '|' || substr(text, 1, 200)
@@ -427,3 +463,80 @@ ORACLE["lookup_extracted_key"] = """
 SELECT o_orderkey AS query_id, c_name, c_acctbal, c_mktsegment
 FROM orders LEFT JOIN customer ON o_orderpriority <> '5-LOW' AND c_custkey = o_custkey
 """
+
+# Tables, gates and streams
+
+ORACLE["summary_head"] = f"{ORACLE['daily_summary'].strip()} ORDER BY scheduled_date, airline_code LIMIT 20"
+ORACLE["seed_rows"] = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_custkey, o_orderkey LIMIT 5"
+ORACLE["append_refused"] = """
+SELECT load, (SELECT count(*) FROM events) AS row_count, problems FROM (VALUES
+  ('fits', ''), ('changed', 'column ''user_id'' is string, the table has bigint'),
+  ('missing', 'required column ''event_id'' is missing'), ('new', 'column ''extra'' is not in the table')) AS t(load, problems)
+"""
+ORACLE["clustered_files"] = """
+SELECT count(*) AS row_count, min(o_custkey) AS min_key, max(o_custkey) AS max_key, true AS disjoint FROM orders
+"""
+ORACLE["gate_outcome"] = f"""
+SELECT bool_and(success) AS passed, count(*) FILTER (success) AS checks_passed, count(*) AS checks, max(row_count) AS row_count, 'bronze' AS gate
+FROM ({ORACLE["gate_bronze"]})
+UNION ALL
+SELECT bool_and(success), count(*) FILTER (success), count(*), max(row_count), 'silver' FROM ({ORACLE["gate_silver"]})
+"""
+ORACLE["routed_batch"] = """
+SELECT batch, CASE WHEN (SELECT min(o_totalprice) FROM orders) >= low THEN 'production' ELSE 'quarantine' END AS place,
+       (SELECT count(*) FROM orders) AS row_count
+FROM (VALUES ('low', 0), ('high', 5000)) AS t(batch, low)
+"""
+ORACLE["duplicate_events"] = f"""
+SELECT 'no_duplicate_rows' AS "check", 'uniqueness' AS dimension, count(*) FILTER ({_K} >= 50) = 0 AS success,
+       count(*) FILTER ({_K} >= 50) AS unexpected_count, 2 * count(*) AS row_count
+FROM events
+"""
+ORACLE["encode_events"] = """
+SELECT '{"event_id":' || event_id || ',"event_type":' || CASE WHEN event_type = 'view' THEN 'null' ELSE '"' || event_type || '"' END
+       || ',"ts":"' || strftime(ts + INTERVAL 123 MICROSECOND, '%Y-%m-%dT%H:%M:%S.%f') || '"}' AS value
+FROM events
+"""
+ORACLE["stream_tumbling"] = """
+SELECT date_trunc('hour', ts) AS window_start, count(*) AS events FROM events GROUP BY 1
+HAVING date_trunc('hour', any_value(ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 30 MINUTE
+"""
+ORACLE["stream_anomalies"] = "SELECT event_id, event_type, value FROM events WHERE value > 120"
+ORACLE["stream_late_drops"] = ORACLE["late_counts"]
+
+_ASKED = "SELECT item_id AS query_id, text || ' and SV' || lpad(CAST(item_id + 100 AS VARCHAR), 3, '0') || '-20240101' AS query FROM benchmark"
+_SPARSE_CHUNKS = _bm25("chunks", "chunk_id", 8, _CHUNK_ORDER).replace("SELECT item_id AS query_id, text AS query FROM benchmark", _ASKED)
+_CLOSENESS = "round(2 * coalesce(d, 0) - c.n - q.n, 9)"
+ORACLE["ask_questions"] = f"""
+WITH {_CHUNKS}, {_SPARSE_CHUNKS},
+hashed_queries AS (SELECT * FROM {_hashed("questions", "query_id", "query")}),
+hashed_chunks AS (SELECT * FROM {_hashed("chunks", "chunk_id", "text")}),
+query_norms AS (SELECT query_id, sum(weight::DOUBLE * weight::DOUBLE) AS n FROM hashed_queries GROUP BY 1),
+chunk_norms AS (SELECT chunk_id, sum(weight::DOUBLE * weight::DOUBLE) AS n FROM hashed_chunks GROUP BY 1),
+dots AS (
+  SELECT query_id, chunk_id, sum(q.weight::DOUBLE * c.weight::DOUBLE) AS d
+  FROM hashed_queries q JOIN hashed_chunks c USING (slot) GROUP BY 1, 2
+),
+dense AS (
+  SELECT q.query_id, c.chunk_id,
+         row_number() OVER (PARTITION BY q.query_id ORDER BY {_CLOSENESS} DESC, {_CHUNK_ORDER.replace("chunk_id", "c.chunk_id")}) - 1 AS rank
+  FROM query_norms q CROSS JOIN chunk_norms c LEFT JOIN dots ON dots.query_id = q.query_id AND dots.chunk_id = c.chunk_id
+  QUALIFY rank < 8
+),
+fused AS (
+  SELECT coalesce(d.query_id, s.query_id) AS query_id, coalesce(d.chunk_id, s.chunk_id) AS chunk_id,
+         coalesce(1.0::DOUBLE / (61 + d.rank), 0) + coalesce(1.0::DOUBLE / (61 + s.rank), 0) AS score, d.rank AS dr, s.rank AS sr
+  FROM dense d FULL JOIN sparse s ON d.query_id = s.query_id AND d.chunk_id = s.chunk_id
+),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, dr NULLS LAST, sr) - 1 AS rank FROM fused
+),
+{_reranked("chunks", "chunk_id").replace("FROM sparse c", "FROM ordered c")},
+contexts AS (
+  SELECT query_id, string_agg('[' || (rank + 1) || '] ' || text, chr(10) || chr(10) ORDER BY rank) AS context,
+         string_agg(doc_title || ' > ' || section_title, ';' ORDER BY rank) AS citations
+  FROM reranked GROUP BY 1
+)
+SELECT query_id, context, citations, c_mktsegment AS status, CAST(CAST(c_nationkey AS INTEGER) AS VARCHAR) AS delay_minutes
+FROM contexts JOIN questions USING (query_id) LEFT JOIN customer ON c_custkey = query_id AND c_custkey < 800 AND c_custkey % 2 = 0
+"""

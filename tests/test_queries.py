@@ -5,6 +5,8 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from opsledger.plans.catalog import QUERIES
+from opsledger.plans.oracle import ORACLE
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -37,16 +39,16 @@ def canonical(df: pd.DataFrame) -> list[tuple]:
     return sorted(tuple(cell(v) for v in row) for row in df.itertuples(index=False))
 
 
-def test_every_query_but_the_approximate_one_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"knn_approx"}
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, duck, name):
     found = entry.queries()[name](spark, FOLDER).toPandas()
     expected = duck.execute(entry.oracle_sql()[name]).fetchdf()

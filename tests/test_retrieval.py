@@ -1,3 +1,4 @@
+import hashlib
 import math
 from collections import Counter
 
@@ -6,10 +7,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from opsledger.functions.text import dot, excerpt, extract_first, tokenize, word_overlap
+from opsledger.functions.text import excerpt, extract_first, tokenize, word_overlap
 from opsledger.operators import bm25, fusion, knn
 from opsledger.operators.answer import build_context, fetch_chunks, lookup_extracted_key
-from opsledger.operators.chunks import chunk_sections
+from opsledger.operators.chunks import chunk_of, chunk_sections, corpus_order
 from opsledger.operators.topk import best_of
 
 DOCS = [
@@ -44,14 +45,15 @@ def ranking(df, item="doc_id"):
     return [(r["query_id"], r["rank"], r[item], round(r["score"], 6)) for r in df.orderBy("query_id", "rank").collect()]
 
 
-@pytest.mark.parametrize("max_queries,item_block", [(2000, 20000), (2, 4), (0.04, 3)])
-def test_bm25_equals_brute_force(spark, max_queries, item_block, monkeypatch):
-    """Broadcast queries; blocks of queries and items; and a vocabulary that is joined."""
-    if max_queries < 1:
-        monkeypatch.setattr(bm25, "WORDS_PER_QUERY", 0)
-        max_queries = 2
+@pytest.mark.parametrize("max_words,stored", [(200_000, False), (3, False), (200_000, True)])
+def test_bm25_equals_brute_force(spark, max_words, stored, tmp_path, monkeypatch):
+    """All queries at once, in blocks, and over an index written and read again; small steps in the tasks."""
     asked, docs = frames(spark)
-    found = bm25.bm25_topk(asked, docs, 6, max_queries=max_queries, item_block=item_block)
+    index = bm25.build(docs, "doc_id", "text")
+    if stored:
+        bm25.write(index, str(tmp_path / "index"))
+        index = bm25.read(spark, str(tmp_path / "index"))
+    found = bm25.search(asked, index, 6, max_words=max_words)
     expected = []
     for q, text in enumerate(ASKED):
         scores = brute_force(text)
@@ -79,11 +81,37 @@ def vectors(spark):
     return data.astype(np.float64), queries, df
 
 
-@pytest.mark.parametrize("max_queries,item_block", [(2000, 20000), (4, 50)])
+def test_a_stored_index_opens_only_the_folders_of_its_words(spark, tmp_path):
+    asked, docs = frames(spark)
+    bm25.write(bm25.build(docs, "doc_id", "text"), str(tmp_path / "index"))
+    index = bm25.read(spark, str(tmp_path / "index"))
+    stats = index.stats.first()
+    assert (stats["documents"], round(stats["mean_length"], 3)) == (len(DOCS), round(sum(len(d.split()) for d in DOCS) / len(DOCS), 3))
+    found = bm25.search(asked.where("query_id = 1"), index, 3)
+    assert "PartitionFilters: [bucket" in found._jdf.queryExecution().executedPlan().toString().replace("isnotnull(", "")
+
+
+def test_bm25_ties_and_odd_rows(spark):
+    """Equal scores go by number, not by text; a null text counts as one without words; an empty corpus has no answer."""
+    asked = spark.createDataFrame([(1, "same"), (2, None)], "query_id int, query string")
+    docs = spark.createDataFrame([(10, "same"), (2, "same"), (3, None), (4, "other words"), (5, "x"), (6, "y")], "doc_id bigint, text string")
+    found = ranking(bm25.bm25_topk(asked, docs, 3))
+    assert [r[2] for r in found if r[0] == 1] == [2, 10, 3] and [r[2] for r in found if r[0] == 2] == [2, 3, 4]
+    assert bm25.bm25_topk(asked, docs.limit(0), 3).collect() == [] and bm25.bm25_topk(asked.limit(0), docs, 3).collect() == []
+
+
+def test_large_steps_are_cut_at_texts(spark, monkeypatch):
+    asked, docs = frames(spark)
+    whole = ranking(bm25.bm25_topk(asked, docs, 6))
+    monkeypatch.setattr(bm25, "CELLS", 2)
+    assert ranking(bm25.bm25_topk(asked, docs, 6)) == whole
+
+
+@pytest.mark.parametrize("max_queries", [2000, 4])
 @pytest.mark.parametrize("metric", ["l2", "cosine", "dot"])
-def test_knn_equals_brute_force(vectors, metric, max_queries, item_block):
+def test_knn_equals_brute_force(vectors, metric, max_queries):
     data, queries, df = vectors
-    found = knn.knn_topk(queries, df, 5, metric=metric, max_queries=max_queries, item_block=item_block)
+    found = knn.knn_topk(queries, df, 5, metric=metric, max_queries=max_queries)
     got = {}
     for q, rank, i, s in ranking(found, "vec_id"):
         got.setdefault(q, []).append(i)
@@ -94,11 +122,34 @@ def test_knn_equals_brute_force(vectors, metric, max_queries, item_block):
     assert got["q1"][:3] == [5, 7, 11]
 
 
-def test_approximate_neighbours_recall(vectors):
-    _, queries, df = vectors
+@pytest.mark.parametrize("metric", ["l2", "cosine", "dot"])
+def test_approximate_neighbours(spark, vectors, metric):
+    """Close neighbours are found by looking at a fraction of the pairs, hot buckets cut up or not."""
+    data, queries, _ = vectors
+    rng = np.random.default_rng(9)
+    close = data[np.repeat(np.arange(0, 45, 5), 4)] + 0.05 * rng.normal(size=(36, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([rng.normal(size=(600, 16)), close]).astype(np.float32))]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
     pairs = lambda f: {(r["query_id"], r["vec_id"]) for r in f.collect()}
-    exact, approx = pairs(knn.knn_topk(queries, df, 5)), pairs(knn.knn_approx(queries, df, 5, tables=12))
-    assert len(exact & approx) / len(exact) > 0.8
+    exact, approx = pairs(knn.knn_topk(queries, df, 4, metric="cosine")), pairs(knn.knn_approx(queries, df, 4, metric="cosine"))
+    assert len(exact & approx) / len(exact) > 0.9
+    looked = knn.candidate_pairs(queries, df, "query_id", "vec_id", "embedding", 12, 6)
+    assert looked.count() < 0.35 * 9 * 636
+    assert pairs(knn.candidate_pairs(queries, df, "query_id", "vec_id", "embedding", 12, 6, part=3)) == pairs(looked)
+    found = {(r["query_id"], r["vec_id"]): r["score"] for r in knn.knn_approx(queries, df, 50, metric=metric).collect()}
+    every = {(r["query_id"], r["vec_id"]): r["score"] for r in knn.knn_topk(queries, df, 636, metric=metric).collect()}
+    assert all(abs(every[p] - s) < 1e-6 for p, s in found.items())
+
+
+def test_unsound_vectors_take_no_part_and_are_listed(spark):
+    nan = float("nan")
+    rows = [(1, [1.0, 0.0]), (2, None), (3, [1.0]), (4, [nan, 0.0]), (5, [None, 1.0]), (6, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id int, embedding array<float>")
+    asked = spark.createDataFrame([("q", [1.0, 0.1]), ("z", None)], "query_id string, embedding array<float>")
+    for search in (knn.knn_topk, knn.knn_approx):
+        assert {r["vec_id"] for r in search(asked, df, 9).collect()} <= {1, 6}
+    assert [r["vec_id"] for r in knn.knn_topk(asked, df, 9).orderBy("rank").collect()] == [1, 6]
+    assert sorted(r["vec_id"] for r in knn.unsound(df, 2).collect()) == [2, 3, 4, 5]
 
 
 def test_best_of_keeps_the_first_of_equal_scores():
@@ -111,8 +162,19 @@ def test_embedding_plug_in(spark):
     df = spark.createDataFrame([(1, "a b"), (2, "a  B"), (3, "")], "id int, text string")
     lengths = knn.embed(df, "text", lambda texts: np.array([[len(t), 1.0] for t in texts]))
     assert [r["embedding"] for r in lengths.orderBy("id").collect()] == [[3.0, 1.0], [4.0, 1.0], [0.0, 1.0]]
-    hashed = knn.embed(df, "text", knn.hashing_embedder(8)).select("id", dot(F.col("embedding"), F.col("embedding")).alias("n"))
-    assert [round(r["n"], 5) for r in hashed.orderBy("id").collect()] == [1.0, 1.0, 0.0]
+
+
+def test_hashed_embedding_is_column_expressions(spark):
+    texts = ["a b", "a  B", "", None, "x " * 500 + "y"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    hashed = knn.hashed(df, "text", 8)
+    for r in hashed.collect():
+        counts = np.zeros(8)
+        for w in (r["text"] or "").lower().split():
+            counts[int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 8] += 1
+        np.testing.assert_allclose(r["embedding"], counts / max(np.linalg.norm(counts), 1e-300), rtol=1e-6)
+    plan = hashed._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
 def lists(spark, *orders):
@@ -186,6 +248,13 @@ def test_chunks(spark):
     }
 
 
+def test_chunks_in_corpus_order(spark):
+    ids = ["a::10", "a::2", "b::0", "a::2::1", "a::0"]
+    df = spark.createDataFrame([(i,) for i in ids], "chunk_id string").withColumn("position", corpus_order("chunk_id"))
+    rows = df.withColumn("back", chunk_of("position")).orderBy("position").collect()
+    assert [r["chunk_id"] for r in rows] == ["a::0", "a::2", "a::10", "a::2::1", "b::0"] and all(r["back"] == r["chunk_id"] for r in rows)
+
+
 def test_context_and_citations(spark):
     asked = spark.createDataFrame([(1, "why?"), (2, "none")], "query_id int, query string")
     chunks = spark.createDataFrame([("a", "Doc", "Sec", "x" * 201), ("b", "Doc", "Two", "short")],
