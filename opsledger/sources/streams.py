@@ -73,6 +73,8 @@ def append_sink(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parqu
     return stream.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint).option("path", path)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
-    """Write one micro-batch to its own partition folder. Repeating the batch replaces it."""
-    df.write.format(fmt).mode("overwrite").save(f"{path}/batch_id={batch_id}")
+def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", by: str | None = None) -> None:
+    """Write one micro-batch to its own partition folder, below it by the values of `by`. Repeating the batch replaces it."""
+    # Rebalancing brings the rows of a value together and splits values with very many.
+    writer = df.write if by is None else df.hint("rebalance", by).write.partitionBy(by)
+    writer.format(fmt).mode("overwrite").save(f"{path}/batch_id={batch_id}")

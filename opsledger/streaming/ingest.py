@@ -9,6 +9,9 @@ from opsledger.operators.contract import FLIGHT_CONTRACT, Contract, contract_cou
 from opsledger.operators.layout import check_append
 from opsledger.sources.streams import each_batch, write_batch
 
+# The history lies in folders by load and by this day, so that reads of some days skip the others.
+DAY = "scheduled_date"
+
 
 def ingest(
     messages: DataFrame, bronze: str, dead_letters: str, checkpoint: str, contract: Contract = FLIGHT_CONTRACT
@@ -23,7 +26,7 @@ def ingest(
         judged = validate_events(batch.select("value"), contract).persist()
         try:
             accepted, dead = split_accepted(judged)
-            write_batch(check_append(to_bronze(accepted), BRONZE_SCHEMA), bronze, batch_id)
+            write_batch(check_append(to_bronze(accepted), BRONZE_SCHEMA), bronze, batch_id, by=DAY)
             write_batch(dead, dead_letters, batch_id)
         finally:
             judged.unpersist()

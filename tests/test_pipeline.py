@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,8 +49,9 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert pipeline.bronze_table(spark, paths).count() == 8
 
     # A bad record that slipped into the history halts everything after the gate.
-    bad = spark.read.parquet(paths.bronze).limit(1).withColumn("delay_minutes", F.lit(-500)).drop("batch_id")
-    bad.write.parquet(f"{paths.bronze}/batch_id=99")
+    bad = pipeline.bronze_table(spark, paths).limit(1).withColumn("delay_minutes", F.lit(-500)).drop("batch_id")
+    good = pipeline.bronze_table(spark, paths).limit(1).withColumn("flight_id", F.lit("NEW")).drop("batch_id")
+    bad.unionByName(good).write.partitionBy("scheduled_date").parquet(f"{paths.bronze}/batch_id=99")
     with pytest.raises(QualityGateError, match="delay_minutes"):
         pipeline.run(spark, paths)
     assert run_states(spark, paths)[-4:] == [
@@ -57,6 +59,30 @@ def test_pipeline_end_to_end(spark, tmp_path):
     ]
     assert pipeline.silver_versions(spark, paths) == [0, 1]
 
+    # The bad row is moved away, and the next run merges what is left of its load.
+    assert pipeline.purge(spark, paths) == 1 and pipeline.purge(spark, paths) == 0
+    assert [r["delay_minutes"] for r in spark.read.parquet(paths.purged).collect()] == [-500]
+    pipeline.run(spark, paths)
+    assert pipeline.silver_versions(spark, paths) == [0, 1, 99]
+    assert {r["flight_id"] for r in pipeline.silver_table(spark, paths).collect()} == {"A", "B", "C", "E", "NEW"}
+
+
+def test_a_merge_rewrites_only_the_parts_it_touches(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    paths = Paths(str(tmp_path / "in"), str(tmp_path / "tables"))
+    send(paths, "0.json", *({"flight_id": f"F{i}"} for i in range(60)))
+    pipeline.load(spark, paths, 120)
+    pipeline.merge(spark, paths)
+    send(paths, "1.json", {"flight_id": "F7", "status": "ARRIVED", "event_ts": "2026-08-07T00:00:00"}, {"flight_id": "G"})
+    pipeline.load(spark, paths, 120)
+    pipeline.merge(spark, paths)
+    first, second = (set(os.listdir(f"{paths.silver}/version={v}")) for v in (0, 1))
+    parts = lambda names: {n for n in names if n.startswith("part=")}
+    assert len(parts(first)) > 20 and 1 <= len(parts(second)) <= 2
+    merged, rebuilt = pipeline.silver_table(spark, paths), pipeline.rebuild_silver(spark, paths)
+    assert sorted(map(str, merged.select(rebuilt.columns).collect())) == sorted(map(str, rebuilt.collect()))
+    assert pipeline.silver_table(spark, paths, 0).count() == 60 and merged.count() == 61
+
 
 def test_rebuilt_state_equals_the_merged_one(spark, tmp_path):
     (tmp_path / "in").mkdir()
