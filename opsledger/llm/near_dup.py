@@ -9,7 +9,7 @@ for 2 * tables * rows hash functions instead of 2 * tables**2 * rows.
 3. Where a bucket still holds members outside its hub's component, exactly these are compared with the
    members of other components, in bounded blocks by half key. No candidate of the tables is left out.
 4. Candidates whose minima agree in fewer than `floor` of all hash functions, or whose set sizes rule the
-   similarity out, are dropped (six standard deviations below the threshold); the others are confirmed
+   similarity out, are dropped (five standard deviations below the threshold); the others are confirmed
    on their full sets, computed from whole texts.
 
 Rows with a null id are returned with null component and kept; a text that is null or has no word has an
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from opsledger.llm import rolling
 from opsledger.llm.batches import mapper, steps, text_column
 from opsledger.llm.components import components
+from opsledger.llm.spans import gather
 from opsledger.llm.tables import materialize
 
 _SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, minima array<int>"
@@ -53,9 +54,9 @@ class Rule:
 
     @property
     def floor(self) -> int:
-        """Fewest agreeing minima of a candidate: six standard deviations below the expected number."""
+        """Fewest agreeing minima of a candidate: five standard deviations below the expected number."""
         s = self.share / self.of
-        return max(1, int(self.hashes * s - 6 * (self.hashes * s * (1 - s)) ** 0.5))
+        return max(1, int(self.hashes * s - 5 * (self.hashes * s * (1 - s)) ** 0.5))
 
 
 def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -160,11 +161,10 @@ def _confirm_stars(rule: Rule):
 
 def _star_links(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (a, b) confirmed on full sets. Each hub's partners are dealt into parts of about BLOCK."""
-    counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    counts = materialize(pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("parts")))
     dealt = pairs.join(counts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
-    one = texts.dropDuplicates(["doc_id"])
-    members = dealt.select("a", "part", F.lit(False).alias("lead"), F.col("b").alias("doc_id")).join(one, "doc_id")
-    leads = dealt.select("a", "part").distinct().select("a", "part", F.lit(True).alias("lead"), F.col("a").alias("doc_id")).join(one, "doc_id")
+    members = dealt.select("a", "part", F.lit(False).alias("lead"), F.col("b").alias("doc_id")).join(texts, "doc_id")
+    leads = dealt.select("a", "part").distinct().select("a", "part", F.lit(True).alias("lead"), F.col("a").alias("doc_id")).join(texts, "doc_id")
     columns = ["a", "part", "lead", "doc_id", "text"]
     rows = leads.select(columns).unionByName(members.select(columns))
     return rows.repartition("a", "part").sortWithinPartitions("a", "part", F.desc("lead")).mapInArrow(_confirm_stars(rule), _LINKS)
@@ -180,34 +180,39 @@ def _confirm_block(rule: Rule):
         probe = block.column("probe").combine_chunks().to_numpy(zero_copy_only=False)
         ids, comp, n = (block.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles"))
         outer, inner = np.flatnonzero(probe), np.flatnonzero(~probe)
-        wanted = []
-        for x in outer:
-            ok = (comp[inner] != comp[x]) & (np.minimum(n[inner], n[x]) * rule.of >= np.maximum(n[inner], n[x]) * rule.share)
-            some = inner[ok]
-            some = some[(minima[some] == minima[x]).sum(1) >= rule.floor]
-            if len(some):
-                # A pair is looked at in the first table of collection A that it shares.
-                some = some[np.argmax(half[some] == half[x], axis=1) == table]
-            if len(some):
-                wanted.append((x, some))
-        found: set[tuple[int, int]] = set()
-        if wanted:
-            used = np.unique(np.concatenate([np.append(some, x) for x, some in wanted]))
-            place = np.full(len(ids), -1)
-            place[used] = np.arange(len(used))
+        least, most = np.minimum.outer(n[outer], n[inner]), np.maximum.outer(n[outer], n[inner])
+        wanted = (comp[outer][:, None] != comp[inner]) & (least * rule.of >= most * rule.share)
+        # A pair is looked at in the first table of collection A that it shares.
+        for t in range(table):
+            wanted &= half[outer, t][:, None] != half[inner, t]
+        agree = np.zeros(wanted.shape, dtype=np.int16)
+        if wanted.any():
+            for k in range(rule.hashes):
+                agree += minima[outer, k][:, None] == minima[inner, k]
+            wanted &= agree >= rule.floor
+        found: list[tuple[int, int]] = []
+        if wanted.any():
+            used = np.union1d(outer[wanted.any(axis=1)], inner[wanted.any(axis=0)])
             column = text_column(block.column("text").combine_chunks().take(pa.array(used)))
             rows, codes = rolling.shingle_sets(rolling.Texts.of(column), rule.size)
             edge = np.searchsorted(rows, np.arange(len(used) + 1))
-            for x, some in wanted:
-                own = codes[edge[place[x]] : edge[place[x] + 1]]
-                reached = set()
-                for y in some:
-                    if comp[y] not in reached:
-                        other = codes[edge[place[y]] : edge[place[y] + 1]]
-                        at = np.minimum(np.searchsorted(own, other), len(own) - 1)
-                        if _enough((own[at] == other).sum(), len(own), len(other), rule):
-                            reached.add(comp[y])
-                            found.add((int(ids[x]), int(ids[y])))
+            names, word = np.unique(codes, return_inverse=True)
+            own = np.zeros(len(names), dtype=bool)
+            place = np.full(len(ids), -1)
+            place[used] = np.arange(len(used))
+            for x, mask in zip(outer, wanted):
+                if not mask.any():
+                    continue
+                mine = word[edge[place[x]] : edge[place[x] + 1]]
+                some = inner[mask]
+                start, size = edge[place[some]], edge[place[some] + 1] - edge[place[some]]
+                own[mine] = True
+                hits = own[gather(word, start, size)]
+                both = np.add.reduceat(hits, np.cumsum(size) - size, dtype=np.int64)
+                own[mine] = False
+                linked = some[_enough(both, len(mine), size, rule)]
+                _, first = np.unique(comp[linked], return_index=True)
+                found += [(int(ids[x]), int(ids[y])) for y in linked[first]]
         a, b = zip(*found) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -229,25 +234,24 @@ def _half_rows(rule: Rule):
 
 def _left_over(buckets: DataFrame, hubs: DataFrame, found: DataFrame, reps: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """Links between members that no hub has tied together yet."""
-    label = components(found).select(F.col("node").alias("doc_id"), "component")
+    label = materialize(components(found).select(F.col("node").alias("doc_id"), "component"))
     hub_label = label.select(F.col("doc_id").alias("hub"), F.col("component").alias("hub_component"))
     marked = (
         buckets.filter("n > 2").join(hubs, "key").join(label, "doc_id", "left").join(hub_label, "hub", "left")
         .select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"), F.coalesce("hub_component", "hub").alias("main"))
         .withColumn("outside", F.col("component") != F.col("main"))
     )
-    open_keys = marked.groupBy("key").agg(F.max("outside").alias("open")).filter("open").select("key")
+    open_keys = materialize(marked.groupBy("key").agg(F.max("outside").alias("open")).filter("open").select("key"))
     status = materialize(
         marked.join(open_keys, "key").groupBy("doc_id").agg(F.max("outside").alias("outside"), F.first("component").alias("component"))
     )
     halves = reps.join(status.select("doc_id"), "doc_id").select("doc_id", "minima").mapInArrow(_half_rows(rule), "table long, half long, doc_id long")
     placed = materialize(halves.join(status, "doc_id"))
-    groups = (
+    groups = materialize(
         placed.groupBy("table", "half")
         .agg(F.count("*").alias("members"), F.count_if("outside").alias("probes"))
         .filter("members > 1 and probes > 0")
-        .withColumn("m", F.ceil(F.col("members") / BLOCK))
-        .withColumn("p", F.ceil(F.col("probes") / BLOCK))
+        .select("table", "half", F.ceil(F.col("members") / BLOCK).alias("m"), F.ceil(F.col("probes") / BLOCK).alias("p"))
     )
     dealt = placed.join(groups, ["table", "half"])
     inner = dealt.withColumns({
@@ -258,7 +262,7 @@ def _left_over(buckets: DataFrame, hubs: DataFrame, found: DataFrame, reps: Data
     })
     keep = ["table", "half", "mi", "pi", "probe", "doc_id", "component"]
     rows = inner.select(keep).unionByName(outer.select(keep))
-    full = rows.join(reps.select("doc_id", "n_shingles", "minima"), "doc_id").join(texts.dropDuplicates(["doc_id"]), "doc_id")
+    full = rows.join(reps.select("doc_id", "n_shingles", "minima"), "doc_id").join(texts, "doc_id")
     return full.groupBy("table", "half", "mi", "pi").applyInArrow(_confirm_block(rule), _LINKS)
 
 
@@ -273,7 +277,7 @@ def link_classes(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataF
         .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col("doc_id")).alias("rep"),
                 F.when(F.col("rep") == F.col("doc_id"), F.col("minima")).alias("minima"))
     )
-    reps = members.filter("rep = doc_id and n_shingles > 0 and minima is not null").dropDuplicates(["doc_id"])
+    reps = materialize(members.filter("rep = doc_id and n_shingles > 0 and minima is not null").dropDuplicates(["doc_id"]).drop("rep"))
     keys = reps.select("doc_id", "minima").mapInArrow(_table_keys(rule), _KEYS)
     shared = materialize(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
     buckets = materialize(keys.join(shared, "key"))
@@ -288,7 +292,7 @@ def link_classes(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataF
     likely = materialize(
         pairs.join(left, "a").join(right, "b").filter(_sizes_fit(F.col("n_a"), F.col("n_b"), rule)).filter(agree >= rule.floor).select("a", "b")
     )
-    texts = materialize(docs.join(buckets.select("doc_id").distinct(), "doc_id", "left_semi"))
+    texts = materialize(docs.join(buckets.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     stars = materialize(_star_links(likely, texts, rule))
     rest = _left_over(buckets, hubs, stars, reps, texts, rule)
     return members.select("doc_id", "n_shingles", "rep"), materialize(stars.unionByName(rest))
