@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # What counts as white space (as a pattern, and as the characters themselves), and
 # what ends a line.
 SPACE = r"[\s\x1C-\x1F]"
+# The same set spelled out, which a pattern without Unicode classes matches several times faster.
+SPACE_SET = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 SPACES = (
     "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -30,7 +32,7 @@ def heading(text: Column, marks: str) -> Column:
 
 def tokenize(text: Column) -> Column:
     """Lower-case words separated by white space."""
-    return F.filter(F.split(F.lower(text), f"(?U){SPACE}+"), lambda word: word != "")
+    return F.filter(F.split(F.lower(text), f"{SPACE_SET}+"), lambda word: word != "")
 
 
 def extract_first(text: Column, pattern: str) -> Column:

@@ -10,9 +10,11 @@ ids can ever fill a list.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -57,18 +59,17 @@ class Index:
 def _count_words(id_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch.column("words")
-            size = np.diff(words.offsets.to_numpy())
-            coded = words.flatten().dictionary_encode()
-            n = max(1, len(coded.dictionary))
-            key, tf = np.unique(np.repeat(np.arange(len(words)), size) * n + coded.indices.to_numpy(), return_counts=True)
-            row = key // n
+            # Splitting without an argument cuts at the white space that `tokenize` cuts at.
+            words = [text.split() for text in batch.column("text").to_pylist()]
+            counts = [Counter(w) for w in words]
+            sizes = np.array([len(c) for c in counts], dtype=np.int64)
+            row = np.repeat(np.arange(len(words)), sizes)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(id_col).take(pa.array(row)),
-                    pa.array(size[row].astype(np.int32)),
-                    coded.dictionary.take(pa.array(key % n)),
-                    pa.array(tf.astype(np.int32)),
+                    pa.array(np.array([len(w) for w in words], dtype=np.int32)[row]),
+                    pa.array(list(chain.from_iterable(counts)), pa.string()),
+                    pa.array(np.fromiter(chain.from_iterable(c.values() for c in counts), dtype=np.int32, count=int(sizes.sum()))),
                 ],
                 names=[id_col, "length", "term", "tf"],
             )
@@ -78,10 +79,9 @@ def _count_words(id_col: str):
 
 def postings(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, length, term, tf): how often each word occurs in each text, and the text's length. No shuffle."""
-    empty = F.array().cast("array<string>")
-    words = df.select(id_col, F.coalesce(tokenize(F.col(text_col)), empty).alias("words"))
+    lowered = df.select(id_col, F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
     kind = df.schema[id_col].dataType.simpleString()
-    return words.mapInArrow(_count_words(id_col), f"`{id_col}` {kind}, length int, term string, tf int")
+    return lowered.mapInArrow(_count_words(id_col), f"`{id_col}` {kind}, length int, term string, tf int")
 
 
 def document_frequency(index: DataFrame) -> DataFrame:
