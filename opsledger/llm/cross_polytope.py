@@ -206,7 +206,8 @@ def near_vectors(vectors: DataFrame, rule: Rule = Rule()) -> DataFrame:
         marked.filter("sound").groupBy("vector").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")).withColumn("dim", F.size("vector"))
     )
     keys = classes.select("vec_id", "vector", "dim").mapInArrow(_explode_keys(rule), "key long, vec_id long").distinct()
-    sizes = keys.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    # What is joined back to many rows of one key is a table of its own: then Spark can split those rows.
+    sizes = materialize(keys.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.count("*").alias("n")).filter("n > 1").drop("n"))
     placed = keys.join(sizes, "key").withColumn("home", F.pmod(F.xxhash64("vec_id"), "blocks"))
     others = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     paired = placed.withColumn("other", F.explode(others)).select(
@@ -216,9 +217,10 @@ def near_vectors(vectors: DataFrame, rule: Rule = Rule()) -> DataFrame:
     found = materialize(rows.mapInArrow(_blocks(rule), "vec_id long, links long, root long"))
     counts = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
     label = components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b"))).select(F.col("node").alias("vec_id"), "component")
-    ends = classes.join(counts, "vec_id", "left").join(label, "vec_id", "left").select(
+    ended = classes.join(counts, "vec_id", "left").join(label, "vec_id", "left").select(
         "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id")
     )
+    ends = materialize(ended)
     linked = marked.filter("sound").join(ends, "vector").select("vec_id", "n_links", "component_id")
     alone = marked.filter("not sound").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
