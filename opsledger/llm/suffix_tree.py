@@ -172,7 +172,8 @@ def grow(learning: DataFrame, vocab: DataFrame, rule: Rule = Rule()) -> Tree:
     """The suffix tree of the learning texts."""
     totals = vocab.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     tokens, kinds = totals["n"], totals["v"]
-    top = {r["key"]: r["n"] for r in vocab.filter(F.col("n") * rule.symbols >= tokens).collect()}
+    frequent = vocab.filter(F.col("n") * rule.symbols >= tokens).toArrow()
+    top = dict(zip(frequent.column("key").to_pylist(), frequent.column("n").to_pylist()))
     if END not in top:
         ends = vocab.filter(F.col("key") == END).first()
         top[END] = ends["n"] if ends else 0
@@ -188,10 +189,17 @@ def grow(learning: DataFrame, vocab: DataFrame, rule: Rule = Rule()) -> Tree:
     if tokens:
         table = materialize(_context_counts(learning, symbols)).withColumn("context", F.floor(F.col("key") / size))
         frequent = table.groupBy("context").agg(F.sum("n").alias("total")).filter(F.col("total") * rule.support >= tokens)
-        rows = table.join(frequent.select("context"), "context").select("context", (F.col("key") % size).alias("symbol"), "n").collect()
+        # At most `support` contexts of either depth, each with at most `symbols` entries.
+        rows = table.join(materialize(frequent.select("context")), "context").select("context", (F.col("key") % size).alias("symbol"), "n").toArrow()
+        context, symbol, n = (rows.column(c).to_numpy() for c in ("context", "symbol", "n"))
         dist: dict[int, np.ndarray] = {}
-        for r in rows:
-            dist.setdefault(r["context"], np.zeros(size))[r["symbol"]] = r["n"]
+        names, back = np.unique(context, return_inverse=True)
+        order = np.argsort(back, kind="stable")
+        cut = np.searchsorted(back[order], np.arange(len(names) + 1))
+        for k, c in enumerate(names.tolist()):
+            own = order[cut[k] : cut[k + 1]]
+            dist[c] = np.zeros(size)
+            dist[c][symbol[own]] = n[own]
 
         def add(n: np.ndarray, parent: np.ndarray) -> int:
             spread = (n > 0).sum()
@@ -226,8 +234,8 @@ def score(docs: DataFrame, vocab: DataFrame, tree: Tree, rule: Rule = Rule()) ->
     spark = docs.sparkSession
     whole = float(np.log10(tree.tokens + 0.5 * (tree.words + 1)))
     inside = float(np.log10(tree.other_mass))
-    often = vocab.filter(F.col("n") * rule.known >= tree.tokens).collect()
-    order = sorted((r["key"], r["n"]) for r in often) or [(END, 0)]
+    often = vocab.filter(F.col("n") * rule.known >= tree.tokens).toArrow()  # at most `known` words
+    order = sorted(zip(often.column("key").to_pylist(), often.column("n").to_pylist())) or [(END, 0)]
     shared = spark.sparkContext.broadcast((tree, np.array([k for k, _ in order]), np.array([n for _, n in order], dtype=float)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
