@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Text handed to one vectorised step, in bytes. A single longer text makes a longer step.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 19
 
 
 def text_column(column: pa.Array) -> pa.Array:

@@ -25,6 +25,7 @@ from opsledger.llm.batches import mapper, text_column
 
 RESULTS = ["lang_pred", "score", "ambiguous"]
 UNKNOWN = "und"
+ROWS = 256
 # Byte values as features: letters in lower case and bytes of longer characters stay, the rest reads as a space.
 _FOLD = np.full(256, 32, dtype=np.int64)
 _FOLD[97:123] = np.arange(97, 123)
@@ -112,8 +113,9 @@ def learn(labelled: DataFrame, rule: Rule = Rule()) -> Model:
     width = rule.width
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x = features(text_column(batch.column("text")), width).astype(np.float32)
-        return pa.RecordBatch.from_arrays([batch.column("lang"), pa.array([r.tobytes() for r in x], pa.binary())], names=["lang", "x"])
+        texts = text_column(batch.column("text"))
+        x = [r.astype(np.float32).tobytes() for k in range(0, len(texts), ROWS) for r in features(texts.slice(k, ROWS), width)]
+        return pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(x, pa.binary())], names=["lang", "x"])
 
     rows = known.filter(drawn).limit(rule.most_rows).mapInArrow(mapper(step), "lang string, x binary").collect()
     rows.sort(key=lambda r: (r["lang"], bytes(r["x"])))
@@ -157,7 +159,10 @@ def predict(docs: DataFrame, model: Model, rule: Rule = Rule()) -> DataFrame:
     ])
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        margins = features(text_column(batch.column("text")), rule.width) @ model.weights[:-1] + model.weights[-1]
+        texts = text_column(batch.column("text"))
+        # Short texts are many: their feature rows are made a few at a time.
+        made = [features(texts.slice(k, ROWS), rule.width) @ model.weights[:-1] for k in range(0, len(texts), ROWS)]
+        margins = np.concatenate(made) + model.weights[-1]
         best, score, second = decode(margins, model)
         letters = batch.column("has_letter").to_numpy(zero_copy_only=False)
         lang = [model.languages[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), letters.tolist())]
