@@ -102,6 +102,66 @@ def test_contexts_that_matter_become_states(spark):
     np.testing.assert_allclose((10**tree.log10).sum(axis=1), 1)
 
 
+def plain_scores(rows, rule):
+    """Scores over every context of the learning texts, by dictionaries; `()` is the root, contexts end with the latest symbol."""
+    after, counts = {}, Counter(w for _, held, t in rows if not held for w in [*words(t), None])
+    for _, held, text in rows:
+        told = ["<start>", *words(text), None]
+        for at in range(1, len(told)):
+            for d in range(1, rule.depth + 1):
+                if not held and d <= at:
+                    after.setdefault(tuple(told[at - d : at]), Counter())[told[at]] += 1
+    tested = {c: n for c, n in after.items() if sum(n.values()) >= rule.least}
+
+    def chance(c, w):
+        if not c:
+            return (counts[w] + 0.5) / (sum(counts.values()) + 0.5 * (len(counts) + 1))
+        n = tested[c]
+        return (n[w] + len(n) * chance(c[1:], w)) / (sum(n.values()) + len(n))
+
+    def diverges(c):
+        n, total, size = tested[c], sum(tested[c].values()), sum(len(o) == len(c) for o in tested)
+        far = sum(k * math.log(k / total / chance(c[1:], w)) for w, k in n.items())
+        gains = []
+        for a in suffix_tree.PRIORS:
+            each = (math.lgamma(k + a * chance(c[1:], w)) - math.lgamma(a * chance(c[1:], w)) - k * math.log(chance(c[1:], w)) for w, k in n.items())
+            gains.append(math.lgamma(a) - math.lgamma(a + total) + sum(each))
+        return far >= rule.divergence * total and max(gains) - math.log(len(gains)) >= math.log(size) + rule.chance
+
+    states = {c[k:] for c in tested if diverges(c) for k in range(len(c))}
+    scores = []
+    for _, _, text in rows:
+        told = ["<start>", *words(text), None]
+        before = [[c for d in range(rule.depth, 0, -1) if d <= at and (c := tuple(told[at - d : at])) in states] for at in range(1, len(told))]
+        scores.append(sum(math.log10(chance(c[0] if c else (), w)) for c, w in zip(before, told[1:])))
+    return scores, states
+
+
+@pytest.mark.parametrize("known", [100_000, 1])
+def test_scores_are_those_of_all_contexts_counted_plainly(spark, known):
+    """Looked up in the task or met in the join."""
+    draw, rule = np.random.default_rng(6), suffix_tree.Rule(known=known)
+    pool = [f"w{k}" for k in range(60)]
+    rows = [(k, bool(k % 5 == 1), " ".join(draw.choice(pool, int(draw.integers(0, 40))))) for k in range(80)]
+    rows += [(100 + k, False, f"{draw.choice(pool)} {['one fine phrase of words', 'two fine phrase of signs'][k % 2]} {draw.choice(pool)}") for k in range(40)]
+    rows += [(200, True, "two fine phrase of words"), (201, False, None), (202, True, "")]
+    expected, states = plain_scores(rows, rule)
+    found = {r.doc_id: r.score for r in scored_rows(spark, rows, rule)}
+    assert max(map(len, states)) == 4 and len(found) == len(rows)
+    assert [found[r[0]] for r in rows] == pytest.approx(expected, abs=1e-6)
+
+
+def test_a_phrase_far_below_any_share_of_the_corpus_becomes_states(spark):
+    """Ten copies of a phrase of words found nowhere else, among 60,000 tokens."""
+    draw = np.random.default_rng(7)
+    pool = [f"w{k}" for k in range(3000)]
+    rows = [(k, False, " ".join(draw.choice(pool, 600))) for k in range(100)]
+    rows += [(200 + k, False, "w1 quiet amber rivers turn slowly w2") for k in range(10)]
+    rows += [(300, True, "quiet amber rivers turn slowly"), (301, True, "slowly turn rivers amber quiet")]
+    by = {r.doc_id: r for r in scored_rows(spark, rows)}
+    assert by[300].score > by[300].base_score + 5 and by[301].score < by[300].score - 5
+
+
 def test_scoring_held_out_documents_beats_the_word_model(spark):
     docs = spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", (fold() == 1).alias("held_out"), "text")
     held = suffix_tree.learn_and_score(docs).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
