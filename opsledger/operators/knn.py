@@ -102,17 +102,27 @@ def hyperplanes(tables: int, bits: int, dim: int) -> np.ndarray:
     )
 
 
-def _bucket_rows(planes: np.ndarray, tables: int, bits: int, id_col: str, vector: str):
+def _bucket_rows(planes: np.ndarray, tables: int, bits: int, id_col: str, vector: str, probes: int = 0):
+    """The bucket of a vector in each table, and the `probes` buckets across the planes that it lies closest to."""
+    flips = np.arange(1 << bits)
+    crossed = (flips[:, None] >> np.arange(bits)) & 1
+    each = min(probes + 1, len(flips))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = 1 << np.arange(bits)
         for batch in batches:
-            side = (np.round(_matrix(batch.column(vector)) @ planes.T, DECIMALS) > 0).reshape(-1, tables, bits)
+            place = np.round(_matrix(batch.column(vector)) @ planes.T, DECIMALS).reshape(-1, tables, bits)
+            bucket = ((place > 0) @ weights)[:, :, None]
+            if each > 1:
+                far = np.round((place**2) @ crossed.T, DECIMALS)
+                far[:, :, 0] = -1.0
+                bucket = bucket ^ np.argsort(far, axis=2, kind="stable")[:, :, :each]
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(id_col).take(pa.array(np.repeat(np.arange(n), tables))),
-                    pa.array(np.tile(np.arange(tables, dtype=np.int32), n)),
-                    pa.array((side @ weights).ravel().astype(np.int32)),
+                    batch.column(id_col).take(pa.array(np.repeat(np.arange(n), tables * each))),
+                    pa.array(np.tile(np.repeat(np.arange(tables, dtype=np.int32), each), n)),
+                    pa.array(bucket.ravel().astype(np.int32)),
                 ],
                 names=[id_col, "table", "bucket"],
             )
@@ -121,9 +131,9 @@ def _bucket_rows(planes: np.ndarray, tables: int, bits: int, id_col: str, vector
 
 
 def candidate_pairs(
-    queries: DataFrame, vectors: DataFrame, query_id: str, item_id: str, vector: str, tables: int, bits: int, part: int = 100_000
+    queries: DataFrame, vectors: DataFrame, query_id: str, item_id: str, vector: str, tables: int, bits: int, part: int = 100_000, probes: int = 0
 ) -> DataFrame:
-    """Distinct (query_id, item_id) that share a bucket in some table.
+    """Distinct (query_id, item_id) that share a bucket in some table; a query also visits `probes` near buckets of each.
 
     Buckets of more than `part` items are cut into parts that the queries visit one by one. There are
     tables * 2**bits buckets at most, so their sizes can be sent everywhere.
@@ -131,12 +141,12 @@ def candidate_pairs(
     dim = dimension(queries, vector)
     planes = hyperplanes(tables, bits, dim)
 
-    def dealt(df: DataFrame, id_col: str) -> DataFrame:
+    def dealt(df: DataFrame, id_col: str, probes: int = 0) -> DataFrame:
         kind = df.schema[id_col].dataType.simpleString()
         sound = df.select(id_col, vector).where(is_sound(vector, dim))
-        return sound.mapInArrow(_bucket_rows(planes, tables, bits, id_col, vector), f"`{id_col}` {kind}, table int, bucket int")
+        return sound.mapInArrow(_bucket_rows(planes, tables, bits, id_col, vector, probes), f"`{id_col}` {kind}, table int, bucket int")
 
-    items, asked = dealt(vectors, item_id), dealt(queries, query_id)
+    items, asked = dealt(vectors, item_id), dealt(queries, query_id, probes)
     parts = F.broadcast(items.groupBy("table", "bucket").agg(F.ceil(F.count("*") / part).cast("int").alias("_parts")))
     placed = items.join(parts, ["table", "bucket"]).withColumn("_part", F.pmod(F.xxhash64(item_id), F.col("_parts")).cast("int"))
     visits = asked.join(parts, ["table", "bucket"]).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
@@ -167,13 +177,15 @@ def knn_approx(
     metric: str = "l2",
     tables: int = 12,
     bits: int = 6,
+    probes: int = 4,
 ) -> DataFrame:
     """Like `knn_topk`, but only items that share a bucket of some table with the query are looked at.
 
-    A table cuts space by `bits` hyperplanes through the origin. Pairs come from an equal join on the
+    A table cuts space by `bits` hyperplanes through the origin; the query's own bucket and `probes` more are
+    visited, those across the planes that it lies closest to. Pairs come from an equal join on the
     bucket; each pair is scored once, exactly.
     """
-    pairs = candidate_pairs(queries, vectors, query_id, item_id, vector, tables, bits)
+    pairs = candidate_pairs(queries, vectors, query_id, item_id, vector, tables, bits, probes=probes)
     left = queries.select(query_id, F.col(vector).alias("_a"))
     right = vectors.select(item_id, F.col(vector).alias("_b"))
     met = pairs.join(left, query_id).join(right, item_id)

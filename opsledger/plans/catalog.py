@@ -529,7 +529,15 @@ def knn_exact(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def knn_approx(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
-    return _scored(knn.knn_approx(centroids(spark, folder), vectors, 10))
+    return _scored(knn.knn_approx(centroids(spark, folder), vectors, 10, probes=0))  # its SQL visits own buckets only
+
+
+@query
+def knn_approx_probed(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row whose id is divisible by 100 against all rows, near buckets visited too."""
+    vectors = table(spark, folder, "embeddings")
+    asked = vectors.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return _scored(knn.knn_approx(asked, vectors, 10))
 
 
 @query

@@ -365,6 +365,28 @@ WITH {_CENTROIDS}, {_BUCKETS}, distances AS (
 )
 SELECT query_id, vec_id, round(score, 6) AS score, {_RANKED} FROM ranked
 """
+ORACLE["knn_approx_probed"] = f"""
+WITH flat AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+planes AS (
+  SELECT t, b, i, CASE WHEN substr(md5(t || ':' || b || ':' || (i - 1)), 1, 1) < '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS s
+  FROM range(12) AS x(t), range(6) AS y(b), (SELECT DISTINCT i FROM flat) AS z
+), places AS (SELECT vec_id, t, b, round(sum(s * x), 9) AS place FROM flat JOIN planes USING (i) GROUP BY 1, 2, 3
+), item_keys AS (SELECT vec_id, t, sum(CASE WHEN place > 0 THEN 1 << b ELSE 0 END) AS bucket FROM places GROUP BY 1, 2
+), costs AS (
+  SELECT vec_id, t, mask, round(sum(CASE WHEN (mask >> b) & 1 = 1 THEN place * place ELSE 0 END), 9) AS far
+  FROM places, range(64) AS m(mask) WHERE vec_id % 100 = 0 GROUP BY 1, 2, 3
+), visits AS (
+  SELECT vec_id AS query_id, t, xor(bucket::BIGINT, mask) AS bucket
+  FROM (SELECT * FROM costs QUALIFY row_number() OVER (PARTITION BY vec_id, t ORDER BY mask > 0, far, mask) <= 5) JOIN item_keys USING (vec_id, t)
+), pairs AS (SELECT DISTINCT query_id, vec_id FROM visits JOIN item_keys USING (t, bucket)
+), distances AS (
+  SELECT query_id, p.vec_id, round(-sum((q.x - f.x) * (q.x - f.x)), 9) + 0.0 AS score
+  FROM pairs p JOIN flat q ON q.vec_id = query_id JOIN flat f ON f.vec_id = p.vec_id AND f.i = q.i GROUP BY 1, 2
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) - 1 AS rank FROM distances QUALIFY rank < 10
+)
+SELECT query_id, vec_id, round(score, 6) AS score, {_RANKED} FROM ranked
+"""
 ORACLE["knn_scored_pairs"] = f"""
 WITH {_CENTROIDS}, {_BUCKETS}
 SELECT (SELECT count(*) FROM pairs) AS scored,

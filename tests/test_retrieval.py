@@ -141,6 +141,17 @@ def test_approximate_neighbours(spark, vectors, metric):
     assert all(abs(every[p] - s) < 1e-6 for p, s in found.items())
 
 
+def test_approximate_neighbours_of_the_embeddings(spark):
+    """Against brute force on the real table, for every row whose id is divisible by 100."""
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    asked = df.where("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id")
+    pairs = lambda f: {(r["query_id"], r["vec_id"]) for r in f.collect()}
+    exact, approx = pairs(knn.knn_topk(asked, df, 10)), pairs(knn.knn_approx(asked, df, 10))
+    assert len(exact) == 200 and len(exact & approx) / len(exact) >= 0.9
+    looked = knn.candidate_pairs(asked, df, "query_id", "vec_id", "embedding", 12, 6, probes=4)
+    assert looked.count() < 0.65 * 20 * 2000
+
+
 def test_unsound_vectors_take_no_part_and_are_listed(spark):
     nan = float("nan")
     rows = [(1, [1.0, 0.0]), (2, None), (3, [1.0]), (4, [nan, 0.0]), (5, [None, 1.0]), (6, [0.0, 1.0])]
