@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -585,12 +585,9 @@ def rag_context(spark: SparkSession, folder: str) -> DataFrame:
     return context.select("query_id", "context", "prompt", F.array_join(cited, ";").alias("citations"))
 
 
-@query
-def ask_questions(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole way of a question: stored index, dense and keyword search, fusion, reranking, context, live status."""
-    flight = lambda key: F.concat(F.lit("SV"), F.lpad((F.col(key) + 100).cast("string"), 3, "0"), F.lit("-20240101"))
+def _answered(spark: SparkSession, folder: str, flight: Callable[[str], Column], customers: DataFrame) -> DataFrame:
     asked = questions(spark, folder).withColumn("query", F.concat("query", F.lit(" and "), flight("query_id")))
-    state = table(spark, folder, "customer").where("c_custkey < 800 and c_custkey % 2 = 0").select(
+    state = customers.select(
         flight("c_custkey").alias("flight_id"), F.col("c_mktsegment").alias("status"), F.lit(None).cast("string").alias("gate"),
         F.col("c_nationkey").cast("int").alias("delay_minutes"), F.lit(None).cast("string").alias("delay_reason_code"),
     )
@@ -601,6 +598,22 @@ def ask_questions(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("query_id", "context", cited.alias("citations"), F.col("live_status.status").alias("status"), F.col("live_status.delay_minutes").cast("string").alias("delay_minutes"))
 
 
+@query
+def ask_questions(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole way of a question: stored index, dense and keyword search, fusion, reranking, context, live status."""
+    flight = lambda key: F.concat(F.lit("SV"), F.lpad((F.col(key) + 100).cast("string"), 3, "0"), F.lit("-20240101"))
+    return _answered(spark, folder, flight, table(spark, folder, "customer").where("c_custkey < 800 and c_custkey % 2 = 0"))
+
+
+@query
+def ask_questions_all(spark: SparkSession, folder: str) -> DataFrame:
+    """`ask_questions` against every customer; the key goes on in the date when its four digits are used up."""
+    flight = lambda key: F.concat(
+        F.lit("SV"), F.lpad((F.col(key) % 10_000).cast("string"), 4, "0"), F.lit("-"), (F.floor(F.col(key) / 10_000) + 20_240_101).cast("string")
+    )
+    return _answered(spark, folder, flight, table(spark, folder, "customer"))
+
+
 def _ranked_similarity(spark: SparkSession, folder: str) -> DataFrame:
     found = knn.knn_topk(centroids(spark, folder), table(spark, folder, "embeddings"), 10, metric="cosine")
     return found.withColumnRenamed("score", "similarity")

@@ -562,3 +562,8 @@ contexts AS (
 SELECT query_id, context, citations, c_mktsegment AS status, CAST(CAST(c_nationkey AS INTEGER) AS VARCHAR) AS delay_minutes
 FROM contexts JOIN questions USING (query_id) LEFT JOIN customer ON c_custkey = query_id AND c_custkey < 800 AND c_custkey % 2 = 0
 """
+ORACLE["ask_questions_all"] = (
+    ORACLE["ask_questions"]
+    .replace("lpad(CAST(item_id + 100 AS VARCHAR), 3, '0') || '-20240101'", "lpad(CAST(item_id % 10000 AS VARCHAR), 4, '0') || '-' || (item_id // 10000 + 20240101)")
+    .replace(" AND c_custkey < 800 AND c_custkey % 2 = 0", "")
+)

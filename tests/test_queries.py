@@ -54,3 +54,9 @@ def test_query_matches_sql(spark, duck, name):
     expected = duck.execute(entry.oracle_sql()[name]).fetchdf()
     assert sorted(found.columns) == sorted(expected.columns)
     assert canonical(found) == canonical(expected)
+
+
+def test_every_question_with_a_customer_gets_its_status(spark):
+    customers = {r["c_custkey"]: r["c_mktsegment"] for r in spark.read.parquet(f"{FOLDER}/customer.parquet").collect()}
+    found = {r["query_id"]: r["status"] for r in QUERIES["ask_questions_all"](spark, FOLDER).collect()}
+    assert any(q % 2 for q in found) and found == {q: customers.get(q) for q in found}
