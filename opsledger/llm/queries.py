@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from opsledger.llm import (
     cross_polytope,
     edit_counts,
+    filter_audit,
+    label_shards,
     language_id,
     near_dup,
     packing,
+    periodic_runs,
     pii,
     piece_tokens,
     quality_rules,
@@ -87,6 +90,53 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"))
 
 
+def _replanted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the documents, by crc32 of the id, the words from some place on repeat with some period.
+
+    A null id counts as the empty text.
+    """
+    code = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    chosen = (code % 10 == 0) & F.col("text").isNotNull()
+    split = F.when(chosen, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    # A generator, so that the words are split once and not again wherever they are used.
+    words = docs.select("doc_id", "text", F.floor(code / 10).alias("g"), F.inline(F.array(F.struct(split.alias("ws")))))
+    placed = words.withColumn("n", F.size("ws")).withColumn("a", F.when(F.col("n") > 0, F.pmod("g", "n")).cast("int"))
+    placed = placed.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    cycle = F.slice("ws", F.col("a") + 1, F.col("p"))
+    again = F.slice(F.flatten(F.array_repeat(cycle, F.ceil(rest / F.col("p")).cast("int"))), F.lit(1), rest)
+    text = F.array_join(F.concat(F.slice("ws", F.lit(1), F.col("a")), again), " ")
+    return placed.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.find(_replanted(read(spark, folder, "documents").select("doc_id", "text")))
+    ranked = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("minus"), r["start"].alias("start"), r["period"].alias("period")))
+    written = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    longest = found.withColumn("best", F.array_max(ranked)).withColumn("lines", F.array_join(F.transform(written, lambda line: F.concat(line, F.lit("\n"))), ""))
+    return longest.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = label_shards.shard_documents(read(spark, folder, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long"), F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit_documents(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -98,4 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_packing": op10_packing,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_sharding": op12_sharding,
+    "op13_filter_audit": op13_filter_audit,
 }
