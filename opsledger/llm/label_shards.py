@@ -64,8 +64,8 @@ def _wishes(state: DataFrame, links: DataFrame, room: list[int], least_room: lis
     return pulled.select("node", "weight", "shard", want.alias("want"), F.col("lead.group").alias("lead"), F.col("lead.total").alias("total"))
 
 
-def _admitted(wishes: DataFrame, room: list[int], rule: Rule) -> Column | None:
-    """Which requests the quotas admit; None when there is none."""
+def _admitted(wishes: DataFrame, room: list[int], rule: Rule, turn: int) -> Column | None:
+    """Which requests the quotas admit in this turn; None when there is none."""
     at = F.pmod(F.xxhash64("lead"), F.lit(rule.ranges))
     rows = wishes.where("want <> shard").groupBy("want", at.alias("at")).agg(F.sum("weight").alias("w"), F.max("total").alias("most")).collect()
     if not rows:
@@ -93,7 +93,7 @@ def _admitted(wishes: DataFrame, room: list[int], rule: Rule) -> Column | None:
     for shard, ranges in whole.items():
         admit = admit | ((F.col("want") == shard) & at.isin(ranges))
     for shard, (place, share, by) in split.items():
-        part = F.pmod(F.xxhash64(by, F.lit(shard)), F.lit(1_000_000)) < int(share * 1_000_000)
+        part = F.pmod(F.xxhash64(by, F.lit(turn)), F.lit(1_000_000)) < int(share * 1_000_000)
         admit = admit | ((F.col("want") == shard) & (at == place) & part)
     return admit & (F.col("want") != F.col("shard"))
 
@@ -102,12 +102,12 @@ def propagate(nodes: DataFrame, links: DataFrame, capacity: list[int], rule: Rul
     """(node, weight, shard) of `nodes` (node, weight), linked by `links` (node, group)."""
     start = F.pmod(F.xxhash64("node"), F.lit(rule.shards)).cast("int")
     state = materialize(nodes.select("node", "weight", start.alias("shard")))
-    for _ in range(rule.rounds):
+    for turn in range(rule.rounds):
         room = [c - load for c, load in zip(capacity, _loads(state, rule.shards))]
         if max(room) <= 0:
             break
         wishes = materialize(_wishes(state, links, room, [c // 50 for c in capacity]))
-        admit = _admitted(wishes, room, rule)
+        admit = _admitted(wishes, room, rule, turn)
         if admit is None:
             break
         state = materialize(wishes.select("node", "weight", F.when(admit, F.col("want")).otherwise(F.col("shard")).alias("shard")))
