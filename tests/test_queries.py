@@ -26,7 +26,7 @@ def canonical(df: pd.DataFrame) -> list[tuple]:
     df = df[sorted(df.columns)]
 
     def cell(v):
-        if v is None or v is pd.NaT or v != v:
+        if v is None or v is pd.NaT or v is pd.NA or v != v:
             return ""
         if hasattr(v, "isoformat"):
             return pd.Timestamp(v).isoformat()
