@@ -11,11 +11,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsledger.functions.text import tokenize
 from opsledger.operators.topk import MAX_QUERIES, rank_top, topk_scan
 
 # Scores are compared at this many decimals so that equal vectors tie whatever batch they came in.
 DECIMALS = 9
+# Words whose slots a task remembers.
+KNOWN_WORDS = 1_000_000
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -206,38 +207,37 @@ def embed(
     return df.withColumn(out, run(F.col(text_col)))
 
 
+def _slots(dim: int):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known: dict[str, int] = {}
+        for texts in batches:
+            # Splitting without an argument cuts at the white space that `tokenize` cuts at.
+            words = [text.split() for text in texts.to_pylist()]
+            coded = pa.array([w for found in words for w in found], pa.string()).dictionary_encode()
+            if len(known) > KNOWN_WORDS:
+                known.clear()
+            for word in coded.dictionary.to_pylist():
+                if word not in known:
+                    known[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dim
+            slot = np.array([known[word] for word in coded.dictionary.to_pylist()], dtype=np.int64)
+            row = np.repeat(np.arange(len(words)), [len(found) for found in words])
+            dense = np.bincount(row * dim + slot[coded.indices.to_numpy()], minlength=len(words) * dim).reshape(len(words), dim)
+            dense = _unit(dense.astype(float)).astype(np.float32)
+            yield pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1, dtype=np.int32) * dim), pa.array(dense.ravel()))
+
+    return run
+
+
 def hashed(df: DataFrame, text_col: str, dim: int = 256, out: str = "embedding") -> DataFrame:
     """Add the model-free embedding: word counts hashed into `dim` slots, scaled to unit length.
 
-    Column expressions only: a row's slots are sorted, its runs counted, and the gaps filled with zeros.
+    Texts go through Arrow batches; a word is hashed once per task. A null text, and one without words, gives zeros.
     """
-    words = F.coalesce(tokenize(F.col(text_col)), F.array().cast("array<string>"))
-    slot = lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % dim).cast("int")
-    n = F.size("_slots")
-    none = F.array().cast("array<int>")
-    starts = F.filter(
-        F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(none),
-        lambda i: (i == 0) | (F.get("_slots", i) != F.get("_slots", i - 1)),
-    )
-    runs = F.transform(
-        "_starts",
-        lambda h, j: F.struct(F.get("_slots", h).alias("slot"), (F.coalesce(F.get("_starts", j + 1), n) - h).cast("double").alias("n")),
-    )
-    norm = F.sqrt(F.aggregate("_runs", F.lit(0.0), lambda s, r: s + r["n"] * r["n"]))
-    zero, empty = F.lit(0).cast("float"), F.array().cast("array<float>")
-    dense = F.aggregate(
-        "_runs",
-        empty,
-        lambda v, r: F.concat(v, F.array_repeat(zero, r["slot"] - F.size(v)), F.array((r["n"] / F.col("_norm")).cast("float"))),
-    )
-    # Generators keep the steps apart: merged into one projection, each would be computed for every use, and
-    # later filters on the vector would be pushed below it with all of this copied into them.
-    settled = _settled(df.drop(out), "_slots", F.array_sort(F.transform(words, slot)))
-    settled = _settled(_settled(settled, "_starts", starts), "_runs", runs)
-    settled = _settled(_settled(settled, "_norm", norm), "_dense", dense)
-    filled = F.concat("_dense", F.array_repeat(zero, F.lit(dim) - F.size("_dense")))
-    return _settled(settled, out, filled).drop("_slots", "_starts", "_runs", "_norm", "_dense")
 
+    slots = _slots(dim)
+
+    @F.arrow_udf("array<float>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from slots(batches)
 
-def _settled(df: DataFrame, name: str, value: Column) -> DataFrame:
-    return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))
+    return df.withColumn(out, run(F.lower(F.coalesce(F.col(text_col), F.lit("")))))

@@ -12,11 +12,12 @@ from pyspark.sql import types as T
 
 from opsledger.functions.text import word_overlap
 from opsledger.functions.times import micros
-from opsledger.operators import answer, bm25, chunks, contract, fusion, knn, layout, quality, runs, state, summary, windows
+from opsledger.operators import answer, bm25, chunks, contract, fusion, knn, layout, quality, runs, state, summary, vector_index, windows
 from opsledger.plans.ask import ask, index_chunks
 from opsledger.session import checkpoint_dir, materialize
 from opsledger.sources.streams import append_sink, drain, read_rows
 from opsledger.sources.tables import first_rows, route_batch, seed
+from opsledger.streaming import sliding as stream_sliding
 from opsledger.streaming import windows as stream_windows
 from opsledger.streaming.replay import Replay, replay
 
@@ -297,7 +298,7 @@ def value_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def flight_json(spark: SparkSession, folder: str) -> DataFrame:
     """Each event as a raw flight message. The number in its properties decides what is wrong with it."""
-    k = _k()
+    k = F.col("k")
     text = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
     none = F.lit("null")
     day = F.date_format("ts", "yyyy-MM-dd")
@@ -325,13 +326,13 @@ def flight_json(spark: SparkSession, folder: str) -> DataFrame:
     head = F.when(k == 80, "{").otherwise(F.concat(F.lit('{"flight_id":"SV'), "user_id", F.lit('",')))
     body = F.concat_ws(",", *(F.concat(F.lit(f'"{name}":'), value) for name, value in fields.items()))
     whole = F.concat(head, body, F.lit("}"))
-    value = (
-        F.when(k == 99, "not json").when(k == 98, "[1]")
-        .when(k == 90, F.concat(whole, F.lit(" junk}"))).when(k == 91, F.concat(whole, whole))
-        .when(k == 92, F.concat(whole, F.lit("],[{}"))).when(k == 93, F.replace(whole, F.lit('"'), F.lit("'")))
-        .when(k == 94, F.concat(whole, F.lit(",{}"))).otherwise(whole)
-    )
-    return table(spark, folder, "events").select("event_id", value.alias("value"))
+    # Generators keep the number and the message computed once each, not again in every branch that uses them.
+    once = lambda df, name, value: df.select("*", F.inline(F.array(F.struct(value.alias(name)))))
+    written = once(once(table(spark, folder, "events"), "k", _k()), "whole", F.concat(head, body, F.lit("}")))
+    whole = F.when(k == 93, F.replace("whole", F.lit('"'), F.lit("'"))).otherwise(F.col("whole"))
+    tail = F.when(k == 90, " junk}").when(k == 91, F.col("whole")).when(k == 92, "],[{}").when(k == 94, ",{}").otherwise("")
+    value = F.when(k == 99, "not json").when(k == 98, "[1]").otherwise(F.concat(whole, tail))
+    return written.select("event_id", value.alias("value"))
 
 
 @query
@@ -474,6 +475,21 @@ def stream_late_drops(spark: SparkSession, folder: str) -> DataFrame:
     return flagged.agg(F.count("*").alias("arrived"), F.count_if("late").alias("dropped"))
 
 
+@query
+def stream_sliding_mean(spark: SparkSession, folder: str) -> DataFrame:
+    """The stateful sliding mean over the events in order of time, arriving week by week."""
+    out = _place(spark, "stream")
+    events = table(spark, folder, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), F.nullif("event_type", F.lit("signup")).alias("kind"), "value")
+    week = F.weekofyear("ts")
+    for (number,) in events.select(week.alias("w")).distinct().orderBy("w").collect():
+        events.where(week == number).write.mode("append").parquet(f"{out}/in")
+    rows = read_rows(spark, f"{out}/in", events.schema, maxFilesPerTrigger="1")
+    means = stream_sliding.sliding_means(rows, "kind", "ts", ["ts", "event_id"], "value", SLIDING, LATENESS)
+    with stream_sliding.state_in_rocksdb(spark):
+        drain(append_sink(means, f"{out}/table", f"{out}/checkpoint"))
+    return spark.read.parquet(f"{out}/table").select("event_id", "kind", F.round("rolling_mean", 6).alias("rolling_mean"), "rolling_count")
+
+
 # Retrieval
 
 
@@ -526,12 +542,6 @@ def knn_exact(spark: SparkSession, folder: str) -> DataFrame:
     return _scored(knn.knn_topk(centroids(spark, folder), vectors, 10))
 
 
-@query
-def knn_approx(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = table(spark, folder, "embeddings")
-    return _scored(knn.knn_approx(centroids(spark, folder), vectors, 10, probes=0))  # its SQL visits own buckets only
-
-
 @query
 def knn_approx_probed(spark: SparkSession, folder: str) -> DataFrame:
     """Every row whose id is divisible by 100 against all rows, near buckets visited too."""
@@ -540,13 +550,30 @@ def knn_approx_probed(spark: SparkSession, folder: str) -> DataFrame:
     return _scored(knn.knn_approx(asked, vectors, 10))
 
 
+def _asked_vectors(vectors: DataFrame) -> DataFrame:
+    """Every row whose id is divisible by 100, as a query."""
+    return vectors.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+
+
+@query
+def knn_exact_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact neighbours of every row whose id is divisible by 100, in blocks of queries."""
+    vectors = table(spark, folder, "embeddings")
+    return _scored(knn.knn_topk(_asked_vectors(vectors), vectors, 10, max_queries=10))
+
+
 @query
-def knn_scored_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """How many pairs the approximate search looks at, of all there are."""
-    asked, vectors = centroids(spark, folder), table(spark, folder, "embeddings")
-    pairs = knn.candidate_pairs(asked, vectors, "query_id", "vec_id", "embedding", 12, 6)
-    sizes = vectors.agg(F.count("*").alias("n")).join(F.broadcast(asked.agg(F.count("*").alias("m"))))
-    return pairs.agg(F.count("*").alias("scored")).join(F.broadcast(sizes)).select("scored", (F.col("n") * F.col("m")).alias("all_pairs"))
+def knn_index_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored index built over all vectors and asked with every id divisible by 100: what it finds, and what it compares."""
+    vectors = table(spark, folder, "embeddings")
+    place = _place(spark, "vectors")
+    vector_index.build(vectors, place)
+    index, asked = vector_index.read(spark, place), _asked_vectors(vectors)
+    found = vector_index.search(asked, index, 10).select("query_id", "vec_id", F.lit(1).alias("found"))
+    true = knn.knn_topk(asked, vectors, 10).join(found, ["query_id", "vec_id"], "left")
+    hit = true.agg(F.countDistinct("query_id").alias("queries"), (F.count("found") >= 0.9 * F.count("*")).alias("recall_reached"))
+    looked = vector_index.compared(asked, index, 50)
+    return hit.join(F.broadcast(looked)).select("queries", "recall_reached", (F.col("in_full") <= 0.1 * F.col("pairs")).alias("few_in_full"), "pairs")
 
 
 @query
@@ -598,16 +625,12 @@ def _answered(spark: SparkSession, folder: str, flight: Callable[[str], Column],
     return found.select("query_id", "context", cited.alias("citations"), F.col("live_status.status").alias("status"), F.col("live_status.delay_minutes").cast("string").alias("delay_minutes"))
 
 
-@query
-def ask_questions(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole way of a question: stored index, dense and keyword search, fusion, reranking, context, live status."""
-    flight = lambda key: F.concat(F.lit("SV"), F.lpad((F.col(key) + 100).cast("string"), 3, "0"), F.lit("-20240101"))
-    return _answered(spark, folder, flight, table(spark, folder, "customer").where("c_custkey < 800 and c_custkey % 2 = 0"))
-
-
 @query
 def ask_questions_all(spark: SparkSession, folder: str) -> DataFrame:
-    """`ask_questions` against every customer; the key goes on in the date when its four digits are used up."""
+    """The whole way of a question: stored index, dense and keyword search, fusion, reranking, context, live status.
+
+    Every customer has a state; the key goes on in the date when its four digits are used up.
+    """
     flight = lambda key: F.concat(
         F.lit("SV"), F.lpad((F.col(key) % 10_000).cast("string"), 4, "0"), F.lit("-"), (F.floor(F.col(key) / 10_000) + 20_240_101).cast("string")
     )

@@ -346,25 +346,6 @@ WITH {_CENTROIDS}, distances AS (
 SELECT query_id, vec_id, round(score, 6) AS score, {_RANKED} FROM ranked
 """
 
-_BUCKETS = f"""
-planes AS (
-  SELECT t, b, i, CASE WHEN substr(md5(t || ':' || b || ':' || (i - 1)), 1, 1) < '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS s
-  FROM range(12) AS x(t), range(6) AS y(b), (SELECT DISTINCT i FROM flat) AS z
-), item_bits AS (SELECT vec_id, t, b, round(sum(s * x), 9) > 0 AS bit FROM flat JOIN planes USING (i) GROUP BY 1, 2, 3
-), item_keys AS (SELECT vec_id, t, sum(CASE WHEN bit THEN 1 << b ELSE 0 END) AS bucket FROM item_bits GROUP BY 1, 2
-), query_bits AS (SELECT query_id, t, b, round(sum(s * x), 9) > 0 AS bit FROM centroids JOIN planes USING (i) GROUP BY 1, 2, 3
-), query_keys AS (SELECT query_id, t, sum(CASE WHEN bit THEN 1 << b ELSE 0 END) AS bucket FROM query_bits GROUP BY 1, 2
-), pairs AS (SELECT DISTINCT query_id, vec_id FROM item_keys JOIN query_keys USING (t, bucket))
-"""
-ORACLE["knn_approx"] = f"""
-WITH {_CENTROIDS}, {_BUCKETS}, distances AS (
-  SELECT query_id, vec_id, round(-sum((c.x - f.x) * (c.x - f.x)), 9) AS score
-  FROM pairs JOIN centroids c USING (query_id) JOIN flat f USING (vec_id, i) GROUP BY 1, 2
-), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) - 1 AS rank FROM distances QUALIFY rank < 10
-)
-SELECT query_id, vec_id, round(score, 6) AS score, {_RANKED} FROM ranked
-"""
 ORACLE["knn_approx_probed"] = f"""
 WITH flat AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
 planes AS (
@@ -387,10 +368,20 @@ planes AS (
 )
 SELECT query_id, vec_id, round(score, 6) AS score, {_RANKED} FROM ranked
 """
-ORACLE["knn_scored_pairs"] = f"""
-WITH {_CENTROIDS}, {_BUCKETS}
-SELECT (SELECT count(*) FROM pairs) AS scored,
-       (SELECT count(DISTINCT query_id) FROM centroids) * (SELECT count(DISTINCT vec_id) FROM flat) AS all_pairs
+ORACLE["knn_exact_all"] = f"""
+WITH flat AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+distances AS (
+  SELECT q.vec_id AS query_id, f.vec_id, round(-sum((q.x - f.x) * (q.x - f.x)), 9) + 0.0 AS score
+  FROM flat q JOIN flat f USING (i) WHERE q.vec_id % 100 = 0 GROUP BY 1, 2
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) - 1 AS rank FROM distances QUALIFY rank < 10
+)
+SELECT query_id, vec_id, round(score, 6) AS score, {_RANKED} FROM ranked
+"""
+ORACLE["knn_index_recall"] = """
+SELECT count(*) FILTER (vec_id % 100 = 0) AS queries, true AS recall_reached, true AS few_in_full,
+       count(*) FILTER (vec_id % 100 = 0) * count(*) AS pairs
+FROM embeddings
 """
 
 
@@ -524,12 +515,19 @@ SELECT date_trunc('hour', ts) AS window_start, count(*) AS events FROM events GR
 HAVING date_trunc('hour', any_value(ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 30 MINUTE
 """
 ORACLE["stream_anomalies"] = "SELECT event_id, event_type, value FROM events WHERE value > 120"
+ORACLE["stream_sliding_mean"] = """
+WITH rows AS (SELECT event_id, nullif(event_type, 'signup') AS kind, ts, value FROM events)
+SELECT i.event_id, i.kind, round(avg(j.value), 6) AS rolling_mean, count(*) AS rolling_count
+FROM rows i JOIN rows j ON j.kind IS NOT DISTINCT FROM i.kind AND j.ts > i.ts - INTERVAL 60 MINUTE
+  AND (j.ts < i.ts OR (j.ts = i.ts AND j.event_id <= i.event_id))
+GROUP BY 1, 2
+"""
 ORACLE["stream_late_drops"] = ORACLE["late_counts"]
 
-_ASKED = "SELECT item_id AS query_id, text || ' and SV' || lpad(CAST(item_id + 100 AS VARCHAR), 3, '0') || '-20240101' AS query FROM benchmark"
+_ASKED = "SELECT item_id AS query_id, text || ' and SV' || lpad(CAST(item_id % 10000 AS VARCHAR), 4, '0') || '-' || (item_id // 10000 + 20240101) AS query FROM benchmark"
 _SPARSE_CHUNKS = _bm25("chunks", "chunk_id", 8, _CHUNK_ORDER).replace("SELECT item_id AS query_id, text AS query FROM benchmark", _ASKED)
 _CLOSENESS = "round(2 * coalesce(d, 0) - c.n - q.n, 9)"
-ORACLE["ask_questions"] = f"""
+ORACLE["ask_questions_all"] = f"""
 WITH {_CHUNKS}, {_SPARSE_CHUNKS},
 hashed_queries AS (SELECT * FROM {_hashed("questions", "query_id", "query")}),
 hashed_chunks AS (SELECT * FROM {_hashed("chunks", "chunk_id", "text")}),
@@ -560,10 +558,5 @@ contexts AS (
   FROM reranked GROUP BY 1
 )
 SELECT query_id, context, citations, c_mktsegment AS status, CAST(CAST(c_nationkey AS INTEGER) AS VARCHAR) AS delay_minutes
-FROM contexts JOIN questions USING (query_id) LEFT JOIN customer ON c_custkey = query_id AND c_custkey < 800 AND c_custkey % 2 = 0
+FROM contexts JOIN questions USING (query_id) LEFT JOIN customer ON c_custkey = query_id
 """
-ORACLE["ask_questions_all"] = (
-    ORACLE["ask_questions"]
-    .replace("lpad(CAST(item_id + 100 AS VARCHAR), 3, '0') || '-20240101'", "lpad(CAST(item_id % 10000 AS VARCHAR), 4, '0') || '-' || (item_id // 10000 + 20240101)")
-    .replace(" AND c_custkey < 800 AND c_custkey % 2 = 0", "")
-)
