@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from opsledger.functions.text import word_overlap
 from opsledger.functions.times import micros
-from opsledger.operators import answer, bm25, chunks, contract, fusion, knn, layout, quality, runs, state, summary, vector_index, windows
+from opsledger.operators import answer, bm25, chunks, contract, fusion, knn, layout, quality, runs, segments, state, summary, vector_index, windows
 from opsledger.plans.ask import ask, index_chunks
 from opsledger.session import checkpoint_dir, materialize
 from opsledger.sources.streams import append_sink, drain, read_rows
@@ -528,6 +528,38 @@ def bm25_topk(spark: SparkSession, folder: str) -> DataFrame:
     return _scored(bm25.bm25_topk(questions(spark, folder), _documents(spark, folder), 10))
 
 
+def _segmented(spark: SparkSession, folder: str) -> segments.Segments:
+    place = _place(spark, "segments")
+    segments.apply(spark, place, _documents(spark, folder))
+    return segments.read(spark, place)
+
+
+@query
+def bm25_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """The lists of `bm25_topk`, blocks of postings that cannot matter being skipped."""
+    return _scored(segments.search(questions(spark, folder), _segmented(spark, folder), 10))
+
+
+@query
+def bm25_postings_read(spark: SparkSession, folder: str) -> DataFrame:
+    """Postings that match the questions' words, and whether fewer are read."""
+    looked = segments.postings_read(questions(spark, folder), _segmented(spark, folder), 10)
+    return looked.select("matching", (F.col("read") < F.col("matching")).alias("fewer_read"))
+
+
+@query
+def bm25_three_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """An index after three loads: old texts first, then the rest with changed ones, then further changes and deletions; then merged."""
+    place, docs = _place(spark, "segments"), _documents(spark, folder)
+    turn = F.pmod("doc_id", F.lit(4))
+    old = docs.where(turn < 3).withColumn("text", F.when(turn > 0, F.concat(F.lit("old old "), "text")).otherwise(F.col("text")))
+    segments.apply(spark, place, old)
+    segments.apply(spark, place, docs.where(turn.isin(1, 3)))
+    segments.apply(spark, place, docs.where(turn == 2), deleted=docs.where(F.pmod("doc_id", F.lit(10)) == 7))
+    segments.merge(spark, place, 3 * docs.count() // 5)
+    return _scored(segments.search(questions(spark, folder), segments.read(spark, place), 10))
+
+
 def centroids(spark: SparkSession, folder: str) -> DataFrame:
     """The mean vector of every label."""
     parts = table(spark, folder, "embeddings").select("label", F.posexplode("embedding").alias("i", "x"))

@@ -331,6 +331,15 @@ ORACLE["bm25_topk"] = f"""
 WITH {_bm25("documents", "doc_id", 10)}
 SELECT query_id, doc_id, round(score, 6) AS score, {_RANKED} FROM sparse
 """
+ORACLE["bm25_blocks"] = ORACLE["bm25_topk"]
+ORACLE["bm25_postings_read"] = f"""
+WITH {_bm25("documents", "doc_id", 10)}
+SELECT CAST(sum(df) AS BIGINT) AS matching, true AS fewer_read FROM (SELECT DISTINCT query_id, term FROM asked) JOIN dfs USING (term)
+"""
+ORACLE["bm25_three_loads"] = f"""
+WITH kept AS (SELECT doc_id, text FROM documents WHERE doc_id % 10 <> 7), {_bm25("kept", "doc_id", 10)}
+SELECT query_id, doc_id, round(score, 6) AS score, {_RANKED} FROM sparse
+"""
 
 _CENTROIDS = """
 flat AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
