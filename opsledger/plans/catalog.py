@@ -15,8 +15,8 @@ from opsledger.functions.times import micros
 from opsledger.operators import answer, bm25, chunks, contract, fusion, knn, layout, quality, runs, segments, state, summary, vector_index, windows
 from opsledger.plans.ask import ask, index_chunks
 from opsledger.session import checkpoint_dir, materialize
-from opsledger.sources.streams import append_sink, drain, read_rows
-from opsledger.sources.tables import first_rows, route_batch, seed
+from opsledger.sources.streams import append_sink, drain, read_rows, tail_messages
+from opsledger.sources.tables import first_rows, overwrite, read_csv, read_documents, route_batch, seed
 from opsledger.streaming import sliding as stream_sliding
 from opsledger.streaming import windows as stream_windows
 from opsledger.streaming.replay import Replay, replay
@@ -85,6 +85,34 @@ def _place(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@query
+def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders as CSV: every row read again, and the first hundred."""
+    out = _place(spark, "csv")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    orders.write.csv(out, header=True)
+    kinds = "o_orderkey bigint, o_orderstatus string, o_totalprice double"
+    first = read_csv(spark, out, kinds, 100).agg(F.count("*").alias("first_rows"))
+    return read_csv(spark, out, kinds).agg(F.count("*").alias("row_count"), F.round(F.sum("o_totalprice"), 2).alias("total")).join(F.broadcast(first))
+
+
+@query
+def text_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every benchmark text in a file of its own, read whole."""
+    out = _place(spark, "files")
+    table(spark, folder, "benchmark").select("item_id", "text").write.partitionBy("item_id").text(out)
+    files = read_documents(spark, f"{out}/*/*.txt")
+    return files.select(F.rtrim(F.col("text"), F.lit("\n")).alias("text"))
+
+
+@query
+def counted_write(spark: SparkSession, folder: str) -> DataFrame:
+    """The number of rows a write reports, and the number the table holds."""
+    out = _place(spark, "counted")
+    written = overwrite(table(spark, folder, "orders").where("o_orderstatus <> 'P'"), out)
+    return spark.read.parquet(out).agg(F.lit(written).alias("written"), F.count("*").alias("stored"))
+
+
 @query
 def delay_by_cause(spark: SparkSession, folder: str) -> DataFrame:
     orders = _orders_by_day(spark, folder)
@@ -363,6 +391,13 @@ def contract_counts(spark: SparkSession, folder: str) -> DataFrame:
     return contract.contract_counts(contract.validate_events(flight_json(spark, folder)))
 
 
+@query
+def ingest_stamp(spark: SparkSession, folder: str) -> DataFrame:
+    """Accepted events as rows of the history: all of one load carry one ingestion time."""
+    accepted = contract.split_accepted(contract.validate_events(flight_json(spark, folder)))[0]
+    return contract.to_bronze(accepted).agg(F.count("ingested_at").alias("row_count"), F.countDistinct("ingested_at").alias("stamps"))
+
+
 # Run events
 
 
@@ -460,6 +495,19 @@ def stream_anomalies(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{out}/table")
 
 
+@query
+def stream_tail(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages that arrive after the stream was set up; those there before are passed over."""
+    out = _place(spark, "tail")
+    events = table(spark, folder, "events").select(F.col("event_id").cast("string").alias("value"), "ts")
+    early = F.col("ts") < F.expr("timestamp_ntz'2024-01-15'")
+    events.where(early).select("value").write.text(f"{out}/in")
+    followed = tail_messages(spark, f"{out}/in", f"{out}/seen")
+    events.where(~early).select("value").write.mode("append").text(f"{out}/in")
+    drain(append_sink(followed, f"{out}/table", f"{out}/checkpoint"))
+    return spark.read.parquet(f"{out}/table").select(F.col("value").cast("bigint").alias("event_id"))
+
+
 @query
 def stream_late_drops(spark: SparkSession, folder: str) -> DataFrame:
     """Rows that the exact replay drops as late, and those it keeps."""

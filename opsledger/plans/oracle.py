@@ -524,6 +524,11 @@ SELECT date_trunc('hour', ts) AS window_start, count(*) AS events FROM events GR
 HAVING date_trunc('hour', any_value(ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 30 MINUTE
 """
 ORACLE["stream_anomalies"] = "SELECT event_id, event_type, value FROM events WHERE value > 120"
+ORACLE["stream_tail"] = "SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-15'"
+ORACLE["csv_scan"] = "SELECT count(*) AS row_count, round(sum(o_totalprice), 2) AS total, least(count(*), 100) AS first_rows FROM orders"
+ORACLE["text_files"] = "SELECT rtrim(text, chr(10)) AS text FROM benchmark"
+ORACLE["counted_write"] = "SELECT count(*) AS written, count(*) AS stored FROM orders WHERE o_orderstatus <> 'P'"
+ORACLE["ingest_stamp"] = f"SELECT count(*) AS row_count, 1::BIGINT AS stamps FROM ({ORACLE['contract_accept']})"
 ORACLE["stream_sliding_mean"] = """
 WITH rows AS (SELECT event_id, nullif(event_type, 'signup') AS kind, ts, value FROM events)
 SELECT i.event_id, i.kind, round(avg(j.value), 6) AS rolling_mean, count(*) AS rolling_count
