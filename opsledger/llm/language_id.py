@@ -4,8 +4,8 @@ Each language gets a codeword; one binary classifier per bit predicts it from th
 A text's language is the codeword with the least loss, each bit weighted by how reliable its classifier was
 on learning rows it had not seen. `ambiguous` marks texts whose two nearest codewords are nearly as far.
 
-Learning uses at most `most_rows` labelled rows, the same number of each language where it has as many;
-prediction reads every whole text. A null text, or one without a letter, is `und` with score 0, as is
+Learning uses at most `most_rows` distinct labelled texts (at least one a language), the same number of each language where it
+has as many, by lowest hash; prediction reads every whole text. A null text, or one without a letter, is `und` with score 0, as is
 every text when no language was learned. Rows with a null language are not learned from. Repeated rows give
 repeated results; other columns pass through unless their names clash with the results.
 """
@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,7 @@ from opsledger.llm.batches import mapper, text_column
 RESULTS = ["lang_pred", "score", "ambiguous"]
 UNKNOWN = "und"
 ROWS = 256
+PLACES = 1 << 40
 # Byte values as features: letters in lower case and bytes of longer characters stay, the rest reads as a space.
 _FOLD = np.full(256, 32, dtype=np.int64)
 _FOLD[97:123] = np.arange(97, 123)
@@ -36,7 +37,6 @@ _FOLD[128:] = np.arange(128, 256)
 @dataclass(frozen=True)
 class Rule:
     most_rows: int = 2000
-    most_languages: int = 500
     width: int = 2048
     rounds: int = 80
     margin: float = 0.2  # between the two best codewords, in shares of the score
@@ -101,15 +101,20 @@ def _fit(x: np.ndarray, y: np.ndarray, rounds: int) -> np.ndarray:
 
 
 def learn(labelled: DataFrame, rule: Rule = Rule()) -> Model:
-    """A model from (text, lang) rows. `doc_id`, if there, only draws the bounded sample."""
+    """A model from (text, lang) rows; the same for the same rows in any order."""
     known = labelled.filter("lang is not null and text is not null").select("text", "lang")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(rule.most_languages).collect()
+    known = known.withColumn("place", F.pmod(F.xxhash64("text", F.lit(rule.seed)), F.lit(PLACES)))
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("place").alias("n")).collect()  # one row a language
     languages = sorted(r["lang"] for r in counts)
     if not languages:
         return Model([], codewords(0, 0), np.zeros((rule.width + 1, 1)), np.ones(1))
-    each = rule.most_rows / len(languages)
-    share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1.0, each / r["count"]))])
-    drawn = F.pmod(F.xxhash64("text", F.lit(rule.seed)), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)
+    # Distinct texts by lowest place, so that copies neither fill the draw nor empty it. About twice as many as
+    # wanted pass the cut of their language; the lowest of them are taken.
+    each = max(1, rule.most_rows // len(languages))
+    share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1.0, 2 * each / r["n"]))])
+    low = known.filter(F.col("place") < share[F.col("lang")] * PLACES).dropDuplicates(["lang", "place"])
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+    drawn = low.withColumn("rank", rank).filter(F.col("rank") <= each).select("text", "lang")
     width = rule.width
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -117,7 +122,7 @@ def learn(labelled: DataFrame, rule: Rule = Rule()) -> Model:
         x = [r.astype(np.float32).tobytes() for k in range(0, len(texts), ROWS) for r in features(texts.slice(k, ROWS), width)]
         return pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(x, pa.binary())], names=["lang", "x"])
 
-    rows = known.filter(drawn).limit(rule.most_rows).mapInArrow(mapper(step), "lang string, x binary").collect()
+    rows = drawn.mapInArrow(mapper(step), "lang string, x binary").collect()
     rows.sort(key=lambda r: (r["lang"], bytes(r["x"])))
     x = np.stack([np.frombuffer(r["x"], np.float32) for r in rows]).astype(float)
     name = {v: i for i, v in enumerate(languages)}

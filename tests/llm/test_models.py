@@ -242,3 +242,35 @@ def test_quality_without_both_labels(spark):
     model = zstd_quality.learn(rows.select("doc_id", "text"), rows.select("doc_id", "quality"))
     made = zstd_quality.predict(spark.createDataFrame([(1, "any")], "doc_id long, text string"), model).first()
     assert made.predicted == 1 and made.score == pytest.approx(20.5 / 21)
+
+
+def test_language_of_repeated_texts_and_many_languages(spark):
+    """One text in all rows, two texts, and more languages than a fixed number would allow."""
+    for texts in (["the same text"], ["the same text", "ein anderer Text"]):
+        rows = [(texts[i % len(texts)], ["en", "de"][i % len(texts)]) for i in range(4000)]
+        model = language_id.learn(spark.createDataFrame(rows, "text string, lang string"))
+        found = language_id.predict(spark.createDataFrame(rows[:2], "text string, lang string"), model).collect()
+        assert [r["lang_pred"] for r in found] == [r["lang"] for r in found]
+    many = [(f"{'abcdefghij'[k % 10] * 3} {k}", f"l{k:03d}") for k in range(600)]
+    model = language_id.learn(spark.createDataFrame(many, "text string, lang string"), language_id.Rule(rounds=2))
+    assert len(model.languages) == 600
+
+
+def test_learning_is_the_same_for_rows_in_any_order(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("text", "lang")
+    rule = language_id.Rule(most_rows=60, rounds=3)
+    first, second = language_id.learn(docs, rule), language_id.learn(docs.orderBy("text").unionByName(docs.limit(50)), rule)
+    assert first.languages == second.languages and np.allclose(first.weights, second.weights) and np.allclose(first.trust, second.trust)
+
+
+def test_decoding_equals_plain_loops():
+    rng = np.random.default_rng(9)
+    model = language_id.Model(list("abcde"), language_id.codewords(5, 3), np.zeros((1, 1)), rng.dirichlet(np.ones(language_id.codewords(5, 3).shape[1])))
+    margins = rng.normal(size=(200, model.codes.shape[1])) * 3
+    best, score, second = language_id.decode(margins, model)
+    for row, (b, s, t) in enumerate(zip(best, score, second)):
+        bits = range(model.codes.shape[1])
+        loss = [sum(model.trust[j] * np.log1p(np.exp(-code[j] * margins[row][j])) for j in bits) for code in model.codes]
+        like = [np.exp(-v * len(bits)) for v in loss]
+        share = sorted((v / sum(like) for v in like), reverse=True)
+        assert b == int(np.argmin(loss)) and s == pytest.approx(share[0]) and t == pytest.approx(share[1])
