@@ -91,7 +91,7 @@ def _measures(column: pa.Array) -> list[np.ndarray]:
     real = with_word[end] > with_word[start]
     n_lines = np.bincount(np.searchsorted(at, start[real], side="right") - 1, minlength=n)
     line_rows = np.searchsorted(at, start[real], side="right") - 1
-    lines = rolling.span_hash(rolling.prefix(rolling._BYTE[data]), start[real], end[real], 4)
+    lines = rolling.byte_hashes(texts, start[real], end[real], 4)
     dup = np.bincount(line_rows[_repeated(line_rows, lines)[1]], minlength=n)
     hashes = rolling.word_hashes(texts, found)
     of = found.rows()

@@ -1,16 +1,19 @@
 """Words, shingles and their 64-bit hashes over many texts at once, from one pass over the bytes.
 
 All hashes are polynomials in an odd base modulo 2**64 over randomised symbol values, read off one prefix
-sum, then mixed. Two different short strings agree with a chance of about 2**-60.
+sum, then mixed. Two different short strings agree with a chance of about 2**-60. Words and lines from `LONG` bytes on are hashed apart.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
+# Words and lines of so many bytes are hashed with a cryptographic hash.
+LONG = 64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _rng = np.random.Generator(np.random.PCG64(20240517))
@@ -108,8 +111,16 @@ def words(texts: Texts) -> Words:
     return Words(start, end, np.searchsorted(start, texts.offsets))
 
 
+def byte_hashes(texts: Texts, start: np.ndarray, end: np.ndarray, salt: int) -> np.ndarray:
+    """Hashes of spans of bytes. Long ones are hashed one by one: a polynomial modulo 2**64 has fixed collisions between long strings."""
+    codes = span_hash(prefix(_BYTE[texts.data]), start, end, salt)
+    for k in np.flatnonzero(end - start >= LONG):
+        codes[k] = int.from_bytes(hashlib.blake2b(texts.data[start[k] : end[k]].tobytes(), digest_size=8, person=bytes([salt])).digest(), "little")
+    return codes
+
+
 def word_hashes(texts: Texts, found: Words) -> np.ndarray:
-    return span_hash(prefix(_BYTE[texts.data]), found.start, found.end, 1)
+    return byte_hashes(texts, found.start, found.end, 1)
 
 
 def windows(hashes: np.ndarray, found: Words, size: int, salt: int = 2) -> tuple[np.ndarray, np.ndarray]:

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from helpers import FOLDER, near_copies, shingles, smallest_reachable, words
-from opsledger.llm import near_dup, rolling
+from opsledger.llm import near_dup, quality_rules, rolling
 from opsledger.llm.components import components
 
 SCHEMA = "doc_id long, text string, n_shingles string, kept string, rep int"
@@ -100,3 +100,16 @@ def test_components(spark, shape):
     found = {r.node: r.component for r in components(spark.createDataFrame([*links, (None, 3)], "a long, b long")).collect()}
     used = {i for a, b in links if a != b for i in (a, b)}
     assert found == smallest_reachable(used, [(a, b) for a, b in links if a != b])
+
+
+def test_long_words_of_which_a_polynomial_hash_makes_one(spark):
+    """Two letters in an order and in its opposite: modulo 2**64 their polynomials agree in any odd base."""
+    order = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    other = order.translate(str.maketrans("ab", "ba"))
+    texts = rolling.Texts.of(pa.array([f"{order} {other}", order, other, f"{order}\n{other}"], pa.large_string()))
+    hashes = rolling.word_hashes(texts, rolling.words(texts))
+    assert len(set(hashes.tolist())) == 2 and hashes[0] == hashes[2] != hashes[1] == hashes[3]
+    docs = spark.createDataFrame([(1, f"one {order} two"), (2, f"one {other} two")], "doc_id long, text string")
+    assert all(r["kept"] for r in near_dup.near_duplicates(docs, near_dup.Rule(size=2)).collect())
+    lines = spark.createDataFrame([(1, f"{order}\n{other}\n{order}")], "doc_id long, text string")
+    assert quality_rules.measure(lines).first()["n_dup_lines"] == 1
