@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from test_queries import canonical
 import corpus_pipeline
 from helpers import FOLDER, near_copies
 from opsledger.llm.queries import ORACLE, QUERIES
@@ -12,7 +13,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, ke
 
 
 def test_every_operator_has_one_query():
-    assert [int(k[2:].split("_")[0]) for k in QUERIES] == list(range(1, 11))
+    assert [int(k[2:].split("_")[0]) for k in QUERIES] == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "quality", "near_dedup", "privacy", "packing"]
 
@@ -20,14 +21,11 @@ def test_every_operator_has_one_query():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "labels"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     found, expected = entry.queries()[name](spark, FOLDER).toPandas(), duck.execute(ORACLE[name]).fetchdf()
-    columns = sorted(found.columns)
-    assert columns == sorted(expected.columns)
-    key = columns.index("doc_id" if "doc_id" in columns else "vec_id")
-    rows = lambda df: sorted(map(tuple, df[columns].values.tolist()), key=lambda r: r[key])
-    assert rows(found) == rows(expected)
+    assert sorted(found.columns) == sorted(expected.columns)
+    assert canonical(found) == canonical(expected)
 
 
 @pytest.mark.parametrize("name", ["op3_lm_scoring", "op4_language_id", "op5_quality_classifier", "op6_token_counts", "op7_sentencepiece", "op8_pii"])
