@@ -11,12 +11,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opsledger.operators.slices import slices
 from opsledger.operators.topk import MAX_QUERIES, rank_top, topk_scan
 
 # Scores are compared at this many decimals so that equal vectors tie whatever batch they came in.
 DECIMALS = 9
+# Scores, or components of vectors, held at a time.
+CELLS = 1_000_000
+# Vectors of one part of a bucket, in bytes.
+PART_BYTES = 16 << 20
 # Words whose slots a task remembers.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 200_000
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -103,8 +108,8 @@ def hyperplanes(tables: int, bits: int, dim: int) -> np.ndarray:
     )
 
 
-def _bucket_rows(planes: np.ndarray, tables: int, bits: int, id_col: str, vector: str, probes: int = 0):
-    """The bucket of a vector in each table, and the `probes` buckets across the planes that it lies closest to."""
+def _bucket_rows(planes: np.ndarray, tables: int, bits: int, columns: list[str], vector: str, probes: int = 0):
+    """`columns` with the bucket of a vector in each table, and the `probes` buckets across the planes that it lies closest to."""
     flips = np.arange(1 << bits)
     crossed = (flips[:, None] >> np.arange(bits)) & 1
     each = min(probes + 1, len(flips))
@@ -118,19 +123,38 @@ def _bucket_rows(planes: np.ndarray, tables: int, bits: int, id_col: str, vector
                 far = np.round((place**2) @ crossed.T, DECIMALS)
                 far[:, :, 0] = -1.0
                 bucket = bucket ^ np.argsort(far, axis=2, kind="stable")[:, :, :each]
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(id_col).take(pa.array(np.repeat(np.arange(n), tables * each))),
-                    pa.array(np.tile(np.repeat(np.arange(tables, dtype=np.int32), each), n)),
-                    pa.array(bucket.ravel().astype(np.int32)),
-                ],
-                names=[id_col, "table", "bucket"],
-            )
+            table, bucket = np.repeat(np.arange(tables, dtype=np.int32), each), bucket.astype(np.int32)
+            step = max(1, CELLS // (tables * each * planes.shape[1]))
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                rows = pa.array(np.repeat(np.arange(part.num_rows), tables * each))
+                taken = [part.column(c).take(rows) for c in columns]
+                places = [pa.array(np.tile(table, part.num_rows)), pa.array(bucket[start : start + step].ravel())]
+                yield pa.RecordBatch.from_arrays(taken + places, names=[*columns, "table", "bucket"])
 
     return run
 
 
+def _dealt(df: DataFrame, columns: list[str], vector: str, dim: int, tables: int, bits: int, probes: int = 0) -> DataFrame:
+    """`columns` of the sound vectors with (table, bucket) of each bucket they are in."""
+    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
+    rows = _bucket_rows(hyperplanes(tables, bits, dim), tables, bits, columns, vector, probes)
+    return df.select(*dict.fromkeys([*columns, vector])).where(is_sound(vector, dim)).mapInArrow(rows, f"{kinds}, table int, bucket int")
+
+
+def _parts(dealt: DataFrame, part: int, name: str) -> DataFrame:
+    """(table, bucket, name): into how many parts of about `part` rows each bucket is cut."""
+    return dealt.groupBy("table", "bucket").agg(F.ceil(F.count("*") / part).cast("int").alias(name))
+
+
+def _part_of(id_col: str, parts: str) -> Column:
+    return F.pmod(F.xxhash64(id_col), F.col(parts)).cast("int")
+
+
+def _every(parts: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+
+
 def candidate_pairs(
     queries: DataFrame, vectors: DataFrame, query_id: str, item_id: str, vector: str, tables: int, bits: int, part: int = 100_000, probes: int = 0
 ) -> DataFrame:
@@ -140,18 +164,51 @@ def candidate_pairs(
     tables * 2**bits buckets at most, so their sizes can be sent everywhere.
     """
     dim = dimension(queries, vector)
-    planes = hyperplanes(tables, bits, dim)
+    items, asked = _dealt(vectors, [item_id], vector, dim, tables, bits), _dealt(queries, [query_id], vector, dim, tables, bits, probes)
+    parts = F.broadcast(_parts(items, part, "_parts"))
+    placed = items.join(parts, ["table", "bucket"]).withColumn("_part", _part_of(item_id, "_parts"))
+    visits = asked.join(parts, ["table", "bucket"]).withColumn("_part", _every("_parts"))
+    return visits.join(placed.drop("_parts"), ["table", "bucket", "_part"]).select(query_id, item_id).distinct()
 
-    def dealt(df: DataFrame, id_col: str, probes: int = 0) -> DataFrame:
-        kind = df.schema[id_col].dataType.simpleString()
-        sound = df.select(id_col, vector).where(is_sound(vector, dim))
-        return sound.mapInArrow(_bucket_rows(planes, tables, bits, id_col, vector, probes), f"`{id_col}` {kind}, table int, bucket int")
 
-    items, asked = dealt(vectors, item_id), dealt(queries, query_id, probes)
-    parts = F.broadcast(items.groupBy("table", "bucket").agg(F.ceil(F.count("*") / part).cast("int").alias("_parts")))
-    placed = items.join(parts, ["table", "bucket"]).withColumn("_part", F.pmod(F.xxhash64(item_id), F.col("_parts")).cast("int"))
-    visits = asked.join(parts, ["table", "bucket"]).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-    return visits.join(placed.drop("_parts"), ["table", "bucket", "_part"]).select(query_id, item_id).distinct()
+def _scored_exactly(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
+    """What `_score` gives for each row of `a` with the row of `b`."""
+    if metric == "l2":
+        return np.round(-((a - b) ** 2).sum(axis=1), DECIMALS) + 0.0
+    product = (a * b).sum(axis=1)
+    if metric == "cosine":
+        size = np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1))
+        product = np.divide(product, size, out=np.zeros(len(a)), where=size != 0)
+    return np.round(product, DECIMALS) + 0.0
+
+
+def _best_in_bucket(query_id: str, item_id: str, vector: str, metric: str, k: int):
+    """The k best items of a part of a bucket for each query that visits it, as (query, item, score)."""
+    make = _vector_scorer(vector, metric)
+
+    def run(asked: pa.Table, items: pa.Table) -> pa.Table:
+        found = [pa.table({query_id: asked.column(query_id).slice(0, 0), item_id: items.column(item_id).slice(0, 0), "score": pa.array([], pa.float64())})]
+        ids = items.column(item_id).to_numpy()
+        step = max(1, CELLS // max(len(ids), 1))
+        for start in range(0, asked.num_rows if len(ids) else 0, step):
+            block = asked.slice(start, step)
+            a, b = _matrix(block.column(vector)), _matrix(items.column(vector))
+            rough = make(block)(items)
+            # Products of matrices choose, with room for their rounding; what they choose is scored pair by pair.
+            reach = 1.0 if metric == "cosine" else (np.abs(a).max(initial=0.0) + np.abs(b).max(initial=0.0)) ** 2 * a.shape[1]
+            kth = np.partition(rough, len(ids) - k, axis=0)[len(ids) - k] if len(ids) > k else np.full(block.num_rows, -np.inf)
+            query, item = np.nonzero((rough >= kth - 2e-9 - 1e-13 * reach).T)
+            pairs = max(1, CELLS // a.shape[1])
+            score = np.concatenate([_scored_exactly(a[query[i : i + pairs]], b[item[i : i + pairs]], metric) for i in range(0, len(query), pairs)])
+            order = np.lexsort((ids[item], -score, query))
+            query, item, score = query[order], item[order], score[order]
+            kept = np.arange(len(query)) - np.searchsorted(query, query, side="left") < k
+            found.append(pa.table({
+                query_id: block.column(query_id).take(pa.array(query[kept])), item_id: items.column(item_id).take(pa.array(item[kept])), "score": pa.array(score[kept]),
+            }))
+        return pa.concat_tables(found)
+
+    return run
 
 
 def _score(a: Column, b: Column, metric: str) -> Column:
@@ -179,18 +236,30 @@ def knn_approx(
     tables: int = 12,
     bits: int = 6,
     probes: int = 4,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """Like `knn_topk`, but only items that share a bucket of some table with the query are looked at.
 
     A table cuts space by `bits` hyperplanes through the origin; the query's own bucket and `probes` more are
-    visited, those across the planes that it lies closest to. Pairs come from an equal join on the
-    bucket; each pair is scored once, exactly.
+    visited, those across the planes that it lies closest to. Items and visits meet by bucket in a grouped
+    job that gives k rows per visit, so pairs are never rows: what is shuffled is each vector once per table, and
+    each query once per visit. Buckets with more vectors than `part_bytes` hold are cut into parts on either side.
     """
-    pairs = candidate_pairs(queries, vectors, query_id, item_id, vector, tables, bits, probes=probes)
-    left = queries.select(query_id, F.col(vector).alias("_a"))
-    right = vectors.select(item_id, F.col(vector).alias("_b"))
-    met = pairs.join(left, query_id).join(right, item_id)
-    scored = met.select(query_id, item_id, _score(F.col("_a"), F.col("_b"), metric).alias("score"))
+    dim = dimension(queries, vector)
+    part = max(1, part_bytes // (4 * max(dim, 1)))
+    deal = lambda df, columns, probes=0: _dealt(df.where(F.col(columns[0]).isNotNull()), columns, vector, dim, tables, bits, probes)
+    bucket = ["table", "bucket"]
+    parts = F.broadcast(_parts(deal(vectors, [item_id]), part, "_parts").join(F.broadcast(_parts(deal(queries, [query_id], probes), part, "_turns")), bucket))
+    items = deal(vectors, [item_id, vector]).join(parts, bucket).withColumn("_part", _part_of(item_id, "_parts")).withColumn("_turn", _every("_turns"))
+    asked = deal(queries, [query_id, vector], probes).join(parts, bucket).withColumn("_turn", _part_of(query_id, "_turns")).withColumn("_part", _every("_parts"))
+    key = [*bucket, "_part", "_turn"]
+    kind = lambda df, c: f"`{c}` {df.schema[c].dataType.simpleString()}"
+    best = _best_in_bucket(query_id, item_id, vector, metric, k)
+    met = asked.drop("_parts", "_turns").groupBy(key).cogroup(items.drop("_parts", "_turns").groupBy(key)).applyInArrow(
+        best, f"{kind(queries, query_id)}, {kind(vectors, item_id)}, score double"
+    )
+    # A pair may have met in several tables.
+    scored = met.groupBy(query_id, item_id).agg(F.max("score").alias("score"))
     return rank_top(scored, query_id, [F.col("score").desc(), F.col(item_id)], k)
 
 

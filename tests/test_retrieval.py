@@ -11,7 +11,7 @@ from opsledger.functions.text import excerpt, extract_first, tokenize, word_over
 from opsledger.operators import bm25, fusion, knn
 from opsledger.operators.answer import build_context, fetch_chunks, lookup_extracted_key
 from opsledger.operators.chunks import chunk_of, chunk_sections, corpus_order
-from opsledger.operators.topk import best_of
+from opsledger.operators.topk import best_of, rank_top
 
 DOCS = [
     "Delay of a flight delay", "a gate change", "the weather a delay", "a a a a", "", "refund policy for a cancelled flight",
@@ -296,3 +296,20 @@ def test_excerpt_and_extract(spark):
         excerpt(F.col("t")).alias("e"), extract_first(F.col("u"), r"(n\d)").alias("x"), extract_first(F.col("u"), "(z)").alias("z")
     ).first()
     assert (row["e"], row["x"], row["z"]) == ("a" * 200, "n1", None)
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine", "dot"])
+def test_approximate_neighbours_meet_by_bucket_and_not_as_pairs(spark, metric):
+    """The k best of the candidate pairs, buckets cut up or not, copies included, without a row for a pair."""
+    rng = np.random.default_rng(3)
+    data = np.concatenate([rng.normal(size=(150, 8)), np.repeat(rng.normal(size=(1, 8)), 60, axis=0), np.zeros((3, 8))]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id bigint, embedding array<float>")
+    asked = df.where("vec_id % 10 = 0").withColumnRenamed("vec_id", "query_id")
+    pairs = knn.candidate_pairs(asked, df, "query_id", "vec_id", "embedding", 12, 6, probes=4)
+    both = pairs.join(asked.withColumnRenamed("embedding", "a"), "query_id").join(df.withColumnRenamed("embedding", "b"), "vec_id")
+    scored = both.select("query_id", "vec_id", knn._score(F.col("a"), F.col("b"), metric).alias("score"))
+    expected = ranking(rank_top(scored, "query_id", [F.col("score").desc(), F.col("vec_id")], 7), "vec_id")
+    for part_bytes in (1 << 20, 5 * 8 * 4):
+        found = knn.knn_approx(asked, df, 7, metric=metric, part_bytes=part_bytes)
+        assert ranking(found, "vec_id") == expected
+        assert "FlatMapCoGroupsInArrow" in found._jdf.queryExecution().executedPlan().toString()
