@@ -280,19 +280,21 @@ def _slots(dim: int):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known: dict[str, int] = {}
         for texts in batches:
-            # Splitting without an argument cuts at the white space that `tokenize` cuts at.
-            words = [text.split() for text in texts.to_pylist()]
-            coded = pa.array([w for found in words for w in found], pa.string()).dictionary_encode()
-            if len(known) > KNOWN_WORDS:
-                known.clear()
-            for word in coded.dictionary.to_pylist():
-                if word not in known:
-                    known[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dim
-            slot = np.array([known[word] for word in coded.dictionary.to_pylist()], dtype=np.int64)
-            row = np.repeat(np.arange(len(words)), [len(found) for found in words])
-            dense = np.bincount(row * dim + slot[coded.indices.to_numpy()], minlength=len(words) * dim).reshape(len(words), dim)
-            dense = _unit(dense.astype(float)).astype(np.float32)
-            yield pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1, dtype=np.int32) * dim), pa.array(dense.ravel()))
+            parts = [np.zeros(0, np.float32)]
+            for start, length in slices(texts):
+                # Splitting without an argument cuts at the white space that `tokenize` cuts at.
+                words = [text.split() for text in texts.slice(start, length).to_pylist()]
+                coded = pa.array([w for found in words for w in found], pa.string()).dictionary_encode()
+                if len(known) > KNOWN_WORDS:
+                    known.clear()
+                for word in coded.dictionary.to_pylist():
+                    if word not in known:
+                        known[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dim
+                slot = np.array([known[word] for word in coded.dictionary.to_pylist()], dtype=np.int64)
+                row = np.repeat(np.arange(len(words)), [len(found) for found in words])
+                dense = np.bincount(row * dim + slot[coded.indices.to_numpy()], minlength=len(words) * dim).reshape(len(words), dim)
+                parts.append(_unit(dense.astype(float)).astype(np.float32).ravel())
+            yield pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * dim), pa.array(np.concatenate(parts)))
 
     return run
 

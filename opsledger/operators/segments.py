@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from opsledger.functions.text import tokenize
 from opsledger.operators import bm25
 from opsledger.operators.bm25 import DECIMALS, Corpus, _idf, term_weight
+from opsledger.operators.slices import slices
 from opsledger.operators.topk import rank_top
 from opsledger.session import materialize
 from opsledger.sources.tables import table_exists
@@ -114,16 +115,17 @@ def _write_segment(root: str, name: str, texts: DataFrame, masked: DataFrame, it
 
 def _count_texts(item_id: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch, (start, length) in ((b, at) for b in batches for at in slices(b.column("text"))):
+            part = batch.slice(start, length)
             # Splitting without an argument cuts at the white space that `tokenize` cuts at.
-            words = [text.split() for text in batch.column("text").to_pylist()]
+            words = [text.split() for text in part.column("text").to_pylist()]
             counts = [sorted(Counter(w).items()) for w in words]
             made = [
                 pa.array([len(w) for w in words], pa.int32()),
                 pa.array([[t for t, _ in c] for c in counts], pa.list_(pa.string())),
                 pa.array([[n for _, n in c] for c in counts], pa.list_(pa.int32())),
             ]
-            yield pa.RecordBatch.from_arrays([batch.column(item_id), *made], names=[item_id, "length", "words", "counts"])
+            yield pa.RecordBatch.from_arrays([part.column(item_id), *made], names=[item_id, "length", "words", "counts"])
 
     return run
 

@@ -21,7 +21,7 @@ from opsledger.session import materialize
 
 MAX_QUERIES = 2_000
 MAX_QUERY_BYTES = 64 << 20
-CELLS = 2_000_000
+CELLS = 500_000
 
 # From the query table to a function giving an (items x queries) matrix; larger is better and
 # -inf means "not a candidate".
@@ -45,7 +45,7 @@ class _Best:
     """The k best (item, score) per query of everything added so far."""
 
     def __init__(self, k: int, n_queries: int) -> None:
-        self.k, self.limit = k, max(1_000_000, 4 * k * n_queries)
+        self.k, self.limit = k, max(CELLS, 4 * k * n_queries)
         self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.size = 0
 

@@ -4,13 +4,16 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from opsledger.functions.text import excerpt, extract_first, tokenize, word_overlap
-from opsledger.operators import bm25, fusion, knn
+from opsledger.operators import bm25, fusion, knn, segments
 from opsledger.operators.answer import build_context, fetch_chunks, lookup_extracted_key
 from opsledger.operators.chunks import chunk_of, chunk_sections, corpus_order
+from opsledger.operators.slices import slices
+from opsledger.operators.slices import slices
 from opsledger.operators.topk import best_of, rank_top
 
 DOCS = [
@@ -313,3 +316,20 @@ def test_approximate_neighbours_meet_by_bucket_and_not_as_pairs(spark, metric):
         found = knn.knn_approx(asked, df, 7, metric=metric, part_bytes=part_bytes)
         assert ranking(found, "vec_id") == expected
         assert "FlatMapCoGroupsInArrow" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_are_split_in_slices_of_bounded_bytes(spark):
+    """Batches of many long texts are never split whole, and slices give what one batch gives."""
+    texts = pa.array(["a b " * 100, None, "", "c " * 5000, *["d e f"] * 300])
+    cut = list(slices(texts, 2000))
+    assert [s for s, _ in cut] == [0, *np.cumsum([n for _, n in cut])[:-1]] and sum(n for _, n in cut) == len(texts) and list(slices(texts.slice(0, 0))) == []
+    assert all(n == 1 or sum(len(t or "") for t in texts.slice(s, n).to_pylist()) <= 2000 for s, n in cut)
+    long = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array([f"w{k} x " * 20_000 for k in range(40)])], names=["id", "text"])
+    made = list(bm25._count_words("id")(iter([long])))
+    assert len(made) > 8 and [r for b in made for r in b.to_pylist()] == [
+        {"id": k, "length": 40_000, "term": t, "tf": 20_000} for k in range(40) for t in (f"w{k}", "x")
+    ]
+    (vectors,) = knn._slots(8)(iter([long.column("text")]))
+    assert vectors.to_pylist() == [v for t in long.column("text") for v in next(knn._slots(8)(iter([pa.array([t.as_py()])]))).to_pylist()]
+    counted = list(segments._count_texts("id")(iter([long])))
+    assert len(counted) > 8 and sum(b.num_rows for b in counted) == 40
