@@ -4,9 +4,10 @@ Everything on the path is column expressions. A pattern's matches are found by m
 folding over the pieces, which gives their places in code points. Four base kinds (email, ip, card, phone) are exact
 rules with checks. Five generators propose further, overlapping spans; candidates get features of their
 format (digits, groups, separators, letters) and context (what stands before and after). Gradient-boosted
-trees learn, from a bounded sample of the corpus' own candidates, which formats the checks confirm (Luhn sum,
-address range, digit count) or an assignment names as a secret; neither checks nor names are features. The
-sample is drawn per kind from distinct candidates, so neither a frequent kind nor a repeated span crowds out others. Per
+trees learn, from all distinct candidates of the corpus, which formats the checks confirm (Luhn sum,
+address range, digit count) or an assignment names as a secret; neither checks nor names are features. Candidates
+that are alike in features and label are one row that carries their number, and neither the confirmed nor the other candidates of
+a kind weigh more than `most_weight`, so neither a frequent kind nor a repeated span crowds out others. Per
 kind, the threshold is the lowest at which held-back candidates are confirmed with `precision`. A kind with too
 few confirmed among them is judged by all its rows, each half scored by trees grown on the other; if that is too
 few still, by the rows of all kinds together. The trees become one column expression, so scoring is part of the scan.
@@ -18,6 +19,7 @@ through `candidates` and `redact` unless they are called base, proposed or spans
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -34,6 +36,9 @@ KINDS = ("email", "ip", "card", "phone", "secret")
 _FOUND = "struct<kind:int,start:int,end:int,value:string,before:string,after:string>"
 _SPAN = "struct<start:int,kind:int,end:int>"
 CONTEXT = 24
+TASK_ROWS = 50_000  # rows that one task learns from
+BINS = 256  # places tried for a split of a feature
+GRID = 100_000  # steps of a score that thresholds tell apart
 BLOCK = 256  # elements gathered at a time
 CHUNK = 1024  # code points of a text cut out at a time
 
@@ -59,7 +64,8 @@ _ASSIGNED = r"(?i)(token|secret|passw(or)?d|api.?key|credential)s?['\"]?\s*[:=]\
 
 @dataclass(frozen=True)
 class Rule:
-    most_rows: int = 20_000  # candidates learned from, an equal share for each kind
+    most_rows: int | None = None  # distinct candidates learned from, an equal share for each kind; None: all
+    most_weight: int = 4_000  # of the candidates of a kind with one label together
     trees: int = 8
     depth: int = 3
     precision: float = 0.95
@@ -245,12 +251,22 @@ def _expression(node) -> Callable[[list[Column]], Column]:
     return lambda x: F.when(x[index] <= limit, left(x)).otherwise(right(x))
 
 
+def _told(found: DataFrame, rule: Rule) -> DataFrame:
+    """(kind, place, label, c) of every candidate; `place` is a hash of what tells distinct candidates apart."""
+    told = found.select(F.explode(_labelled(F.col("base"), F.col("proposed"))).alias("x")).select("x.c", "x.label")
+    place = F.xxhash64(*(F.col("c")[x] for x in ("kind", "value", "before", "after")), F.lit(rule.seed))
+    return told.select(F.col("c")["kind"].alias("kind"), place.alias("place"), "label", "c")
+
+
 def _sample(found: DataFrame, rule: Rule) -> DataFrame:
     """(kind, place, label, features) of distinct candidates, at most an equal share of `most_rows` of each kind, by lowest hash."""
+    each = _told(found, rule)
+    if rule.most_rows is None:
+        measured = each.select("kind", "place", "label", *(f.alias(f"f{i}") for i, f in enumerate(_features(F.col("c")))))
+        # Equal candidates have equal features.
+        same = [F.max(c).alias(c) for c in measured.columns if c[0] == "f"]
+        return measured.groupBy("kind", "place").agg(F.max(F.col("label").cast("double")).alias("label"), *same)
     most = rule.most_rows // len(KINDS)
-    each = found.select(F.explode(_labelled(F.col("base"), F.col("proposed"))).alias("x")).select("x.c", "x.label").select(
-        F.col("c")["kind"].alias("kind"), F.xxhash64(*(F.col("c")[x] for x in ("kind", "value", "before", "after")), F.lit(rule.seed)).alias("place"), "label", "c"
-    )
     sizes = each.groupBy("kind").agg(F.approx_count_distinct("place", 0.05).alias("n")).collect()
     # About twice as many as wanted pass by their hash; the lowest of them are taken.
     passes = F.lit(False)
@@ -267,37 +283,55 @@ def _sample(found: DataFrame, rule: Rule) -> DataFrame:
     return materialize(lowest.select("kind", "place", "label", *(f.alias(f"f{i}") for i, f in enumerate(_features(F.col("c"))))))
 
 
-def _threshold(rows: list[tuple[float, float]], precision: float) -> float | None:
-    """The lowest score at which (score, label) rows are confirmed with `precision`."""
-    rows, right, best = sorted(rows, reverse=True), 0, None
-    for n, (p, label) in enumerate(rows, 1):
-        right += label
-        last = n == len(rows) or rows[n][0] < p
-        if last and right and right >= precision * n:
+def _alike(sample: DataFrame) -> DataFrame:
+    """(half, label, kind, features, n): how many distinct candidates of a half are alike in features and label."""
+    half = F.pmod(F.xxhash64("place"), F.lit(2)).cast("int")
+    alike = ["half", "label", "kind", *(c for c in sample.columns if c[0] == "f")]
+    return materialize(sample.withColumn("half", half).groupBy(alike).agg(F.count("*").alias("n")))
+
+
+def _threshold(rows: list[tuple[float, float, float]], precision: float) -> float | None:
+    """The lowest score at which (score, number, confirmed) rows are confirmed with `precision`."""
+    rows, total, right, best = sorted(rows, reverse=True), 0.0, 0.0, None
+    for at, (p, n, confirmed) in enumerate(rows, 1):
+        total, right = total + n, right + confirmed
+        last = at == len(rows) or rows[at][0] < p
+        if last and right and right >= precision * total - 1e-9:
             best = p
     return best
 
 
 def learn(found: DataFrame, rule: Rule = Rule()) -> Model:
-    """A model from the rows of `candidates`, learned from a bounded sample of each kind."""
-    sample = _sample(found, rule)
-    half = F.pmod(F.xxhash64("place"), F.lit(2))
-    labels = {(r["half"], r["label"]) for r in sample.select(half.alias("half"), "label").distinct().collect()}
-    both = [h for h in (0, 1) if {(h, 0.0), (h, 1.0)} <= labels]
+    """A model from the rows of `candidates`, learned from all of them unless the rule has a bound."""
+    alike = _alike(_sample(found, rule))
+    sizes = {(r["half"], r["label"], r["kind"]): (r["rows"], r["n"]) for r in alike.groupBy("half", "label", "kind").agg(F.count("*").alias("rows"), F.sum("n").alias("n")).collect()}
+    both = [h for h in (0, 1) if {0.0, 1.0} <= {label for half, label, _ in sizes if half == h}]
     if not both:
         return Model()
-    width = len([c for c in sample.columns if c[0] == "f"])
-    assembler = VectorAssembler(inputCols=[f"f{i}" for i in range(width)], outputCol="features")
-    ready = assembler.transform(sample.coalesce(1)).select("kind", "label", "place", "features")
-    booster = GBTClassifier(maxIter=rule.trees, maxDepth=rule.depth, seed=rule.seed, stepSize=0.3, cacheNodeIds=False)
-
-    def scores(model, of: int) -> dict[int, list[tuple[float, float]]]:
-        made: dict[int, list[tuple[float, float]]] = {k: [] for k in range(len(KINDS))}
-        for r in model.transform(ready.filter(half == of)).select("kind", "label", vector_to_array("probability")[1].alias("p")).collect():
-            made[r["kind"]].append((r["p"], r["label"]))
+    of_kind, of_label = Counter(), Counter()
+    for (_, label, kind), (_, n) in sizes.items():
+        of_kind[kind] += n
+        of_label[kind, label] += n
+    share = {k: min(1.0, rule.most_weight / n) for k, n in of_kind.items()}
+    features = [c for c in alike.columns if c[0] == "f"]
+    one = [F.when((F.col("kind") == k) & (F.col("label") == label), F.lit(min(1.0, rule.most_weight / n))) for (k, label), n in sorted(of_label.items())]
+    weight = F.col("n") * F.coalesce(*one)
+    # One order of the rows, so that sums come out the same each time as long as one task holds them.
+    tasks = -(-sum(rows for rows, _ in sizes.values()) // TASK_ROWS)
+    ordered = alike.withColumn("weight", weight).repartitionByRange(tasks, *features, "label").sortWithinPartitions(*features, "label")
+    ready = VectorAssembler(inputCols=features, outputCol="features").transform(ordered).select("half", "kind", "label", "n", "weight", "features")
+    booster = GBTClassifier(maxIter=rule.trees, maxDepth=rule.depth, seed=rule.seed, stepSize=0.3, cacheNodeIds=False, maxBins=BINS, weightCol="weight")
+
+    def scores(model, of: int) -> dict[int, list[tuple[float, float, float]]]:
+        """(score, number, confirmed) by kind, with a row per step of the score."""
+        made: dict[int, list[tuple[float, float, float]]] = {k: [] for k in range(len(KINDS))}
+        step = F.floor(vector_to_array("probability")[1] * GRID).alias("step")
+        told = model.transform(ready.filter(F.col("half") == of)).select("kind", step, "n", (F.col("n") * F.col("label")).alias("confirmed"))
+        for r in told.groupBy("kind", "step").agg(F.sum("n").alias("n"), F.sum("confirmed").alias("confirmed")).collect():
+            made[r["kind"]].append((r["step"] / GRID, float(r["n"]), r["confirmed"]))
         return made
 
-    fitted = booster.fit(ready.filter(half == both[0]))
+    fitted = booster.fit(ready.filter(F.col("half") == both[0]))
     trees = [(w, _expression(t._call_java("rootNode"))) for w, t in zip(fitted.treeWeights, fitted.trees)]
 
     def margin(x: list[Column]) -> Column:
@@ -306,15 +340,15 @@ def learn(found: DataFrame, rule: Rule = Rule()) -> Model:
             total = total + w * tree(x)
         return 1 / (1 + F.exp(-2 * total))
 
-    def few(rows: list[tuple[float, float]]) -> bool:
-        return sum(label for _, label in rows) < rule.fewest
+    def few(rows: list[tuple[float, float, float]]) -> bool:
+        return sum(confirmed for _, _, confirmed in rows) < rule.fewest
 
     held = scores(fitted, 1 - both[0])
     crossed = held
     if len(both) == 2 and any(few(rows) for rows in held.values()):
-        other = scores(booster.fit(ready.filter(half == both[1])), both[0])
+        other = scores(booster.fit(ready.filter(F.col("half") == both[1])), both[0])
         crossed = {k: held[k] + other[k] for k in held}
-    pooled = _threshold([r for rows in crossed.values() for r in rows], rule.precision)
+    pooled = _threshold([(p, n * share[k], c * share[k]) for k, rows in crossed.items() if k in share for p, n, c in rows], rule.precision)
     thresholds = {}
     for kind, rows in held.items():
         rows = crossed[kind] if few(rows) else rows

@@ -178,3 +178,15 @@ def test_redaction_across_the_pieces_of_a_long_text(spark):
         at = max(at, b)
     rows = spark.createDataFrame([(1, text, spans)], "doc_id long, text string, spans array<struct<start:int,kind:int,end:int>>")
     assert pii.redact(rows.withColumn("base", F.col("spans"))).first().text == expected + text[at:]
+
+
+def test_every_distinct_candidate_is_learned_from(spark):
+    """No candidate is left out of the rows that trees and thresholds come from, however many there are of a kind."""
+    rows = few_secrets(30, 30_000)
+    found = materialize(pii.candidates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
+    each = found.select(F.explode("proposed").alias("c")).groupBy("c.kind").agg(F.count_distinct("c.value", "c.before", "c.after").alias("n"))
+    alike = pii._alike(pii._sample(found, pii.Rule()))
+    assert {r.kind: r.n for r in alike.groupBy("kind").agg(F.sum("n").alias("n")).collect()} == {r.kind: r.n for r in each.collect()}
+    assert alike.count() < each.agg(F.sum("n")).first()[0] / 4
+    named = [r for r in pii.select(found, pii.learn(found)).select("doc_id", pii.counted("spans", "secret").alias("n")).collect() if r.doc_id >= 30_000]
+    assert len(named) == 30 and sum(r.n == 1 for r in named) >= 27
