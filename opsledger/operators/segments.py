@@ -14,25 +14,30 @@ promise most; the k-th best score there is its threshold, and only zones that ca
 from __future__ import annotations
 
 import uuid
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsledger.functions.text import tokenize
 from opsledger.operators import bm25
-from opsledger.operators.bm25 import DECIMALS, Corpus, _idf, term_weight
+from opsledger.operators.bm25 import CELLS, DECIMALS, MAX_WORD_BYTES, MAX_WORDS, Corpus, _Best, _idf, term_weight
 from opsledger.operators.slices import slices
-from opsledger.operators.topk import rank_top
+from opsledger.operators.topk import best_of, rank_top
 from opsledger.session import materialize
 from opsledger.sources.tables import table_exists
 
 ZONE_BITS = 3
 BUCKETS = 16
+# Bounds and thresholds are sums of rounded parts.
+SLACK = 1e-6
 # Saturation and length parameters of the gains; bounds are stored for these.
 K1, B = 1.5, 0.75
 
@@ -47,6 +52,7 @@ class Segments:
     terms: DataFrame
     corpus: Corpus
     item_id: str
+    live: list[str]
 
 
 def _bucket() -> Column:
@@ -73,7 +79,7 @@ def _union(spark: SparkSession, root: str, segments: list[str], part: str, item:
     columns = {
         "texts": f"{item}, length int, words array<string>, counts array<int>, zone long",
         "blocks": f"term string, zone long, postings {posting}, best double, mean double, bucket int",
-        "mask": f"of string, {item}",
+        "mask": f"of string, {item}, zone long",
         "terms": "of string, term string, df long",
         "facts": "of string, documents long, words long",
     }[part]
@@ -86,8 +92,8 @@ def _item(df: DataFrame, item_id: str) -> str:
     return f"{item_id} {df.schema[item_id].dataType.simpleString()}"
 
 
-def _write_segment(root: str, name: str, texts: DataFrame, masked: DataFrame, item_id: str) -> None:
-    """`texts` (id, length, words, counts) and what they mask (segment, id, length, words) become a segment.
+def _write_segment(root: str, name: str, texts: DataFrame, masked: DataFrame, held: DataFrame, item_id: str) -> None:
+    """`texts` (id, length, words, counts) and what they mask (segment, id, length, zone) among the texts `held` become a segment.
 
     Counts carry the segment they are about (`of`), so that those about a merged segment go with it.
     """
@@ -97,22 +103,59 @@ def _write_segment(root: str, name: str, texts: DataFrame, masked: DataFrame, it
     # ZONE texts of like length in a row make a zone: like lengths make for like gains, and so for close bounds.
     number = F.shiftright(F.monotonically_increasing_id(), ZONE_BITS).alias("zone")
     texts.sortWithinPartitions("length", item_id).select(item_id, "length", "words", "counts", number).write.parquet(place("texts"))
-    masked.select(F.col("segment").alias("of"), item_id).write.parquet(place("mask"))
-    each = table("texts").select(item_id, "length", "zone", F.inline(F.arrays_zip(F.col("words").alias("term"), F.col("counts").alias("tf"))))
-    # Bounded: a zone has 2**ZONE_BITS texts, and each has a word once.
-    listed = F.array_sort(F.collect_list(F.struct(item_id, "tf", "length")))
-    mean = F.lit(texts.agg(F.avg("length")).first()[0] or 1.0)
-    best = F.max(_gain(F.col("tf"), F.col("length"), mean)).alias("best")
-    blocks = each.groupBy("term", "zone").agg(listed.alias("postings"), best).withColumn("mean", mean)
-    laid = blocks.withColumn("bucket", _bucket())
-    laid.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "zone").write.partitionBy("bucket").parquet(place("blocks"))
+    masked.select(F.col("segment").alias("of"), item_id, "zone").write.parquet(place("mask"))
+    mean = table("texts").agg(F.avg("length")).first()[0] or 1.0
+    # The texts of a zone lie next to each other, so blocks are made without a shuffle; a zone cut by two tasks has two blocks
+    # of a word, and a bound that is the higher for it.
+    kind = f"term string, zone long, postings array<struct<{item.replace(' ', ':', 1)},tf:int,length:int>>, best double"
+    blocks = table("texts").select(item_id, "length", "words", "counts", "zone").mapInArrow(_make_blocks(item_id, mean), kind)
+    laid = blocks.withColumn("mean", F.lit(mean)).withColumn("bucket", _bucket())
+    laid.sortWithinPartitions("bucket", "term", "zone").write.partitionBy("bucket").parquet(place("blocks"))
     gained = table("blocks").groupBy("term").agg(F.sum(F.size("postings")).alias("df")).withColumn("of", F.lit(name))
-    lost = masked.select("segment", F.explode("words").alias("term")).groupBy(F.col("segment").alias("of"), "term").agg((-F.count("*")).alias("df"))
+    words = held.select("segment", item_id, "words").join(masked.select("segment", item_id), ["segment", item_id], "left_semi")
+    lost = words.select("segment", F.explode("words").alias("term")).groupBy(F.col("segment").alias("of"), "term").agg((-F.count("*")).alias("df"))
     gained.unionByName(lost).write.parquet(place("terms"))
     facts = lambda df, of, sign: df.groupBy(of.alias("of")).agg((sign * F.count("*")).alias("documents"), (sign * F.sum("length")).alias("words"))
     facts(table("texts"), F.lit(name), 1).unionByName(facts(masked, F.col("segment"), -1)).coalesce(1).write.parquet(place("facts"))
 
 
+def _make_blocks(item_id: str, mean: float):
+    """(term, zone, postings by id, highest gain) of texts that come zone by zone."""
+
+    def blocks(texts: pa.RecordBatch) -> pa.RecordBatch:
+        sizes = texts.column("words").value_lengths().to_numpy()
+        row = np.repeat(np.arange(texts.num_rows), sizes)
+        words = texts.column("words").flatten()
+        term = words.dictionary_encode().indices.to_numpy()
+        tf, length = texts.column("counts").flatten().to_numpy(), texts.column("length").to_numpy()[row]
+        zone, ids = texts.column("zone").to_numpy()[row], texts.column(item_id).take(pa.array(row))
+        place = np.argsort(np.argsort(texts.column(item_id).to_numpy(zero_copy_only=False), kind="stable"))[row]
+        order = np.lexsort((place, term, zone))
+        zone, term, tf, length, at = zone[order], term[order], tf[order], length[order], pa.array(order)
+        first = np.flatnonzero(np.append(True, (zone[1:] != zone[:-1]) | (term[1:] != term[:-1])))
+        best = np.maximum.reduceat(_gain(tf, length, mean), first)
+        posting = pa.StructArray.from_arrays([ids.take(at), pa.array(tf, pa.int32()), pa.array(length, pa.int32())], names=[item_id, "tf", "length"])
+        ends = pa.array(np.append(first, len(order)).astype(np.int32))
+        return pa.RecordBatch.from_arrays(
+            [words.take(at).take(pa.array(first)), pa.array(zone[first]), pa.ListArray.from_arrays(ends, posting), pa.array(best)], names=["term", "zone", "postings", "best"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            zone, words = batch.column("zone").to_numpy(), np.cumsum(batch.column("words").value_lengths().to_numpy())
+            heads = np.append(np.flatnonzero(np.append(True, zone[1:] != zone[:-1])), len(zone)) if len(zone) else []
+            start = 0
+            for here, after in zip(heads[:-1], heads[1:]):
+                # Whole zones, until they have enough words.
+                if after == len(zone) or words[after - 1] - (words[start - 1] if start else 0) > CELLS:
+                    part = batch.slice(start, after - start)
+                    if part.column("words").flatten():
+                        yield blocks(part)
+                    start = int(after)
+
+    return run
+
+
 def _count_texts(item_id: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, (start, length) in ((b, at) for b in batches for at in slices(b.column("text"))):
@@ -147,15 +190,18 @@ def apply(spark: SparkSession, root: str, load: DataFrame, item_id: str = "doc_i
     An id that is loaded and deleted at once stays as loaded. A load that dies half way leaves no trace in the index: its segment is in no version.
     """
     name = f"{len(_live(spark, root)):06d}-{uuid.uuid4().hex[:12]}"
-    texts = materialize(_counted(load, item_id, text))
+    texts = _counted(load, item_id, text)
     live = _live(spark, root)
     touched = load.select(item_id) if deleted is None else load.select(item_id).unionByName(deleted.select(item_id)).distinct()
     if live:
-        held = _unmasked(_union(spark, root, live, "texts", _item(load, item_id)), _union(spark, root, live, "mask", _item(load, item_id)).drop("segment"), item_id)
-        masked = materialize(held.join(touched, item_id, "left_semi").select("segment", item_id, "length", "words"))
+        held = _union(spark, root, live, "texts", _item(load, item_id))
+        # Ids are compared first, words are fetched once, for what is masked.
+        known = _unmasked(held.select("segment", item_id, "length", "zone"), _union(spark, root, live, "mask", _item(load, item_id)).drop("segment"), item_id)
+        masked = materialize(known.join(touched, item_id, "left_semi").select("segment", item_id, "length", "zone"))
     else:
-        masked = texts.where("false").select(F.lit("").alias("segment"), item_id, "length", "words")
-    _write_segment(root, name, texts, masked, item_id)
+        held = texts.where("false").select(F.lit("").alias("segment"), item_id, "length", F.lit(0).cast("long").alias("zone"), "words")
+        masked = held.drop("words")
+    _write_segment(root, name, texts, masked, held, item_id)
     _commit(spark, root, [*live, name])
     return name
 
@@ -169,13 +215,13 @@ def merge(spark: SparkSession, root: str, most: int, item: str = "doc_id bigint"
     if len(small) < 2:
         return live
     large = [s for s in live if s not in small]
-    texts = materialize(_unmasked(table("texts", small), table("mask", live).drop("segment"), item_id).drop("segment", "zone"))
+    texts = _unmasked(table("texts", small), table("mask", live).drop("segment"), item_id).drop("segment", "zone")
     # What the merged segments masked in others stays masked.
     kept = table("mask", small).select(F.col("of").alias("segment"), item_id).where(F.col("segment").isin(large))
     held = table("texts", large or small)
-    masked = materialize(held.join(kept, ["segment", item_id], "left_semi").select("segment", item_id, "length", "words"))
+    masked = materialize(held.select("segment", item_id, "length", "zone").join(kept, ["segment", item_id], "left_semi"))
     name = f"{len(live):06d}-{uuid.uuid4().hex[:12]}"
-    _write_segment(root, name, texts, masked, item_id)
+    _write_segment(root, name, texts, masked, held, item_id)
     _commit(spark, root, [*large, name])
     return [*large, name]
 
@@ -189,7 +235,7 @@ def read(spark: SparkSession, root: str, item: str = "doc_id bigint") -> Segment
     terms = table("terms").where(F.col("of").isin(live)).groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")
     mean_idf = terms.agg(F.avg(_idf(F.lit(facts["n"]), F.col("df")))).first()[0]
     corpus = Corpus(facts["n"], mean_length, mean_idf or 0.0)
-    return Segments(table("blocks"), table("texts"), table("mask").drop("segment"), terms, corpus, item.split()[0])
+    return Segments(table("blocks"), table("texts"), table("mask").drop("segment"), terms, corpus, item.split()[0], live)
 
 
 def plain(index: Segments) -> bm25.Index:
@@ -202,18 +248,10 @@ def plain(index: Segments) -> bm25.Index:
     return bm25.Index(each, index.terms, stats, texts.select(item_id), item_id)
 
 
-def _gain(tf: Column, length: Column, mean: Column) -> Column:
+def _gain(tf: np.ndarray, length: np.ndarray, mean: float) -> np.ndarray:
     return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
 
 
-def _bound(index: Segments) -> Column:
-    """The highest gain of a block, from what it was at the mean length of its segment's own texts.
-
-    With a longer mean length a gain grows by the ratio of the two at most; with a shorter one it shrinks.
-    """
-    return F.col("weight") * F.col("best") * F.greatest(F.lit(1.0), F.lit(index.corpus.mean_length) / F.col("mean"))
-
-
 def _weighed(queries: DataFrame, index: Segments, query_id: str, query_text: str, eps: float) -> DataFrame:
     """(query_id, term, weight): the words of each query that the index knows."""
     words = queries.select(query_id, F.explode(tokenize(F.col(query_text))).alias("term")).groupBy(query_id, "term").agg(F.count("*").alias("_n"))
@@ -221,36 +259,250 @@ def _weighed(queries: DataFrame, index: Segments, query_id: str, query_text: str
     return materialize(words.join(index.terms, "term").select(query_id, "term", weight))
 
 
-def _met(words: DataFrame, index: Segments, columns: list[str]) -> DataFrame:
-    """The blocks of the words, each once per query that has the word; only folders of those words are opened."""
-    opened = [r["b"] for r in words.select(_bucket().alias("b")).distinct().collect()]  # BUCKETS at most
-    blocks = index.blocks.where(F.col("bucket").isin(opened)).select("segment", "zone", "term", *columns)
-    return blocks.join(words, "term")
+def _numbered(index: Segments, segment: str) -> Column:
+    return (F.array_position(F.array(*(F.lit(s) for s in index.live)), F.col(segment)) - 1).cast("int").alias("segment")
 
 
-def _scores(blocks: DataFrame, index: Segments, query_id: str, read: list[DataFrame]) -> DataFrame:
-    """(query_id, segment, zone, id, score) of the unmasked texts in blocks (query_id, weight, segment, zone, postings)."""
-    item_id = index.item_id
-    key = [query_id, "segment", "zone", item_id]
-    read.append(blocks.select(F.size("postings").alias("n")))
-    each = blocks.select(query_id, "weight", "segment", "zone", F.inline("postings"))
-    gain = F.col("weight") * _gain(F.col("tf"), F.col("length"), F.lit(index.corpus.mean_length or 1.0))
-    return _unmasked(each.groupBy(key).agg(F.sum(gain).alias("score")), index.mask, item_id)
+def _met(vocabulary: DataFrame, index: Segments, columns: list[str | Column]) -> DataFrame:
+    """The blocks of words (term, ...), each once however many queries have the word; only folders of those words are opened."""
+    opened = [r["b"] for r in vocabulary.select(_bucket().alias("b")).distinct().collect()]  # BUCKETS at most
+    blocks = index.blocks.where(F.col("bucket").isin(opened)).join(F.broadcast(vocabulary), "term")
+    return blocks.select(_numbered(index, "segment"), "zone", *columns)
+
 
+def _high(index: Segments) -> Column:
+    """The highest gain of a block, from what it was at the mean length of its segment's own texts, rounded up.
 
-def _found(words: DataFrame, index: Segments, k: int, query_id: str, read: list[DataFrame]) -> DataFrame:
-    """(query_id, id, score): whole scores of texts that include the k best of each query."""
-    item_id, zone, slack = index.item_id, [query_id, "segment", "zone"], 1e-6
-    bounds = materialize(_met(words, index, ["best", "mean"]).groupBy(zone).agg(F.sum(_bound(index)).alias("bound")))
+    With a longer mean length a gain grows by the ratio of the two at most; with a shorter one it shrinks.
+    """
+    high = F.col("best") * F.greatest(F.lit(1.0), F.lit(index.corpus.mean_length) / F.col("mean"))
+    return (high * (1 + 1e-6)).cast("float").alias("high")
+
+
+@dataclass(frozen=True)
+class _Asked:
+    """What every task of a search knows: numbered words with their queries and weights, and, later, zones chosen and thresholds."""
+
+    names: pa.Array
+    terms: pa.Array  # by number
+    first: np.ndarray  # of each term in `query` and `weight`, and the end
+    query: np.ndarray
+    weight: np.ndarray
+    mean: float
+    k: int
+    chosen: dict[tuple[int, int], np.ndarray]  # queries by (segment, zone)
+    threshold: np.ndarray | None = None
+
+    @staticmethod
+    def of(words: pa.Table, index: Segments, k: int, query_id: str) -> _Asked:
+        names, terms = words.column(query_id).combine_chunks().unique(), words.column("term").combine_chunks().dictionary_encode()
+        code = terms.indices.to_numpy()
+        order = np.argsort(code, kind="stable")
+        first = np.searchsorted(code[order], np.arange(len(terms.dictionary) + 1))
+        query = pc.index_in(words.column(query_id).combine_chunks(), value_set=names).to_numpy()[order].astype(np.int64)
+        return _Asked(names, terms.dictionary, first, query, words.column("weight").to_numpy()[order], index.corpus.mean_length or 1.0, k, {})
+
+    def met(self, word: np.ndarray, sizes: np.ndarray | int = 1) -> np.ndarray:
+        """How many (query, posting) the blocks of these words make."""
+        return np.where(word >= 0, (self.first[word + 1] - self.first[np.maximum(word, 0)]) * sizes, 0)
+
+    def each(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in `word`, query, weight) of every query that has a word."""
+        many = self.met(word)
+        at = np.repeat(np.arange(len(word)), many)
+        slot = np.repeat(self.first[np.maximum(word, 0)] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        return at, self.query[slot], self.weight[slot]
+
+    def able(self, bounds: np.ndarray, segment: np.ndarray, zone: np.ndarray) -> np.ndarray:
+        """(zones x queries): what is still to be scored, or, without thresholds, what has been chosen to be scored first."""
+        wanted = np.zeros(bounds.shape, bool) if self.threshold is None else (bounds > 0) & (bounds >= self.threshold - SLACK)
+        for row, place in enumerate(zip(segment.tolist(), zone.tolist())):
+            if place in self.chosen:
+                wanted[row, self.chosen[place]] = self.threshold is None
+        return wanted
+
+
+def _by_zone(asked: _Asked, use, most_cells: int = CELLS):
+    """A task over rows sorted by (segment, zone): `use` gets tables of whole zones of a bounded number of cells, with their
+    first rows, the zone of each row, its word, and the bound of each zone for each query."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        rest = None
+
+        def heads_of(table: pa.Table) -> np.ndarray:
+            segment, zone = table.column("segment").to_numpy(), table.column("zone").to_numpy()
+            return np.flatnonzero(np.append(True, (segment[1:] != segment[:-1]) | (zone[1:] != zone[:-1])))
+
+        def whole(table: pa.Table) -> Iterator[pa.Table]:
+            heads = heads_of(table)
+            word = pc.fill_null(table.column("word"), -1).to_numpy()
+            sizes = pc.list_value_length(table.column("postings")).to_numpy() if "postings" in table.column_names else 1
+            if len(heads) > 1 and (asked.met(word, sizes).sum() > most_cells or len(heads) * len(asked.names) > most_cells):
+                middle = int(heads[len(heads) // 2])
+                yield from whole(table.slice(0, middle))
+                yield from whole(table.slice(middle))
+                return
+            row = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, table.num_rows)))
+            at, query, weight = asked.each(word)
+            high = pc.fill_null(table.column("high"), 0.0).to_numpy().astype(float)
+            n = len(asked.names)
+            bounds = np.bincount(row[at] * n + query, weights=weight * high[at], minlength=len(heads) * n).reshape(-1, n)
+            made = use(table, heads, row, word, bounds)
+            if made is not None:
+                yield made
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([rest, table]) if rest is not None else table
+            last = int(heads_of(table)[-1]) if table.num_rows else 0
+            if last:
+                yield from whole(table.slice(0, last))
+            rest = table.slice(last)  # the last zone may go on in the next batch
+        if rest is not None and rest.num_rows:
+            yield from whole(rest)
+
+    return run
+
+
+def _places(table: pa.Table, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return table.column("segment").to_numpy()[heads], table.column("zone").to_numpy()[heads]
+
+
+def _best_zones(asked: _Asked, query_id: str):
+    """The k zones of a task with the highest bounds for each query."""
+
+    def use(table: pa.Table, heads: np.ndarray, row: np.ndarray, word: np.ndarray, bounds: np.ndarray) -> pa.Table:
+        zone, query = np.nonzero(best_of(bounds, asked.k) & (bounds > 0))
+        segment, number = _places(table, heads)
+        return pa.table({"query": query, "segment": segment[zone], "zone": number[zone], "bound": bounds[zone, query]})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for n, part in enumerate(chain(_by_zone(asked, use)(batches), [None])):
+            held += [part] if part is not None else []
+            if held and (part is None or sum(map(len, held)) > max(CELLS, 4 * asked.k * len(asked.names))):
+                rows = pa.concat_tables(held).sort_by([("query", "ascending"), ("bound", "descending"), ("segment", "ascending"), ("zone", "ascending")])
+                query = rows.column("query").to_numpy()
+                held = [rows.filter(pa.array(np.arange(len(query)) - np.searchsorted(query, query, side="left") < asked.k))]
+        for rows in held:
+            yield from rows.set_column(0, query_id, asked.names.take(rows.column("query").combine_chunks())).to_batches()
+
+    return run
+
+
+def _able_zones(asked: _Asked):
+    """The zones of a task that hold something still to be scored for some query."""
+
+    def use(table: pa.Table, heads: np.ndarray, row: np.ndarray, word: np.ndarray, bounds: np.ndarray) -> pa.Table:
+        segment, zone = _places(table, heads)
+        some = asked.able(bounds, segment, zone).any(axis=1)
+        return pa.table({"segment": segment[some], "zone": zone[some]})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _by_zone(asked, use)(batches):
+            yield from part.to_batches()
+
+    return run
+
+
+def _zone_scores(asked: _Asked, item_id: str, query_id: str):
+    """The k best (query, id, score) of a task, masked texts left out, and a row (read) of how many postings were read for them.
+
+    Rows without a word name masked texts of their zone.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, n, seen = _Best(asked.k, len(asked.names)), len(asked.names), {"read": 0, "kind": None}
+
+        def use(table: pa.Table, heads: np.ndarray, row: np.ndarray, word: np.ndarray, bounds: np.ndarray) -> None:
+            wanted = asked.able(bounds, *_places(table, heads))
+            lists = table.column("postings").combine_chunks()
+            block = np.repeat(np.arange(len(row)), lists.value_lengths().to_numpy())
+            ids, tf, length = lists.flatten().flatten()
+            seen["kind"] = ids.type
+            coded = ids.dictionary_encode()
+            # A text is an id in a zone.
+            text, doc = np.unique(row[block] * len(coded.dictionary) + coded.indices.to_numpy(), return_inverse=True)
+            masked = np.zeros(len(text), bool)
+            masked[doc[word[block] < 0]] = True
+            gain = _gain(np.maximum(tf.to_numpy(), 1), length.to_numpy(), asked.mean)
+            at, query, weight = asked.each(word[block])
+            able = wanted[row[block[at]], query]
+            at, query, weight = at[able], query[able], weight[able]
+            seen["read"] += len(at)
+            able = ~masked[doc[at]]
+            cells, back = np.unique(doc[at[able]] * n + query[able], return_inverse=True)
+            total = np.bincount(back, weights=weight[able] * gain[at[able]], minlength=len(cells))
+            names = coded.dictionary.to_numpy(zero_copy_only=False)
+            best.add(cells % n, names[text[cells // n] % len(names)], np.round(total, DECIMALS))
+
+        for _ in _by_zone(asked, use)(batches):
+            pass
+        if seen["kind"] is None:
+            return
+        query, items, score = best.fold()
+        q, m = asked.names.take(pa.array(query.astype(np.int64))), len(query)
+        columns = [pa.concat_arrays([q, pa.nulls(1, q.type)]), pa.concat_arrays([pa.array(items, seen["kind"]), pa.nulls(1, seen["kind"])])]
+        counts = [pa.array([*score.tolist(), None], pa.float64()), pa.array([None] * m + [seen["read"]], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns + counts, names=[query_id, item_id, "score", "read"])
+
+    return run
+
+
+def _together(rows: DataFrame) -> DataFrame:
+    """All rows of a zone in one task, next to each other."""
+    return rows.repartition("segment", "zone").sortWithinPartitions("segment", "zone")
+
+
+def _found(words: DataFrame, index: Segments, k: int, query_id: str) -> DataFrame:
+    """(query_id, id, score, read): whole scores of texts that include the k best of each query, and rows that count the postings read.
+
+    A block meets the queries inside the task that holds its zone, so what is shuffled is each block once, however many queries ask for it.
+    """
+    item_id, kind = index.item_id, lambda df, c: f"`{c}` {df.schema[c].dataType.simpleString()}"
+    rows, size = words.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term") + 16), F.lit(0))).first()
+    turns = max(1, -(-rows // MAX_WORDS), -(-size // MAX_WORD_BYTES))
+    parts = [_found_block(words.where(F.pmod(F.xxhash64(query_id), F.lit(turns)) == t) if turns > 1 else words, index, k, query_id, kind) for t in range(turns)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _found_block(words: DataFrame, index: Segments, k: int, query_id: str, kind) -> DataFrame:
+    item_id = index.item_id
+    schema = f"{kind(words, query_id)}, {kind(index.texts, item_id)}, score double, read long"
+    table = words.toArrow()  # bounded by MAX_WORDS
+    if not table.num_rows:
+        return words.sparkSession.createDataFrame([], schema)
+    asked = _Asked.of(table, index, k, query_id)
+    numbers = [pa.array(range(len(asked.terms)), pa.int32()), asked.terms]
+    vocabulary = words.sparkSession.createDataFrame(pa.Table.from_arrays(numbers, names=["word", "term"]))
+    bounds = _together(_met(vocabulary, index, ["word", _high(index)]))
+    order = [F.col("bound").desc(), "segment", "zone"]
+    promising = bounds.mapInArrow(_best_zones(asked, query_id), f"{kind(words, query_id)}, segment int, zone long, bound double")
+    # k zones a query, sent to all tasks.
+    first = rank_top(promising, query_id, order, k).select(query_id, "segment", "zone").toArrow()
+    chosen: dict[tuple[int, int], list[int]] = defaultdict(list)
+    for q, *place in zip(pc.index_in(first.column(query_id).combine_chunks(), value_set=asked.names).to_pylist(), first.column("segment").to_pylist(), first.column("zone").to_pylist()):
+        chosen[tuple(place)].append(q)
+    asked = replace(asked, chosen={place: np.array(q) for place, q in chosen.items()})
+
+    posting = F.array(F.struct(item_id, F.lit(0).alias("tf"), F.lit(0).alias("length"))).alias("postings")
+    none = lambda kind: F.lit(None).cast(kind)
+    masked = index.mask.where(F.col("of").isin(index.live)).select(_numbered(index, "of"), "zone", none("int").alias("word"), none("float").alias("high"), posting)
+
+    def scores(asked: _Asked, zones: DataFrame) -> DataFrame:
+        """Of blocks in these zones; `zones` has each once."""
+        blocks = _met(vocabulary, index, ["word", _high(index), "postings"]).unionByName(masked)
+        return materialize(_together(blocks.join(zones, ["segment", "zone"], "left_semi")).mapInArrow(_zone_scores(asked, item_id, query_id), schema))
+
+    places = words.sparkSession.createDataFrame([*chosen], "segment int, zone long")
+    near = scores(asked, F.broadcast(places))
     # Threshold: the k-th best of the texts in the k zones that promise most.
-    order = [F.col("score").desc(), F.col(item_id)]
-    first = materialize(rank_top(bounds, query_id, [F.col("bound").desc(), "segment", "zone"], k).select(zone))
-    near = materialize(_scores(_met(words, index, ["postings"]).join(first, zone, "left_semi"), index, query_id, read))
-    kth = rank_top(near, query_id, order, k).where(F.col("rank") == k - 1).select(query_id, F.col("score").alias("threshold"))
-    able = F.col("threshold").isNull() | (F.col("bound") >= F.col("threshold") - slack)
-    zones = materialize(bounds.join(first, zone, "left_anti").join(kth, query_id, "left").where(able).select(zone))
-    far = _scores(_met(words, index, ["postings"]).join(zones, zone, "left_semi"), index, query_id, read)
-    return near.unionByName(far).select(query_id, item_id, F.round("score", DECIMALS).alias("score"))
+    ranked = rank_top(near.where(F.col("read").isNull()), query_id, [F.col("score").desc(), F.col(item_id)], k)
+    kth = ranked.where(F.col("rank") == k - 1).select(query_id, "score").toArrow()
+    threshold = np.full(len(asked.names), -np.inf)
+    threshold[pc.index_in(kth.column(query_id).combine_chunks(), value_set=asked.names).to_numpy()] = kth.column("score").to_numpy()
+    asked = replace(asked, threshold=threshold)
+    return near.unionByName(scores(asked, materialize(bounds.mapInArrow(_able_zones(asked), "segment int, zone long"))))
 
 
 def search(queries: DataFrame, index: Segments, k: int, query_id: str = "query_id", query_text: str = "query", eps: float = 0.25) -> DataFrame:
@@ -259,7 +511,7 @@ def search(queries: DataFrame, index: Segments, k: int, query_id: str = "query_i
     if index.corpus.mean_idf < 0 or not index.corpus.documents:
         # A shared word can cost a text, so no bound holds and any text may fill a list: the search that scores every text is used.
         return bm25.search(queries, plain(index), k, query_id, query_text, K1, B, eps)
-    scored = _found(_weighed(queries, index, query_id, query_text, eps), index, k, query_id, [])
+    scored = _found(_weighed(queries, index, query_id, query_text, eps), index, k, query_id).where(F.col("read").isNull()).drop("read")
     # Only the first k ids can fill a list with zeros.
     first = [r[0] for r in _unmasked(index.texts, index.mask, item_id).select(item_id).orderBy(item_id).limit(k).collect()]
     kind = index.texts.schema[item_id].dataType.simpleString()
@@ -271,8 +523,8 @@ def search(queries: DataFrame, index: Segments, k: int, query_id: str = "query_i
 
 def postings_read(queries: DataFrame, index: Segments, k: int, query_id: str = "query_id", query_text: str = "query", eps: float = 0.25) -> DataFrame:
     """One row: postings that match a query's word, over all queries, and those that a search reads, repeats counted again."""
-    words, read = _weighed(queries, index, query_id, query_text, eps), []
-    _found(words, index, k, query_id, read)
-    matching = _met(words, index, ["postings"]).agg(F.sum(F.size("postings")).alias("matching"))
-    looked = reduce(DataFrame.unionByName, read).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("read"))
+    words = _weighed(queries, index, query_id, query_text, eps)
+    looked = _found(words, index, k, query_id).agg(F.coalesce(F.sum("read"), F.lit(0)).alias("read"))
+    sizes = _met(words.select("term").distinct(), index, ["term", F.size("postings").alias("n")]).groupBy("term").agg(F.sum("n").alias("n"))
+    matching = words.join(sizes, "term").agg(F.sum("n").alias("matching"))
     return matching.join(F.broadcast(looked))

@@ -100,3 +100,17 @@ def test_a_load_that_died_is_not_seen(spark, asked, tmp_path, monkeypatch):
     monkeypatch.undo()
     assert ranking(segments.search(asked, segments.read(spark, root), 3)) == expected
     assert segments.read(spark, root).texts.where(F.col("doc_id") == 1).count() == 1
+
+
+def test_a_block_is_shuffled_once_however_many_queries_ask(spark, tmp_path):
+    """Many queries with the same words: what the search hands on are blocks and the best of each task, not a row for each query and zone."""
+    rng, root = random.Random(6), str(tmp_path / "index")
+    texts = texts_of(rng, range(600), 10, 30)
+    segments.apply(spark, root, frame(spark, texts))
+    segments.apply(spark, root, frame(spark, texts_of(rng, range(0, 600, 5))), deleted=frame(spark, texts).select("doc_id").where("doc_id % 7 = 3"))
+    index = segments.read(spark, root)
+    asked = spark.createDataFrame([(q, " ".join(rng.choices(WORDS, k=4))) for q in range(150)], "query_id long, query string")
+    found = segments._found(segments._weighed(asked, index, "query_id", "query", 0.25), index, 2, "query_id")
+    assert found.count() < 150 * 80 / 4  # 80 zones
+    live = segments._unmasked(index.texts, index.mask, "doc_id").select("doc_id", F.concat_ws(" ", F.flatten(F.zip_with("words", "counts", F.array_repeat))).alias("text"))
+    assert ranking(segments.search(asked, index, 2)) == ranking(bm25.bm25_topk(asked, live, 2))
