@@ -1,4 +1,4 @@
-"""Arrow batches cut by the bytes of a text column, so that what Python holds at a time does not follow from the rows of a batch."""
+"""Arrow batches cut by the bytes of a text column and split into words, so that what Python holds at a time does not follow from the rows of a batch."""
 
 from __future__ import annotations
 
@@ -21,3 +21,12 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
         yield start, stop - start
         start = stop
+
+
+def words(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """(row, word) of every word of the texts in order, cut at the white space that `tokenize` cuts at; null has none."""
+    found = pc.utf8_split_whitespace(texts)
+    word, row = found.flatten(), pc.list_parent_indices(found)
+    # White space at an end leaves an empty word there.
+    full = pc.greater(pc.binary_length(word), 0)
+    return row.filter(full).to_numpy(zero_copy_only=False).astype(np.int64), word.filter(full).dictionary_encode()

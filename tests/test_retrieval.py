@@ -333,3 +333,25 @@ def test_words_are_split_in_slices_of_bounded_bytes(spark):
     assert vectors.to_pylist() == [v for t in long.column("text") for v in next(knn._slots(8)(iter([pa.array([t.as_py()])]))).to_pylist()]
     counted = list(segments._count_texts("id")(iter([long])))
     assert len(counted) > 8 and sum(b.num_rows for b in counted) == 40
+
+
+def test_texts_are_scored_where_they_are(spark):
+    """Searching texts without an index shuffles lists and vocabulary, no postings; ids of text are compared as text."""
+    texts = ["a b c", "b  b\x1cc", "", None, "d \u2003a", "c"] * 3
+    docs = spark.createDataFrame([(f"t{n:02d}", t) for n, t in enumerate(texts)], "doc_id string, text string").repartition(3)
+    asked = spark.createDataFrame([(1, "B c c"), (2, "zzz"), (3, "a d")], "query_id int, query string")
+    found = bm25.bm25_topk(asked, docs, 5)
+    assert ranking(found) == ranking(bm25.search(asked, bm25.build(docs, "doc_id", "text"), 5))
+    assert "tf#" not in found._jdf.queryExecution().executedPlan().toString()
+    expected = sorted(tuple(r) for r in bm25.document_frequency(bm25.postings(docs, "doc_id", "text")).collect())
+    assert sorted(tuple(r) for r in bm25.frequency(docs, "text").collect()) == expected
+
+
+def test_stored_index_is_counted_where_it_lies(spark, tmp_path):
+    docs = spark.createDataFrame([(n, f"w{n % 7} common w{n % 3}") for n in range(50)], "doc_id int, text string")
+    bm25.store(docs, "doc_id", "text", str(tmp_path / "stored"))
+    bm25.write(bm25.build(docs, "doc_id", "text"), str(tmp_path / "written"))
+    assert spark.read.parquet(f"{tmp_path}/stored/stats").first() == pytest.approx(spark.read.parquet(f"{tmp_path}/written/stats").first())
+    for name in ("postings", "terms", "ids"):
+        stored, written = (sorted(map(str, spark.read.parquet(f"{tmp_path}/{place}/{name}").collect())) for place in ("stored", "written"))
+        assert stored == written
