@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsledger.operators.slices import slices
+from opsledger.operators.slices import words as split
 from opsledger.operators.topk import MAX_QUERIES, rank_top, topk_scan
 
 # Scores are compared at this many decimals so that equal vectors tie whatever batch they came in.
@@ -20,8 +21,8 @@ DECIMALS = 9
 CELLS = 1_000_000
 # Vectors of one part of a bucket, in bytes.
 PART_BYTES = 16 << 20
-# Words whose slots a task remembers.
-KNOWN_WORDS = 200_000
+# Text whose distinct words are hashed once, in bytes.
+EMBED_BYTES = 4 << 20
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -278,22 +279,20 @@ def embed(
 
 def _slots(dim: int):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known: dict[str, int] = {}
         for texts in batches:
             parts = [np.zeros(0, np.float32)]
-            for start, length in slices(texts):
-                # Splitting without an argument cuts at the white space that `tokenize` cuts at.
-                words = [text.split() for text in texts.slice(start, length).to_pylist()]
-                coded = pa.array([w for found in words for w in found], pa.string()).dictionary_encode()
-                if len(known) > KNOWN_WORDS:
-                    known.clear()
-                for word in coded.dictionary.to_pylist():
-                    if word not in known:
-                        known[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dim
-                slot = np.array([known[word] for word in coded.dictionary.to_pylist()], dtype=np.int64)
-                row = np.repeat(np.arange(len(words)), [len(found) for found in words])
-                dense = np.bincount(row * dim + slot[coded.indices.to_numpy()], minlength=len(words) * dim).reshape(len(words), dim)
-                parts.append(_unit(dense.astype(float)).astype(np.float32).ravel())
+            for start, length in slices(texts, EMBED_BYTES):
+                row, word = split(texts.slice(start, length))
+                codes = b"".join([hashlib.md5(w).digest() for w in word.dictionary.cast(pa.binary()).to_pylist()])
+                # The first four of sixteen bytes, as a number.
+                slot = np.frombuffer(codes, ">u4")[::4].astype(np.int64) % dim
+                step = max(1, CELLS // dim)
+                cells = row * dim + slot[word.indices.to_numpy()]
+                edges = np.searchsorted(row, np.arange(0, length + step, step))
+                for k, first in enumerate(range(0, length, step)):
+                    n = min(step, length - first)
+                    dense = np.bincount(cells[edges[k] : edges[k + 1]] - first * dim, minlength=n * dim).reshape(n, dim)
+                    parts.append(_unit(dense.astype(float)).astype(np.float32).ravel())
             yield pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * dim), pa.array(np.concatenate(parts)))
 
     return run
@@ -302,7 +301,7 @@ def _slots(dim: int):
 def hashed(df: DataFrame, text_col: str, dim: int = 256, out: str = "embedding") -> DataFrame:
     """Add the model-free embedding: word counts hashed into `dim` slots, scaled to unit length.
 
-    Texts go through Arrow batches; a word is hashed once per task. A null text, and one without words, gives zeros.
+    Texts go through Arrow batches; a word is hashed once per slice of a batch. A null text, and one without words, gives zeros.
     """
 
     slots = _slots(dim)

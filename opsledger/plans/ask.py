@@ -33,7 +33,7 @@ def index_chunks(chunks: DataFrame, root: str, embedder: Embedder | None = None)
     embedded = hashed(chunks, "text") if embedder is None else embed(chunks, "text", embedder)
     write_vectors(embedded, f"{root}/vectors")
     stored = read_table(spark, f"{root}/vectors").withColumn("position", corpus_order("chunk_id"))
-    bm25.write(bm25.build(stored, "position", "text"), f"{root}/words")
+    bm25.store(stored, "position", "text", f"{root}/words")
 
 
 def search(
