@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,12 +31,15 @@ from opsledger.llm import rolling
 from opsledger.llm.batches import mapper, steps, text_column
 from opsledger.llm.components import components
 from opsledger.llm.spans import gather
+from opsledger.llm.suffix_tree import Filter
 from opsledger.llm.tables import materialize
 
 _SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, minima array<int>"
 _KEYS = "key long, doc_id long"
 _LINKS = "a long, b long"
 BLOCK = 256
+# Texts whose table keys are made at a time.
+KEYED = 2048
 
 
 @dataclass(frozen=True)
@@ -107,16 +111,36 @@ def _halves(minima: np.ndarray, rule: Rule) -> np.ndarray:
     return rolling.mix(folded + np.arange(2 * rule.tables, dtype=np.uint64), 37)
 
 
-def _table_keys(rule: Rule):
+def _keys_of(minima: pa.Array, rule: Rule) -> np.ndarray:
+    """(docs, tables**2) table keys."""
+    half = _halves(_matrix(minima, rule.hashes), rule)
+    left, right = half[:, : rule.tables], half[:, rule.tables :]
+    return rolling.mix(left[:, :, None] * np.uint64(0x9E3779B97F4A7C15) ^ right[:, None, :], 41).reshape(len(half), -1).view(np.int64)
+
+
+def _key_counts(rule: Rule):
+    """(key, n) of some texts at a time. Nearly all keys differ, so a task keeps no table of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, KEYED):
+                keys, n = np.unique(_keys_of(batch.column("minima").slice(at, KEYED), rule), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
+
+    return run
+
+
+def _table_keys(rule: Rule, shared: Broadcast):
+    """(key, doc_id) of the keys that the filter lets through: those of several texts, and a few others."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 2048):
-                batch = whole.slice(at, 2048)
-                half = _halves(_matrix(batch.column("minima"), rule.hashes), rule)
-                left, right = half[:, : rule.tables], half[:, rule.tables :]
-                keys = rolling.mix(left[:, :, None] * np.uint64(0x9E3779B97F4A7C15) ^ right[:, None, :], 41)
+            for at in range(0, whole.num_rows, KEYED):
+                batch = whole.slice(at, KEYED)
+                keys = _keys_of(batch.column("minima"), rule).ravel()
                 ids = np.repeat(batch.column("doc_id").to_numpy(), rule.tables**2)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(ids)], names=["key", "doc_id"])
+                able = shared.value.has(keys)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[able]), pa.array(ids[able])], names=["key", "doc_id"])
 
     return run
 
@@ -278,8 +302,11 @@ def link_classes(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataF
                 F.when(F.col("rep") == F.col("doc_id"), F.col("minima")).alias("minima"))
     )
     reps = materialize(members.filter("rep = doc_id and n_shingles > 0 and minima is not null").dropDuplicates(["doc_id"]).drop("rep"))
-    keys = reps.select("doc_id", "minima").mapInArrow(_table_keys(rule), _KEYS)
-    shared = materialize(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
+    # Counts go to their keys as they are: adding them up before the exchange would only fill the memory of its tasks.
+    counts = reps.select("minima").mapInArrow(_key_counts(rule), "key long, n long").repartition("key")
+    shared = materialize(counts.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1"))
+    several = docs.sparkSession.sparkContext.broadcast(Filter.of(shared))
+    keys = reps.select("doc_id", "minima").mapInArrow(_table_keys(rule, several), _KEYS)
     buckets = materialize(keys.join(shared, "key"))
     met = buckets.groupBy("doc_id").agg(F.sum("n").alias("met"))
     hubs = materialize(

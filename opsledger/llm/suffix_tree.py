@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from opsledger.llm import rolling
 from opsledger.llm.batches import steps, text_column
-from opsledger.llm.tables import materialize
+from opsledger.llm.tables import materialize, scratch
 
 END = 0  # the key of the end token among word hashes
 START = 0x5851F42D4C957F2D  # what stands before the first word, in contexts only
@@ -215,7 +215,7 @@ def _own() -> Column:
 
 @dataclass(frozen=True)
 class Tree:
-    """`states` is a table (ctx, parent, depth, total, kinds), `pairs` (ctx, next, n, p, own) a join of tables; p is the parent's probability."""
+    """`states` is a table (ctx, parent, depth, total, kinds), `pairs` a table (ctx, next, n, p, own, rest); p is the parent's probability."""
 
     vocab: DataFrame
     states: DataFrame | None
@@ -249,6 +249,15 @@ def grow(learning: DataFrame, vocab: DataFrame, rule: Rule = Rule()) -> Tree:
     plain = Tree(vocab, None, None, int(totals["n"]), int(totals["v"]), int(totals["e"]))
     if not plain.tokens:
         return plain
+    # Counts of contexts that did not become states go with the block.
+    with scratch(learning.sparkSession):
+        states, pairs = _states(learning, plain, rule)
+    return Tree(vocab, states, pairs, plain.tokens, plain.words, plain.ends)
+
+
+def _states(learning: DataFrame, plain: Tree, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """The tables `states` and `pairs` of a tree; the tables they are made from belong to the current `scratch`."""
+    vocab = plain.vocab
     levels: list[tuple[DataFrame, DataFrame]] = []  # (pairs, contexts) by depth
 
     def add(counted: DataFrame, depth: int) -> None:
@@ -286,8 +295,7 @@ def grow(learning: DataFrame, vocab: DataFrame, rule: Rule = Rule()) -> Tree:
     kept.reverse()
     met = [pairs.join(states.select("ctx", "total", "kinds"), "ctx") for (pairs, _), states in zip(levels, kept)]
     pairs = reduce(DataFrame.unionAll, (m.select("ctx", "next", "n", "p", _own().alias("own"), (F.col("kinds") / (F.col("total") + F.col("kinds"))).alias("rest")) for m in met))
-    states = materialize(reduce(DataFrame.unionAll, kept))
-    return Tree(vocab, states, pairs, plain.tokens, plain.words, plain.ends)
+    return materialize(reduce(DataFrame.unionAll, kept), outer=True), materialize(pairs, outer=True)
 
 
 _SCORED = "row long, doc_id long, held_out boolean, part int, key long, n long, known long, base double, score double"

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsledger.session import materialize  # noqa: F401  (general helper, used by the operators)
+from opsledger.session import materialize, scratch  # noqa: F401  (general helpers, used by the operators)
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -86,15 +86,26 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+# Spark's own setting: the shuffle files of a query go when it ends, not when its plan is collected as garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, outer: bool = False) -> DataFrame:
     """Write `df` as a table in the checkpoint folder and read it back.
 
     Several consumers then read it, each only the columns it needs, instead of recomputing it, and
-    losing an executor costs no more than a re-read. Inside `scratch` it goes with the block; else it
-    stays until the folder is cleaned, because what reads it may run later.
+    losing an executor costs no more than a re-read; what was shuffled to make it is deleted. Inside `scratch` it goes with
+    the block (`outer`: with the block around that one); else it stays until the folder is cleaned, because what reads it may run later.
     """
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/opsledger-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/opsledger-{uuid.uuid4().hex}"
+    scopes = _scopes[:-1] if outer else _scopes
+    if scopes:
+        scopes[-1].append(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)

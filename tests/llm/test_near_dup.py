@@ -113,3 +113,19 @@ def test_long_words_of_which_a_polynomial_hash_makes_one(spark):
     assert all(r["kept"] for r in near_dup.near_duplicates(docs, near_dup.Rule(size=2)).collect())
     lines = spark.createDataFrame([(1, f"{order}\n{other}\n{order}")], "doc_id long, text string")
     assert quality_rules.measure(lines).first()["n_dup_lines"] == 1
+
+
+def test_table_keys_are_counted_by_slices_and_filtered(spark):
+    """Counts of keys per slice add up to those of all texts; what the filter lets through holds every key of several texts."""
+    rule = near_dup.Rule()
+    minima = np.random.default_rng(3).integers(0, 2**31 - 1, (40, rule.hashes), dtype=np.int32)
+    minima[20:] = minima[:20]
+    column = pa.ListArray.from_arrays(pa.array(np.arange(41, dtype=np.int32) * rule.hashes), pa.array(minima.ravel()))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(40)), column], names=["doc_id", "minima"])
+    counted = list(near_dup._key_counts(rule)(iter([batch.slice(0, 25), batch.slice(25)])))
+    assert sum(c.column("n").to_numpy().sum() for c in counted) == 40 * rule.tables**2
+    keys = np.unique(near_dup._keys_of(column, rule))
+    several = spark.createDataFrame([(int(k),) for k in keys[:100]], "key long")
+    found = list(near_dup._table_keys(rule, spark.sparkContext.broadcast(near_dup.Filter.of(several)))(iter([batch])))
+    names = np.concatenate([f.column("key").to_numpy() for f in found])
+    assert np.isin(keys[:100], names).all() and len(names) < 40 * rule.tables**2

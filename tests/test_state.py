@@ -186,3 +186,17 @@ print("rows", postings(spark.createDataFrame([(1, "a b a")], "doc_id int, text s
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code.format(root=root)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
     assert "rows 2" in done.stdout, done.stderr[-2000:]
+
+
+def test_materialize_deletes_what_was_shuffled(spark):
+    """A table's shuffle files go when it is written, and the session's own setting stays."""
+    from opsledger.session import _CLEANUP, materialize
+
+    def files():
+        places = [str(p) for p in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+        return sum(f.startswith("shuffle_") for p in places for _, _, names in os.walk(p) for f in names)
+
+    before, setting = files(), spark.conf.get(_CLEANUP)
+    made = materialize(spark.range(1000).selectExpr("id % 10 as k").groupBy("k").count())
+    assert files() <= before and spark.conf.get(_CLEANUP) == setting
+    assert made.count() == 10
