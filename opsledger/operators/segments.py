@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from opsledger.functions.text import tokenize
 from opsledger.operators import bm25
-from opsledger.operators.bm25 import CELLS, DECIMALS, MAX_WORD_BYTES, MAX_WORDS, Corpus, _Best, _idf, term_weight
+from opsledger.operators.bm25 import CELLS, DECIMALS, MAX_WORD_BYTES, MAX_WORDS, Corpus, _idf, term_weight
 from opsledger.operators.slices import slices
 from opsledger.operators.topk import best_of, rank_top
 from opsledger.session import materialize
@@ -42,6 +42,35 @@ SLACK = 1e-6
 K1, B = 1.5, 0.75
 
 
+class _Best:
+    """The k best (item, score) per query seen so far; equal scores keep the earlier item."""
+
+    def __init__(self, k: int, n_queries: int) -> None:
+        self.k, self.parts, self.size = k, [], 0
+        self.most = max(CELLS, 4 * k * n_queries)
+        # The k-th best score of a query; what is below it cannot enter its list any more.
+        self.least = np.full(n_queries, -np.inf)
+
+    def add(self, query: np.ndarray, item: np.ndarray, score: np.ndarray) -> None:
+        able = score >= self.least[query]
+        self.parts.append((query[able], item[able], score[able]))
+        self.size += int(able.sum())
+        if self.size > self.most:
+            self.fold()
+
+    def fold(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not self.parts:
+            return np.empty(0, int), np.empty(0, object), np.empty(0)
+        query, item, score = (np.concatenate(c) for c in zip(*self.parts))
+        order = np.lexsort((item, -score, query))
+        query, item, score = query[order], item[order], score[order]
+        place = np.arange(len(query)) - np.searchsorted(query, query, side="left")
+        last, kept = place == self.k - 1, place < self.k
+        self.least[query[last]] = score[last]
+        self.parts, self.size = [(query[kept], item[kept], score[kept])], int(kept.sum())
+        return self.parts[0]
+
+
 @dataclass(frozen=True)
 class Segments:
     """The live segments of an index: blocks and texts, masked ones included, the mask, and what is so without them: document frequencies and corpus facts."""
