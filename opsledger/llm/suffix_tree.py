@@ -394,7 +394,10 @@ def score(docs: DataFrame, vocab: DataFrame, tree: Tree, rule: Rule = Rule()) ->
 
 
 def learn_and_score(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """Scores of all rows of (doc_id, held_out, text), learned from those not held out."""
-    learning = docs.filter("not held_out")
-    vocab = vocabulary(learning)
-    return score(docs, vocab, grow(learning, vocab, rule), rule)
+    """Scores of all rows of (doc_id, held_out, text), learned from those not held out: those of `grow` and `score`.
+
+    As all texts are at hand, no table of next symbols is kept, and `known` has no effect.
+    """
+    from opsledger.llm import suffix_chunks  # which builds on this module
+
+    return suffix_chunks.learn_and_score(docs, rule)

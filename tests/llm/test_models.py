@@ -1,4 +1,5 @@
 import math
+import pathlib
 import zlib
 from collections import Counter
 
@@ -7,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import FOLDER, words
-from opsledger.llm import language_id, quality_rules, suffix_tree, zstd_quality
-from opsledger.llm.tables import fold
+from opsledger.llm import language_id, quality_rules, suffix_chunks, suffix_tree, zstd_quality
+from opsledger.llm.tables import fold, materialize
+from opsledger.session import checkpoint_dir
 
 LARGER = "/root/testdata/sf0.01"
 
@@ -168,6 +170,53 @@ def test_scoring_held_out_documents_beats_the_word_model(spark):
     assert held[0] > held[1]
 
 
+def test_chunks_score_as_the_tables_of_a_tree_do(spark, monkeypatch):
+    """Many small chunks and ranges; a very frequent word, copies, null and empty texts, null and repeated ids."""
+    draw = np.random.default_rng(11)
+    pool = [f"w{k}" for k in range(50)]
+    rows = [(k, k % 5 == 1, "the " + " the ".join(draw.choice(pool, int(draw.integers(1, 30))))) for k in range(120)]
+    rows += [(200 + k, False, "many copies of the very same short text") for k in range(40)]
+    rows += [(None, True, "copies of the text"), (200, True, "the"), (300, False, None), (301, True, ""), (302, True, "never seen")]
+    docs = spark.createDataFrame(rows, "doc_id long, held_out boolean, text string").repartition(3)
+    rule = suffix_tree.Rule()
+    vocab = suffix_tree.vocabulary(docs.filter("not held_out"))
+    expected = suffix_tree.score(docs, vocab, suffix_tree.grow(docs.filter("not held_out"), vocab, rule), rule).collect()
+    monkeypatch.setattr(suffix_chunks, "RANGES", 7)
+    found = suffix_tree.learn_and_score(docs, rule).collect()
+
+    def told(rows):
+        return sorted((-1 if r.doc_id is None else r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in rows)
+
+    assert told(found) == told(expected) and any(r.score > r.base_score + 1 for r in found)
+
+
+def test_packed_arrays_come_back():
+    for a in (np.array([], np.int64), np.array([0, 0], np.int32), np.array([5, 1 << 40, 0], np.uint64), np.array([True, False]), np.array([2**64 - 1], np.uint64)):
+        (back,) = suffix_chunks.unpack(suffix_chunks.pack(a))
+        assert back.dtype == a.dtype and back.tolist() == a.tolist()
+    sums = np.array([0.0, -3.25, 1e6, -1e-3])
+    np.testing.assert_allclose(suffix_chunks._float(suffix_chunks._fixed(sums)), sums, atol=1e-7)
+
+
+def test_tables_on_disk_stay_below_four_times_the_input(spark, monkeypatch):
+    """All tables that lie in the checkpoint folder after each one written."""
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", (fold() == 1).alias("held_out"), "text")
+    folder, most = pathlib.Path(checkpoint_dir(spark).removeprefix("file:")), []
+
+    def lying():
+        return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+    def watched(df, outer=False, before=lying()):
+        made = materialize(df, outer)
+        most.append(lying() - before)
+        return made
+
+    for module in (suffix_tree, suffix_chunks):
+        monkeypatch.setattr(module, "materialize", watched)
+    assert suffix_tree.learn_and_score(docs).count() == docs.count()
+    assert 0 < max(most) < 4 * pathlib.Path(f"{LARGER}/documents.parquet").stat().st_size
+
+
 def test_scoring_without_learning_rows(spark):
     found = scored_rows(spark, [(1, True, "a b"), (2, True, None)])
     assert {(r.doc_id, r.n_known, r.train_tokens) for r in found} == {(1, 0, 0), (2, 0, 0)}
