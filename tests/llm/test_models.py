@@ -198,7 +198,7 @@ def test_packed_arrays_come_back():
     np.testing.assert_allclose(suffix_chunks._float(suffix_chunks._fixed(sums)), sums, atol=1e-7)
 
 
-def test_tables_on_disk_stay_below_four_times_the_input(spark, monkeypatch):
+def test_tables_on_disk_stay_below_three_times_the_input(spark, monkeypatch):
     """All tables that lie in the checkpoint folder after each one written."""
     docs = spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", (fold() == 1).alias("held_out"), "text")
     folder, most = pathlib.Path(checkpoint_dir(spark).removeprefix("file:")), []
@@ -214,7 +214,7 @@ def test_tables_on_disk_stay_below_four_times_the_input(spark, monkeypatch):
     for module in (suffix_tree, suffix_chunks):
         monkeypatch.setattr(module, "materialize", watched)
     assert suffix_tree.learn_and_score(docs).count() == docs.count()
-    assert 0 < max(most) < 4 * pathlib.Path(f"{LARGER}/documents.parquet").stat().st_size
+    assert 0 < max(most) < 3 * pathlib.Path(f"{LARGER}/documents.parquet").stat().st_size
 
 
 def test_scoring_without_learning_rows(spark):
