@@ -1,20 +1,25 @@
 """A keyword index kept up to date in segments, and a search that skips blocks of postings that cannot matter.
 
 Each load is a segment of its own: new and changed texts are counted into it, and what they replace, or what is deleted,
-goes to a mask; older segments are never written again. A segment holds one row per text (its words and their counts), from which postings
+goes to a mask; older segments are never written again. A segment holds its texts (words and their counts), from which postings
 can be rebuilt without the text, and postings in blocks. A text belongs to a zone of 2**`ZONE_BITS` texts of its
-segment; a block holds one word's postings in one zone, sorted by id, with the highest gain in it at the mean length the segment had; that
+segment; a block holds one word's postings in one zone, with the highest gain in it at the mean length the segment had; that
 bounds every gain in the block whatever the mean length has become. Statistics add up over segments, masked texts counting
 negatively. Small segments are merged into one by `merge`.
 
-The bounds of a zone's blocks (two small columns) add up to the best score any of its texts could have. A search scores the few zones that
-promise most; the k-th best score there is its threshold, and only zones that can reach it are read. All postings of a text lie in one zone, so scores are complete and lists are those of `bm25.search`.
+Texts lie in chunks of some megabytes of text, one row each, and blocks in one row for each chunk and folder of words, as packed arrays:
+what Spark moves, sorts and writes are a few rows for a chunk, however many postings it has.
+
+The bounds of a zone's blocks add up to the best score any of its texts could have. A search brings the blocks of its words together by
+chunk once, scores the few zones that promise most, and takes the k-th best score there as its threshold; only postings of zones that can
+reach it are scored. All postings of a text lie in one zone, so scores are complete and lists are those of `bm25.search`.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections import Counter, defaultdict
+import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -23,23 +28,34 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsledger.functions.text import tokenize
 from opsledger.operators import bm25
 from opsledger.operators.bm25 import CELLS, DECIMALS, MAX_WORD_BYTES, MAX_WORDS, Corpus, _idf, term_weight
-from opsledger.operators.slices import slices
+from opsledger.operators.slices import pack, pack_words, slices, unpack, unpack_words
+from opsledger.operators.slices import words as split
 from opsledger.operators.topk import best_of, rank_top
 from opsledger.session import materialize
 from opsledger.sources.tables import table_exists
 
 ZONE_BITS = 3
 BUCKETS = 16
+# Text of a chunk, in bytes; postings of one that `merge` makes; a text's place is its chunk and a number of so many bits.
+CHUNK_BYTES = 4 << 20
+CHUNK_POSTINGS = 400_000
+TEXT_BITS = 16
+# Bytes that a Parquet row group of packed rows may have: what a task reads at a time.
+GROUP_BYTES = 16 << 20
+# Masked places that may be sent to every task; more of them meet their chunks in a shuffle.
+MAX_MASKED = 2_000_000
 # Bounds and thresholds are sums of rounded parts.
 SLACK = 1e-6
-# Saturation and length parameters of the gains; bounds are stored for these.
+# Saturation and length parameters of the gains; bounds are stored for these, as so many steps up to the highest gain there can be.
 K1, B = 1.5, 0.75
+STEPS = 65_535
 
 
 class _Best:
@@ -73,19 +89,97 @@ class _Best:
 
 @dataclass(frozen=True)
 class Segments:
-    """The live segments of an index: blocks and texts, masked ones included, the mask, and what is so without them: document frequencies and corpus facts."""
+    """The live segments of an index: blocks and chunks of texts, masked ones included, the mask, and what is so without them: document frequencies and corpus facts."""
 
     blocks: DataFrame
-    texts: DataFrame
+    chunks: DataFrame
     mask: DataFrame
     terms: DataFrame
     corpus: Corpus
     item_id: str
     live: list[str]
 
+    @property
+    def texts(self) -> DataFrame:
+        """A row per text (segment, id, length, words, counts), masked ones included."""
+        kind = self.mask.schema[self.item_id].dataType.simpleString()
+        schema = f"segment string, `{self.item_id}` {kind}, length int, words array<string>, counts array<int>"
+        return self.chunks.select("segment", *_CHUNK).mapInArrow(_rows(self.item_id), schema)
+
+
+# A chunk of texts by length: their ids and lengths, their distinct words with the number of texts that have them, and, text by text,
+# how many distinct words it has, which, and how often.
+_CHUNK = ["ids", "lengths", "terms", "dfs", "sizes", "words", "counts"]
+
+
+@dataclass
+class _Chunk:
+    ids: pa.Array
+    lengths: np.ndarray
+    terms: pa.Array
+    sizes: np.ndarray
+    words: np.ndarray
+    counts: np.ndarray
+
+    @staticmethod
+    def of(row: int, batch: pa.RecordBatch) -> _Chunk:
+        sizes, words, counts = (unpack(batch.column(c)[row].as_py()) for c in ("sizes", "words", "counts"))
+        terms = unpack_words(batch.column("terms")[row].as_py())
+        return _Chunk(batch.column("ids")[row].values, batch.column("lengths")[row].values.to_numpy(), terms, sizes, words, counts)
+
+    @staticmethod
+    def made(parts: list[_Chunk]) -> _Chunk:
+        """One of several: words in one list, texts in order of length."""
+        if len(parts) == 1:
+            return parts[0]
+        terms = pa.concat_arrays([p.terms for p in parts]).dictionary_encode()
+        code, first = terms.indices.to_numpy(), np.cumsum([0, *(len(p.terms) for p in parts)])
+        words = np.concatenate([code[at:][p.words] for p, at in zip(parts, first)])
+        join = lambda c: np.concatenate([getattr(p, c) for p in parts])
+        ids, lengths = pa.concat_arrays([p.ids for p in parts]), join("lengths")
+        return _Chunk(ids, lengths, terms.dictionary, join("sizes"), words, join("counts")).take(np.argsort(lengths, kind="stable"))
+
+    def take(self, texts: np.ndarray) -> _Chunk:
+        """These texts, and the words they have."""
+        at = _runs((np.cumsum(self.sizes) - self.sizes)[texts], self.sizes[texts])
+        used, words = np.unique(self.words[at], return_inverse=True)
+        return _Chunk(self.ids.take(pa.array(texts)), self.lengths[texts], self.terms.take(pa.array(used)), self.sizes[texts], words, self.counts[at])
+
+    def row(self, number: int) -> pa.RecordBatch:
+        list_of = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
+        one = lambda v, kind: pa.array([v], kind)
+        dfs = np.bincount(self.words, minlength=len(self.terms))
+        packed = [pack_words(self.terms), *map(pack, (dfs, self.sizes, self.words, self.counts))]
+        columns = [one(number, pa.int64()), one(len(self.lengths), pa.int64()), one(int(self.lengths.sum()), pa.int64())]
+        columns += [list_of(self.ids), list_of(pa.array(self.lengths, pa.int32())), *(one(p, pa.binary()) for p in packed)]
+        return pa.RecordBatch.from_arrays(columns, names=["chunk", "documents", "total", *_CHUNK])
+
+
+def _chunk_schema(kind: str) -> str:
+    return f"chunk long, documents long, total long, ids array<{kind}>, lengths array<int>, terms binary, dfs binary, sizes binary, words binary, counts binary"
+
+
+def _runs(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places first, first + 1, ... of each of several runs."""
+    return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def _rows(item_id: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                c = _Chunk.of(row, batch)
+                ends = pa.array(np.append(0, np.cumsum(c.sizes)), pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, c.terms.take(pa.array(c.words))), pa.ListArray.from_arrays(ends, pa.array(c.counts, pa.int32()))]
+                columns = [pa.array([batch.column("segment")[row].as_py()] * len(c.ids), pa.string()), c.ids, pa.array(c.lengths, pa.int32()), *lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["segment", item_id, "length", "words", "counts"])
+
+    return run
+
 
-def _bucket() -> Column:
-    return F.pmod(F.xxhash64("term"), F.lit(BUCKETS)).cast("int")
+def _bucket_of(terms: pa.Array) -> np.ndarray:
+    """The folder of each word."""
+    return np.fromiter((zlib.crc32(t) % BUCKETS for t in terms.cast(pa.binary()).to_pylist()), np.int64, len(terms))
 
 
 def _live(spark: SparkSession, root: str) -> list[str]:
@@ -104,11 +198,10 @@ def _commit(spark: SparkSession, root: str, segments: list[str]) -> None:
 
 def _union(spark: SparkSession, root: str, segments: list[str], part: str, item: str) -> DataFrame:
     """One table of a part of all named segments, with the segment's name; `item` is the id column with its type."""
-    posting = f"array<struct<{item.replace(' ', ':', 1)},tf:int,length:int>>"
     columns = {
-        "texts": f"{item}, length int, words array<string>, counts array<int>, zone long",
-        "blocks": f"term string, zone long, postings {posting}, best double, mean double, bucket int",
-        "mask": f"of string, {item}, zone long",
+        "texts": _chunk_schema(item.split(" ", 1)[1]),
+        "blocks": "chunk long, mean double, terms binary, sizes binary, zones binary, best binary, filled binary, counts binary, bucket int",
+        "mask": f"of string, {item}, length int, place long",
         "terms": "of string, term string, df long",
         "facts": "of string, documents long, words long",
     }[part]
@@ -121,91 +214,158 @@ def _item(df: DataFrame, item_id: str) -> str:
     return f"{item_id} {df.schema[item_id].dataType.simpleString()}"
 
 
-def _write_segment(root: str, name: str, texts: DataFrame, masked: DataFrame, held: DataFrame, item_id: str) -> None:
-    """`texts` (id, length, words, counts) and what they mask (segment, id, length, zone) among the texts `held` become a segment.
+def _write_segment(root: str, name: str, chunks: DataFrame, masked: DataFrame, held: DataFrame | None, item: str) -> None:
+    """`chunks` of texts and what they mask (segment, id, length, place) among the chunks `held` become a segment.
 
     Counts carry the segment they are about (`of`), so that those about a merged segment go with it.
     """
-    spark, item = texts.sparkSession, _item(texts, item_id)
+    spark = chunks.sparkSession
     place = lambda part: f"{root}/segments/segment={name}/part={part}"
     table = lambda part: _union(spark, root, [name], part, item)
-    # ZONE texts of like length in a row make a zone: like lengths make for like gains, and so for close bounds.
-    number = F.shiftright(F.monotonically_increasing_id(), ZONE_BITS).alias("zone")
-    texts.sortWithinPartitions("length", item_id).select(item_id, "length", "words", "counts", number).write.parquet(place("texts"))
-    masked.select(F.col("segment").alias("of"), item_id, "zone").write.parquet(place("mask"))
-    mean = table("texts").agg(F.avg("length")).first()[0] or 1.0
-    # The texts of a zone lie next to each other, so blocks are made without a shuffle; a zone cut by two tasks has two blocks
-    # of a word, and a bound that is the higher for it.
-    kind = f"term string, zone long, postings array<struct<{item.replace(' ', ':', 1)},tf:int,length:int>>, best double"
-    blocks = table("texts").select(item_id, "length", "words", "counts", "zone").mapInArrow(_make_blocks(item_id, mean), kind)
-    laid = blocks.withColumn("mean", F.lit(mean)).withColumn("bucket", _bucket())
-    laid.sortWithinPartitions("bucket", "term", "zone").write.partitionBy("bucket").parquet(place("blocks"))
-    gained = table("blocks").groupBy("term").agg(F.sum(F.size("postings")).alias("df")).withColumn("of", F.lit(name))
-    words = held.select("segment", item_id, "words").join(masked.select("segment", item_id), ["segment", item_id], "left_semi")
-    lost = words.select("segment", F.explode("words").alias("term")).groupBy(F.col("segment").alias("of"), "term").agg((-F.count("*")).alias("df"))
-    gained.unionByName(lost).write.parquet(place("terms"))
-    facts = lambda df, of, sign: df.groupBy(of.alias("of")).agg((sign * F.count("*")).alias("documents"), (sign * F.sum("length")).alias("words"))
-    facts(table("texts"), F.lit(name), 1).unionByName(facts(masked, F.col("segment"), -1)).coalesce(1).write.parquet(place("facts"))
-
-
-def _make_blocks(item_id: str, mean: float):
-    """(term, zone, postings by id, highest gain) of texts that come zone by zone."""
-
-    def blocks(texts: pa.RecordBatch) -> pa.RecordBatch:
-        sizes = texts.column("words").value_lengths().to_numpy()
-        row = np.repeat(np.arange(texts.num_rows), sizes)
-        words = texts.column("words").flatten()
-        term = words.dictionary_encode().indices.to_numpy()
-        tf, length = texts.column("counts").flatten().to_numpy(), texts.column("length").to_numpy()[row]
-        zone, ids = texts.column("zone").to_numpy()[row], texts.column(item_id).take(pa.array(row))
-        place = np.argsort(np.argsort(texts.column(item_id).to_numpy(zero_copy_only=False), kind="stable"))[row]
-        order = np.lexsort((place, term, zone))
-        zone, term, tf, length, at = zone[order], term[order], tf[order], length[order], pa.array(order)
-        first = np.flatnonzero(np.append(True, (zone[1:] != zone[:-1]) | (term[1:] != term[:-1])))
-        best = np.maximum.reduceat(_gain(tf, length, mean), first)
-        posting = pa.StructArray.from_arrays([ids.take(at), pa.array(tf, pa.int32()), pa.array(length, pa.int32())], names=[item_id, "tf", "length"])
-        ends = pa.array(np.append(first, len(order)).astype(np.int32))
-        return pa.RecordBatch.from_arrays(
-            [words.take(at).take(pa.array(first)), pa.array(zone[first]), pa.ListArray.from_arrays(ends, posting), pa.array(best)], names=["term", "zone", "postings", "best"]
-        )
+    chunks.write.option("parquet.block.size", GROUP_BYTES).parquet(place("texts"))
+    masked.select(F.col("segment").alias("of"), item.split()[0], "length", "place").write.parquet(place("mask"))
+    documents, total = table("texts").agg(F.sum("documents"), F.sum("total")).first()
+    mean = total / documents if total else 1.0
+    blocks = table("texts").select("chunk", *_CHUNK).mapInArrow(_make_blocks(mean), "chunk long, mean double, terms binary, sizes binary, zones binary, best binary, filled binary, counts binary, bucket int")
+    blocks.write.option("parquet.block.size", GROUP_BYTES).partitionBy("bucket").parquet(place("blocks"))
+    counts = table("texts").select("terms", "dfs").mapInArrow(_frequencies, "term string, df long").withColumn("of", F.lit(name))
+    if held is not None:
+        found = _with_gone(held.select("segment", "chunk", *_CHUNK), masked, "inner")
+        counts = counts.unionByName(found.mapInArrow(_lost_frequencies, "of string, term string, df long"))
+    counts.groupBy("of", "term").agg(F.sum("df").alias("df")).write.parquet(place("terms"))
+    lost = masked.groupBy(F.col("segment").alias("of")).agg((-F.count("*")).alias("documents"), (-F.sum("length")).alias("words"))
+    own = spark.createDataFrame([(name, documents or 0, total or 0)], "of string, documents long, words long")
+    own.unionByName(lost).coalesce(1).write.parquet(place("facts"))
+
+
+def _gone(masked: DataFrame) -> DataFrame:
+    """(segment, chunk, gone) of masked places (segment, place): the numbers of a chunk's masked texts."""
+    number = F.col("place").bitwiseAND((1 << TEXT_BITS) - 1).cast("int")
+    return masked.groupBy("segment", F.shiftright("place", TEXT_BITS).alias("chunk")).agg(F.collect_list(number).alias("gone"))
+
+
+def _with_gone(chunks: DataFrame, masked: DataFrame, how: str) -> DataFrame:
+    """Chunks with their masked texts, sent to where the chunks are unless there are too many of them."""
+    gone = _gone(masked)
+    return chunks.join(F.broadcast(gone) if masked.count() <= MAX_MASKED else gone, ["segment", "chunk"], how)
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, df) of chunks, those of a batch added up."""
+    for batch in batches:
+        if batch.num_rows:
+            terms = pa.concat_arrays([unpack_words(t.as_py()) for t in batch.column("terms")]).dictionary_encode()
+            dfs = np.concatenate([unpack(d.as_py()) for d in batch.column("dfs")])
+            df = np.bincount(terms.indices.to_numpy(), weights=dfs, minlength=len(terms.dictionary))
+            yield pa.RecordBatch.from_arrays([terms.dictionary, pa.array(df.astype(np.int64))], names=["term", "df"])
+
+
+def _lost_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(of, term, df), counted negatively, of the masked texts (gone) of chunks."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            c = _Chunk.of(row, batch)
+            gone = np.zeros(len(c.sizes), bool)
+            gone[batch.column("gone")[row].values.to_numpy()] = True
+            df = np.bincount(c.words[np.repeat(gone, c.sizes)], minlength=len(c.terms))
+            some = np.flatnonzero(df)
+            of = pa.array([batch.column("segment")[row].as_py()] * len(some), pa.string())
+            yield pa.RecordBatch.from_arrays([of, c.terms.take(pa.array(some)), pa.array(-df[some])], names=["of", "term", "df"])
+
+
+def _make_blocks(mean: float):
+    """A row for each chunk and folder of words: words, how many blocks each has, and by block the zone, the highest gain, which texts of
+    the zone have the word, and how often each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            zone, words = batch.column("zone").to_numpy(), np.cumsum(batch.column("words").value_lengths().to_numpy())
-            heads = np.append(np.flatnonzero(np.append(True, zone[1:] != zone[:-1])), len(zone)) if len(zone) else []
-            start = 0
-            for here, after in zip(heads[:-1], heads[1:]):
-                # Whole zones, until they have enough words.
-                if after == len(zone) or words[after - 1] - (words[start - 1] if start else 0) > CELLS:
-                    part = batch.slice(start, after - start)
-                    if part.column("words").flatten():
-                        yield blocks(part)
-                    start = int(after)
+            for at in range(batch.num_rows):
+                c, number = _Chunk.of(at, batch), batch.column("chunk")[at].as_py()
+                if not len(c.words):
+                    continue
+                bucket = _bucket_of(c.terms)
+                by_bucket = np.argsort(bucket, kind="stable")
+                rank = np.empty(len(bucket), np.int64)
+                rank[by_bucket] = np.arange(len(bucket))
+                text = np.repeat(np.arange(len(c.sizes)), c.sizes)
+                key = rank[c.words] << TEXT_BITS | text
+                order = np.argsort(key)
+                key, tf, length = key[order], c.counts[order], c.lengths[text[order]]
+                block = key >> ZONE_BITS
+                first = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+                gain = np.maximum.reduceat(_gain(tf, length, mean), first)
+                best = np.minimum(np.ceil(gain * (STEPS / (K1 + 1))), STEPS).astype(np.int64)
+                filled = np.bitwise_or.reduceat(1 << (key & ((1 << ZONE_BITS) - 1)), first)
+                term, zone = key[first] >> TEXT_BITS, (key[first] & ((1 << TEXT_BITS) - 1)) >> ZONE_BITS
+                sizes = np.bincount(term, minlength=len(bucket))
+                terms = c.terms.take(pa.array(by_bucket))
+                words = np.searchsorted(bucket[by_bucket], np.arange(BUCKETS + 1))
+                blocks = np.append(0, np.cumsum(sizes))[words]
+                postings = np.append(first, len(key))[blocks]
+                rows = []
+                for k in range(BUCKETS):
+                    w, b, p = (slice(int(e[k]), int(e[k + 1])) for e in (words, blocks, postings))
+                    if w.stop > w.start:
+                        rows.append((number, mean, pack_words(terms[w]), *map(pack, (sizes[w], zone[b], best[b], filled[b], tf[p])), k))
+                kinds = [pa.int64(), pa.float64(), *[pa.binary()] * 6, pa.int32()]
+                names = ["chunk", "mean", "terms", "sizes", "zones", "best", "filled", "counts", "bucket"]
+                yield pa.RecordBatch.from_arrays([pa.array(list(v), kind) for v, kind in zip(zip(*rows), kinds)], names=names)
 
     return run
 
 
-def _count_texts(item_id: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, (start, length) in ((b, at) for b in batches for at in slices(b.column("text"))):
-            part = batch.slice(start, length)
-            # Splitting without an argument cuts at the white space that `tokenize` cuts at.
-            words = [text.split() for text in part.column("text").to_pylist()]
-            counts = [sorted(Counter(w).items()) for w in words]
-            made = [
-                pa.array([len(w) for w in words], pa.int32()),
-                pa.array([[t for t, _ in c] for c in counts], pa.list_(pa.string())),
-                pa.array([[n for _, n in c] for c in counts], pa.list_(pa.int32())),
-            ]
-            yield pa.RecordBatch.from_arrays([part.column(item_id), *made], names=[item_id, "length", "words", "counts"])
-
-    return run
+def _count_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    number = TaskContext.get().partitionId() << 20
+    for batch in batches:
+        for start in range(0, batch.num_rows, 1 << TEXT_BITS):
+            part = batch.slice(start, 1 << TEXT_BITS)
+            for at, size in slices(part.column("text"), CHUNK_BYTES):
+                texts = part.slice(at, size)
+                row, word = split(texts.column("text"))
+                kinds = max(len(word.dictionary), 1)
+                lengths = np.bincount(row, minlength=size)
+                # 2**ZONE_BITS texts of like length in a row make a zone: like lengths make for like gains, and so for close bounds.
+                order = np.argsort(lengths, kind="stable")
+                rank = np.empty(size, np.int64)
+                rank[order] = np.arange(size)
+                pair = np.sort(rank[row] * kinds + word.indices.to_numpy())
+                first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])[: len(pair)])
+                text, words = np.divmod(pair[first], kinds)
+                counts, sizes = np.diff(np.append(first, len(pair))), np.bincount(text, minlength=size)
+                terms = word.dictionary.cast(pa.string())
+                yield _Chunk(texts.column("id").take(pa.array(order)), lengths[order], terms, sizes, words, counts).row(number)
+                number += 1
 
 
 def _counted(df: DataFrame, item_id: str, text: str) -> DataFrame:
-    """(id, length, words, counts) of each text; texts without words are there too. No shuffle."""
-    lowered = df.select(item_id, F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text"))
-    return lowered.mapInArrow(_count_texts(item_id), f"{_item(df, item_id)}, length int, words array<string>, counts array<int>")
+    """Chunks of texts, each with its words counted; texts without words are there too. No shuffle."""
+    lowered = df.select(F.col(item_id).alias("id"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text"))
+    return lowered.mapInArrow(_count_texts, _chunk_schema(df.schema[item_id].dataType.simpleString()))
+
+
+def _repacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks without their masked texts (gone), put together to chunks of full size."""
+    number, held, size, texts = TaskContext.get().partitionId() << 20, [], 0, 0
+    for batch in batches:
+        for row in range(batch.num_rows):
+            c, gone = _Chunk.of(row, batch), batch.column("gone")[row]
+            if gone.is_valid:
+                kept = np.ones(len(c.sizes), bool)
+                kept[gone.values.to_numpy()] = False
+                c = c.take(np.flatnonzero(kept))
+            if held and (size + len(c.words) > CHUNK_POSTINGS or texts + len(c.sizes) > 1 << TEXT_BITS):
+                yield _Chunk.made(held).row(number)
+                number, held, size, texts = number + 1, [], 0, 0
+            held, size, texts = [*held, c], size + len(c.words), texts + len(c.sizes)
+    if held:
+        yield _Chunk.made(held).row(number)
+
+
+def _placed(chunks: DataFrame, item_id: str) -> DataFrame:
+    """(segment, id, length, place) of every text."""
+    each = chunks.select("segment", "chunk", F.posexplode(F.arrays_zip("ids", "lengths")).alias("number", "text"))
+    place = F.shiftleft("chunk", TEXT_BITS) + F.col("number")
+    return each.select("segment", F.col("text.ids").alias(item_id), F.col("text.lengths").alias("length"), place.alias("place"))
 
 
 def _unmasked(texts: DataFrame, mask: DataFrame, item_id: str) -> DataFrame:
@@ -218,39 +378,35 @@ def apply(spark: SparkSession, root: str, load: DataFrame, item_id: str = "doc_i
 
     An id that is loaded and deleted at once stays as loaded. A load that dies half way leaves no trace in the index: its segment is in no version.
     """
-    name = f"{len(_live(spark, root)):06d}-{uuid.uuid4().hex[:12]}"
-    texts = _counted(load, item_id, text)
-    live = _live(spark, root)
+    live, item = _live(spark, root), _item(load, item_id)
+    name = f"{len(live):06d}-{uuid.uuid4().hex[:12]}"
     touched = load.select(item_id) if deleted is None else load.select(item_id).unionByName(deleted.select(item_id)).distinct()
     if live:
-        held = _union(spark, root, live, "texts", _item(load, item_id))
-        # Ids are compared first, words are fetched once, for what is masked.
-        known = _unmasked(held.select("segment", item_id, "length", "zone"), _union(spark, root, live, "mask", _item(load, item_id)).drop("segment"), item_id)
-        masked = materialize(known.join(touched, item_id, "left_semi").select("segment", item_id, "length", "zone"))
+        held = _union(spark, root, live, "texts", item)
+        known = _unmasked(_placed(held, item_id), _union(spark, root, live, "mask", item).drop("segment"), item_id)
+        masked = materialize(known.join(touched, item_id, "left_semi").select("segment", item_id, "length", "place"))
     else:
-        held = texts.where("false").select(F.lit("").alias("segment"), item_id, "length", F.lit(0).cast("long").alias("zone"), "words")
-        masked = held.drop("words")
-    _write_segment(root, name, texts, masked, held, item_id)
+        held, masked = None, spark.createDataFrame([], f"segment string, {item}, length int, place long")
+    _write_segment(root, name, _counted(load, item_id, text), masked, held, item)
     _commit(spark, root, [*live, name])
     return name
 
 
 def merge(spark: SparkSession, root: str, most: int, item: str = "doc_id bigint") -> list[str]:
     """Merge all segments of at most `most` texts into one; returns the live segments. The merged ones stay as they were."""
-    item_id, live = item.split()[0], _live(spark, root)
+    live = _live(spark, root)
     table = lambda part, of: _union(spark, root, of, part, item)
-    sizes = {r["segment"]: r["n"] for r in table("texts", live).groupBy("segment").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["segment"]: r["n"] for r in table("texts", live).groupBy("segment").agg(F.sum("documents").alias("n")).collect()}
     small = [s for s in live if sizes.get(s, 0) <= most]
     if len(small) < 2:
         return live
     large = [s for s in live if s not in small]
-    texts = _unmasked(table("texts", small), table("mask", live).drop("segment"), item_id).drop("segment", "zone")
+    gone = table("mask", live).where(F.col("of").isin(small)).select(F.col("of").alias("segment"), "place")
+    chunks = _with_gone(table("texts", small).select("segment", "chunk", *_CHUNK), gone, "left")
     # What the merged segments masked in others stays masked.
-    kept = table("mask", small).select(F.col("of").alias("segment"), item_id).where(F.col("segment").isin(large))
-    held = table("texts", large or small)
-    masked = materialize(held.select("segment", item_id, "length", "zone").join(kept, ["segment", item_id], "left_semi"))
+    masked = materialize(table("mask", small).where(F.col("of").isin(large)).select(F.col("of").alias("segment"), item.split()[0], "length", "place"))
     name = f"{len(live):06d}-{uuid.uuid4().hex[:12]}"
-    _write_segment(root, name, texts, masked, held, item_id)
+    _write_segment(root, name, chunks.mapInArrow(_repacked, _chunk_schema(item.split(" ", 1)[1])), masked, table("texts", large) if large else None, item)
     _commit(spark, root, [*large, name])
     return [*large, name]
 
@@ -292,22 +448,6 @@ def _numbered(index: Segments, segment: str) -> Column:
     return (F.array_position(F.array(*(F.lit(s) for s in index.live)), F.col(segment)) - 1).cast("int").alias("segment")
 
 
-def _met(vocabulary: DataFrame, index: Segments, columns: list[str | Column]) -> DataFrame:
-    """The blocks of words (term, ...), each once however many queries have the word; only folders of those words are opened."""
-    opened = [r["b"] for r in vocabulary.select(_bucket().alias("b")).distinct().collect()]  # BUCKETS at most
-    blocks = index.blocks.where(F.col("bucket").isin(opened)).join(F.broadcast(vocabulary), "term")
-    return blocks.select(_numbered(index, "segment"), "zone", *columns)
-
-
-def _high(index: Segments) -> Column:
-    """The highest gain of a block, from what it was at the mean length of its segment's own texts, rounded up.
-
-    With a longer mean length a gain grows by the ratio of the two at most; with a shorter one it shrinks.
-    """
-    high = F.col("best") * F.greatest(F.lit(1.0), F.lit(index.corpus.mean_length) / F.col("mean"))
-    return (high * (1 + 1e-6)).cast("float").alias("high")
-
-
 @dataclass(frozen=True)
 class _Asked:
     """What every task of a search knows: numbered words with their queries and weights, and, later, zones chosen and thresholds."""
@@ -351,63 +491,112 @@ class _Asked:
         return wanted
 
 
-def _by_zone(asked: _Asked, use, most_cells: int = CELLS):
-    """A task over rows sorted by (segment, zone): `use` gets tables of whole zones of a bounded number of cells, with their
-    first rows, the zone of each row, its word, and the bound of each zone for each query."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        rest = None
-
-        def heads_of(table: pa.Table) -> np.ndarray:
-            segment, zone = table.column("segment").to_numpy(), table.column("zone").to_numpy()
-            return np.flatnonzero(np.append(True, (segment[1:] != segment[:-1]) | (zone[1:] != zone[:-1])))
-
-        def whole(table: pa.Table) -> Iterator[pa.Table]:
-            heads = heads_of(table)
-            word = pc.fill_null(table.column("word"), -1).to_numpy()
-            sizes = pc.list_value_length(table.column("postings")).to_numpy() if "postings" in table.column_names else 1
-            if len(heads) > 1 and (asked.met(word, sizes).sum() > most_cells or len(heads) * len(asked.names) > most_cells):
-                middle = int(heads[len(heads) // 2])
-                yield from whole(table.slice(0, middle))
-                yield from whole(table.slice(middle))
-                return
-            row = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, table.num_rows)))
-            at, query, weight = asked.each(word)
-            high = pc.fill_null(table.column("high"), 0.0).to_numpy().astype(float)
-            n = len(asked.names)
-            bounds = np.bincount(row[at] * n + query, weights=weight * high[at], minlength=len(heads) * n).reshape(-1, n)
-            made = use(table, heads, row, word, bounds)
-            if made is not None:
-                yield made
+def _meet(asked: _Asked):
+    """Of the rows of blocks, the blocks of words asked for: each once however many queries have the word."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([rest, table]) if rest is not None else table
-            last = int(heads_of(table)[-1]) if table.num_rows else 0
-            if last:
-                yield from whole(table.slice(0, last))
-            rest = table.slice(last)  # the last zone may go on in the next batch
-        if rest is not None and rest.num_rows:
-            yield from whole(rest)
+            lists = [unpack_words(t.as_py()) for t in batch.column("terms")]
+            if not lists:
+                continue
+            number = pc.fill_null(pc.index_in(pa.concat_arrays(lists), value_set=asked.terms), -1).to_numpy()
+            ends = np.cumsum([0, *map(len, lists)])
+            for row in range(batch.num_rows):
+                word = number[ends[row] : ends[row + 1]]
+                if (word < 0).all():
+                    continue
+                sizes, zones, best, filled, counts = (unpack(batch.column(c)[row].as_py()) for c in ("sizes", "zones", "best", "filled", "counts"))
+                word = np.repeat(word, sizes)
+                met = word >= 0
+                counts = counts[np.repeat(met, np.bitwise_count(filled))]
+                packed = [pa.array([pack(a)], pa.binary()) for a in (zones[met], word[met], best[met], filled[met], counts)]
+                columns = [batch.column("segment").slice(row, 1), batch.column("chunk").slice(row, 1), pa.array([_scale(batch.column("mean")[row].as_py(), asked.mean)]), *packed]
+                yield pa.RecordBatch.from_arrays(columns, names=["segment", "chunk", "scale", "zones", "words", "best", "filled", "counts"])
 
     return run
 
 
-def _places(table: pa.Table, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return table.column("segment").to_numpy()[heads], table.column("zone").to_numpy()[heads]
+def _scale(then: float, now: float) -> float:
+    """What a step of a block's highest gain is worth at another mean length than that of its segment's own texts, rounded up.
+
+    With a longer mean length a gain grows by the ratio of the two at most; with a shorter one it shrinks.
+    """
+    return max(1.0, now / then) * (1 + 1e-6) * (K1 + 1) / STEPS
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each chunk of the rows about it, which lie next to each other: its texts, its masked texts, and its blocks by zone."""
+
+    def made(rows: list[tuple[pa.RecordBatch, int]]) -> Iterator[pa.RecordBatch]:
+        of = lambda c: [b.column(c)[row] for b, row in rows if b.column(c)[row].is_valid]
+        blocks = {c: np.concatenate([unpack(v.as_py()) for v in of(c)]) for c in ("zones", "words", "best", "filled", "counts") if of(c)}
+        if not blocks:
+            return
+        order, many = np.argsort(blocks["zones"] << 32 | blocks["words"]), np.bitwise_count(blocks["filled"]).astype(np.int64)
+        counts = blocks["counts"][_runs((np.cumsum(many) - many)[order], many[order])]
+        zones, sizes = np.unique(blocks["zones"], return_counts=True)
+        packed = [pack(a) for a in (zones, sizes, blocks["words"][order], blocks["best"][order], blocks["filled"][order], counts)]
+        batch, row = rows[0]
+        (ids,), (lengths,), gone, scale = of("ids"), of("lengths"), of("gone"), of("scale")[0]
+        columns = [batch.column("segment").slice(row, 1), batch.column("chunk").slice(row, 1)]
+        columns += [pa.array([v.as_py() if isinstance(v, pa.Scalar) else v], kind) for v, kind in ((ids, ids.type), (lengths, lengths.type), (gone[0] if gone else [], pa.list_(pa.int32())))]
+        columns += [pa.array([scale.as_py()]), *(pa.array([p], pa.binary()) for p in packed)]
+        yield pa.RecordBatch.from_arrays(columns, names=["segment", "chunk", "ids", "lengths", "gone", "scale", "zones", "sizes", "words", "best", "filled", "counts"])
+
+    held, key = [], None
+    for batch in batches:
+        for row, here in enumerate(zip(batch.column("segment").to_pylist(), batch.column("chunk").to_pylist())):
+            if here != key and held:
+                yield from made(held)
+                held = []
+            held, key = [*held, (batch, row)], here
+    if held:
+        yield from made(held)
+
+
+class _Zones:
+    """The blocks of a chunk that a search asks for, zone by zone."""
+
+    def __init__(self, asked: _Asked, batch: pa.RecordBatch, row: int) -> None:
+        self.asked, self.segment = asked, batch.column("segment")[row].as_py()
+        self.zones, sizes, self.word, best = (unpack(batch.column(c)[row].as_py()) for c in ("zones", "sizes", "words", "best"))
+        self.heads = np.append(0, np.cumsum(sizes))
+        self.high = best * batch.column("scale")[row].as_py()
+        # Zones are told apart in their whole segment.
+        self.numbers = self.zones + (batch.column("chunk")[row].as_py() << (TEXT_BITS - ZONE_BITS))
+
+    def parts(self, met: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Zones of a bounded number of cells in a row; `met` has what each block makes."""
+        ends = np.cumsum(np.maximum(np.add.reduceat(met, self.heads[:-1]), len(self.asked.names)))
+        start = 0
+        while start < len(ends):
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + CELLS, side="right")))
+            yield start, stop
+            start = stop
+
+    def bounds(self, start: int, stop: int) -> np.ndarray:
+        """(zones x queries): the best score that a text of a zone could have."""
+        n, own = len(self.asked.names), slice(self.heads[start], self.heads[stop])
+        at, query, weight = self.asked.each(self.word[own])
+        zone = np.repeat(np.arange(stop - start), np.diff(self.heads[start : stop + 1]))
+        return np.bincount(zone[at] * n + query, weights=weight * self.high[own][at], minlength=(stop - start) * n).reshape(-1, n)
 
 
 def _best_zones(asked: _Asked, query_id: str):
     """The k zones of a task with the highest bounds for each query."""
 
-    def use(table: pa.Table, heads: np.ndarray, row: np.ndarray, word: np.ndarray, bounds: np.ndarray) -> pa.Table:
-        zone, query = np.nonzero(best_of(bounds, asked.k) & (bounds > 0))
-        segment, number = _places(table, heads)
-        return pa.table({"query": query, "segment": segment[zone], "zone": number[zone], "bound": bounds[zone, query]})
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                met = _Zones(asked, batch, row)
+                for start, stop in met.parts(asked.met(met.word)):
+                    bounds = met.bounds(start, stop)
+                    zone, query = np.nonzero(best_of(bounds, asked.k) & (bounds > 0))
+                    yield pa.table({"query": query, "segment": np.full(len(zone), met.segment, np.int32), "zone": met.numbers[start:stop][zone], "bound": bounds[zone, query]})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
-        for n, part in enumerate(chain(_by_zone(asked, use)(batches), [None])):
+        for part in chain(found(batches), [None]):
             held += [part] if part is not None else []
             if held and (part is None or sum(map(len, held)) > max(CELLS, 4 * asked.k * len(asked.names))):
                 rows = pa.concat_tables(held).sort_by([("query", "ascending"), ("bound", "descending"), ("segment", "ascending"), ("zone", "ascending")])
@@ -419,76 +608,64 @@ def _best_zones(asked: _Asked, query_id: str):
     return run
 
 
-def _able_zones(asked: _Asked):
-    """The zones of a task that hold something still to be scored for some query."""
-
-    def use(table: pa.Table, heads: np.ndarray, row: np.ndarray, word: np.ndarray, bounds: np.ndarray) -> pa.Table:
-        segment, zone = _places(table, heads)
-        some = asked.able(bounds, segment, zone).any(axis=1)
-        return pa.table({"segment": segment[some], "zone": zone[some]})
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _by_zone(asked, use)(batches):
-            yield from part.to_batches()
-
-    return run
-
-
 def _zone_scores(asked: _Asked, item_id: str, query_id: str):
-    """The k best (query, id, score) of a task, masked texts left out, and a row (read) of how many postings were read for them.
-
-    Rows without a word name masked texts of their zone.
-    """
+    """The k best (query, id, score) of a task, masked texts left out, and a row that counts the postings that match (matching) and are scored (read)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, n, seen = _Best(asked.k, len(asked.names)), len(asked.names), {"read": 0, "kind": None}
-
-        def use(table: pa.Table, heads: np.ndarray, row: np.ndarray, word: np.ndarray, bounds: np.ndarray) -> None:
-            wanted = asked.able(bounds, *_places(table, heads))
-            lists = table.column("postings").combine_chunks()
-            block = np.repeat(np.arange(len(row)), lists.value_lengths().to_numpy())
-            ids, tf, length = lists.flatten().flatten()
-            seen["kind"] = ids.type
-            coded = ids.dictionary_encode()
-            # A text is an id in a zone.
-            text, doc = np.unique(row[block] * len(coded.dictionary) + coded.indices.to_numpy(), return_inverse=True)
-            masked = np.zeros(len(text), bool)
-            masked[doc[word[block] < 0]] = True
-            gain = _gain(np.maximum(tf.to_numpy(), 1), length.to_numpy(), asked.mean)
-            at, query, weight = asked.each(word[block])
-            able = wanted[row[block[at]], query]
-            at, query, weight = at[able], query[able], weight[able]
-            seen["read"] += len(at)
-            able = ~masked[doc[at]]
-            cells, back = np.unique(doc[at[able]] * n + query[able], return_inverse=True)
-            total = np.bincount(back, weights=weight[able] * gain[at[able]], minlength=len(cells))
-            names = coded.dictionary.to_numpy(zero_copy_only=False)
-            best.add(cells % n, names[text[cells // n] % len(names)], np.round(total, DECIMALS))
-
-        for _ in _by_zone(asked, use)(batches):
-            pass
-        if seen["kind"] is None:
+        best, n, read, matching, kind = _Best(asked.k, len(asked.names)), len(asked.names), 0, 0, None
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                met, ids, length = _Zones(asked, batch, row), batch.column("ids")[row].values, batch.column("lengths")[row].values.to_numpy()
+                kind, names = ids.type, ids.to_numpy(zero_copy_only=False)
+                masked = np.zeros(len(ids), bool)
+                masked[batch.column("gone")[row].values.to_numpy()] = True
+                filled, tf = (unpack(batch.column(c)[row].as_py()) for c in ("filled", "counts"))
+                block, bit = np.nonzero(filled[:, None] >> np.arange(1 << ZONE_BITS) & 1)
+                zone = np.repeat(np.arange(len(met.zones)), np.diff(met.heads))
+                gain = _gain(tf, length[met.zones[zone[block]] << ZONE_BITS | bit], asked.mean)
+                first = np.append(0, np.cumsum(np.bitwise_count(filled), dtype=np.int64))
+                pairs = asked.met(met.word, np.diff(first))
+                matching += int(pairs.sum())
+                for start, stop in met.parts(pairs):
+                    # The zones chosen first need no bounds.
+                    bounds = met.bounds(start, stop) if asked.threshold is not None else np.zeros((stop - start, n))
+                    wanted = asked.able(bounds, np.full(stop - start, met.segment), met.numbers[start:stop])
+                    own = np.arange(first[met.heads[start]], first[met.heads[stop]])
+                    own = own[wanted.any(axis=1)[zone[block[own]] - start]]
+                    at, query, weight = asked.each(met.word[block[own]])
+                    able = wanted[(zone[block[own]] - start)[at], query]
+                    at, query, weight = at[able], query[able], weight[able]
+                    read += len(at)
+                    text = (zone[block[own]] - start) << ZONE_BITS | bit[own]
+                    cells, gains, many = text[at] * n + query, weight * gain[own][at], (stop - start << ZONE_BITS) * n
+                    if many <= max(CELLS, 2 * len(cells)):
+                        total = np.bincount(cells, weights=gains, minlength=many)
+                        cells = np.flatnonzero(total)
+                        total = total[cells]
+                    else:
+                        cells, back = np.unique(cells, return_inverse=True)
+                        total = np.bincount(back, weights=gains, minlength=len(cells))
+                    text = met.zones[start:stop][cells // n >> ZONE_BITS] << ZONE_BITS | (cells // n & ((1 << ZONE_BITS) - 1))
+                    kept = ~masked[text]
+                    best.add(cells[kept] % n, names[text[kept]], np.round(total[kept], DECIMALS))
+        if kind is None:
             return
         query, items, score = best.fold()
         q, m = asked.names.take(pa.array(query.astype(np.int64))), len(query)
-        columns = [pa.concat_arrays([q, pa.nulls(1, q.type)]), pa.concat_arrays([pa.array(items, seen["kind"]), pa.nulls(1, seen["kind"])])]
-        counts = [pa.array([*score.tolist(), None], pa.float64()), pa.array([None] * m + [seen["read"]], pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns + counts, names=[query_id, item_id, "score", "read"])
+        columns = [pa.concat_arrays([q, pa.nulls(1, q.type)]), pa.concat_arrays([pa.array(items, kind), pa.nulls(1, kind)])]
+        counts = [pa.array([*score.tolist(), None], pa.float64()), *(pa.array([None] * m + [v], pa.int64()) for v in (read, matching))]
+        yield pa.RecordBatch.from_arrays(columns + counts, names=[query_id, item_id, "score", "read", "matching"])
 
     return run
 
 
-def _together(rows: DataFrame) -> DataFrame:
-    """All rows of a zone in one task, next to each other."""
-    return rows.repartition("segment", "zone").sortWithinPartitions("segment", "zone")
-
-
 def _found(words: DataFrame, index: Segments, k: int, query_id: str) -> DataFrame:
-    """(query_id, id, score, read): whole scores of texts that include the k best of each query, and rows that count the postings read.
+    """(query_id, id, score, read, matching): whole scores of texts that include the k best of each query, and rows that count postings.
 
-    A block meets the queries inside the task that holds its zone, so what is shuffled is each block once, however many queries ask for it.
+    A block meets the queries inside the task that holds its chunk, so what is shuffled is each block once, however many queries ask for it.
     """
-    item_id, kind = index.item_id, lambda df, c: f"`{c}` {df.schema[c].dataType.simpleString()}"
+    kind = lambda df, c: f"`{c}` {df.schema[c].dataType.simpleString()}"
     rows, size = words.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term") + 16), F.lit(0))).first()
     turns = max(1, -(-rows // MAX_WORDS), -(-size // MAX_WORD_BYTES))
     parts = [_found_block(words.where(F.pmod(F.xxhash64(query_id), F.lit(turns)) == t) if turns > 1 else words, index, k, query_id, kind) for t in range(turns)]
@@ -496,16 +673,28 @@ def _found(words: DataFrame, index: Segments, k: int, query_id: str) -> DataFram
 
 
 def _found_block(words: DataFrame, index: Segments, k: int, query_id: str, kind) -> DataFrame:
-    item_id = index.item_id
-    schema = f"{kind(words, query_id)}, {kind(index.texts, item_id)}, score double, read long"
+    item_id, spark = index.item_id, words.sparkSession
+    schema = f"{kind(words, query_id)}, {kind(index.mask, item_id)}, score double, read long, matching long"
     table = words.toArrow()  # bounded by MAX_WORDS
     if not table.num_rows:
-        return words.sparkSession.createDataFrame([], schema)
+        return spark.createDataFrame([], schema)
     asked = _Asked.of(table, index, k, query_id)
-    numbers = [pa.array(range(len(asked.terms)), pa.int32()), asked.terms]
-    vocabulary = words.sparkSession.createDataFrame(pa.Table.from_arrays(numbers, names=["word", "term"]))
-    bounds = _together(_met(vocabulary, index, ["word", _high(index)]))
+    # Only folders of the words are opened.
+    opened = np.unique(_bucket_of(asked.terms)).tolist()
+    own = [_numbered(index, "segment"), "chunk"]
+    blocks = index.blocks.where(F.col("bucket").isin(opened)).select(*own, "mean", "terms", "sizes", "zones", "best", "filled", "counts")
+    places = "segment int, chunk long"
+    packed = lambda *columns: ", ".join(f"{c} binary" for c in columns)
+    blocks = blocks.mapInArrow(_meet(asked), f"{places}, scale double, {packed('zones', 'words', 'best', 'filled', 'counts')}")
+    texts = index.chunks.select(*own, "ids", "lengths")
+    gone = _gone(index.mask.where(F.col("of").isin(index.live)).select(F.col("of").alias("segment"), "place")).select(*own, "gone")
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [blocks, texts, gone]).repartition("segment", "chunk")
+    ids = index.chunks.schema["ids"].dataType.simpleString()
+    gathered = f"{places}, ids {ids}, lengths array<int>, gone array<int>, scale double, {packed('zones', 'sizes', 'words', 'best', 'filled', 'counts')}"
+    met = materialize(rows.sortWithinPartitions("segment", "chunk").mapInArrow(_gathered, gathered))
+
     order = [F.col("bound").desc(), "segment", "zone"]
+    bounds = met.select("segment", "chunk", "scale", "zones", "sizes", "words", "best")
     promising = bounds.mapInArrow(_best_zones(asked, query_id), f"{kind(words, query_id)}, segment int, zone long, bound double")
     # k zones a query, sent to all tasks.
     first = rank_top(promising, query_id, order, k).select(query_id, "segment", "zone").toArrow()
@@ -514,24 +703,15 @@ def _found_block(words: DataFrame, index: Segments, k: int, query_id: str, kind)
         chosen[tuple(place)].append(q)
     asked = replace(asked, chosen={place: np.array(q) for place, q in chosen.items()})
 
-    posting = F.array(F.struct(item_id, F.lit(0).alias("tf"), F.lit(0).alias("length"))).alias("postings")
-    none = lambda kind: F.lit(None).cast(kind)
-    masked = index.mask.where(F.col("of").isin(index.live)).select(_numbered(index, "of"), "zone", none("int").alias("word"), none("float").alias("high"), posting)
-
-    def scores(asked: _Asked, zones: DataFrame) -> DataFrame:
-        """Of blocks in these zones; `zones` has each once."""
-        blocks = _met(vocabulary, index, ["word", _high(index), "postings"]).unionByName(masked)
-        return materialize(_together(blocks.join(zones, ["segment", "zone"], "left_semi")).mapInArrow(_zone_scores(asked, item_id, query_id), schema))
-
-    places = words.sparkSession.createDataFrame([*chosen], "segment int, zone long")
-    near = scores(asked, F.broadcast(places))
+    scores = lambda asked, rows: materialize(rows.mapInArrow(_zone_scores(asked, item_id, query_id), schema))
+    chunks = spark.createDataFrame([*{(segment, zone >> (TEXT_BITS - ZONE_BITS)) for segment, zone in chosen}], places)
+    near = scores(asked, met.join(F.broadcast(chunks), ["segment", "chunk"], "left_semi")).withColumn("matching", F.lit(0).cast("long"))
     # Threshold: the k-th best of the texts in the k zones that promise most.
     ranked = rank_top(near.where(F.col("read").isNull()), query_id, [F.col("score").desc(), F.col(item_id)], k)
     kth = ranked.where(F.col("rank") == k - 1).select(query_id, "score").toArrow()
     threshold = np.full(len(asked.names), -np.inf)
     threshold[pc.index_in(kth.column(query_id).combine_chunks(), value_set=asked.names).to_numpy()] = kth.column("score").to_numpy()
-    asked = replace(asked, threshold=threshold)
-    return near.unionByName(scores(asked, materialize(bounds.mapInArrow(_able_zones(asked), "segment int, zone long"))))
+    return near.unionByName(scores(replace(asked, threshold=threshold), met))
 
 
 def search(queries: DataFrame, index: Segments, k: int, query_id: str = "query_id", query_text: str = "query", eps: float = 0.25) -> DataFrame:
@@ -540,10 +720,10 @@ def search(queries: DataFrame, index: Segments, k: int, query_id: str = "query_i
     if index.corpus.mean_idf < 0 or not index.corpus.documents:
         # A shared word can cost a text, so no bound holds and any text may fill a list: the search that scores every text is used.
         return bm25.search(queries, plain(index), k, query_id, query_text, K1, B, eps)
-    scored = _found(_weighed(queries, index, query_id, query_text, eps), index, k, query_id).where(F.col("read").isNull()).drop("read")
+    scored = _found(_weighed(queries, index, query_id, query_text, eps), index, k, query_id).where(F.col("read").isNull()).drop("read", "matching")
     # Only the first k ids can fill a list with zeros.
-    first = [r[0] for r in _unmasked(index.texts, index.mask, item_id).select(item_id).orderBy(item_id).limit(k).collect()]
-    kind = index.texts.schema[item_id].dataType.simpleString()
+    first = [r[0] for r in _unmasked(_placed(index.chunks, item_id), index.mask, item_id).select(item_id).orderBy(item_id).limit(k).collect()]
+    kind = index.mask.schema[item_id].dataType.simpleString()
     fill = queries.select(query_id).distinct().select(query_id, F.explode(F.array(*map(F.lit, first)).cast(f"array<{kind}>")).alias(item_id))
     # A first id met with a score keeps it: its zero is the smaller of the two.
     both = scored.unionByName(fill.withColumn("score", F.lit(0.0))).groupBy(query_id, item_id).agg(F.max("score").alias("score"))
@@ -552,8 +732,5 @@ def search(queries: DataFrame, index: Segments, k: int, query_id: str = "query_i
 
 def postings_read(queries: DataFrame, index: Segments, k: int, query_id: str = "query_id", query_text: str = "query", eps: float = 0.25) -> DataFrame:
     """One row: postings that match a query's word, over all queries, and those that a search reads, repeats counted again."""
-    words = _weighed(queries, index, query_id, query_text, eps)
-    looked = _found(words, index, k, query_id).agg(F.coalesce(F.sum("read"), F.lit(0)).alias("read"))
-    sizes = _met(words.select("term").distinct(), index, ["term", F.size("postings").alias("n")]).groupBy("term").agg(F.sum("n").alias("n"))
-    matching = words.join(sizes, "term").agg(F.sum("n").alias("matching"))
-    return matching.join(F.broadcast(looked))
+    found = _found(_weighed(queries, index, query_id, query_text, eps), index, k, query_id)
+    return found.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("matching", "read")))

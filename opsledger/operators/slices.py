@@ -30,3 +30,37 @@ def words(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
     # White space at an end leaves an empty word there.
     full = pc.greater(pc.binary_length(word), 0)
     return row.filter(full).to_numpy(zero_copy_only=False).astype(np.int64), word.filter(full).dictionary_encode()
+
+
+def pack(numbers: np.ndarray) -> bytes:
+    """Whole numbers from 0 as bytes, compressed; byte by byte, without the bytes that no number has."""
+    width = max(1, -(-int(numbers.max(initial=0)).bit_length() // 8))
+    planes = np.ascontiguousarray(numbers.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    return width.to_bytes(1, "little") + len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpack(data: bytes) -> np.ndarray:
+    """The numbers that `pack` was given."""
+    width, size = data[0], int.from_bytes(data[1:9], "little")
+    planes = np.frombuffer(pa.decompress(data[9:], size, codec="zstd", asbytes=True), np.uint8).reshape(width, -1)
+    made = planes[0].astype(np.int64)
+    for k in range(1, width):
+        made |= planes[k].astype(np.int64) << 8 * k
+    return made
+
+
+def pack_words(words: pa.Array) -> bytes:
+    """Strings without nulls as bytes, compressed."""
+    words = pa.concat_arrays([words.cast(pa.string())])
+    size, (_, ends, data) = len(words), words.buffers()
+    ends = np.frombuffer(ends, np.int32)[words.offset : words.offset + size + 1] if size else np.zeros(1, np.int32)
+    lengths, text = pack(np.diff(ends)), (data.to_pybytes() if data else b"")[ends[0] : ends[-1]]
+    return len(lengths).to_bytes(8, "little") + lengths + len(text).to_bytes(8, "little") + pa.compress(text, codec="zstd", asbytes=True)
+
+
+def unpack_words(data: bytes) -> pa.Array:
+    """The strings that `pack_words` was given."""
+    at = 8 + int.from_bytes(data[:8], "little")
+    lengths = unpack(data[8:at])
+    text = pa.decompress(data[at + 8 :], int.from_bytes(data[at : at + 8], "little"), codec="zstd", asbytes=True)
+    return pa.Array.from_buffers(pa.string(), len(lengths), [None, pa.py_buffer(np.append(0, np.cumsum(lengths)).astype(np.int32)), pa.py_buffer(text)])

@@ -114,3 +114,31 @@ def test_a_block_is_shuffled_once_however_many_queries_ask(spark, tmp_path):
     assert found.count() < 150 * 80 / 4  # 80 zones
     live = segments._unmasked(index.texts, index.mask, "doc_id").select("doc_id", F.concat_ws(" ", F.flatten(F.zip_with("words", "counts", F.array_repeat))).alias("text"))
     assert ranking(segments.search(asked, index, 2)) == ranking(bm25.bm25_topk(asked, live, 2))
+
+
+def test_rows_follow_chunks_of_texts_not_postings(spark, tmp_path):
+    """What Spark writes, sorts and moves for an index is a row per chunk and folder of words, however many postings there are."""
+    rng, root = random.Random(7), str(tmp_path / "index")
+    texts = texts_of(rng, range(600), 10, 30)
+    segments.apply(spark, root, frame(spark, texts).coalesce(1))
+    assert segments.read(spark, root).blocks.count() <= segments.BUCKETS
+
+
+def test_texts_of_several_chunks_and_ids_that_are_words(spark, asked, tmp_path):
+    rng, root = random.Random(9), str(tmp_path / "index")
+    texts = {i: " ".join(rng.choices(WORDS, weights=range(40, 0, -1), k=rng.randint(0, 1200))) for i in range(2500)}  # some 5 MB
+    named = lambda texts: frame(spark, texts).withColumn("doc_id", F.format_string("t%05d", "doc_id")).coalesce(1)
+    segments.apply(spark, root, named(texts))
+    changed = texts_of(rng, [3, 700, 2499, 3000])
+    gone = named({i: "" for i in range(0, 2500, 7)})
+    segments.apply(spark, root, named(changed), deleted=gone)
+    state = {i: t for i, t in texts.items() if i % 7} | changed
+    expected = ranking(bm25.bm25_topk(asked, named(state), 6))
+    index = segments.read(spark, root, "doc_id string")
+    assert index.chunks.count() > 2
+    assert ranking(segments.search(asked, index, 6)) == expected
+    assert len(segments.merge(spark, root, 10_000, "doc_id string")) == 1
+    merged = segments.read(spark, root, "doc_id string")
+    assert ranking(segments.search(asked, merged, 6)) == expected
+    held = {r["doc_id"]: dict(zip(r["words"], r["counts"])) for r in merged.texts.collect()}
+    assert held == {f"t{i:05d}": {w: t.split().count(w) for w in set(t.split())} for i, t in state.items()}
