@@ -18,7 +18,6 @@ reach it are scored. All postings of a text lie in one zone, so scores are compl
 from __future__ import annotations
 
 import uuid
-import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -35,7 +34,7 @@ from pyspark.sql import functions as F
 from opsledger.functions.text import tokenize
 from opsledger.operators import bm25
 from opsledger.operators.bm25 import CELLS, DECIMALS, MAX_WORD_BYTES, MAX_WORDS, Corpus, _idf, term_weight
-from opsledger.operators.slices import pack, pack_words, slices, unpack, unpack_words
+from opsledger.operators.slices import hashes, pack, pack_words, slices, unpack, unpack_words
 from opsledger.operators.slices import words as split
 from opsledger.operators.topk import best_of, rank_top
 from opsledger.session import materialize
@@ -49,6 +48,8 @@ CHUNK_POSTINGS = 400_000
 TEXT_BITS = 16
 # Bytes that a Parquet row group of packed rows may have: what a task reads at a time.
 GROUP_BYTES = 16 << 20
+# Words of chunks that one task adds up at a time, so many in each range of hashes.
+RANGE_WORDS = 250_000
 # Masked places that may be sent to every task; more of them meet their chunks in a shuffle.
 MAX_MASKED = 2_000_000
 # Bounds and thresholds are sums of rounded parts.
@@ -150,13 +151,13 @@ class _Chunk:
         one = lambda v, kind: pa.array([v], kind)
         dfs = np.bincount(self.words, minlength=len(self.terms))
         packed = [pack_words(self.terms), *map(pack, (dfs, self.sizes, self.words, self.counts))]
-        columns = [one(number, pa.int64()), one(len(self.lengths), pa.int64()), one(int(self.lengths.sum()), pa.int64())]
+        columns = [one(v, pa.int64()) for v in (number, len(self.lengths), int(self.lengths.sum()), len(self.terms))]
         columns += [list_of(self.ids), list_of(pa.array(self.lengths, pa.int32())), *(one(p, pa.binary()) for p in packed)]
-        return pa.RecordBatch.from_arrays(columns, names=["chunk", "documents", "total", *_CHUNK])
+        return pa.RecordBatch.from_arrays(columns, names=["chunk", "documents", "total", "kinds", *_CHUNK])
 
 
 def _chunk_schema(kind: str) -> str:
-    return f"chunk long, documents long, total long, ids array<{kind}>, lengths array<int>, terms binary, dfs binary, sizes binary, words binary, counts binary"
+    return f"chunk long, documents long, total long, kinds long, ids array<{kind}>, lengths array<int>, terms binary, dfs binary, sizes binary, words binary, counts binary"
 
 
 def _runs(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -179,7 +180,7 @@ def _rows(item_id: str):
 
 def _bucket_of(terms: pa.Array) -> np.ndarray:
     """The folder of each word."""
-    return np.fromiter((zlib.crc32(t) % BUCKETS for t in terms.cast(pa.binary()).to_pylist()), np.int64, len(terms))
+    return (hashes(terms) % np.uint64(BUCKETS)).astype(np.int64)
 
 
 def _live(spark: SparkSession, root: str) -> list[str]:
@@ -224,15 +225,18 @@ def _write_segment(root: str, name: str, chunks: DataFrame, masked: DataFrame, h
     table = lambda part: _union(spark, root, [name], part, item)
     chunks.write.option("parquet.block.size", GROUP_BYTES).parquet(place("texts"))
     masked.select(F.col("segment").alias("of"), item.split()[0], "length", "place").write.parquet(place("mask"))
-    documents, total = table("texts").agg(F.sum("documents"), F.sum("total")).first()
+    documents, total, kinds = table("texts").agg(F.sum("documents"), F.sum("total"), F.sum("kinds")).first()
     mean = total / documents if total else 1.0
     blocks = table("texts").select("chunk", *_CHUNK).mapInArrow(_make_blocks(mean), "chunk long, mean double, terms binary, sizes binary, zones binary, best binary, filled binary, counts binary, bucket int")
     blocks.write.option("parquet.block.size", GROUP_BYTES).partitionBy("bucket").parquet(place("blocks"))
-    counts = table("texts").select("terms", "dfs").mapInArrow(_frequencies, "term string, df long").withColumn("of", F.lit(name))
+    words = (kinds or 0) + (masked.agg(F.sum("length")).first()[0] or 0 if held is not None else 0)
+    ranges, row = -(-words // RANGE_WORDS) or 1, "range int, of string, terms binary, dfs binary"
+    counts = table("texts").select("terms", "dfs").mapInArrow(_frequencies(name, ranges), row)
     if held is not None:
         found = _with_gone(held.select("segment", "chunk", *_CHUNK), masked, "inner")
-        counts = counts.unionByName(found.mapInArrow(_lost_frequencies, "of string, term string, df long"))
-    counts.groupBy("of", "term").agg(F.sum("df").alias("df")).write.parquet(place("terms"))
+        counts = counts.unionByName(found.mapInArrow(_lost_frequencies(ranges), row))
+    together = counts.repartition("range").sortWithinPartitions("range", "of")
+    together.mapInArrow(_added(name), "of string, term string, df long").write.parquet(place("terms"))
     lost = masked.groupBy(F.col("segment").alias("of")).agg((-F.count("*")).alias("documents"), (-F.sum("length")).alias("words"))
     own = spark.createDataFrame([(name, documents or 0, total or 0)], "of string, documents long, words long")
     own.unionByName(lost).coalesce(1).write.parquet(place("facts"))
@@ -250,27 +254,75 @@ def _with_gone(chunks: DataFrame, masked: DataFrame, how: str) -> DataFrame:
     return chunks.join(F.broadcast(gone) if masked.count() <= MAX_MASKED else gone, ["segment", "chunk"], how)
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, df) of chunks, those of a batch added up."""
-    for batch in batches:
-        if batch.num_rows:
-            terms = pa.concat_arrays([unpack_words(t.as_py()) for t in batch.column("terms")]).dictionary_encode()
-            dfs = np.concatenate([unpack(d.as_py()) for d in batch.column("dfs")])
-            df = np.bincount(terms.indices.to_numpy(), weights=dfs, minlength=len(terms.dictionary))
-            yield pa.RecordBatch.from_arrays([terms.dictionary, pa.array(df.astype(np.int64))], names=["term", "df"])
+def _dealt(of: str, terms: pa.Array, dfs: np.ndarray, ranges: int) -> pa.RecordBatch:
+    """Words with their numbers, a row for each range of hashes."""
+    part = (hashes(terms) // np.uint64(BUCKETS) % np.uint64(ranges)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    terms, dfs, (parts, first) = terms.take(pa.array(order)), dfs[order], np.unique(part[order], return_index=True)
+    cuts = [slice(a, b) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(order)])]
+    lists = [pa.array(parts, pa.int32()), pa.array([of] * len(parts), pa.string())]
+    lists += [pa.array([pack_words(terms[c]) for c in cuts], pa.binary()), pa.array([pack(dfs[c]) for c in cuts], pa.binary())]
+    return pa.RecordBatch.from_arrays(lists, names=["range", "of", "terms", "dfs"])
 
 
-def _lost_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(of, term, df), counted negatively, of the masked texts (gone) of chunks."""
-    for batch in batches:
-        for row in range(batch.num_rows):
-            c = _Chunk.of(row, batch)
-            gone = np.zeros(len(c.sizes), bool)
-            gone[batch.column("gone")[row].values.to_numpy()] = True
-            df = np.bincount(c.words[np.repeat(gone, c.sizes)], minlength=len(c.terms))
-            some = np.flatnonzero(df)
-            of = pa.array([batch.column("segment")[row].as_py()] * len(some), pa.string())
-            yield pa.RecordBatch.from_arrays([of, c.terms.take(pa.array(some)), pa.array(-df[some])], names=["of", "term", "df"])
+def _summed(parts: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndarray]:
+    """Each word once, its numbers added up."""
+    terms = pa.concat_arrays([t for t, _ in parts]).dictionary_encode()
+    sums = np.bincount(terms.indices.to_numpy(), weights=np.concatenate([n for _, n in parts]), minlength=len(terms.dictionary))
+    return terms.dictionary, sums.astype(np.int64)
+
+
+def _frequencies(name: str, ranges: int):
+    """In how many texts the words of chunks are, those of a batch added up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield _dealt(name, *_summed([(unpack_words(t.as_py()), unpack(d.as_py())) for t, d in zip(batch.column("terms"), batch.column("dfs"))]), ranges)
+
+    return run
+
+
+def _lost_frequencies(ranges: int):
+    """In how many masked texts (gone) the words of chunks are, those of a batch and segment added up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lost = defaultdict(list)
+            for row in range(batch.num_rows):
+                c = _Chunk.of(row, batch)
+                gone = np.zeros(len(c.sizes), bool)
+                gone[batch.column("gone")[row].values.to_numpy()] = True
+                df = np.bincount(c.words[np.repeat(gone, c.sizes)], minlength=len(c.terms))
+                some = np.flatnonzero(df)
+                lost[batch.column("segment")[row].as_py()].append((c.terms.take(pa.array(some)), df[some]))
+            for of, parts in lost.items():
+                yield _dealt(of, *_summed(parts), ranges)
+
+    return run
+
+
+def _added(name: str):
+    """(of, term, df) of rows by range and segment: those about the segment `name` count, those about others are taken from them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, key = [], None
+
+        def made() -> Iterator[pa.RecordBatch]:
+            if held:
+                terms, df = _summed(held)
+                of = pa.array([key[1]] * len(terms), pa.string())
+                yield pa.RecordBatch.from_arrays([of, terms, pa.array(df if key[1] == name else -df)], names=["of", "term", "df"])
+
+        for batch in batches:
+            for here, *words in zip(zip(batch.column("range").to_pylist(), batch.column("of").to_pylist()), batch.column("terms"), batch.column("dfs")):
+                if here != key:
+                    yield from made()
+                    held, key = [], here
+                held.append((unpack_words(words[0].as_py()), unpack(words[1].as_py())))
+        yield from made()
+
+    return run
 
 
 def _make_blocks(mean: float):
@@ -322,15 +374,15 @@ def _count_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for at, size in slices(part.column("text"), CHUNK_BYTES):
                 texts = part.slice(at, size)
                 row, word = split(texts.column("text"))
-                kinds = max(len(word.dictionary), 1)
+                bits = len(word.dictionary).bit_length()
                 lengths = np.bincount(row, minlength=size)
                 # 2**ZONE_BITS texts of like length in a row make a zone: like lengths make for like gains, and so for close bounds.
                 order = np.argsort(lengths, kind="stable")
                 rank = np.empty(size, np.int64)
                 rank[order] = np.arange(size)
-                pair = np.sort(rank[row] * kinds + word.indices.to_numpy())
+                pair = np.sort(rank[row] << bits | word.indices.to_numpy())
                 first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])[: len(pair)])
-                text, words = np.divmod(pair[first], kinds)
+                text, words = pair[first] >> bits, pair[first] & ((1 << bits) - 1)
                 counts, sizes = np.diff(np.append(first, len(pair))), np.bincount(text, minlength=size)
                 terms = word.dictionary.cast(pa.string())
                 yield _Chunk(texts.column("id").take(pa.array(order)), lengths[order], terms, sizes, words, counts).row(number)
@@ -417,7 +469,7 @@ def read(spark: SparkSession, root: str, item: str = "doc_id bigint") -> Segment
     table = lambda part: _union(spark, root, live, part, item)
     facts = table("facts").where(F.col("of").isin(live)).agg(F.coalesce(F.sum("documents"), F.lit(0)).alias("n"), F.sum("words").alias("w")).first()
     mean_length = facts["w"] / facts["n"] if facts["n"] else 0.0
-    terms = table("terms").where(F.col("of").isin(live)).groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")
+    terms = materialize(table("terms").where(F.col("of").isin(live)).groupBy("term").agg(F.sum("df").alias("df")).where("df > 0"))
     mean_idf = terms.agg(F.avg(_idf(F.lit(facts["n"]), F.col("df")))).first()[0]
     corpus = Corpus(facts["n"], mean_length, mean_idf or 0.0)
     return Segments(table("blocks"), table("texts"), table("mask").drop("segment"), terms, corpus, item.split()[0], live)

@@ -64,3 +64,22 @@ def unpack_words(data: bytes) -> pa.Array:
     lengths = unpack(data[8:at])
     text = pa.decompress(data[at + 8 :], int.from_bytes(data[at : at + 8], "little"), codec="zstd", asbytes=True)
     return pa.Array.from_buffers(pa.string(), len(lengths), [None, pa.py_buffer(np.append(0, np.cumsum(lengths)).astype(np.int32)), pa.py_buffer(text)])
+
+
+def hashes(words: pa.Array) -> np.ndarray:
+    """A number of 64 bits for each string without nulls, the same wherever it is."""
+    words = pa.concat_arrays([words.cast(pa.string())])
+    if not len(words):
+        return np.empty(0, np.uint64)
+    _, ends, data = words.buffers()
+    ends = np.frombuffer(ends, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    letters = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].astype(np.uint64) + np.uint64(1) if ends[-1] > ends[0] else np.empty(0, np.uint64)
+    ends, sizes = ends - ends[0], np.diff(ends)
+    # A letter's number times a power of an odd number for its place; sums of a word are differences of sums over all, modulo 2**64.
+    powers = np.cumprod(np.full(max(int(sizes.max()), 1), 0x9E3779B97F4A7C15, np.uint64))
+    place = np.arange(len(letters)) - np.repeat(ends[:-1], sizes)
+    sums = np.append(np.uint64(0), np.cumsum(letters * powers[place]))
+    made = sums[ends[1:]] - sums[ends[:-1]]
+    for shift in (32, 29):
+        made = (made ^ (made >> np.uint64(shift))) * np.uint64(0xBF58476D1CE4E5B9)
+    return made ^ (made >> np.uint64(32))
