@@ -272,24 +272,37 @@ def _summed(parts: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndar
     return terms.dictionary, sums.astype(np.int64)
 
 
+def _worded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple[pa.RecordBatch, int]], list[pa.Array]]]:
+    """Rows, some with a bounded number of words at a time, and their words."""
+    own, terms, size = [], [], 0
+    for batch in batches:
+        for row in range(batch.num_rows):
+            own, terms = [*own, (batch, row)], [*terms, unpack_words(batch.column("terms")[row].as_py())]
+            size += len(terms[-1])
+            if size > 2 * RANGE_WORDS:
+                yield own, terms
+                own, terms, size = [], [], 0
+    if own:
+        yield own, terms
+
+
 def _frequencies(name: str, ranges: int):
-    """In how many texts the words of chunks are, those of a batch added up."""
+    """In how many texts the words of chunks are, those of some chunks added up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield _dealt(name, *_summed([(unpack_words(t.as_py()), unpack(d.as_py())) for t, d in zip(batch.column("terms"), batch.column("dfs"))]), ranges)
+        for own, terms in _worded(batches):
+            yield _dealt(name, *_summed([(t, unpack(batch.column("dfs")[row].as_py())) for (batch, row), t in zip(own, terms)]), ranges)
 
     return run
 
 
 def _lost_frequencies(ranges: int):
-    """In how many masked texts (gone) the words of chunks are, those of a batch and segment added up."""
+    """In how many masked texts (gone) the words of chunks are, those of some chunks of a segment added up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for own, _ in _worded(batches):
             lost = defaultdict(list)
-            for row in range(batch.num_rows):
+            for batch, row in own:
                 c = _Chunk.of(row, batch)
                 gone = np.zeros(len(c.sizes), bool)
                 gone[batch.column("gone")[row].values.to_numpy()] = True
@@ -547,14 +560,11 @@ def _meet(asked: _Asked):
     """Of the rows of blocks, the blocks of words asked for: each once however many queries have the word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = [unpack_words(t.as_py()) for t in batch.column("terms")]
-            if not lists:
-                continue
+        for own, lists in _worded(batches):
             number = pc.fill_null(pc.index_in(pa.concat_arrays(lists), value_set=asked.terms), -1).to_numpy()
             ends = np.cumsum([0, *map(len, lists)])
-            for row in range(batch.num_rows):
-                word = number[ends[row] : ends[row + 1]]
+            for at, (batch, row) in enumerate(own):
+                word = number[ends[at] : ends[at + 1]]
                 if (word < 0).all():
                     continue
                 sizes, zones, best, filled, counts = (unpack(batch.column(c)[row].as_py()) for c in ("sizes", "zones", "best", "filled", "counts"))
